@@ -1,7 +1,7 @@
 """The queries of the operators, one each."""
 
-from . import pii, simhash, url_filter
+from . import pii, quality, simhash, url_filter
 
-_ALL = (pii, simhash, url_filter)
+_ALL = (pii, quality, simhash, url_filter)
 QUERIES = {name: query for module in _ALL for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _ALL for name, sql in module.ORACLE_SQL.items()}
