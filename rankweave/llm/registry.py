@@ -1,7 +1,7 @@
 """The queries of the operators, one each."""
 
-from . import language_id, pii, quality, simhash, url_filter
+from . import language_id, pii, quality, simhash, token_files, url_filter
 
-_ALL = (pii, simhash, language_id, url_filter, quality)
+_ALL = (pii, simhash, language_id, token_files, url_filter, quality)
 QUERIES = {name: query for module in _ALL for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _ALL for name, sql in module.ORACLE_SQL.items()}
