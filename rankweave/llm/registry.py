@@ -1,7 +1,7 @@
 """The queries of the operators, one each."""
 
-from . import decontaminate, language_id, pii, quality, simhash, token_files, url_filter
+from . import decontaminate, language_id, pii, quality, simhash, suffix_array, token_files, url_filter
 
-_ALL = (pii, decontaminate, simhash, language_id, token_files, url_filter, quality)
+_ALL = (pii, decontaminate, simhash, suffix_array, language_id, token_files, url_filter, quality)
 QUERIES = {name: query for module in _ALL for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _ALL for name, sql in module.ORACLE_SQL.items()}
