@@ -22,6 +22,8 @@ BUCKETS, WIDTH, EPOCHS, RATE, BATCH = 1 << 16, 16, 6, 2.0, 16
 #: Few samples are gone through more often, for so many steps in all.
 MIN_STEPS = 400
 SIZES = (1, 2, 3, 4)
+#: Languages up to this number are broadcast, with two short columns each.
+BROADCAST_LANGUAGES = 10_000
 UNKNOWN = "und"
 #: Share of correct calibration documents that may be rejected at most.
 REJECT = 0.01
@@ -119,6 +121,8 @@ def train(docs: DataFrame, per_language: int = FIT_PER_LANGUAGE) -> LanguageMode
     """
     known = docs.where("lang is not null and text is not null")
     rates = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(per_language)) / F.count("*")).alias("rate"))
+    if rates.count() <= BROADCAST_LANGUAGES:  # else the join deals the texts out by language
+        rates = F.broadcast(rates)
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     picked = known.select("doc_id", "lang", "text").join(rates, "lang").where(draw < F.col("rate"))
 
