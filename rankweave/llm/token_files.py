@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -15,8 +16,8 @@ from pyspark.sql import types as T
 from .common import stage, table
 
 END = 2
-#: Pieces whose ids a task keeps; beyond that it starts anew, so that its memory is bounded.
-CACHE = 300_000
+#: Parts whose ids a process keeps; older ones go when as many new ones have come, so that its memory is bounded.
+CACHE = 200_000
 #: Writer settings: small row groups and pages with column indexes let a reader fetch a few documents' ids; ids are
 #: delta-encoded (format v2 without a dictionary), lang and source dictionary-encoded.
 LAYOUT = {
@@ -35,12 +36,31 @@ SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 _PLAIN = regex.compile(r"[\t\n\r\x20-\x7e¡-ɏ]*+")
 
 
+class _Memo(dict):
+    """Values of ``make``, kept for the last ``CACHE`` to twice as many keys."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= CACHE:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class PieceEncoder:
-    """Encodes whole texts with the tokenizers library; pieces that came before in the task aren't encoded again.
+    """Encodes whole texts with the tokenizers library; parts that came before in the process aren't encoded again.
 
-    The vocabulary's splitting never lets a merge cross a piece, so the ids of a
-    text are those of its pieces. Texts that hold an added token's string, or
-    characters outside the common ones, are encoded as they are.
+    The vocabulary's splitting never lets a merge cross a piece, and a blank between
+    two other characters always begins a piece, so the ids of a text are those of
+    its blank-separated parts. Texts that hold an added token's string, runs of
+    blanks, or characters outside the common ones, go whole to the library.
     """
 
     def __init__(self, path: str):
@@ -51,27 +71,44 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, tuple[int, ...]] = {}
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}  # byte-level BPE shows these bytes as they are, the others from 256 on
+        rest = iter(range(256, 512))
+        self.alphabet = {b: chr(b) if b in shown else chr(next(rest)) for b in range(256)}
+        self.bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.tokenize = self.tokenizer.model.tokenize
+        self.pieces, self.parts = _Memo(self._piece), _Memo(self._part)
+
+    def _known(self, shown: str) -> bytes:
+        return b"".join([self.bytes[t.id] for t in self.tokenize(shown)])
+
+    def _piece(self, piece: str) -> bytes:
+        return self._known(piece.encode().decode("latin-1").translate(self.alphabet))
+
+    def _part(self, part: str) -> bytes:
+        """Ids of a part with the blank before it; a plain word is one piece, shown with the blank's letter."""
+        if part.isascii() and part.isalpha():
+            return self._known("\u0120" + part)
+        first, *rest = SPLIT.findall(" " + part)
+        word = first[1:]
+        head = self.parts[word] if word != part and word.isascii() and word.isalpha() else self._piece(first)
+        return head + b"".join(map(self.pieces.__getitem__, rest))
+
+    def _ids(self, text: str) -> bytes:
+        parts = text.split(" ")
+        if "" in parts[1:] or any(a in text for a in self.added) or not _PLAIN.fullmatch(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        first = b"".join(map(self.pieces.__getitem__, SPLIT.findall(parts[0])))
+        return first + b"".join(map(self.parts.__getitem__, parts[1:]))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        whole = [bool(any(a in t for a in self.added) or not _PLAIN.fullmatch(t)) for t in texts]
-        split = [[] if w else SPLIT.findall(t) for t, w in zip(texts, whole, strict=True)]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = list({p for pieces in split for p in pieces if p not in self.known})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[piece] = tuple(found.ids)
-        known = self.known
-        out = []
-        for text, w, pieces in zip(texts, whole, split, strict=True):
-            if w:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            else:
-                ids = [i for p in pieces for i in known[p]]
-            out.append(np.array([*ids, END], np.uint32))
-        return out
+        end = np.array([END], "<u4").tobytes()
+        return [np.frombuffer(self._ids(t) + end, "<u4") for t in texts]
+
+
+@functools.lru_cache(maxsize=1)
+def encoder(path: str) -> PieceEncoder:
+    """One for each worker process, whatever number of tasks it runs."""
+    return PieceEncoder(path)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -80,7 +117,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     schema = docs.select(*keep).schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(path)
+        coder = encoder(path)
         for batch in batches:
             texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
             begin = 0
@@ -89,7 +126,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 while end < len(texts) and (end == begin or size + len(texts[end]) < 4_000_000):
                     size += len(texts[end])
                     end += 1
-                ids = encoder.encode(texts[begin:end])
+                ids = coder.encode(texts[begin:end])
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 flat = pa.array(np.concatenate(ids).astype(np.int32))
                 part = batch.slice(begin, end - begin)
