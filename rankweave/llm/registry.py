@@ -1,7 +1,18 @@
 """The queries of the operators, one each."""
 
-from . import decontaminate, language_id, pii, quality, simhash, suffix_array, suffix_trees, token_files, url_filter
+from . import (
+    decontaminate,
+    language_id,
+    pii,
+    quality,
+    sentencepiece_lattice,
+    simhash,
+    suffix_array,
+    suffix_trees,
+    token_files,
+    url_filter,
+)
 
-_ALL = (pii, decontaminate, simhash, suffix_array, language_id, suffix_trees, token_files, url_filter, quality)
+_ALL = (pii, decontaminate, simhash, suffix_array, language_id, suffix_trees, token_files, url_filter, quality, sentencepiece_lattice)
 QUERIES = {name: query for module in _ALL for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _ALL for name, sql in module.ORACLE_SQL.items()}
