@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,90 +32,99 @@ UNIT_WORDS = frozenset(
 )
 _BARE = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}%]+$")
 _NUMERIC = regex.compile(r"[\p{N}.,:/%]*\p{N}[\p{N}.,:/%]*\p{L}{0,3}")
-_CACHE = 300_000
+_MARKS = "!\"#$&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_CACHE = 400_000
+_NAME_HASH = np.uint64(xxhash.xxh3_64_intdigest(NAME))
 
 
-def _hash(word: str) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-
-
-_NAME_HASH = np.uint64(_hash(NAME))
-
-
-class Templates:
-    """Words as template tokens; a task's words are looked up once while its cache lasts."""
+class Templates(dict):
+    """Words as template tokens: the number of each word seen, and arrays of what is known of it."""
 
     def __init__(self):
-        self._clear()
-
-    def _clear(self):
-        self.known: dict[str, int] = {}
-        self.hash: list[int] = []
+        super().__init__()
+        self.hash = np.zeros(_CACHE, np.uint64)
         #: 0 no token, 1 literal, 2 number or unit, 3 a name unless a sentence begins with it; and whether a sentence ends with it.
-        self.kind: list[int] = []
-        self.ends: list[bool] = []
-        self.core: list[str] = []
-
-    def _add(self, word: str) -> int:
-        core = _BARE.sub("", word)
+        self.kind = np.zeros(_CACHE, np.int8)
+        self.ends = np.zeros(_CACHE, bool)
+        self.core: dict[int, str] = {}
+
+    def __missing__(self, word: str) -> int:
+        core = word.strip(_MARKS)
+        if not core.isalpha():
+            core = _BARE.sub("", word)
         low = core.lower()
+        kind, token = 1, low
         if not core:
-            kind, token = 0, ""
-        elif _NUMERIC.fullmatch(core) or low in NUMBER_WORDS:
+            kind = 0
+        elif low in NUMBER_WORDS or not core.isalpha() and _NUMERIC.fullmatch(core):
             kind, token = 2, NUMBER
         elif low in UNIT_WORDS:
             kind, token = 2, UNIT
-        elif len(core) > 1 and core[0].isupper() and core[1:] == core[1:].lower():
-            kind, token = 3, low
-        else:
-            kind, token = 1, low
-        self.hash.append(_hash(token))
-        self.kind.append(kind)
-        self.ends.append(word[-1] in ".!?:" or word[-2:-1] in (".", "!", "?"))
-        self.core.append(low)
-        self.known[word] = len(self.kind) - 1
-        return len(self.kind) - 1
+        elif core[0] != low[0] and len(core) > 1 and core[1:] == low[1:]:
+            kind = 3
+        i = len(self)
+        if i == len(self.hash):
+            for name in ("hash", "kind", "ends"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
+        self.hash[i], self.kind[i] = xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass")), kind
+        self.ends[i] = word[-1] in ".!?:" or word[-2:-1] in (".", "!", "?")
+        if kind > 1:
+            self.core[i] = low
+        self[word] = i
+        return i
 
     def windows(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[str | None]]:
         """Hash, place and slots of each window of a whole text; slots are the placeholders' values in order, or None."""
-        if len(self.known) > _CACHE:
-            self._clear()
-        known, add = self.known, self._add
+        if len(self) > _CACHE:  # begin anew between texts, so that memory is bounded
+            self.clear()
+            self.core.clear()
         words = (text or "").split()
-        ids = np.fromiter((known[w] if w in known else add(w) for w in words), np.int64, len(words))
-        kind = np.array(self.kind, np.int8)[ids] if len(ids) else np.zeros(0, np.int8)
-        ids, kind = ids[kind > 0], kind[kind > 0]
+        ids = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        kind = self.kind[ids]
+        if not kind.all():
+            ids, kind = ids[kind > 0], kind[kind > 0]
         n = len(ids) - WINDOW + 1
         if n < 1:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), []
-        first = np.concatenate([[True], np.array([self.ends[i] for i in ids[:-1].tolist()], bool)])
-        name = (kind == 3) & ~first
-        slot = name | (kind == 2)
-        token = np.array([self.hash[i] for i in ids.tolist()], np.uint64)
-        token[name] = _NAME_HASH
+        token, slot = self.hash[ids], kind > 1
+        if slot.any():
+            name = kind == 3
+            name[0] = False
+            name[1:] &= ~self.ends[ids[:-1]]
+            slot = name | (kind == 2)
+            token[name] = _NAME_HASH
         h = np.zeros(n, np.uint64)
         for j in range(WINDOW):
             h = h * np.uint64(0x9E3779B97F4A7C15) + token[j : j + n]
             h ^= h >> np.uint64(29)
+        if not slot.any():
+            return h, np.arange(n), [None] * n
         before = np.concatenate([[0], np.cumsum(slot)])
         filled = before[WINDOW:] - before[:-WINDOW]
         at = np.flatnonzero(WINDOW - filled >= MIN_LITERAL)
         slots: list[str | None] = [None] * len(at)
         for i in np.flatnonzero(filled[at] > 0).tolist():
             here = range(at[i], at[i] + WINDOW)
-            slots[i] = "\x1f".join(self.core[ids[j]] for j in here if slot[j])
+            slots[i] = "\x1f".join(self.core[int(ids[j])] for j in here if slot[j])
         return h[at], at, slots
 
 
+@functools.lru_cache(maxsize=1)
+def templates() -> Templates:
+    """One for each worker process, whatever number of tasks it runs."""
+    return Templates()
+
+
 def template_windows(texts: DataFrame, key: str) -> DataFrame:
     """``key, pos, h, slots``: the template windows of ``texts(key, text)``; texts of fewer than WINDOW words have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        templates = Templates()
+        own = templates()
         for batch in batches:
             keys, parts, size = [], [], 0
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = templates.windows(t.as_py())
+                found = own.windows(t.as_py())
                 keys.append((k, len(found[0])))
                 parts.append(found)
                 size += len(found[0])
