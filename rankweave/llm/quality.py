@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import table
 
@@ -188,19 +189,25 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = FIT_DOCUMENTS) ->
     return fit_crf(pairs) if {y for _, y in pairs} == {0, 1} else neutral_crf()
 
 
-def assess(docs: DataFrame, crf: LineCrf) -> DataFrame:
+def assess(docs: DataFrame, crf: LineCrf, carry: list[str] | None = None) -> DataFrame:
     """One row per document: ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, content_share, kept``.
 
+    ``carry`` names columns to pass on in place of doc_id, so that the verdict needs no join with the texts.
+
     Null, empty and blank texts have no words and fail the base rule. Only doc_id
     and text are read; repeated rows give repeated results; an empty table none.
     """
     send = (crf.emit, crf.move, crf.start)
+    own = [c for c in carry or ["doc_id"] if c not in OUT[1:]]
+    rows = docs.select(*own, F.col("text").alias("__text"))
+    if carry is None:
+        rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = LineCrf(*send)
         for batch in batches:
             counts, share = [], []
-            for value in batch.column(1):
+            for value in batch.column(len(own)):
                 text = value.as_py()
                 counts.append(text_counts(text))
                 lines = _lines(text)
@@ -212,11 +219,12 @@ def assess(docs: DataFrame, crf: LineCrf) -> DataFrame:
             cols = np.array(counts, np.int64).reshape(-1, 5)
             failed = base_fails(*cols.T)
             share = np.array(share, float)
-            arrays = [batch.column(0), *(pa.array(cols[:, i]) for i in range(5)), pa.array(failed), pa.array(share), pa.array(~failed & (share >= CONTENT_SHARE))]
-            yield pa.record_batch(arrays, names=OUT)
+            arrays = [*batch.columns[: len(own)], *(pa.array(cols[:, i]) for i in range(5)), pa.array(failed), pa.array(share), pa.array(~failed & (share >= CONTENT_SHARE))]
+            yield pa.record_batch(arrays, names=[*own, *OUT[1:]])
 
-    schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    kinds = [T.LongType()] * 5 + [T.BooleanType(), T.DoubleType(), T.BooleanType()]
+    schema = T.StructType([*rows.drop("__text").schema.fields, *(T.StructField(n, k) for n, k in zip(OUT[1:], kinds, strict=True))])
+    return rows.mapInArrow(run, schema)
 
 
 OUT = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "content_share", "kept"]

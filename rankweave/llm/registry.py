@@ -1,5 +1,7 @@
 """The queries of the operators, one each."""
 
+import corpus_pipeline
+
 from . import (
     decontaminate,
     language_id,
@@ -14,5 +16,5 @@ from . import (
 )
 
 _ALL = (pii, decontaminate, simhash, suffix_array, language_id, suffix_trees, token_files, url_filter, quality, sentencepiece_lattice)
-QUERIES = {name: query for module in _ALL for name, query in module.QUERIES.items()}
+QUERIES = {name: query for module in _ALL for name, query in module.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 ORACLE_SQL = {name: sql for module in _ALL for name, sql in module.ORACLE_SQL.items()}
