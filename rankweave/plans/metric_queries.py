@@ -15,7 +15,8 @@ ITEM_NAMES = [f"{n}@{k}" for k in KS for n in ("hit_rate", "map_attr", "ndcg_att
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*(F.round(f"`{c}`", digits).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in df.dtypes))
+    """Doubles rounded, and -0.0 as 0.0, so that results compare by value."""
+    return df.select(*((F.round(f"`{c}`", digits) + 0.0).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in df.dtypes))
 
 
 def _r(names) -> str:
