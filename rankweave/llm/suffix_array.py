@@ -17,7 +17,7 @@ from .repeats import Unit, covered, ranges, release, settle, split_bytes, with_m
 LENGTH = 100
 BYTES = Unit(LENGTH, 32, split_bytes)
 #: Runs of one minimizer that are sorted together at most; the windows of larger groups are grouped by Spark one by one.
-GROUP = 400
+GROUP = 10_000
 #: Bytes that are sorted at once.
 BLOCK = 1 << 20
 
@@ -39,7 +39,7 @@ def suffix_order(s: np.ndarray, depth: int) -> np.ndarray:
     # one sampled position past the end keeps the two thirds apart in the recursion
     one, two = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     sample = np.concatenate([one, two])
-    key = (t[sample] * top + t[sample + 1]) * top + t[sample + 2]
+    key = _code(t[sample] * top + t[sample + 1], t[sample + 2], top)
     order = np.argsort(key)
     new = np.concatenate([[False], key[order][1:] != key[order][:-1]])
     name = np.empty(len(sample), np.int64)
@@ -61,7 +61,9 @@ def suffix_order(s: np.ndarray, depth: int) -> np.ndarray:
     is1 = sa12 % 3 == 1
     sa1, sa2 = sa12[is1], sa12[~is1]
     before1 = np.searchsorted(t[sa1] * wide + rank[sa1 + 1], key0)
-    before2 = np.searchsorted((t[sa2] * top + t[sa2 + 1]) * wide + rank[sa2 + 2], (t[sa0] * top + t[sa0 + 1]) * wide + rank[sa0 + 2])
+    both = np.concatenate([sa2, sa0])
+    codes = _code(t[both] * top + t[both + 1], rank[both + 2], wide)
+    before2 = np.searchsorted(codes[: len(sa2)], codes[len(sa2) :])
     # ties deeper than asked may be ordered one way here and another there; the running maximum keeps places apart
     before = np.maximum.accumulate(before1 + before2)
     out = np.full(n, -1, np.int64)
@@ -70,6 +72,13 @@ def suffix_order(s: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
+def _code(high: np.ndarray, low: np.ndarray, wide: int) -> np.ndarray:
+    """One number for each pair, in the order of the pairs; low is below ``wide``."""
+    if int(high.max()) * wide > 1 << 61:
+        high = np.unique(high, return_inverse=True)[1]
+    return high * wide + low
+
+
 def repeated_windows(texts: list[bytes], length: int = LENGTH) -> np.ndarray:
     """Of the joined texts' positions where a window of ``length`` bytes fits into its text: ``(position, leader)`` rows of those that equal another.
 

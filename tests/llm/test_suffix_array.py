@@ -34,6 +34,12 @@ def test_suffix_order(depth):
         assert heads == sorted(heads)
 
 
+def test_codes_keep_the_order_of_pairs():
+    high = np.array([1 << 60, 3, 3, 1 << 60, 0], np.int64)
+    low = np.array([5, 7, 1, 4, 9], np.int64)
+    assert np.argsort(sa._code(high, low, 10)).tolist() == [4, 2, 1, 3, 0]
+
+
 def made():
     rng = random.Random(5)
     words = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 6))) for _ in range(40)]
@@ -50,7 +56,7 @@ def made():
     return texts
 
 
-@pytest.mark.parametrize("group", [400, 1])
+@pytest.mark.parametrize("group", [10_000, 1])
 def test_equals_brute_force(spark, monkeypatch, group):
     monkeypatch.setattr(sa, "GROUP", group)
     texts = made()
