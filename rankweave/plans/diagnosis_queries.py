@@ -229,7 +229,7 @@ def _variants(rows: str) -> str:
 vc AS (SELECT *, sum(label) OVER (PARTITION BY variant, snap_date, cust_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS cum FROM vr),
 vi AS (SELECT variant, prod_name, avg(CASE WHEN pos <= 3 THEN cum / pos ELSE 0 END) AS ap FROM vc WHERE label = 1 GROUP BY ALL),
 vm AS (SELECT variant, avg(ap) AS macro_ap FROM vi GROUP BY 1)
-SELECT variant, round(macro_ap, 6) AS macro_ap, round(macro_ap - (SELECT macro_ap FROM vm WHERE variant = 'base'), 6) AS delta FROM vm"""
+SELECT variant, round(macro_ap, 6) AS macro_ap, round(macro_ap - (SELECT macro_ap FROM vm WHERE variant = 'base'), 6) + 0.0 AS delta FROM vm"""
 
 
 def _pivot(where: str) -> str:

@@ -1,7 +1,7 @@
 """All registered queries of the library, without those of the llm subpackage."""
 
-from . import dataset_queries, diagnosis_queries, metric_queries
+from . import dataset_queries, diagnosis_queries, metric_queries, source_queries
 
-_ALL = (metric_queries, dataset_queries, diagnosis_queries)
+_ALL = (metric_queries, dataset_queries, diagnosis_queries, source_queries)
 QUERIES = {name: query for module in _ALL for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _ALL for name, sql in module.ORACLE_SQL.items()}
