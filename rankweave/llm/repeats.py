@@ -155,7 +155,7 @@ def settle(docs: DataFrame, unit: Unit) -> tuple[DataFrame, DataFrame]:
 
 def _texts(docs: DataFrame, by_doc: DataFrame, unit: Unit) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows: list[tuple] = []
             for key, text, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 flat, begin, finish, _ = unit.split(text)
@@ -177,6 +177,13 @@ def release(*staged: DataFrame) -> None:
     staged[0].sparkSession._jvm.System.gc()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows, a few at a time: what Python makes of long texts stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def ranges(doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places as maximal ranges: doc, first, end."""
     order = np.lexsort((pos, doc))

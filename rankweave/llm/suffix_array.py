@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stage, table
-from .repeats import Unit, covered, ranges, release, settle, split_bytes, with_marks
+from .repeats import Unit, covered, ranges, release, settle, slices, split_bytes, with_marks
 
 LENGTH = 100
 BYTES = Unit(LENGTH, 32, split_bytes)
@@ -164,10 +164,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for key, text, marks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = (text or "").encode("utf-8", "surrogatepass")
+                if not marks:
+                    rows.append((key, len(raw), 0, 0, raw))
+                    continue
                 gone = covered(len(raw), marks, LENGTH)
                 spans = int((gone & ~np.concatenate([[False], gone[:-1]])).sum()) if len(raw) else 0
                 kept = np.frombuffer(raw, np.uint8)[~gone].tobytes() if spans else raw

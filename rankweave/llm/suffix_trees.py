@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stage, table, unstage
-from .repeats import Unit, covered, ranges, release, settle, split_words, with_marks
+from .repeats import Unit, covered, ranges, release, settle, slices, split_words, with_marks
 
 LENGTH = 20
 WORDS = Unit(LENGTH, 8, split_words)
@@ -26,20 +26,26 @@ def suffixes(opened: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
-        names = ["doc_id", "pos", "suffix", *(f"p{i}" for i in range(len(PREFIXES)))]
         for batch in batches:
-            for begin in range(0, batch.num_rows, 2000):
-                rows: list[tuple] = []
-                for doc, st, text in zip(*(c.to_pylist() for c in batch.slice(begin, 2000).columns), strict=True):
-                    size = np.fromiter(map(len, text.split(b" ")), np.int64)
-                    ends = (np.cumsum(size + 1) - 1).tolist()
-                    first = [0, *(e + 1 for e in ends[:-1])]
-                    for i in range(len(ends) - LENGTH + 1):
-                        cuts = [text[first[i] : ends[i + k - 1]] for k in PREFIXES]
-                        rows.append((doc, st + i, cuts[-1], *map(digest, cuts)))
-                cols = list(zip(*rows, strict=True)) or [[]] * len(names)
-                prefix = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in cols[3:]]
-                yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), *prefix], names=names)
+            rows: list[tuple] = []
+            for doc, st, text in zip(*batch.columns, strict=True):
+                doc, st, text = doc.as_py(), st.as_py(), text.as_py()
+                size = np.fromiter(map(len, text.split(b" ")), np.int64)
+                ends = (np.cumsum(size + 1) - 1).tolist()
+                first = [0, *(e + 1 for e in ends[:-1])]
+                for i in range(len(ends) - LENGTH + 1):
+                    cuts = [text[first[i] : ends[i + k - 1]] for k in PREFIXES]
+                    rows.append((doc, st + i, cuts[-1], *map(digest, cuts)))
+                if len(rows) > 10_000:  # a run of periodic text has hundreds of suffixes
+                    yield _rows(rows)
+                    rows = []
+            yield _rows(rows)
+
+    def _rows(rows: list[tuple]) -> pa.RecordBatch:
+        names = ["doc_id", "pos", "suffix", *(f"p{i}" for i in range(len(PREFIXES)))]
+        cols = list(zip(*rows, strict=True)) or [[]] * len(names)
+        prefix = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in cols[3:]]
+        return pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), *prefix], names=names)
 
     schema = "doc_id long, pos int, suffix binary, " + ", ".join(f"p{i} long" for i in range(len(PREFIXES)))
     return opened.select("doc_id", "st", "text").mapInArrow(run, schema)
@@ -149,10 +155,13 @@ def remove_repeats(docs: DataFrame, tree: int = TREE) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for key, text, marks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 parts = (text or "").encode("utf-8", "surrogatepass").split()
+                if not marks:
+                    rows.append((key, len(parts), 0, b" ".join(parts)))
+                    continue
                 gone = covered(len(parts), marks, LENGTH)
                 rows.append((key, len(parts), int(gone.sum()), b" ".join(w for w, g in zip(parts, gone.tolist(), strict=True) if not g)))
             cols = list(zip(*rows, strict=True)) or [[]] * 4
