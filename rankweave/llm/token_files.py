@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ LAYOUT = {
 #: How byte-level BPE splits a text (fixed value of the vocabulary file).
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Characters on whose classes all Unicode versions agree; texts with others go whole to the tokenizer.
-_PLAIN = regex.compile(r"[\t\n\r\x20-\x7e¡-ɏ]*+")
+_OTHER = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f]")
 
 
 class _Memo(dict):
@@ -44,7 +45,7 @@ class _Memo(dict):
         self.make, self.old = make, {}
 
     def __missing__(self, key):
-        value = self.old.pop(key, None)
+        value = self.old.get(key)
         if value is None:
             value = self.make(key)
         if len(self) >= CACHE:
@@ -85,20 +86,21 @@ class PieceEncoder:
         return self._known(piece.encode().decode("latin-1").translate(self.alphabet))
 
     def _part(self, part: str) -> bytes:
-        """Ids of a part with the blank before it; a plain word is one piece, shown with the blank's letter."""
-        if part.isascii() and part.isalpha():
-            return self._known("\u0120" + part)
+        """Ids of a part with the blank before it; a word is one piece, and so is a run of marks after it."""
+        if part.isalpha():
+            return self._known("\u0120" + part) if part.isascii() else self._piece(" " + part)
+        word = part.rstrip(".,;:!?$%&#*")
+        if word.isalpha():
+            return self.parts[word] + self.pieces[part[len(word) :]]
         first, *rest = SPLIT.findall(" " + part)
-        word = first[1:]
-        head = self.parts[word] if word != part and word.isascii() and word.isalpha() else self._piece(first)
-        return head + b"".join(map(self.pieces.__getitem__, rest))
+        return self._piece(first) + b"".join(map(self.pieces.__getitem__, rest))
 
     def _ids(self, text: str) -> bytes:
-        parts = text.split(" ")
-        if "" in parts[1:] or any(a in text for a in self.added) or not _PLAIN.fullmatch(text):
+        if "  " in text or text[-1:] == " " or any(a in text for a in self.added) or _OTHER.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        first = b"".join(map(self.pieces.__getitem__, SPLIT.findall(parts[0])))
-        return first + b"".join(map(self.parts.__getitem__, parts[1:]))
+        parts = iter(text.split(" "))
+        first = b"".join(map(self.pieces.__getitem__, SPLIT.findall(next(parts))))
+        return first + b"".join(map(self.parts.__getitem__, parts))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         end = np.array([END], "<u4").tobytes()
