@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from .common import stage, table
 
 BLANK = "▁"
+NEVER = float("-inf")
 #: Words of more characters are encoded by the same merges outside the lattice, whose edges would be as many as length times piece length.
 LATTICE_WORD = 64
 #: The most frequent words whose codes every task holds; codes of all other words come by a join.
@@ -62,23 +64,34 @@ def normalize(text: str | None) -> str:
     return BLANK + text.replace(" ", BLANK) if text else ""
 
 
-def merge_word(word: str, score: dict[tuple[int, int], tuple[float, int]], fallback: tuple[int, ...]) -> list[int]:
-    """Ids of a word from its edges ``(start, end) -> (score, id)``: of neighbouring parts whose union is a piece, the best union goes first, the leftmost of equals."""
+def merge_word(word: str, edge: dict[int, int], score: list[float], ids: list[int], fallback: tuple[int, ...]) -> list[int]:
+    """Ids of a word from its edges, ``start << 8 | end`` to a place in ``score`` and ``ids``.
+
+    Of neighbouring parts whose union is a piece, the best union goes first, the leftmost of equals.
+    """
     cuts = list(range(len(word) + 1))
-    while len(cuts) > 2:
-        best = max((score[a, b][0], -i) if (a, b) in score else (-np.inf, 0) for i, (a, b) in enumerate(zip(cuts, cuts[2:], strict=False)))
-        if best[0] == -np.inf:
-            break
-        del cuts[1 - best[1]]
+
+    def union(i: int) -> float:
+        at = edge.get(cuts[i] << 8 | cuts[i + 2])
+        return NEVER if at is None else score[at]
+
+    gain = [union(i) for i in range(len(word) - 1)]
+    while gain and (best := max(gain)) > NEVER:
+        i = gain.index(best)
+        del cuts[i + 1], gain[i]
+        if i < len(gain):
+            gain[i] = union(i)
+        if i:
+            gain[i - 1] = union(i - 1)
     out: list[int] = []
     for a, b in zip(cuts, cuts[1:], strict=False):
-        found = score.get((a, b))
-        out.extend([found[1]] if found else [fallback[x] for x in word[a:b].encode("utf-8", "surrogatepass")])
+        at = edge.get(a << 8 | b)
+        out.extend([ids[at]] if at is not None else [fallback[x] for x in word[a:b].encode("utf-8", "surrogatepass")])
     return out
 
 
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word, edges``: of distinct ``words(word)``, the substrings that are pieces, as ``struct<e, s, id, score>`` in order of end.
+    """``word, edges``: of distinct ``words(word)``, the substrings that are pieces, as ``struct<e, s, id, score>``.
 
     Substrings up to the longest piece's length are exploded and joined to the
     piece table by equality. The words are dealt out once, by word; the join's
@@ -88,13 +101,16 @@ def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
     spark = words.sparkSession
     vocab = F.broadcast(spark.createDataFrame(list(pieces.normal), "piece string, id int, score double"))
     n = F.length("word")
-    spans = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda s: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(pieces.longest), n - s + 1)), lambda k: F.struct((s - 1).alias("s"), (s - 1 + k).alias("e"), F.substring("word", s, k).alias("piece")))))
     count = max(words.count() // 20_000, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = words.select("word").repartition(count, "word")
-    edges = dealt.select("word", F.explode(spans).alias("x")).select("word", "x.*").join(vocab, "piece", "left")
+    starts = dealt.select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
+    spans = starts.select("word", "s", F.explode(F.sequence(F.col("s") + 1, F.least(n, F.col("s") + pieces.longest))).alias("e"))
+    cut = F.substr("word", F.col("s") + 1, F.col("e") - F.col("s"))
+    edges = spans.withColumn("piece", cut).join(vocab, "piece", "left")
+    # a word's first character stays even if it is no piece, so that no word is lost
+    kept = edges.where("id IS NOT NULL OR (s = 0 AND e = 1)")
     edge = F.when(F.col("id").isNotNull(), F.struct("e", "s", "id", "score"))
-    return edges.groupBy("word").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+    return kept.groupBy("word").agg(F.collect_list(edge).alias("edges"))
 
 
 def fold_viterbi(edges: DataFrame, penalty: float = -1e6) -> DataFrame:
@@ -131,11 +147,11 @@ def fold_merges(edges: DataFrame, pieces: Pieces) -> DataFrame:
             offsets = np.array(batch.column(1).offsets)
             flat = batch.column(1).flatten()
             base = offsets[0]
-            end, start, ids, score = (flat.field(i).to_pylist() for i in range(4))
+            end, start = (np.asarray(flat.field(i)) for i in range(2))
+            key, (ids, score) = (start << 8 | end).tolist(), (flat.field(i).to_pylist() for i in (2, 3))
             out = []
             for w, a, b in zip(words, (offsets[:-1] - base).tolist(), (offsets[1:] - base).tolist(), strict=True):
-                table = {(start[i], end[i]): (score[i], ids[i]) for i in range(a, b)}
-                out.append(merge_word(w, table, fallback))
+                out.append(merge_word(w, dict(zip(key[a:b], range(a, b), strict=True)), score, ids, fallback))
             yield pa.record_batch([batch.column(0), pa.array(out, pa.list_(pa.int32()))], names=["word", "ids"])
 
     return edges.select("word", "edges").mapInArrow(run, "word string, ids array<int>")
@@ -191,7 +207,13 @@ def _long_word(word: str, pieces: dict[str, tuple[float, int]], longest: int, fa
 
 
 def _words_of(text: str | None) -> list[str]:
-    return WORD.findall(normalize(text))
+    """A text's words, as WORD finds them; single blanks and line ends, the common case, by splitting alone."""
+    if not text:
+        return []
+    if text[0] == " " or "  " in text or "\t" in text or "\0" in text or BLANK in text:
+        return WORD.findall(normalize(text))
+    marked = BLANK + text.replace(" ", "\0" + BLANK).replace("\n", "\0\n\0")
+    return [w for w in marked.split("\0") if w]
 
 
 def vocabulary_of(docs: DataFrame) -> DataFrame:
@@ -202,10 +224,9 @@ def vocabulary_of(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            count: dict[str, int] = {}
+            count: Counter[str] = Counter()
             for text in batch.column(0):
-                for w in _words_of(text.as_py()):
-                    count[w] = count.get(w, 0) + 1
+                count.update(_words_of(text.as_py()))
             kept = {w: n for w, n in count.items() if len(w) <= LATTICE_WORD}
             yield pa.record_batch([pa.array(list(kept), pa.string()), pa.array(list(kept.values()), pa.int64())], names=["word", "n"])
 
@@ -242,8 +263,8 @@ def encode(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFra
 
     keep = [c for c in docs.columns if c != "ids"]
     keyed = docs.select(*keep, F.xxhash64("text").alias("__key"))
-    tail = keyed.select("__key", "text").mapInArrow(rare, "__key long, word string").distinct().join(codes, "word")
-    by_text = tail.groupBy("__key").agg(F.collect_list(F.struct("word", "ids")).alias("__tail"))
+    tail = keyed.select("__key", "text").mapInArrow(rare, "__key long, word string").join(codes, "word")
+    by_text = tail.groupBy("__key").agg(F.collect_set(F.struct("word", "ids")).alias("__tail"))  # a set: copies of a text add nothing
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, vocab = hot.value, normal.value

@@ -34,6 +34,11 @@ def test_ids_equal_the_librarys_and_decode(spark, pieces):
             assert r.decoded == (r.text or "").replace("▁", " ")
 
 
+def test_words_by_splitting_equal_the_pattern():
+    for text in [*made(), "a\nb", "a \nb", "a\n b", "\na", "a\n", "a\n\nb ", "a\0b c", "x\ty", "b "]:
+        assert sl._words_of(text) == sl.WORD.findall(sl.normalize(text)), repr(text)
+
+
 def test_viterbi_fold_equals_all_paths(spark, pieces):
     model = sl.Pieces((("▁a", 0, -1.0), ("a", 1, -1.5), ("ab", 2, -2.0), ("b", 3, -1.2), ("▁ab", 4, -4.0), ("ba", 5, -0.9), ("▁", 6, -0.7)), tuple(range(100, 356)), (), False)
     rng = random.Random(1)
