@@ -15,16 +15,17 @@ from rankweave.llm.common import stage, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    judged = quality.assess(docs, quality.train(docs, table(spark, sf_dir, "labels")), carry=docs.columns)
-    return judged.where("kept").select(*docs.columns)
+    """Documents that the quality rules keep; columns that are named like a verdict's keep their values."""
+    named = docs.withColumnsRenamed({c: f"__own {c}" for c in docs.columns if c in quality.OUT[1:]})
+    judged = quality.assess(named, quality.train(docs, table(spark, sf_dir, "labels")), carry=named.columns)
+    return judged.where("kept").select(*named.columns).toDF(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one of smallest doc_id, once."""
+    """One document of each near-duplicate group: the one of smallest doc_id, once; documents without an id go."""
     groups = simhash.near_duplicates(docs)
     first = groups.groupBy("component_id").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -116,8 +116,8 @@ def _spans(text: Column, kind: str, pattern: str, needs: str | None, valid, scor
     return F.when(here, found).otherwise(empty)
 
 
-def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``pii_base`` and ``pii_added``: arrays of ``struct<kind, start, end, score>``.
+def find_pii(docs: DataFrame, text: str = "text", names: tuple[str, str] = ("pii_base", "pii_added")) -> DataFrame:
+    """``docs`` with two columns, ``pii_base`` and ``pii_added`` unless named otherwise: arrays of ``struct<kind, start, end, score>``.
 
     Base kinds, in order: email, ip, card (Luhn), phone. Added kinds: iban (mod-97),
     ssn (ranges, and context words nearby), secret (a quoted value given to a key
@@ -127,12 +127,9 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     base = F.concat(*(_spans(body, *kind) for kind in BASE))
     added = F.concat(*(_spans(body, *kind) for kind in ADDED))
-    out = docs.withColumn("pii_base", base).withColumn("pii_added", added)
-    inside = F.filter(
-        "pii_added",
-        lambda a: ~F.exists("pii_base", lambda b: (b["start"] <= a["start"]) & (b["end"] >= a["end"])),
-    )
-    return out.withColumn("pii_added", inside)
+    out = docs.withColumn(names[0], base).withColumn(names[1], added)
+    inside = F.filter(names[1], lambda a: ~F.exists(names[0], lambda b: (b["start"] <= a["start"]) & (b["end"] >= a["end"])))
+    return out.withColumn(names[1], inside)
 
 
 def spell(spans: Column) -> Column:
@@ -145,9 +142,10 @@ def mask_pii(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Null texts stay null; the other columns stay as they are.
     """
-    found = find_pii(docs, text)
+    names = ("__pii_base", "__pii_added")
+    found = find_pii(docs, text, names)
     ordered = F.array_sort(
-        F.transform(F.concat("pii_base", "pii_added"), lambda s: F.struct(s["start"], (-s["end"]).alias("back"), s["kind"])),
+        F.transform(F.concat(*names), lambda s: F.struct(s["start"], (-s["end"]).alias("back"), s["kind"])),
     )
     body = F.col(text)
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
@@ -164,8 +162,8 @@ def mask_pii(docs: DataFrame, text: str = "text") -> DataFrame:
         ordered, start, fold,
         lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substr(body, acc["at"] + 1, F.length(body))),
     )
-    clean = F.size("pii_base") + F.size("pii_added") == 0
-    return found.withColumn(text, F.when(clean | body.isNull(), body).otherwise(masked)).drop("pii_base", "pii_added")
+    clean = F.size(names[0]) + F.size(names[1]) == 0
+    return found.withColumn(text, F.when(clean | body.isNull(), body).otherwise(masked)).drop(*names)
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

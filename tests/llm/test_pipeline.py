@@ -68,7 +68,7 @@ def test_stages_equal_brute_force(spark):
 def test_odd_documents(spark, tmp_path):
     text = "A fine text of many plain words that goes on long enough to be kept by all of the rules that there are here. " * 2
     rows = [(None, None, None, None, None), (1, "", "en", "s", 0), (2, text, None, None, None), (2, text, "en", "s", 1), (3, text + "\n" + "w " * 40_000, "en", "s", 1)]
-    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, kept string")
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, kept string, pii_base string")
     for name in ("labels", "benchmark"):
         spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     for start in (docs, docs.limit(0)):
@@ -77,4 +77,7 @@ def test_odd_documents(spark, tmp_path):
             out = step(spark, out, str(tmp_path))
             if name != "sentencepiece":
                 assert out.columns == docs.columns
+                assert {(r.kept, r.pii_base) for r in out.collect()} <= {("x", "y")}
+        keys = [r.doc_id for r in out.select("doc_id").collect()]
+        assert len(keys) == len(set(keys))
         assert {r.doc_id for r in out.select(F.col("doc_id")).collect()} <= {2, 3}
