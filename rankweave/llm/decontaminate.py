@@ -33,7 +33,7 @@ UNIT_WORDS = frozenset(
 _BARE = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}%]+$")
 _NUMERIC = regex.compile(r"[\p{N}.,:/%]*\p{N}[\p{N}.,:/%]*\p{L}{0,3}")
 _MARKS = "!\"#$&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_CACHE = 400_000
+_CACHE = 200_000
 _NAME_HASH = np.uint64(xxhash.xxh3_64_intdigest(NAME))
 
 

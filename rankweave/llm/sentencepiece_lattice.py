@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stage, table
+from .repeats import slices
 
 BLANK = "▁"
 NEVER = float("-inf")
@@ -142,7 +143,7 @@ def fold_merges(edges: DataFrame, pieces: Pieces) -> DataFrame:
     fallback = pieces.bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2000):
             words = batch.column(0).to_pylist()
             offsets = np.array(batch.column(1).offsets)
             flat = batch.column(1).flatten()
@@ -217,9 +218,9 @@ def _words_of(text: str | None) -> list[str]:
 
 
 def vocabulary_of(docs: DataFrame) -> DataFrame:
-    """``word, n``: distinct words of at most LATTICE_WORD characters, with the number of a task's batches that have them.
+    """``word, n``: distinct words of at most LATTICE_WORD characters, with their number of occurrences.
 
-    Each batch of documents sends a word once; Spark sums before it shuffles.
+    A task sends a word once for many texts; Spark sums before it shuffles.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,8 +228,14 @@ def vocabulary_of(docs: DataFrame) -> DataFrame:
             count: Counter[str] = Counter()
             for text in batch.column(0):
                 count.update(_words_of(text.as_py()))
-            kept = {w: n for w, n in count.items() if len(w) <= LATTICE_WORD}
-            yield pa.record_batch([pa.array(list(kept), pa.string()), pa.array(list(kept.values()), pa.int64())], names=["word", "n"])
+                if len(count) > 50_000:  # what Python holds stays small; Spark adds the parts
+                    yield _counts(count)
+                    count = Counter()
+            yield _counts(count)
+
+    def _counts(count: Counter[str]) -> pa.RecordBatch:
+        kept = {w: n for w, n in count.items() if len(w) <= LATTICE_WORD}
+        return pa.record_batch([pa.array(list(kept), pa.string()), pa.array(list(kept.values()), pa.int64())], names=["word", "n"])
 
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
