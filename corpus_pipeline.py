@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.llm import decontaminate, pii, quality, sentencepiece_lattice, simhash
+from rankweave.llm import decontaminate, jaccard, pii, quality, sentencepiece_lattice
 from rankweave.llm.common import stage, table
 
 
@@ -23,8 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one of smallest doc_id, once; documents without an id go."""
-    groups = simhash.near_duplicates(docs)
-    first = groups.groupBy("component_id").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    groups = jaccard.near_duplicates(docs)
+    first = groups.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
     return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
 
 
@@ -51,7 +51,7 @@ def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 STAGES = [
     ("quality_rules", quality_rules),
-    ("simhash_near_dedup", near_dedup),
+    ("jaccard_near_dedup", near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
     ("personal_data", personal_data),
     ("sentencepiece", sentencepiece_ids),
