@@ -132,7 +132,7 @@ def _pairs(spark, sf):
 
 
 def suppression_rows(spark, sf):
-    return rounded(_pairs(spark, sf).where("cust_id % 10 = 3"))
+    return rounded(_pairs(spark, sf))
 
 
 def suppression_pairs(spark, sf):
