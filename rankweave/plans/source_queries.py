@@ -195,7 +195,7 @@ def _attributions(spark, sf):
 
 
 def linear_attributions(spark, sf):
-    return rounded(_attributions(spark, sf).where("cust_id % 10 = 1"), 5)
+    return rounded(_attributions(spark, sf), 5)
 
 
 def signed_profile(spark, sf):

@@ -10,6 +10,7 @@ from tests.test_oracle import FOLDER, db, plain  # noqa: F401
     ("name", "only"),
     [
         ("suppression_rows", " WHERE cust_id % 10 = 3"),
+        ("linear_attributions", " WHERE cust_id % 10 = 1"),
     ],
 )
 def test_query_has_the_rows_of_all_customers(spark, db, name, only):  # noqa: F811
