@@ -113,7 +113,7 @@ def plan_partitions(spark, sf):
 def populated_buckets(spark, sf):
     from ..operators.sampling import entity_bucket
 
-    frame = entity_bucket(fr.pred(spark, sf).where("cust_id < 40"), 6, hash="md5")
+    frame = entity_bucket(fr.pred(spark, sf), 6, hash="md5")
     return partitions.populated_buckets(frame, "snap_date").select("snap_date", F.array_join("buckets", ",").alias("buckets"))
 
 

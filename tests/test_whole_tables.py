@@ -11,6 +11,7 @@ from tests.test_oracle import FOLDER, db, plain  # noqa: F401
     [
         ("suppression_rows", " WHERE cust_id % 10 = 3"),
         ("linear_attributions", " WHERE cust_id % 10 = 1"),
+        ("populated_buckets", " WHERE cust_id < 40"),
     ],
 )
 def test_query_has_the_rows_of_all_customers(spark, db, name, only):  # noqa: F811
