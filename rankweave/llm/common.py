@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,19 +19,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it; one is set only where none is (tests)."""
+    """The folder that driver and executors share, as the session names it; a local session without one (tests) gets its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="rankweave-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """SQL settings (``__`` for a dot) that hold while the block runs."""
+    named = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in named}
+    try:
+        for k, v in named.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Write ``df`` to a new table in the shared folder and read it back: the lineage is cut, and a lost executor costs nothing."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` to a new table in the shared folder and read it back: the lineage is cut, and a lost executor costs nothing.
+
+    Spark deletes the shuffle files of the write when it is over.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.options(**options).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def unstage(*staged: DataFrame) -> None:

@@ -1,28 +1,27 @@
-"""SentencePiece encoding and decoding (operator 10): a relational lattice over the distinct words of the corpus."""
+"""SentencePiece encoding and decoding (operator 10): a relational lattice over the distinct units of the corpus, folded in Spark."""
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import stage, table
-from .repeats import slices
+from .common import settings, stage, table, unstage
 
 BLANK = "▁"
-NEVER = float("-inf")
-#: Words of more characters are encoded by the same merges outside the lattice, whose edges would be as many as length times piece length.
-LATTICE_WORD = 64
-#: The most frequent words whose codes every task holds; codes of all other words come by a join.
-FREQUENT = 100_000
-#: A blank begins a word; line ends and tabs stand alone, as no piece has more than one beside them (checked when a model is read).
-WORD = regex.compile(rf"{BLANK}+[^{BLANK}\n\t]*|[^{BLANK}\n\t]+|[\n\t]")
+#: At most so many of the most frequent units have their codes in every task; codes of all other units come by a join.
+FREQUENT = 250_000
+#: Distinct words or units that a task holds before it sends their counts.
+HELD = 200_000
 
 
 @dataclass(frozen=True)
@@ -38,6 +37,29 @@ class Pieces:
     def longest(self) -> int:
         return max((len(p) for p, _, _ in self.normal), default=1)
 
+    @cached_property
+    def unit(self) -> str:
+        """Pattern of the units that no piece goes beyond: blanks, then characters that pieces have side by side.
+
+        Characters are of one class if a chain of neighbours within pieces links
+        them; in most models letters of one script are a class, and punctuation another.
+        """
+        up: dict[str, str] = {}
+
+        def root(c: str) -> str:
+            while up.setdefault(c, c) != c:
+                c = up[c]
+            return c
+
+        for piece, _, _ in self.normal:
+            for a, b in pairwise(piece.lstrip(BLANK)):
+                up[root(a)] = root(b)
+        classes = defaultdict(list)
+        for c in up:
+            classes[root(c)].append(regex.escape(c, special_only=False))
+        runs = [f"[{''.join(sorted(own))}]+" for own in classes.values() if len(own) > 1]
+        return f"{BLANK}*(?:{'|'.join([*runs, f'[^{BLANK}]'])})|{BLANK}+"
+
 
 def read_model(path: str) -> Pieces:
     """Pieces of a model file with identity normalisation and byte fallback; others raise."""
@@ -52,245 +74,292 @@ def read_model(path: str) -> Pieces:
         raise ValueError("only identity normalisation with a dummy prefix is handled")
     ids = range(sp.get_piece_size())
     normal = tuple((p.piece, i, p.score) for i, p in enumerate(proto.pieces) if p.type == p.NORMAL or p.type == p.USER_DEFINED)
-    if any(len(p) > 1 and (set(p) & set("\n\t") or BLANK in p.lstrip(BLANK)) for p, _, _ in normal):
+    if any(BLANK in p.lstrip(BLANK) for p, _, _ in normal):
         raise ValueError("a piece goes beyond a word")
     fallback = tuple(i for i in ids if sp.is_byte(i))
     if len(fallback) != 256:
         raise ValueError("byte fallback is needed")
-    return Pieces(normal, fallback, tuple(sp.id_to_piece(i) for i in ids), proto.trainer_spec.model_type == proto.trainer_spec.BPE)
+    merges = proto.trainer_spec.model_type == proto.trainer_spec.BPE
+    if merges:
+        check_order(normal)
+    return Pieces(normal, fallback, tuple(sp.id_to_piece(i) for i in ids), merges)
 
 
-def normalize(text: str | None) -> str:
-    """A leading blank, and blanks as the model shows them; null and empty texts stay empty."""
-    return BLANK + text.replace(" ", BLANK) if text else ""
+def check_order(normal: tuple[tuple[str, int, float], ...]) -> None:
+    """Raise if a piece comes from parts that don't go before it: then one pass over the edges by score isn't the merges.
 
+    A part may have the piece's own score, as in runs of blanks: of equal scores the
+    edge that ends first goes first, of those the shortest, which is a part's place.
+    """
+    score = {p: s for p, _, s in normal}
+    for piece in score:
+        parts = list(piece)
+        while unions := [(score[a + b], -i) for i, (a, b) in enumerate(pairwise(parts)) if a + b in score]:
+            best, i = max(unions)
+            left, right = parts[-i : 2 - i]
+            if any(len(p) > 1 and score[p] < best for p in (left, right)):
+                raise ValueError(f"the parts of {piece!r} don't go before it")
+            parts[-i : 2 - i] = [left + right]
 
-def merge_word(word: str, edge: dict[int, int], score: list[float], ids: list[int], fallback: tuple[int, ...]) -> list[int]:
-    """Ids of a word from its edges, ``start << 8 | end`` to a place in ``score`` and ``ids``.
 
-    Of neighbouring parts whose union is a piece, the best union goes first, the leftmost of equals.
-    """
-    cuts = list(range(len(word) + 1))
-
-    def union(i: int) -> float:
-        at = edge.get(cuts[i] << 8 | cuts[i + 2])
-        return NEVER if at is None else score[at]
-
-    gain = [union(i) for i in range(len(word) - 1)]
-    while gain and (best := max(gain)) > NEVER:
-        i = gain.index(best)
-        del cuts[i + 1], gain[i]
-        if i < len(gain):
-            gain[i] = union(i)
-        if i:
-            gain[i - 1] = union(i - 1)
-    out: list[int] = []
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        at = edge.get(a << 8 | b)
-        out.extend([ids[at]] if at is not None else [fallback[x] for x in word[a:b].encode("utf-8", "surrogatepass")])
-    return out
+def normalize(text: str | None) -> str:
+    """A leading blank, and blanks as the model shows them; null and empty texts stay empty."""
+    return BLANK + text.replace(" ", BLANK) if text else ""
 
 
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word, edges``: of distinct ``words(word)``, the substrings that are pieces, as ``struct<e, s, id, score>``.
+    """``word, n, edges``: of distinct ``words(word, n)``, the substrings that are pieces, as ``struct<rank, e, size, id>``.
 
     Substrings up to the longest piece's length are exploded and joined to the
-    piece table by equality. The words are dealt out once, by word; the join's
-    other side is the vocabulary, whose size the model fixes, so that grouping the
-    edges by word needs no second exchange.
+    piece table by equality; ``rank`` orders pieces by falling score. Single
+    characters stay even if they are no pieces, with a null id. The words are dealt
+    out once, by word; the join's other side is the vocabulary, whose size the model
+    fixes, so that grouping the edges by word needs no second exchange.
     """
     spark = words.sparkSession
-    vocab = F.broadcast(spark.createDataFrame(list(pieces.normal), "piece string, id int, score double"))
+    ranks = {s: i for i, s in enumerate(sorted({s for _, _, s in pieces.normal}, reverse=True))}
+    rows = [(p, i, ranks[s], s) for p, i, s in pieces.normal]
+    vocab = F.broadcast(spark.createDataFrame(rows, "piece string, id int, rank int, score double"))
     n = F.length("word")
     count = max(words.count() // 20_000, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = words.select("word").repartition(count, "word")
-    starts = dealt.select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
-    spans = starts.select("word", "s", F.explode(F.sequence(F.col("s") + 1, F.least(n, F.col("s") + pieces.longest))).alias("e"))
+    dealt = words.select("word", "n").repartition(count, "word")
+    starts = dealt.select("word", "n", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
+    spans = starts.select("word", "n", "s", F.explode(F.sequence(F.col("s") + 1, F.least(n, F.col("s") + pieces.longest))).alias("e"))
     cut = F.substr("word", F.col("s") + 1, F.col("e") - F.col("s"))
-    edges = spans.withColumn("piece", cut).join(vocab, "piece", "left")
-    # a word's first character stays even if it is no piece, so that no word is lost
-    kept = edges.where("id IS NOT NULL OR (s = 0 AND e = 1)")
-    edge = F.when(F.col("id").isNotNull(), F.struct("e", "s", "id", "score"))
-    return kept.groupBy("word").agg(F.collect_list(edge).alias("edges"))
+    edges = spans.withColumn("piece", cut).join(vocab, "piece", "left").where("id IS NOT NULL OR e = s + 1")
+    edge = F.struct("rank", "e", (F.col("e") - F.col("s")).alias("size"), "id", *([] if pieces.merges else ["score"]))
+    return edges.groupBy("word", "n").agg(F.collect_list(edge).alias("edges"))
 
 
 def fold_viterbi(edges: DataFrame, penalty: float = -1e6) -> DataFrame:
-    """``word, path``: the best sum of scores over paths through ``lattice``'s edges, as ids; -1 stands for a character without an edge.
+    """``word, n, path``: the best sum of scores over paths through ``lattice``'s edges, as parts ``struct<s, e, id>``.
 
     A higher-order aggregate goes over the edges in order of their ends and keeps
     the best score, and the path, to each place: the segmentation of unigram models.
+    A character that is no piece costs ``penalty``.
     """
-    n = F.length("word")
-    at0 = F.struct(F.lit(0.0).alias("v"), F.array().cast("array<int>").alias("p"))
-    single = F.transform(F.sequence(F.lit(1), n), lambda e: F.struct(e.alias("e"), (e - 1).alias("s"), F.lit(-1).alias("id"), F.lit(penalty).alias("score")))
-    ordered = F.array_sort(F.concat(F.col("edges"), single))
+    at0 = F.struct(F.lit(0.0).alias("v"), F.array().cast("array<struct<s:int,e:int,id:int>>").alias("p"))
+    ordered = F.array_sort(F.transform("edges", lambda x: F.struct(x["e"].alias("e"), (x["e"] - x["size"]).alias("s"), x["id"].alias("id"), F.coalesce(x["score"], F.lit(penalty)).alias("score"))))
 
     def step(best, x):
         # best holds the places so far; each end's first edge appends, later ones replace
         come = F.element_at(best, x["s"] + 1)
-        new = F.struct((come["v"] + x["score"]).alias("v"), F.concat(come["p"], F.array(x["id"])).alias("p"))
+        part = F.struct(x["s"].alias("s"), x["e"].alias("e"), x["id"].alias("id"))
+        new = F.struct((come["v"] + x["score"]).alias("v"), F.concat(come["p"], F.array(part)).alias("p"))
         old = F.element_at(best, -1)
         better = F.when(new["v"] > old["v"], new).otherwise(old)
         fresh = F.size(best) == x["e"]
         return F.when(fresh, F.concat(best, F.array(new))).otherwise(F.concat(F.slice(best, 1, F.size(best) - 1), F.array(better)))
 
     path = F.aggregate(ordered, F.array(at0), step, lambda best: F.element_at(best, -1)["p"])
-    return edges.select("word", path.alias("path"))
+    return edges.select("word", "n", path.alias("path"))
 
 
-def fold_merges(edges: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word, ids`` of BPE models, from the same lattice: the scores say which union of neighbours goes first."""
-    fallback = pieces.bytes
+def fold_merges(edges: DataFrame) -> DataFrame:
+    """``word, n, path`` of BPE models, as parts ``struct<s, e, id>``: a higher-order aggregate over the edges, best score first, of equals the one that ends first.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2000):
-            words = batch.column(0).to_pylist()
-            offsets = np.array(batch.column(1).offsets)
-            flat = batch.column(1).flatten()
-            base = offsets[0]
-            end, start = (np.asarray(flat.field(i)) for i in range(2))
-            key, (ids, score) = (start << 8 | end).tolist(), (flat.field(i).to_pylist() for i in (2, 3))
-            out = []
-            for w, a, b in zip(words, (offsets[:-1] - base).tolist(), (offsets[1:] - base).tolist(), strict=True):
-                out.append(merge_word(w, dict(zip(key[a:b], range(a, b), strict=True)), score, ids, fallback))
-            yield pa.record_batch([batch.column(0), pa.array(out, pa.list_(pa.int32()))], names=["word", "ids"])
+    The state has a mark for each place between characters that is still a boundary.
+    An edge whose ends are boundaries, with a single one between them, is the union
+    of two neighbouring parts: that one goes. A piece's parts score better than it
+    does (``check_order``), so that one pass makes the same merges as choosing the
+    best union again and again, for words of any length.
+    """
+
+    def between(marks, x):
+        return F.substring(marks, x["e"] - x["size"] + 1, x["size"] + 1).cast("string")
 
-    return edges.select("word", "edges").mapInArrow(run, "word string, ids array<int>")
+    def step(marks, x):
+        merged = F.rpad(F.lit("1"), x["size"], F.lit("0")).cast("binary")
+        return F.when(between(marks, x).rlike("^10*10*1$"), F.overlay(marks, merged, x["e"] - x["size"] + 1)).otherwise(marks)
+
+    def parts(marks):
+        part = lambda x: F.struct((x["e"] - x["size"]).alias("s"), x["e"].alias("e"), x["id"].alias("id"))
+        return F.array_sort(F.transform(F.filter("edges", lambda x: between(marks, x).rlike("^10*1$")), part))
+
+    longer = F.array_sort(F.filter("edges", lambda x: x["size"] > 1))
+    all_marked = F.repeat(F.lit("1"), F.length("word") + 1).cast("binary")
+    path = F.aggregate(longer, all_marked, step, parts)
+    return edges.select("word", "n", path.alias("path"))
 
 
 def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word, ids`` of distinct words, of normalised text, within LATTICE_WORD characters."""
+    """``word, n, ids`` of distinct ``words(word, n)`` of normalised text; characters without a piece become the pieces of their UTF-8 bytes."""
     edges = lattice(words, pieces)
-    if pieces.merges:
-        return fold_merges(edges, pieces)
-    path = fold_viterbi(edges)
+    path = fold_merges(edges) if pieces.merges else fold_viterbi(edges)
     fallback = F.array(*(F.lit(b) for b in pieces.bytes))
-    utf8 = lambda c: F.transform(F.sequence(F.lit(1), F.length(F.encode(c, "UTF-8"))), lambda i: F.element_at(fallback, F.conv(F.hex(F.substring(F.encode(c, "UTF-8"), i, F.lit(1))), 16, 10).cast("int") + 1))
-    # a place without a piece is one character: the ids' own pieces tell where it is
-    size = F.create_map(*(x for p, i, _ in pieces.normal for x in (F.lit(i), F.lit(len(p)))))
-    step = lambda acc, i: F.struct((acc["at"] + F.when(i < 0, 1).otherwise(size[i])).alias("at"), F.concat(acc["ids"], F.when(i < 0, utf8(F.substring("word", acc["at"] + 1, F.lit(1)))).otherwise(F.array(i))).alias("ids"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("ids"))
-    return path.select("word", F.aggregate("path", start, step, lambda acc: acc["ids"]).alias("ids"))
-
-
-def _long_word(word: str, pieces: dict[str, tuple[float, int]], longest: int, fallback: tuple[int, ...]) -> list[int]:
-    """The same merges for a word of any length: a heap of unions, each looked at when it is the best."""
-    import heapq
-
-    nxt, prv, end = list(range(1, len(word) + 1)), list(range(-1, len(word) - 1)), list(range(1, len(word) + 1))
-    alive, heap = [True] * len(word), []
-
-    def offer(i: int) -> None:
-        j = nxt[i]
-        if j < len(word) and end[j] - i <= longest and (found := pieces.get(word[i : end[j]])):
-            heapq.heappush(heap, (-found[0], i, end[i], end[j]))
-
-    for i in range(len(word)):
-        offer(i)
-    while heap:
-        _, i, mid, stop = heapq.heappop(heap)
-        if not alive[i] or end[i] != mid or nxt[i] >= len(word) or end[nxt[i]] != stop:
-            continue
-        j = nxt[i]
-        alive[j], end[i], nxt[i] = False, stop, nxt[j]
-        if nxt[j] < len(word):
-            prv[nxt[j]] = i
-        offer(i)
-        if prv[i] >= 0:
-            offer(prv[i])
-    out: list[int] = []
-    i = 0
-    while i < len(word):
-        found = pieces.get(word[i : end[i]])
-        out.extend([found[1]] if found else [fallback[x] for x in word[i : end[i]].encode("utf-8", "surrogatepass")])
-        i = end[i]
-    return out
-
-
-def _words_of(text: str | None) -> list[str]:
-    """A text's words, as WORD finds them; single blanks and line ends, the common case, by splitting alone."""
-    if not text:
-        return []
-    if text[0] == " " or "  " in text or "\t" in text or "\0" in text or BLANK in text:
-        return WORD.findall(normalize(text))
-    marked = BLANK + text.replace(" ", "\0" + BLANK).replace("\n", "\0\n\0")
-    return [w for w in marked.split("\0") if w]
-
-
-def vocabulary_of(docs: DataFrame) -> DataFrame:
-    """``word, n``: distinct words of at most LATTICE_WORD characters, with their number of occurrences.
-
-    A task sends a word once for many texts; Spark sums before it shuffles.
-    """
+
+    def utf8(part):
+        hexed = F.hex(F.encode(F.substr(F.col("word"), part["s"] + 1, F.lit(1)), "UTF-8"))
+        at = F.sequence(F.lit(1), F.length(hexed), F.lit(2))
+        return F.transform(at, lambda i: F.element_at(fallback, F.conv(F.substr(hexed, i, F.lit(2)), 16, 10).cast("int") + 1))
+
+    spelt = F.flatten(F.transform("path", lambda p: F.when(p["id"].isNull(), utf8(p)).otherwise(F.array(p["id"]))))
+    ids = F.when(F.exists("path", lambda p: p["id"].isNull()), spelt).otherwise(F.transform("path", lambda p: p["id"]))
+    return path.select("word", "n", ids.alias("ids"))
+
+
+class Cutter:
+    """Texts to units, as ``Pieces.unit`` finds them. A task has one; common words are cut once."""
+
+    def __init__(self, pattern: str) -> None:
+        self.units = regex.compile(pattern, regex.DOTALL).findall
+
+    def words(self, text: str | None) -> list[str]:
+        """Words that begin with blanks; their units, one word after the other, are the text's."""
+        if not text:
+            return []
+        if text[0] == " " or text[-1] == " " or "  " in text or BLANK in text:
+            return regex.findall(f"{BLANK}+[^{BLANK}]*", normalize(text))
+        return [BLANK + w for w in text.split(" ")]
+
+
+def vocabulary_of(docs: DataFrame, pieces: Pieces) -> DataFrame:
+    """``word, n``: distinct units of all texts, with their number of occurrences. A task sends a unit once for many texts; Spark sums before it shuffles."""
+    pattern = pieces.unit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = Cutter(pattern)
+        words: Counter[str] = Counter()
+        units: Counter[str] = Counter()
+
+        def empty() -> None:
+            for w, n in words.items():
+                for u in cut.units(w):
+                    units[u] += n
+            words.clear()
+
         for batch in batches:
-            count: Counter[str] = Counter()
             for text in batch.column(0):
-                count.update(_words_of(text.as_py()))
-                if len(count) > 50_000:  # what Python holds stays small; Spark adds the parts
-                    yield _counts(count)
-                    count = Counter()
-            yield _counts(count)
-
-    def _counts(count: Counter[str]) -> pa.RecordBatch:
-        kept = {w: n for w, n in count.items() if len(w) <= LATTICE_WORD}
-        return pa.record_batch([pa.array(list(kept), pa.string()), pa.array(list(kept.values()), pa.int64())], names=["word", "n"])
+                words.update(cut.words(text.as_py()))
+                if len(words) > HELD // 4:
+                    empty()
+                if len(units) > HELD:
+                    yield _counts(units)
+        empty()
+        yield _counts(units)
+
+    def _counts(units: Counter[str]) -> pa.RecordBatch:
+        out = pa.record_batch([pa.array(list(units), pa.string()), pa.array(list(units.values()), pa.int64())], names=["word", "n"])
+        units.clear()
+        return out
 
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _most_frequent(codes: DataFrame, most: int) -> DataFrame:
+    """Units of the highest counts, ``most`` at most: the counts are binned, so that what is collected has a fixed size."""
+    level = F.floor(F.log2("n") * 32).cast("int")
+    own = sorted(codes.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"])
+    total, least = 0, None
+    for r in own:
+        total += r["count"]
+        if total > most:
+            break
+        least = r["level"]
+    return codes.where(level >= least) if least is not None else codes.limit(0)
+
+
+def _slices(flat: pa.Array, offsets: pa.Array) -> list[bytes]:
+    """The lists of an integer column as bytes."""
+    raw, at = np.asarray(flat, np.int32).tobytes(), (4 * (np.asarray(offsets) - offsets[0].as_py())).tolist()
+    return [raw[a:b] for a, b in pairwise(at)]
+
+
+def _codes(words: pa.Array, ids: pa.ListArray) -> dict[str, bytes]:
+    return dict(zip(words.to_pylist(), _slices(ids.flatten(), ids.offsets), strict=True))
+
+
 def encode(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFrame:
     """``docs`` with ``ids`` (array of int) for ``text``; an ``ids`` column of its own is replaced.
 
-    Null and empty texts have no ids. Every distinct word is encoded once, through
-    the lattice. The ``frequent`` most frequent words, a fixed number, go to every
-    task; the other words of a document are joined to their codes by word, and come
-    back to it as one map. Rows may share a doc_id or lack one.
+    Null and empty texts have no ids. Every distinct unit is encoded once, through
+    the lattice. The most frequent units, ``frequent`` at most, go to every task;
+    the others are joined to their codes by unit, come together as one row per
+    distinct text, and meet the texts in a plain join that adaptive execution can
+    split where copies of one text are many. Rows may share a doc_id or lack one.
     """
-    spark = docs.sparkSession
-    words = stage(vocabulary_of(docs), "words")
-    codes = stage(encode_words(words, pieces), "codes")
-    top = words.orderBy(F.col("n").desc(), "word").limit(frequent).select("word")
-    hot = spark.sparkContext.broadcast({r.word: np.array(r.ids, np.int32).tobytes() for r in codes.join(F.broadcast(top), "word").toLocalIterator()})
-    normal = spark.sparkContext.broadcast({p: (s, i) for p, i, s in pieces.normal})
-    longest, fallback = pieces.longest, pieces.bytes
+    spark, pattern = docs.sparkSession, pieces.unit
+    words = stage(vocabulary_of(docs, pieces), "words")
+    # a word's edges come one after the other: they are gathered in memory, without a sort
+    with settings(spark, spark__sql__objectHashAggregate__sortBased__fallbackThreshold="100000"):
+        codes = stage(encode_words(words, pieces), "codes")
+    unstage(words)
+    top = pa.Table.combine_chunks(_most_frequent(codes, frequent).select("word", "ids").toArrow())
+    hot = spark.sparkContext.broadcast({k: v for b in top.to_batches() for k, v in _codes(b.column(0), b.column(1)).items()})
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = hot.value
+        known, cut = hot.value, Cutter(pattern)
+        seen: set[int] = set()  # copies of one text that meet in a task
+        held: dict[str, tuple[str, ...]] = {}
         for batch in batches:
             for begin in range(0, batch.num_rows, 1000):
                 part = batch.slice(begin, 1000)
                 keys, found = [], []
                 for key, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                    own = {w for w in _words_of(text.as_py()) if w not in known and len(w) <= LATTICE_WORD}
+                    if key in seen:
+                        continue
+                    seen.add(key)
+                    own: set[str] = set()
+                    for w in set(cut.words(text.as_py())):
+                        units = held.get(w)
+                        if units is None:
+                            units = held[w] = tuple(u for u in cut.units(w) if u not in known)
+                        own.update(units)
                     keys.extend([key] * len(own))
                     found.extend(own)
+                    if len(held) > HELD:
+                        held.clear()
+                if len(seen) > HELD:
+                    seen.clear()
                 yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(found, pa.string())], names=["__key", "word"])
 
     keep = [c for c in docs.columns if c != "ids"]
     keyed = docs.select(*keep, F.xxhash64("text").alias("__key"))
-    tail = keyed.select("__key", "text").mapInArrow(rare, "__key long, word string").join(codes, "word")
-    by_text = tail.groupBy("__key").agg(F.collect_set(F.struct("word", "ids")).alias("__tail"))  # a set: copies of a text add nothing
+    tail = keyed.select("__key", "text").mapInArrow(rare, "__key long, word string").join(codes.select("word", "ids"), "word")
+    by_text = stage(tail.groupBy("__key").agg(F.collect_set(F.struct("word", "ids")).alias("__tail")), "tails")
+    unstage(codes)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zlib
+
+        for batch in batches:
+            packed = [zlib.compress(t.as_py().encode("utf-8", "surrogatepass"), 1) if t.is_valid else None for t in batch.column(len(keep))]
+            yield pa.record_batch([*batch.columns[: len(keep)], pa.array(packed, pa.binary()), batch.column(len(keep) + 1)], names=[*keep, "__packed", "__key"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, vocab = hot.value, normal.value
+        import zlib
+
+        known, cut = hot.value, Cutter(pattern)
+        held: dict[str, bytes] = {}  # words of frequent units
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
                 part = batch.slice(begin, 500)
                 out = []
-                for text, tail_ in zip(part.column(len(keep) + 1).to_pylist(), part.column(len(keep)).to_pylist(), strict=True):
-                    own = {r["word"]: np.array(r["ids"], np.int32).tobytes() for r in tail_ or ()}
-                    out.append(b"".join([known.get(w) or own.get(w) or np.array(_long_word(w, vocab, longest, fallback), np.int32).tobytes() for w in _words_of(text)]))
+                for packed, tail_ in zip(part.column(len(keep) + 1), part.column(len(keep)), strict=True):
+                    own = _codes(tail_.values.field(0), tail_.values.field(1)) if tail_.is_valid else {}
+                    code: list[bytes] = []
+                    text = zlib.decompress(packed.as_py()).decode("utf-8", "surrogatepass") if packed.is_valid else None
+                    for w in cut.words(text):
+                        found = held.get(w)
+                        if found is None:
+                            units = cut.units(w)
+                            ids = [known.get(u) for u in units]
+                            if None in ids:
+                                found = b"".join([own[u] if x is None else x for u, x in zip(units, ids, strict=True)])
+                            else:
+                                found = held[w] = b"".join(ids)
+                        code.append(found)
+                    out.append(b"".join(code))
+                    if len(held) > HELD:
+                        held.clear()
                 offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in out])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(out), np.int32)))
                 yield pa.record_batch([*part.columns[: len(keep)], ids], names=[*keep, "ids"])
 
-    from pyspark.sql import types as T
-
-    schema = docs.select(*keep).schema.add("ids", T.ArrayType(T.IntegerType()))
-    joined = keyed.join(by_text, "__key", "left").select(*keep, "__tail", F.col("text").alias("__text"))
-    return joined.mapInArrow(join, schema)
+    own = docs.select(*keep).schema
+    packed = keyed.select(*keep, F.col("text").alias("__text"), "__key").mapInArrow(pack, T.StructType([*own.fields, T.StructField("__packed", T.BinaryType()), T.StructField("__key", T.LongType())]))
+    joined = packed.join(by_text, "__key", "left").select(*keep, "__tail", "__packed")
+    return joined.mapInArrow(join, T.StructType([*own.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 def decode(coded: DataFrame, pieces: Pieces) -> DataFrame:
@@ -302,11 +371,9 @@ def decode(coded: DataFrame, pieces: Pieces) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             where = batch.schema.get_field_index("ids")
-            out = [b"".join(map(raw.__getitem__, ids or ())).decode("utf-8", "replace")[1:] for ids in batch.column(where).to_pylist()]
+            out = [b"".join(map(raw.__getitem__, ids.as_py() or ())).decode("utf-8", "replace")[1:] for ids in batch.column(where)]
             yield pa.record_batch([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "decoded"])
 
-    from pyspark.sql import types as T
-
     rest = coded.drop("decoded")
     return rest.mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField("decoded", T.StringType())]))
 

@@ -34,16 +34,45 @@ def test_ids_equal_the_librarys_and_decode(spark, pieces):
             assert r.decoded == (r.text or "").replace("▁", " ")
 
 
-def test_words_by_splitting_equal_the_pattern():
+def test_units_are_the_text_and_no_piece_goes_beyond_one(pieces):
+    cut = sl.Cutter(pieces.unit)
+    normal = {p for p, _, _ in pieces.normal}
     for text in [*made(), "a\nb", "a \nb", "a\n b", "\na", "a\n", "a\n\nb ", "a\0b c", "x\ty", "b "]:
-        assert sl._words_of(text) == sl.WORD.findall(sl.normalize(text)), repr(text)
+        units = [u for w in cut.words(text) for u in cut.units(w)]
+        whole = sl.normalize(text)
+        assert "".join(units) == whole, repr(text)
+        ends = set(itertools.accumulate(map(len, units)))
+        for at in ends if len(whole) < 300 else ():
+            assert not any(whole[a:b] in normal for a in range(max(0, at - 16), at) for b in range(at + 1, min(len(whole), a + 16) + 1))
+
+
+def test_long_units_and_runs_of_blanks_take_the_same_fold(spark, pieces):
+    sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    rng = random.Random(8)
+    texts = [" " * k + "the" * (k % 3) for k in range(1, 70)] + ["a" * 20_000, "".join(rng.choice("etaoinshr") for _ in range(20_000)), "é" * 3000, "日本" * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in sl.encode(docs, pieces).collect():
+        assert r.ids == sp.encode(r.text), repr(r.text[:80])
+
+
+def test_models_whose_parts_do_not_go_first_are_refused():
+    sl.check_order((("ab", 0, -1.0), ("abc", 1, -2.0)))
+    with pytest.raises(ValueError, match="go before"):
+        sl.check_order((("bc", 0, -3.0), ("abc", 1, -2.0)))
+
+
+def test_the_registered_query_folds_in_spark(spark, pieces):
+    words = spark.createDataFrame([("▁the", 1)], "word string, n long")
+    plan = sl.encode_words(words, pieces)._jdf.queryExecution().executedPlan().toString()
+    assert "aggregate(" in plan and "BroadcastHashJoin" in plan and "collect_list" in plan
+    assert "Arrow" not in plan and "CartesianProduct" not in plan
 
 
 def test_viterbi_fold_equals_all_paths(spark, pieces):
     model = sl.Pieces((("▁a", 0, -1.0), ("a", 1, -1.5), ("ab", 2, -2.0), ("b", 3, -1.2), ("▁ab", 4, -4.0), ("ba", 5, -0.9), ("▁", 6, -0.7)), tuple(range(100, 356)), (), False)
     rng = random.Random(1)
     words = {"▁" + "".join(rng.choice("abc") for _ in range(rng.randint(0, 6))) for _ in range(40)}
-    edges = sl.lattice(spark.createDataFrame([(w,) for w in words], "word string"), model)
+    edges = sl.lattice(spark.createDataFrame([(w, 1) for w in words], "word string, n long"), model)
     score = {p: (s, i) for p, i, s in model.normal}
 
     def best(w):
@@ -58,8 +87,9 @@ def test_viterbi_fold_equals_all_paths(spark, pieces):
 
     names = {i: s for _, i, s in model.normal}
     for r in sl.fold_viterbi(edges).collect():
-        assert sum(names.get(i, -1e6) for i in r.path) == pytest.approx(best(r.word))
-    coded = {r.word: r.ids for r in sl.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), model).collect()}
+        assert sum(names.get(x.id, -1e6) for x in r.path) == pytest.approx(best(r.word))
+        assert "".join(r.word[x.s : x.e] for x in r.path) == r.word
+    coded = {r.word: r.ids for r in sl.encode_words(spark.createDataFrame([(w, 1) for w in words], "word string, n long"), model).collect()}
     assert coded.keys() == words
     assert all((100 + ord("c")) in coded[w] for w in words if "c" in w)
 
