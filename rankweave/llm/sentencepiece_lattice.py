@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,8 +21,8 @@ from .common import settings, stage, table, unstage
 BLANK = "▁"
 #: At most so many of the most frequent units have their codes in every task; codes of all other units come by a join.
 FREQUENT = 250_000
-#: Distinct words or units that a task holds before it sends their counts.
-HELD = 200_000
+#: Distinct words or units that a task holds before it begins anew.
+HELD = 300_000
 
 
 @dataclass(frozen=True)
@@ -199,26 +200,37 @@ def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
 
 
 class Cutter:
-    """Texts to units, as ``Pieces.unit`` finds them. A task has one; common words are cut once."""
+    """Texts to words, and words to units that no piece goes beyond. A word stands without the blank that begins it."""
 
-    def __init__(self, pattern: str) -> None:
-        self.units = regex.compile(pattern, regex.DOTALL).findall
+    def __init__(self, pieces: Pieces) -> None:
+        self.pattern = regex.compile(pieces.unit, regex.DOTALL).findall
+        self.blanks = regex.compile(f"{BLANK}+[^{BLANK}]*").findall
+        beside = {c for p, _, _ in pieces.normal for a, b in pairwise(p) if a.isalpha() != b.isalpha() for c in (a, b)}
+        #: Marks that no piece has beside a letter.
+        self.marks = "".join(c for c in ".,;:!?$%&#*()\"'" if c not in beside)
 
     def words(self, text: str | None) -> list[str]:
-        """Words that begin with blanks; their units, one word after the other, are the text's."""
         if not text:
             return []
         if text[0] == " " or text[-1] == " " or "  " in text or BLANK in text:
-            return regex.findall(f"{BLANK}+[^{BLANK}]*", normalize(text))
-        return [BLANK + w for w in text.split(" ")]
+            return [w[1:] for w in self.blanks(normalize(text))]
+        return text.split(" ")
+
+    def units(self, word: str) -> list[str]:
+        """A word of letters is one unit, and so are the marks after it; others go by the pattern."""
+        if word.isalpha():
+            return [BLANK + word]
+        letters = word.rstrip(self.marks)
+        if letters.isalpha():
+            return [BLANK + letters, word[len(letters) :]]
+        return self.pattern(BLANK + word)
 
 
 def vocabulary_of(docs: DataFrame, pieces: Pieces) -> DataFrame:
     """``word, n``: distinct units of all texts, with their number of occurrences. A task sends a unit once for many texts; Spark sums before it shuffles."""
-    pattern = pieces.unit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = Cutter(pattern)
+        cut = Cutter(pieces)
         words: Counter[str] = Counter()
         units: Counter[str] = Counter()
 
@@ -231,7 +243,7 @@ def vocabulary_of(docs: DataFrame, pieces: Pieces) -> DataFrame:
         for batch in batches:
             for text in batch.column(0):
                 words.update(cut.words(text.as_py()))
-                if len(words) > HELD // 4:
+                if len(words) > HELD:
                     empty()
                 if len(units) > HELD:
                     yield _counts(units)
@@ -278,7 +290,7 @@ def encode(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFra
     distinct text, and meet the texts in a plain join that adaptive execution can
     split where copies of one text are many. Rows may share a doc_id or lack one.
     """
-    spark, pattern = docs.sparkSession, pieces.unit
+    spark = docs.sparkSession
     words = stage(vocabulary_of(docs, pieces), "words")
     # a word's edges come one after the other: they are gathered in memory, without a sort
     with settings(spark, spark__sql__objectHashAggregate__sortBased__fallbackThreshold="100000"):
@@ -288,7 +300,7 @@ def encode(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFra
     hot = spark.sparkContext.broadcast({k: v for b in top.to_batches() for k, v in _codes(b.column(0), b.column(1)).items()})
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, cut = hot.value, Cutter(pattern)
+        known, cut = hot.value, Cutter(pieces)
         seen: set[int] = set()  # copies of one text that meet in a task
         held: dict[str, tuple[str, ...]] = {}
         for batch in batches:
@@ -313,8 +325,8 @@ def encode(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFra
                     seen.clear()
                 yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(found, pa.string())], names=["__key", "word"])
 
-    keep = [c for c in docs.columns if c != "ids"]
-    keyed = docs.select(*keep, F.xxhash64("text").alias("__key"))
+    keep = [c for c in docs.columns if c not in ("ids", "text")]
+    keyed = docs.select(*keep, "text", F.xxhash64("text").alias("__key"))
     tail = keyed.select("__key", "text").mapInArrow(rare, "__key long, word string").join(codes.select("word", "ids"), "word")
     by_text = stage(tail.groupBy("__key").agg(F.collect_set(F.struct("word", "ids")).alias("__tail")), "tails")
     unstage(codes)
@@ -329,16 +341,17 @@ def encode(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFra
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        known, cut = hot.value, Cutter(pattern)
+        known, cut = hot.value, Cutter(pieces)
         held: dict[str, bytes] = {}  # words of frequent units
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
                 part = batch.slice(begin, 500)
-                out = []
+                out, texts = [], []
                 for packed, tail_ in zip(part.column(len(keep) + 1), part.column(len(keep)), strict=True):
                     own = _codes(tail_.values.field(0), tail_.values.field(1)) if tail_.is_valid else {}
-                    code: list[bytes] = []
                     text = zlib.decompress(packed.as_py()).decode("utf-8", "surrogatepass") if packed.is_valid else None
+                    texts.append(text)
+                    code: list[bytes] = []
                     for w in cut.words(text):
                         found = held.get(w)
                         if found is None:
@@ -354,30 +367,53 @@ def encode(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFra
                         held.clear()
                 offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in out])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(out), np.int32)))
-                yield pa.record_batch([*part.columns[: len(keep)], ids], names=[*keep, "ids"])
+                yield pa.record_batch([*part.columns[: len(keep)], pa.array(texts, pa.string()), ids], names=[*keep, "text", "ids"])
 
-    own = docs.select(*keep).schema
-    packed = keyed.select(*keep, F.col("text").alias("__text"), "__key").mapInArrow(pack, T.StructType([*own.fields, T.StructField("__packed", T.BinaryType()), T.StructField("__key", T.LongType())]))
+    own = docs.select(*keep).schema.fields
+    packed = keyed.mapInArrow(pack, T.StructType([*own, T.StructField("__packed", T.BinaryType()), T.StructField("__key", T.LongType())]))
     joined = packed.join(by_text, "__key", "left").select(*keep, "__tail", "__packed")
-    return joined.mapInArrow(join, T.StructType([*own.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    coded = joined.mapInArrow(join, T.StructType([*own, T.StructField("text", T.StringType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return coded.select(*(c for c in docs.columns if c != "ids"), "ids")
 
 
-def decode(coded: DataFrame, pieces: Pieces) -> DataFrame:
-    """``coded`` with ``decoded``: the text of ``ids``. Pieces are joined by id; byte pieces make UTF-8; the leading blank goes."""
-    text = pieces.text
+def _decoder(pieces: Pieces):
+    """Function of a list of ids to its text: pieces joined, byte pieces as UTF-8, without the leading blank."""
     byte_of = {i: b for b, i in enumerate(pieces.bytes)}
-    raw = [bytes([byte_of[i]]) if i in byte_of else p.replace(BLANK, " ").encode() for i, p in enumerate(text)]
+    raw = [bytes([byte_of[i]]) if i in byte_of else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces.text)]
+    return lambda ids: b"".join(map(raw.__getitem__, ids or ())).decode("utf-8", "replace")[1:]
+
+
+def decode(coded: DataFrame, pieces: Pieces) -> DataFrame:
+    """``coded`` with ``decoded``: the text of ``ids``; null ids give an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text_of = _decoder(pieces)
         for batch in batches:
             where = batch.schema.get_field_index("ids")
-            out = [b"".join(map(raw.__getitem__, ids.as_py() or ())).decode("utf-8", "replace")[1:] for ids in batch.column(where)]
+            out = [text_of(ids.as_py()) for ids in batch.column(where)]
             yield pa.record_batch([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "decoded"])
 
     rest = coded.drop("decoded")
     return rest.mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
+def digest(coded: DataFrame, pieces: Pieces) -> DataFrame:
+    """``doc_id, n_ids, ids_sha256, round_trip``: the SHA-256 of the ids as little-endian 32-bit integers, and whether decoding gives the text back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text_of = _decoder(pieces)
+        for batch in batches:
+            sizes, sums, same = [], [], []
+            for text, ids in zip(batch.column(1), batch.column(2), strict=True):
+                values = ids.as_py()
+                sizes.append(len(values))
+                sums.append(hashlib.sha256(np.asarray(ids.values, "<i4").tobytes()).hexdigest())
+                same.append(text_of(values) == (text.as_py() or ""))
+            yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums), pa.array(same, pa.bool_())], names=["doc_id", "n_ids", "ids_sha256", "round_trip"])
+
+    return coded.select("doc_id", "text", "ids").mapInArrow(run, "doc_id long, n_ids long, ids_sha256 string, round_trip boolean")
+
+
 def model_path() -> str:
     import public_tokenizers
 
@@ -385,13 +421,9 @@ def model_path() -> str:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, n_ids, ids_sha256, round_trip`` of every document; the last says whether decoding gives the text back."""
     pieces = read_model(model_path())
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = decode(encode(docs, pieces), pieces)
-    text = F.concat_ws(",", F.transform("ids", lambda i: i.cast("string")))
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.sha2(text, 256).alias("ids_sha256"), same.alias("round_trip"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    return digest(encode(docs, pieces), pieces)
 
 
 QUERIES = {"op10_sentencepiece": op10_sentencepiece}
