@@ -11,9 +11,9 @@ parse only decides which windows need no comparison.
 
 from __future__ import annotations
 
-import gc
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,22 +34,34 @@ class Unit:
 
     length: int
     gram: int
-    #: Whole text to (joined bytes, start of each symbol in them, end of each symbol, a 64-bit value of each symbol).
-    split: Callable[[str | None], tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]
+    #: Symbols that are parsed at once; longer texts are cut into blocks of so many windows, from their start.
+    block: int
+    symbols: Callable[[str | None], Sequence]
+    #: Some texts' symbols to (joined bytes, start of each symbol in them, end of each symbol, a 64-bit value of each symbol).
+    pack: Callable[[list[Sequence]], tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]
+    join: Callable[[Sequence], bytes]
 
     @property
     def span(self) -> int:
         return self.length - self.gram + 1
 
 
-def split_bytes(text: str | None):
-    raw = (text or "").encode("utf-8", "surrogatepass")
+def bytes_of(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
+def words_of(text: str | None) -> list[bytes]:
+    return bytes_of(text).split()
+
+
+def pack_bytes(texts: list[bytes]):
+    raw = b"".join(texts)
     at = np.arange(len(raw) + 1)
     return raw, at[:-1], at[1:], np.frombuffer(raw, np.uint8).astype(np.uint64)
 
 
-def split_words(text: str | None):
-    parts = (text or "").encode("utf-8", "surrogatepass").split()
+def pack_words(texts: list[list[bytes]]):
+    parts = list(chain.from_iterable(texts))
     size = np.fromiter(map(len, parts), np.int64, len(parts))
     ends = np.cumsum(size + 1) - 1
     return b" ".join(parts), ends - size, ends, np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64, len(parts))
@@ -77,13 +89,19 @@ def _slide(v: np.ndarray, w: int, pick) -> np.ndarray:
     return pick(m[: len(v) - w + 1], m[w - s : w - s + len(v) - w + 1]) if s < w else m
 
 
-def minimizer_runs(h: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows of ``span`` hashes with one minimum: first window, end, the minimum, and whether it occurs twice in the run's text."""
+def minimizer_runs(h: np.ndarray, span: int, text: np.ndarray, fits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows of ``span`` hashes with one minimum: first window, end, the minimum, and whether it occurs twice in the run's text.
+
+    ``text`` numbers the text of each window, and ``fits`` tells whether it lies within that text; a run goes over windows of one text that fit.
+    """
     m = _slide(h, span, np.minimum)
-    start = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]]))
+    start = np.flatnonzero(np.concatenate([[True], (m[1:] != m[:-1]) | (text[1:] != text[:-1]) | (fits[1:] != fits[:-1])]))
     end = np.append(start[1:], len(m))
+    start, end = start[fits[start]], end[fits[start]]
+    if not len(start):
+        return start, end, m[:0], np.zeros(0, bool)
     edge = np.zeros(span - 1, np.uint64)
-    chosen = np.flatnonzero(h == _slide(np.concatenate([edge, m, edge]), span, np.maximum))
+    chosen = np.flatnonzero(h == _slide(np.concatenate([edge, np.where(fits, m, 0), edge]), span, np.maximum))
     value = h[chosen]
     lo, hi = np.searchsorted(chosen, start), np.searchsorted(chosen, end + span - 1)
     n = hi - lo
@@ -100,29 +118,43 @@ def minimizer_runs(h: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np
 
 
 def runs(docs: DataFrame, unit: Unit) -> DataFrame:
-    """``doc_id, st, en, a, c, twice``: the runs of each whole text; a is the minimizer, c a hash of the run's text."""
+    """``doc_id, st, en, a, c, twice``: the runs of each whole text; a is the minimizer, c a hash of the run's text.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Short texts are parsed many at a time; a longer one goes in blocks that overlap
+    by a window less one symbol, so that what a task holds doesn't grow with a text.
+    """
+
+    def parse(keys: list[int], offsets: list[int], parts: list[Sequence]) -> pa.RecordBatch:
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        begins, ends = np.cumsum(size) - size, np.cumsum(size)
+        flat, begin, finish, values = unit.pack(parts)
+        text = np.repeat(np.arange(len(parts)), size)[: len(values) - unit.length + 1]
+        fits = np.arange(len(text)) + unit.length <= ends[text]
+        st, en, a, twice = minimizer_runs(gram_hashes(values, unit.gram), unit.span, text, fits)
         digest = xxhash.xxh3_64_intdigest
+        where = zip(begin[st].tolist(), finish[en + unit.length - 2].tolist(), strict=True)
+        c = np.fromiter((digest(flat[s:e]) for s, e in where), np.uint64, len(st))
+        own = text[st]
+        shift = np.array(offsets, np.int64)[own] - begins[own]
+        cols = (np.array(keys, np.int64)[own], (st + shift).astype(np.int32), (en + shift).astype(np.int32), a.view(np.int64), c.view(np.int64), twice)
+        return pa.record_batch([pa.array(x) for x in cols], names=["doc_id", "st", "en", "a", "c", "twice"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, offsets, parts, held = [], [], [], 0
         for batch in batches:
-            cols, size = [], 0
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                flat, begin, finish, values = unit.split(value.as_py())
-                if len(values) < unit.length:
-                    continue
-                st, en, a, twice = minimizer_runs(gram_hashes(values, unit.gram), unit.span)
-                where = zip(begin[st].tolist(), finish[en + unit.length - 2].tolist(), strict=True)
-                c = np.fromiter((digest(flat[s:e]) for s, e in where), np.uint64, len(st))
-                cols.append((np.full(len(st), key, np.int64), st.astype(np.int32), en.astype(np.int32), a.view(np.int64), c.view(np.int64), twice))
-                size += len(st)
-                if size > 500_000:
-                    yield _batch(cols)
-                    cols, size = [], 0
-            if cols:
-                yield _batch(cols)
-
-    def _batch(cols) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*cols, strict=True)], names=["doc_id", "st", "en", "a", "c", "twice"])
+                symbols = unit.symbols(value.as_py())
+                for at in range(0, len(symbols) - unit.length + 1, unit.block):
+                    part = symbols[at : at + unit.block + unit.length - 1]
+                    if held + len(part) > unit.block + unit.length and parts:
+                        yield parse(keys, offsets, parts)
+                        keys, offsets, parts, held = [], [], [], 0
+                    keys.append(key)
+                    offsets.append(at)
+                    parts.append(part)
+                    held += len(part)
+        if parts:
+            yield parse(keys, offsets, parts)
 
     known = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     return known.mapInArrow(run, "doc_id long, st int, en int, a long, c long, twice boolean")
@@ -138,7 +170,7 @@ def settle(docs: DataFrame, unit: Unit) -> tuple[DataFrame, DataFrame]:
     many = parsed.groupBy("a").agg(F.count("*").alias("n"), F.max("twice").alias("any")).where("n > 1 or any").select("a")
     many = stage(many, "repeated")
     alive = stage(parsed.join(many, "a"), "alive")
-    release(parsed, many)
+    unstage(parsed, many)
     place = F.struct("doc_id", "st")
     first = alive.groupBy("a", "c").agg(F.min(place).alias("first"), F.max("twice").alias("any"))
     kinds = first.groupBy("a").agg(F.count("*").alias("kinds"))
@@ -147,9 +179,9 @@ def settle(docs: DataFrame, unit: Unit) -> tuple[DataFrame, DataFrame]:
     left = first.join(kinds, "a").where("kinds > 1 or any").select("a", "c", "first", "kinds")
     rest = alive.join(left, ["a", "c"]).where(place == F.col("first"))
     by_doc = stage(rest.groupBy("doc_id").agg(F.collect_set(F.struct("st", "en", "a", "kinds")).alias("runs")), "open")
-    release(alive)
+    unstage(alive)
     opened = stage(_texts(docs, by_doc, unit), "texts")
-    release(by_doc)
+    unstage(by_doc)
     return later, opened
 
 
@@ -158,10 +190,10 @@ def _texts(docs: DataFrame, by_doc: DataFrame, unit: Unit) -> DataFrame:
         for batch in slices(batches):
             rows: list[tuple] = []
             for key, text, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                flat, begin, finish, _ = unit.split(text)
+                symbols = unit.symbols(text)
                 for r in own:
-                    if (last := r["en"] + unit.length - 2) < len(finish):
-                        rows.append((key, r["st"], r["en"], r["a"], r["kinds"], flat[begin[r["st"]] : finish[last]]))
+                    if (end := r["en"] + unit.length - 1) <= len(symbols):
+                        rows.append((key, r["st"], r["en"], r["a"], r["kinds"], unit.join(symbols[r["st"] : end])))
             cols = list(zip(*rows, strict=True)) or [[]] * 6
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "st", "en", "a", "kinds", "text"])
@@ -170,13 +202,6 @@ def _texts(docs: DataFrame, by_doc: DataFrame, unit: Unit) -> DataFrame:
     return joined.mapInArrow(cut, "doc_id long, st int, en int, a long, kinds long, text binary")
 
 
-def release(*staged: DataFrame) -> None:
-    """Delete staged tables, and let Spark's cleaner delete the shuffle files of steps that are over."""
-    unstage(*staged)
-    gc.collect()
-    staged[0].sparkSession._jvm.System.gc()
-
-
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     """The same rows, a few at a time: what Python makes of long texts stays small."""
     for batch in batches:

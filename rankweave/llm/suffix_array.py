@@ -11,11 +11,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stage, table
-from .repeats import Unit, covered, ranges, release, settle, slices, split_bytes, with_marks
+from .common import stage, table, unstage
+from .repeats import Unit, bytes_of, covered, pack_bytes, ranges, settle, slices, with_marks
 
 LENGTH = 100
-BYTES = Unit(LENGTH, 32, split_bytes)
+BYTES = Unit(LENGTH, 32, 1 << 19, bytes_of, pack_bytes, bytes)
 #: Runs of one minimizer that are sorted together at most; the windows of larger groups are grouped by Spark one by one.
 GROUP = 10_000
 #: Bytes that are sorted at once.
@@ -150,7 +150,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     first = windows.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     large = windows.join(first, "h").where(place != F.col("first")).select("doc_id", F.col("pos").alias("st"), (F.col("pos") + 1).alias("en"))
     out = stage(later.unionByName(small).unionByName(large), "marks")
-    release(later, opened)
+    unstage(later, opened)
     return out
 
 
@@ -167,7 +167,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         for batch in slices(batches):
             rows = []
             for key, text, marks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                raw = (text or "").encode("utf-8", "surrogatepass")
+                raw = bytes_of(text)
                 if not marks:
                     rows.append((key, len(raw), 0, 0, raw))
                     continue

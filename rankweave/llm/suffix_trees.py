@@ -6,15 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stage, table, unstage
-from .repeats import Unit, covered, ranges, release, settle, slices, split_words, with_marks
+from .repeats import Unit, covered, gram_hashes, pack_words, ranges, settle, slices, with_marks, words_of
 
 LENGTH = 20
-WORDS = Unit(LENGTH, 8, split_words)
+WORDS = Unit(LENGTH, 8, 1 << 17, words_of, pack_words, b" ".join)
 #: Prefix lengths tried in turn; the last is the whole window.
 PREFIXES = (2, 5, 10, LENGTH)
 #: Suffixes in one tree at most.
@@ -25,27 +24,33 @@ def suffixes(opened: DataFrame) -> DataFrame:
     """``doc_id, pos, suffix, p0 ... p3``: the suffixes (LENGTH words) of the open runs, with hashes of their prefixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
-        for batch in batches:
-            rows: list[tuple] = []
-            for doc, st, text in zip(*batch.columns, strict=True):
-                doc, st, text = doc.as_py(), st.as_py(), text.as_py()
-                size = np.fromiter(map(len, text.split(b" ")), np.int64)
-                ends = (np.cumsum(size + 1) - 1).tolist()
-                first = [0, *(e + 1 for e in ends[:-1])]
-                for i in range(len(ends) - LENGTH + 1):
-                    cuts = [text[first[i] : ends[i + k - 1]] for k in PREFIXES]
-                    rows.append((doc, st + i, cuts[-1], *map(digest, cuts)))
-                if len(rows) > 10_000:  # a run of periodic text has hundreds of suffixes
-                    yield _rows(rows)
-                    rows = []
-            yield _rows(rows)
-
-    def _rows(rows: list[tuple]) -> pa.RecordBatch:
+        for batch in slices(batches, 1000):
+            yield from (_suffixes(*part) for part in _few(batch))
+
+    def _few(batch: pa.RecordBatch) -> Iterator[tuple]:
+        rows, size = [], 0
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if size > 1 << 20:  # a run of periodic text has hundreds of suffixes
+                yield tuple(zip(*rows, strict=True))
+                rows, size = [], 0
+            rows.append(row)
+            size += len(row[2])
+        if rows:
+            yield tuple(zip(*rows, strict=True))
+
+    def _suffixes(doc, st, texts) -> pa.RecordBatch:
+        parts = [t.split(b" ") for t in texts]
+        flat, begin, finish, values = pack_words(parts)
+        n = np.fromiter(map(len, parts), np.int64, len(parts))
+        fits = n - LENGTH + 1
+        which = np.repeat(np.arange(len(n)), fits)
+        nth = np.arange(fits.sum()) - np.repeat(np.cumsum(fits) - fits, fits)
+        at = (np.cumsum(n) - n)[which] + nth
+        suffix = [flat[s:e] for s, e in zip(begin[at].tolist(), finish[at + LENGTH - 1].tolist(), strict=True)]
+        cols = [np.array(doc, np.int64)[which], (np.array(st, np.int64)[which] + nth).astype(np.int32)]
+        prefix = [gram_hashes(values, k)[at].view(np.int64) for k in PREFIXES]
         names = ["doc_id", "pos", "suffix", *(f"p{i}" for i in range(len(PREFIXES)))]
-        cols = list(zip(*rows, strict=True)) or [[]] * len(names)
-        prefix = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in cols[3:]]
-        return pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), *prefix], names=names)
+        return pa.record_batch([pa.array(cols[0]), pa.array(cols[1]), pa.array(suffix, pa.binary()), *map(pa.array, prefix)], names=names)
 
     schema = "doc_id long, pos int, suffix binary, " + ", ".join(f"p{i} long" for i in range(len(PREFIXES)))
     return opened.select("doc_id", "st", "text").mapInArrow(run, schema)
@@ -116,7 +121,7 @@ def repeated(docs: DataFrame, tree: int = TREE) -> DataFrame:
     """
     later, opened = settle(docs, WORDS)
     own = stage(suffixes(opened), "suffixes")
-    release(opened)
+    unstage(opened)
     placed, heavy, kept = [], own, []
     for i in range(len(PREFIXES)):
         big = stage(heavy.groupBy(f"p{i}").agg(F.count("*").alias("n")).where(F.col("n") > tree).select(f"p{i}"), "heavy")
@@ -140,8 +145,7 @@ def repeated(docs: DataFrame, tree: int = TREE) -> DataFrame:
         again = whole.join(first, "h").where(place != F.col("first"))
         marks = marks.unionByName(again.select("doc_id", F.col("pos").alias("st"), (F.col("pos") + 1).alias("en")))
     out = stage(marks, "marks")
-    release(later, own)
-    unstage(*kept)
+    unstage(later, own, *kept)
     return out
 
 
@@ -158,7 +162,7 @@ def remove_repeats(docs: DataFrame, tree: int = TREE) -> DataFrame:
         for batch in slices(batches):
             rows = []
             for key, text, marks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                parts = (text or "").encode("utf-8", "surrogatepass").split()
+                parts = words_of(text)
                 if not marks:
                     rows.append((key, len(parts), 0, b" ".join(parts)))
                     continue
