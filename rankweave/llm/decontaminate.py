@@ -12,12 +12,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
-
-#: Template words in a window, of which so many must be literal.
-WINDOW, MIN_LITERAL = 8, 4
-#: Share of an item's windows that a document must hold, in places whose slots agree.
-SHARE = 0.5
+from .common import stage, table
+
+#: Template words in a window, of which half must be literal.
+WINDOW = 8
+#: Items without such a window are matched in their whole length; those of fewer words than this say nothing of a document and match none.
+SHORTEST = 3
+#: Share of an item's windows that a document must hold, in places whose slots agree; or as many windows of one place as a passage has.
+SHARE, PASSAGE = 0.5, 25
 #: Benchmark windows up to this number are broadcast (some 40 bytes each); more are joined by a shuffle.
 BROADCAST_WINDOWS = 200_000
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
@@ -74,8 +76,8 @@ class Templates(dict):
         self[word] = i
         return i
 
-    def windows(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[str | None]]:
-        """Hash, place and slots of each window of a whole text; slots are the placeholders' values in order, or None."""
+    def template(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A whole text as template words: the number of each word, its token's hash, and whether it is a slot."""
         if len(self) > _CACHE:  # begin anew between texts, so that memory is bounded
             self.clear()
             self.core.clear()
@@ -84,9 +86,6 @@ class Templates(dict):
         kind = self.kind[ids]
         if not kind.all():
             ids, kind = ids[kind > 0], kind[kind > 0]
-        n = len(ids) - WINDOW + 1
-        if n < 1:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), []
         token, slot = self.hash[ids], kind > 1
         if slot.any():
             name = kind == 3
@@ -94,21 +93,45 @@ class Templates(dict):
             name[1:] &= ~self.ends[ids[:-1]]
             slot = name | (kind == 2)
             token[name] = _NAME_HASH
-        h = np.zeros(n, np.uint64)
-        for j in range(WINDOW):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + token[j : j + n]
-            h ^= h >> np.uint64(29)
+        return ids, token, slot
+
+    def windows(self, template: tuple, size: int = WINDOW, sparse: bool = False) -> tuple[np.ndarray, np.ndarray, list[str | None]]:
+        """Hash, place and slots of each window of ``size`` template words; slots are the placeholders' values in order, or None.
+
+        At least half the words are literal. ``sparse`` windows may have one literal
+        word only; the slots of those with fewer than half count by their values, as
+        so short a template would be found anywhere.
+        """
+        ids, token, slot = template
+        n = len(ids) - size + 1
+        if n < 1:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), []
+        h = self._roll(token, size, size if sparse else 0)
         if not slot.any():
             return h, np.arange(n), [None] * n
         before = np.concatenate([[0], np.cumsum(slot)])
-        filled = before[WINDOW:] - before[:-WINDOW]
-        at = np.flatnonzero(WINDOW - filled >= MIN_LITERAL)
+        filled = before[size:] - before[:-size]
+        if sparse:
+            values = token.copy()
+            for i in np.flatnonzero(slot).tolist():
+                values[i] = xxhash.xxh3_64_intdigest(self.core[int(ids[i])].encode("utf-8", "surrogatepass"))
+            h = np.where(2 * filled > size, self._roll(values, size, -size), h)
+        at = np.flatnonzero(size - filled >= (1 if sparse else (size + 1) // 2))
         slots: list[str | None] = [None] * len(at)
         for i in np.flatnonzero(filled[at] > 0).tolist():
-            here = range(at[i], at[i] + WINDOW)
+            here = range(at[i], at[i] + size)
             slots[i] = "\x1f".join(self.core[int(ids[j])] for j in here if slot[j])
         return h[at], at, slots
 
+    @staticmethod
+    def _roll(token: np.ndarray, size: int, start: int) -> np.ndarray:
+        n = len(token) - size + 1
+        h = np.full(n, start, np.int64).view(np.uint64)
+        for j in range(size):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + token[j : j + n]
+            h ^= h >> np.uint64(29)
+        return h
+
 
 @functools.lru_cache(maxsize=1)
 def templates() -> Templates:
@@ -116,18 +139,44 @@ def templates() -> Templates:
     return Templates()
 
 
-def template_windows(texts: DataFrame, key: str) -> DataFrame:
-    """``key, pos, h, slots``: the template windows of ``texts(key, text)``; texts of fewer than WINDOW words have none."""
+def whole_sizes(items: DataFrame) -> list[int]:
+    """Lengths, in template words, of the items that have no window of WINDOW words: as few as such items are, and mostly none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = templates()
+        for batch in batches:
+            made = [own.template(t.as_py()) for t in batch.column(0)]
+            sizes = {len(m[0]) for m in made if len(m[0]) >= SHORTEST and not m[2].all() and not len(own.windows(m)[0])}
+            yield pa.record_batch([pa.array(sorted(sizes), pa.int32())], names=["size"])
+
+    return sorted(r["size"] for r in items.select("text").mapInArrow(run, "size int").distinct().collect())
+
+
+def template_windows(texts: DataFrame, key: str, whole: tuple[int, ...] = (), items: bool = False) -> DataFrame:
+    """``key, pos, h, slots``: the template windows of ``texts(key, text)``.
+
+    For each size in ``whole`` there are the windows of that size too, with a literal
+    word or more. ``items`` have their own whole template as such a window, and only if they have no other.
+    """
+
+    def of(own: Templates, text: str | None) -> Iterator[tuple]:
+        made = own.template(text)
+        usual = own.windows(made)
+        yield usual
+        if not items:
+            yield from (own.windows(made, size, True) for size in whole)
+        elif len(made[0]) in whole and not len(usual[0]):
+            yield own.windows(made, len(made[0]), True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = templates()
         for batch in batches:
             keys, parts, size = [], [], 0
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = own.windows(t.as_py())
-                keys.append((k, len(found[0])))
-                parts.append(found)
-                size += len(found[0])
+                for found in of(own, t.as_py()):
+                    keys.append((k, len(found[0])))
+                    parts.append(found)
+                    size += len(found[0])
                 if size > 500_000:
                     yield _batch(keys, parts)
                     keys, parts, size = [], [], 0
@@ -150,16 +199,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
     A place is a document, an item and an offset between them. Its slots agree if
     every value of the item stands for one value in the document and the other way
     round; places whose slots disagree don't count. A row needs ``share`` of the
-    item's windows in places that count; ``exact`` says that no slot was changed.
-    Null texts match nothing, nor do items of fewer than WINDOW words; rows without
-    an id are left out; a doc_id that occurs twice counts as one document.
+    item's windows in places that count, or a passage of PASSAGE windows in one
+    place; ``exact`` says that no slot was changed. Items that are shorter than a
+    window, or whose windows are mostly slots, are matched in their whole length.
+    Null texts match nothing, nor do items of fewer than SHORTEST words or without a
+    literal one; rows without an id are left out; a doc_id that occurs twice counts as one document.
     """
-    bench = template_windows(benchmark.select("item_id", "text"), "item_id")
+    whole = tuple(whole_sizes(benchmark))
+    bench = template_windows(benchmark.select("item_id", "text"), "item_id", whole, items=True)
     bench = bench.select("item_id", F.col("pos").alias("ipos"), "h", F.col("slots").alias("islots")).distinct()
+    bench = stage(bench, "benchmark")
     size = bench.groupBy("item_id").agg(F.countDistinct("ipos").alias("windows"))
     if bench.count() <= BROADCAST_WINDOWS:
         bench, size = F.broadcast(bench), F.broadcast(size)
-    hits = template_windows(docs.select("doc_id", "text"), "doc_id").join(bench, "h")
+    hits = template_windows(docs.select("doc_id", "text"), "doc_id", whole).join(bench, "h")
     pairs = F.when(
         F.col("islots").isNotNull(),
         F.arrays_zip(F.split("islots", "\x1f").alias("i"), F.split("slots", "\x1f").alias("d")),
@@ -173,11 +226,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
     )
     same = F.forall("pairs", lambda p: p["i"] == p["d"])
     found = (
-        place.where(agree).select("doc_id", "item_id", F.explode("at").alias("ipos"), same.alias("same"))
-        .groupBy("doc_id", "item_id").agg(F.countDistinct("ipos").alias("matched"), F.every("same").alias("exact"))
+        place.where(agree).select("doc_id", "item_id", F.explode("at").alias("ipos"), same.alias("same"), F.size("at").alias("n"))
+        .groupBy("doc_id", "item_id").agg(F.countDistinct("ipos").alias("matched"), F.every("same").alias("exact"), F.max("n").alias("longest"))
         .join(size, "item_id").withColumn("share", F.col("matched") / F.col("windows"))
     )
-    return found.where(F.col("share") >= share).select("doc_id", "item_id", "matched", "share", "exact")
+    return found.where((F.col("share") >= share) | (F.col("longest") >= PASSAGE)).select("doc_id", "item_id", "matched", "share", "exact")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

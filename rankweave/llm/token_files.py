@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -30,6 +31,7 @@ LAYOUT = {
     "parquet.enable.dictionary": "true",
     "parquet.enable.dictionary#ids.list.element": "false",
     "parquet.enable.dictionary#doc_id": "false",
+    "parquet.enable.dictionary#place": "false",
 }
 #: How byte-level BPE splits a text (fixed value of the vocabulary file).
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -71,6 +73,10 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        split = json.loads(self.tokenizer.to_str())
+        pre = split.get("pre_tokenizer") or {}
+        #: Whether the file splits texts as SPLIT does and changes nothing before; otherwise all texts go whole to the library.
+        self.splits = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not split.get("normalizer")
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         shown = {*range(33, 127), *range(161, 173), *range(174, 256)}  # byte-level BPE shows these bytes as they are, the others from 256 on
         rest = iter(range(256, 512))
@@ -96,7 +102,7 @@ class PieceEncoder:
         return self._piece(first) + b"".join(map(self.pieces.__getitem__, rest))
 
     def _ids(self, text: str) -> bytes:
-        if "  " in text or text[-1:] == " " or any(a in text for a in self.added) or _OTHER.search(text):
+        if not self.splits or "  " in text or text[-1:] == " " or any(a in text for a in self.added) or _OTHER.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         parts = iter(text.split(" "))
         first = b"".join(map(self.pieces.__getitem__, SPLIT.findall(next(parts))))
@@ -139,18 +145,19 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
 
 def write_token_files(docs: DataFrame, path: str, columns: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """Encode ``docs``, write token files in ascending doc_id order, and return them as read back: ``doc_id, n_tokens, columns, ids``.
+    """Encode ``docs``, write token files in ascending doc_id order, and return them as read back: ``doc_id, place, n_tokens, columns, ids``.
 
     Files hold disjoint ranges of doc_id and are sorted within; their row groups'
     and pages' statistics on doc_id let a reader skip. Rows of equal doc_id are
-    ordered by text. ``path`` is the tokenizer's file; workers open it.
+    ordered by text, and ``place`` keeps each row's place in its file. ``path`` is
+    the tokenizer's file; workers open it.
     """
     keep = [c for c in columns if c in docs.columns]
     narrow = docs.select(F.col("doc_id").cast("long"), *keep, "text")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_ = narrow.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     coded = encode(sorted_, path)
-    return stage(coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), *keep, "ids"), "tokens", **LAYOUT)
+    return stage(coded.select("doc_id", F.monotonically_increasing_id().alias("place"), F.size("ids").cast("long").alias("n_tokens"), *keep, "ids"), "tokens", **LAYOUT)
 
 
 def read_tokens(files: DataFrame, lo: int, hi: int) -> DataFrame:
@@ -164,7 +171,7 @@ def digest(files: DataFrame) -> DataFrame:
     Sums run within a file first; the files' own totals, a row each, are summed in
     the order of their first doc_id.
     """
-    named = files.select("doc_id", "n_tokens", "ids", F.input_file_name().alias("file"))
+    named = files.select("doc_id", "n_tokens", "ids", F.input_file_name().alias("file"), "place")
     totals = named.groupBy("file").agg(F.sum("n_tokens").alias("total"), F.min("doc_id").alias("first"))
     before = Window.orderBy("first", "file").rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select("file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
@@ -174,10 +181,10 @@ def digest(files: DataFrame) -> DataFrame:
             offsets = np.array(batch.column(2).offsets)
             flat = np.asarray(batch.column(2).values).astype("<u4")
             crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.record_batch([*batch.columns[:2], batch.column(3), pa.array(crc, pa.int64())], names=["doc_id", "n_tokens", "file", "ids_crc32"])
+            yield pa.record_batch([*batch.columns[:2], *batch.columns[3:], pa.array(crc, pa.int64())], names=["doc_id", "n_tokens", "file", "place", "ids_crc32"])
 
-    rows = named.mapInArrow(run, "doc_id long, n_tokens long, file string, ids_crc32 long")
-    within = Window.partitionBy("file").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    rows = named.mapInArrow(run, "doc_id long, n_tokens long, file string, place long, ids_crc32 long")
+    within = Window.partitionBy("file").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     own = rows.withColumn("own", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
     return own.join(base, "file").select("doc_id", (F.col("base") + F.col("own")).alias("start"), "n_tokens", "ids_crc32")
 

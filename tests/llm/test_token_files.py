@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rankweave.llm import token_files as tf
@@ -41,6 +42,26 @@ def test_selective_reads_and_edge_cases(spark):
     assert tf.digest(tf.write_token_files(docs.limit(0), PATH)).count() == 0
 
 
+def test_rows_of_one_id_start_in_the_files_order(spark):
+    docs = spark.createDataFrame([(4, t) for t in ("b c d", "a", "a", None, "a b")] + [(5, "z")], "doc_id long, text string").repartition(3)
+    files = tf.write_token_files(docs, PATH)
+    order = [(r.doc_id, len(r.ids)) for r in files.orderBy(F.input_file_name(), "place").collect()]
+    assert [n for _, n in sorted(order, key=lambda x: x[0])][:5] == [1, 2, 2, 3, 4]  # ordered by text, null first
+    rows = sorted(tf.digest(files).collect(), key=lambda r: r.start)
+    assert [r.start for r in rows] == [0, 1, 3, 5, 8, 12] and [r.n_tokens for r in rows] == [1, 2, 2, 3, 4, 2]
+
+
+def test_another_split_goes_whole_to_the_library(tmp_path):
+    import json
+
+    spec = json.load(open(PATH))
+    spec["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "other.json").write_text(json.dumps(spec))
+    encoder, plain = tf.PieceEncoder(str(tmp_path / "other.json")), Tokenizer.from_file(str(tmp_path / "other.json"))
+    assert not encoder.splits and tf.PieceEncoder(PATH).splits
+    assert encoder.encode(["the cat"])[0].tolist() == [*plain.encode("the cat", add_special_tokens=False).ids, tf.END]
+
+
 def test_ids_are_delta_encoded(spark):
     import pyarrow.parquet as pq
 
