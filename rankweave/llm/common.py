@@ -70,6 +70,12 @@ def words(text):
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES, -1), lambda w: w != "")
 
 
+def text_key(text="text"):
+    """Column: equal texts have equal keys; all blank ones have 0."""
+    value = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+    return F.when(value.rlike(r"[^\x20\x09-\x0D]"), F.xxhash64(value)).otherwise(F.lit(0).cast("long"))
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Rows ``(node, root)``: the smallest node that each node of an edge reaches.
 

@@ -1,4 +1,4 @@
-"""Near-duplicates by exact Jaccard similarity of word shingles: a prefix-filtered set-similarity self-join."""
+"""The exact part of near-duplicate groups: Jaccard similarity of word shingles, and a prefix-filtered self-join for links beyond a fingerprint's reach."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, stage
+from .common import connected_components, stage, text_key, unstage
 
 #: Distinct texts whose shingles are counted to put common ones last. The order bounds the work; no order loses a pair.
 ORDER_TEXTS = 20_000
@@ -39,12 +39,6 @@ def shingles(text: str | None, size: int = 5) -> np.ndarray:
     return np.unique(out)
 
 
-def text_key(text="text"):
-    """Column: equal texts have equal keys; all blank ones have 0."""
-    value = F.coalesce(F.col(text), F.lit(""))
-    return F.when(value.rlike(r"[^\x20\x09-\x0D]"), F.xxhash64(value)).otherwise(F.lit(0).cast("long"))
-
-
 def _sets(keyed: DataFrame) -> DataFrame:
     """``(key, tokens)`` of ``keyed(key, text)``; copies that meet in a task come once."""
 
@@ -204,7 +198,7 @@ def _with_root(postings: DataFrame, roots: DataFrame) -> DataFrame:
     return named.select("token", "key", "n", "pos", F.coalesce("root", "key").alias("root"))
 
 
-def _confirmed(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
     """The pairs whose shingle sets have a Jaccard similarity of 0.8 or more, by whole sets and whole numbers."""
     keys = stage(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), "keys")
     few = keys.count() <= BROADCAST_KEYS
@@ -216,35 +210,28 @@ def _confirmed(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
     return stage(pairs.join(left, "a").join(right, "b").where(9 * both >= 4 * (F.size("x") + F.size("y"))).select("a", "b"), "confirmed")
 
 
-def near_roots(docs: DataFrame) -> DataFrame:
-    """Rows ``(node, root)`` of the text keys of ``docs(text)`` that have near-duplicates; see ``near_duplicates``."""
+def linked_roots(docs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows ``(node, root)`` of the text keys of ``docs(text)`` that have near-duplicates, from ``roots`` that are known already.
+
+    Texts whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more
+    are linked. Words are what ASCII white space separates, ASCII letters
+    lower-cased. A text of fewer words is one shingle; null, empty and blank texts
+    are copies of each other. Every such pair is found unless ``roots`` has it in one
+    group: of two sets of similarity 0.8, the first ``n - ceil(0.8 n) + 1`` tokens
+    in any one order share a token, and whole sets decide. Texts and shingles are
+    told apart by 64-bit hashes.
+    """
     keyed = docs.select(text_key().alias("key"), "text")
     postings = stage(_by_token(_postings(keyed)).mapInArrow(_repeated, _POSTING), "postings")
-    roots = docs.sparkSession.createDataFrame([], "node long, root long")
-    links = tried = None
+    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    tried = None
     # Neighbours first, so that large groups of near copies are one component before all pairs across components are taken.
-    for step in (_neighbours, _neighbours, _across):
+    for step in (_neighbours, _across):
         pairs = _by_token(_with_root(postings, roots)).mapInArrow(step, _LINK)
         pairs = pairs.distinct() if tried is None else pairs.distinct().join(tried, ["a", "b"], "left_anti")
         pairs = stage(pairs, "candidates")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found = _confirmed(pairs, keyed)
-        links = found if links is None else links.unionByName(found)
+        links = links.unionByName(confirmed(pairs, keyed))
         roots = stage(connected_components(links), "roots")
+    unstage(postings)
     return roots
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, key, root``; documents of one root are near-duplicates.
-
-    Texts whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more
-    are linked, and a root is one set of texts that links reach. Words are what
-    ASCII white space separates, ASCII letters lower-cased. A text of fewer words is
-    one shingle; null, empty and blank texts are copies of each other. Every such
-    pair is found: of two sets of similarity 0.8, the first ``n - ceil(0.8 n) + 1``
-    tokens in any one order share a token, and whole sets decide. Texts and shingles
-    are told apart by 64-bit hashes.
-    """
-    own = docs.select("doc_id", text_key().alias("key"))
-    roots = near_roots(docs).withColumnRenamed("node", "key")
-    return own.join(roots, "key", "left").select("doc_id", "key", F.coalesce("root", "key").alias("root"))

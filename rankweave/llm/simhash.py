@@ -10,7 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import connected_components, stage, table
+from . import jaccard
+from .common import connected_components, stage, table, text_key, unstage
 
 #: A pair of trie nodes goes to one task once both hold so many fingerprints or fewer.
 LEAF = 40_000
@@ -206,6 +207,32 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 2, seed: in
     return own.join(named.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+def similar_groups(docs: DataFrame, shingle: int = 5, budget: int = 3) -> DataFrame:
+    """``docs`` with ``group``: rows of one group are near-duplicates, which 5-word shingles of Jaccard similarity 0.8 or more link.
+
+    The trie join links the texts whose fingerprints lie within ``budget`` bits, and
+    whole shingle sets confirm each link. Pairs of 0.8 may differ in more bits than a
+    trie can prune by (some ten of 64), so a second pass over all texts finds the
+    links between the trie's groups from their shingles (``jaccard.linked_roots``):
+    no pair of 0.8 or more is lost. Null, empty and blank texts are copies of each
+    other. Rows may share a doc_id or lack one; only ``text`` is read.
+    """
+    keyed = docs.withColumn("__key", text_key())
+    texts = keyed.select(F.col("__key").alias("doc_id"), "text")
+    own = stage(fingerprints(texts, shingle).where("doc_id <> 0").distinct(), "fingerprints")
+    each = stage(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    close = near_links(each.select("fp"), budget)
+    a, b = (each.select(F.col("fp").alias(x), F.col("first").alias(y)) for x, y in (("a", "x"), ("b", "y")))
+    across = close.join(a, "a").join(b, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    within = own.join(each, "fp").where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+    pairs = stage(across.unionByName(within), "pairs")
+    links = jaccard.confirmed(pairs, docs.select(text_key().alias("key"), "text"))
+    roots = jaccard.linked_roots(docs, stage(connected_components(links), "roots"))
+    unstage(own, each, pairs)
+    named = keyed.join(roots.withColumnRenamed("node", "__key"), "__key", "left")
+    return named.withColumn("group", F.coalesce("root", "__key")).drop("__key", "root")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -1,33 +1,15 @@
 import re
 
-import numpy as np
 import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from rankweave.llm import decontaminate as dc
-from rankweave.llm import quality, sentencepiece_lattice, simhash
+from rankweave.llm import quality, sentencepiece_lattice
+from tests.llm.test_jaccard import plain_kept, plain_set
 from tests.llm.test_pii import plain
 
 
-def plain_groups(fps):
-    """Smallest doc_id that links of two bits or fewer reach, by comparing all pairs."""
-    keys = sorted(fps)
-    up = {k: k for k in keys}
-
-    def root(k):
-        while up[k] != k:
-            k = up[k]
-        return k
-
-    v = np.array([fps[k] for k in keys], np.uint64)
-    for i in range(len(keys)):
-        for j in np.flatnonzero(np.bitwise_count(v ^ v[i]) <= 2):
-            a, b = sorted((root(keys[i]), root(keys[int(j)])))
-            up[b] = a
-    return {k: root(k) for k in keys}
-
-
 def test_stages_equal_brute_force(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
@@ -48,8 +30,7 @@ def test_stages_equal_brute_force(spark):
         if share >= 0.5 and not quality.base_fails(*quality.text_counts(t)):
             good.add(k)
     assert len(good ^ kept[0].keys()) <= 2  # shares are of bytes there, of characters here
-    groups = plain_groups({k: simhash.fingerprint(t) for k, t in kept[0].items()})
-    assert kept[1].keys() == {k for k, g in groups.items() if k == g}
+    assert kept[1].keys() == plain_kept(kept[0])
     leaks = {r.doc_id for r in dc.contaminated(after[2], spark.read.parquet(f"{folder}/benchmark.parquet")).collect()}
     assert leaks and kept[2].keys() == kept[1].keys() - leaks
     assert kept[3].keys() == kept[2].keys()
@@ -81,3 +62,36 @@ def test_odd_documents(spark, tmp_path):
         keys = [r.doc_id for r in out.select("doc_id").collect()]
         assert len(keys) == len(set(keys))
         assert {r.doc_id for r in out.select(F.col("doc_id")).collect()} <= {2, 3}
+
+
+def test_no_text_is_lost_where_ids_repeat_or_are_null(spark):
+    """Rows as groups of near-duplicate texts, by comparing all pairs: each group keeps one row, of its smallest id, null last."""
+    fine = [" ".join(f"{w}{i}" for i in range(20)) for w in ("a", "b", "c", "d", "e")]
+    near = fine[4] + " end"
+    rows = [(5, fine[0], "x"), (5, fine[1], "x"), (None, fine[2], "x"), (None, fine[3], "x"), (None, fine[3], "y"), (7, fine[3], "z"), (7, fine[3], "w"),
+            (None, near, "x"), (None, fine[4], "x"), (None, fine[4], "x"), (9, None, "x"), (8, "", "x"), (None, " ", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    out = sorted(((r.doc_id, r.text, r.source) for r in cp.near_dedup(spark, docs, "").collect()), key=str)
+    left = list(rows)
+    groups = []
+    while left:
+        group = [left.pop()]
+        for own in group:
+            a = plain_set(own[1])
+            more = [r for r in left if (b := plain_set(r[1])) == a or (a and b and len(a & b) / len(a | b) >= 0.8)]
+            left = [r for r in left if r not in more]
+            group += more
+        groups.append(group)
+    assert len(out) == len(groups) == 6
+    for group in groups:
+        (kept,) = [r for r in out if r in group]
+        assert kept[0] == min((r[0] for r in group if r[0] is not None), default=None)
+    assert [tuple(r) for r in cp.near_dedup(spark, docs.repartition(2), "").orderBy("text", "source").collect()] == sorted(out, key=lambda r: (r[1] or "", r[2]))
+
+
+def test_decontamination_takes_texts_and_not_ids(spark, tmp_path):
+    item = "Which old bridge over the long river was built first by the town and its people in that year?"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(5, "Well. " + item), (5, "a clean text"), (None, item), (None, "another clean text")], "doc_id long, text string")
+    out = cp.benchmark_decontamination(spark, docs, str(tmp_path))
+    assert sorted(r.text for r in out.collect()) == ["a clean text", "another clean text"]

@@ -6,7 +6,24 @@ import xxhash
 
 from rankweave.llm import simhash
 from rankweave.llm.common import connected_components
-from tests.llm.test_pipeline import plain_groups
+
+
+def plain_groups(fps):
+    """Smallest doc_id that links of two bits or fewer reach, by comparing all pairs."""
+    keys = sorted(fps)
+    up = {k: k for k in keys}
+
+    def root(k):
+        while up[k] != k:
+            k = up[k]
+        return k
+
+    v = np.array([fps[k] for k in keys], np.uint64)
+    for i in range(len(keys)):
+        for j in np.flatnonzero(np.bitwise_count(v ^ v[i]) <= 2):
+            a, b = sorted((root(keys[i]), root(keys[int(j)])))
+            up[b] = a
+    return {k: root(k) for k in keys}
 
 
 def plain_fingerprint(text):
