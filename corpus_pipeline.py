@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.llm import decontaminate, jaccard, pii, quality, sentencepiece_lattice
-from rankweave.llm.common import stage, table
+from rankweave.llm import decontaminate, pii, quality, sentencepiece_lattice, simhash
+from rankweave.llm.common import stage, table, text_key, unstage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,16 +22,39 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one of smallest doc_id, once; documents without an id go."""
-    groups = jaccard.near_duplicates(docs)
-    first = groups.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One row of each near-duplicate group: the one of smallest doc_id, null ids last.
+
+    Rows are told apart by their texts and places, not by ids: distinct texts that
+    share an id, or have none, stay. Of rows of one group that also share their id,
+    one stays, chosen by a hash of all its columns.
+    """
+    names = {c: f"__own {c}" for c in docs.columns}
+    rows = docs.withColumnsRenamed(names)
+    grouped = simhash.similar_groups(rows.withColumnRenamed(names["text"], "text")).withColumnRenamed("text", names["text"])
+    doc_id, own = F.col(f"`{names['doc_id']}`"), [F.col(f"`{c}`") for c in names.values()]
+    each = grouped.groupBy("group", doc_id.alias("doc_id")).agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n")
+    several = each.groupBy("group").agg(F.min(order).alias("first"), F.sum("n").alias("rows")).where("rows > 1")
+    several = stage(several.select("group", "first"), "groups")
+    placed = grouped.join(several, "group", "left")
+    is_first = F.col("first").isNull() | (doc_id.eqNullSafe(F.col("first.doc_id")) & (F.col("first.n") == 1))
+    kept = placed.where(is_first).select(*own)
+    if not several.where("first.n > 1").isEmpty():
+        tied = placed.where(doc_id.eqNullSafe(F.col("first.doc_id")) & (F.col("first.n") > 1))
+        once = tied.groupBy("group").agg(F.min_by(F.struct(*own), F.xxhash64(*own)).alias("row"))
+        kept = kept.unionByName(once.select("row.*"))
+    return kept.toDF(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(stage(found, "contaminated"), "doc_id", "left_anti").select(*docs.columns)
+    """Documents without a benchmark item; texts are found by their own key, so that rows which share an id, or have none, are judged apart."""
+    names = {c: f"__own {c}" for c in docs.columns}
+    rows = docs.withColumnsRenamed(names)
+    key = text_key(F.col(f"`{names['text']}`")).alias("doc_id")
+    texts = rows.select(key, F.col(f"`{names['text']}`").alias("text"))
+    found = decontaminate.contaminated(texts, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    left = rows.withColumn("doc_id", key).join(stage(found, "contaminated"), "doc_id", "left_anti")
+    return left.select(*(f"`{c}`" for c in names.values())).toDF(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +74,7 @@ def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 STAGES = [
     ("quality_rules", quality_rules),
-    ("jaccard_near_dedup", near_dedup),
+    ("simhash_near_dedup", near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
     ("personal_data", personal_data),
     ("sentencepiece", sentencepiece_ids),
@@ -63,7 +86,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the ``documents`` of ``sf_dir``, each written to the shared folder and read back."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name)
+        unstage(*before)
+        before = [docs]
     return docs
