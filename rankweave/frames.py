@@ -20,16 +20,24 @@ def purchases(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pred(spark: SparkSession, sf: str) -> DataFrame:
-    """Candidates: every part type for each customer in each year of activity; score from the year before, label from this year."""
-    buy = purchases(spark, sf)
+    """Candidates: every part type for each customer in each year of activity; score from the year before, label from this year.
+
+    Purchases are summed once and gathered per customer (a few years times the part
+    types), so that candidates need no join back to them and stay dealt out by
+    customer, as windows over queries want them.
+    """
     items = table(spark, sf, "part").select(F.col("p_type").alias("prod_name")).distinct()
-    grid = buy.select("cust_id", F.col("yr").alias("snap_date")).distinct().crossJoin(F.broadcast(items))  # part types: a fixed few
-    now = buy.select("cust_id", F.col("yr").alias("snap_date"), "prod_name", F.lit(1).alias("label"))
-    before = buy.select("cust_id", F.add_months("yr", 12).alias("snap_date"), "prod_name", "q")
-    keys = ["cust_id", "snap_date", "prod_name"]
-    q = F.coalesce("q", F.lit(0.0))
-    return grid.join(now, keys, "left").join(before, keys, "left").select(
-        "snap_date", "cust_id", "prod_name", F.coalesce("label", F.lit(0)).alias("label"), (q / (q + 50.0)).alias("score"), q.alias("score_uncalibrated")
+    bought = purchases(spark, sf).groupBy("cust_id").agg(F.collect_list(F.struct("yr", "prod_name", "q")).alias("bought"))
+    years = bought.withColumn("snap_date", F.explode(F.array_distinct(F.transform("bought", lambda x: x["yr"]))))
+
+    def of_year(year):
+        own = F.filter("bought", lambda x: x["yr"] == year)
+        return F.map_from_entries(F.transform(own, lambda x: F.struct(x["prod_name"], x["q"])))
+
+    dated = years.select("cust_id", "snap_date", of_year(F.col("snap_date")).alias("now"), of_year(F.add_months("snap_date", -12)).alias("before"))
+    q = F.coalesce(F.element_at("before", F.col("prod_name")), F.lit(0.0))
+    return dated.crossJoin(F.broadcast(items)).select(  # part types: a fixed few
+        "snap_date", "cust_id", "prod_name", F.map_contains_key("now", F.col("prod_name")).cast("int").alias("label"), (q / (q + 50.0)).alias("score"), q.alias("score_uncalibrated")
     )
 
 

@@ -38,6 +38,17 @@ def weighted_auc(df: DataFrame, by: Iterable[str], score: str, weight: str | Non
         F.sum("p").alias("n_pos_weight"), F.sum("n").alias("n_neg_weight"))
 
 
+def item_auc(df: DataFrame, score: str | None = None, weight: str | None = None, roles: Roles = ROLES) -> DataFrame:
+    """``item, raw_auc, centered_auc, auc_gap``: AUC of the score, of the score less its query's mean, and raw less centred.
+
+    The gap is what the entities' overall level adds to the raw AUC: positive if buyers happen to score high on everything.
+    """
+    own = query_centering(df if score is None else df.withColumn(roles.score, F.col(score)), roles)
+    own = own.withColumn("centered", F.round("centered", 12))  # equal but for the order of a sum: a tie
+    raw, centered = (weighted_auc(own, [roles.item], c, weight, roles).select(roles.item, F.col("auc").alias(n)) for c, n in ((roles.score, "raw_auc"), ("centered", "centered_auc")))
+    return raw.join(centered, roles.item).withColumn("auc_gap", F.col("raw_auc") - F.col("centered_auc"))
+
+
 def item_ability(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
     """Per item: mean centred score of positives and negatives, their gap, and percentiles of the rank in the query."""
     order = Window.partitionBy(*roles.query).orderBy(F.col(roles.score).desc(), roles.item)

@@ -35,6 +35,23 @@ def profile_divergence(df: DataFrame, dims: list[str], top: int) -> DataFrame:
     return both.select(*dims, jaccard.alias("jaccard"), F.array_join(F.array_except("mine", "global"), ",").alias("idiosyncratic"))
 
 
+def rank_divergence(df: DataFrame, dims: list[str]) -> DataFrame:
+    """``dims, divergence``: (1 - Spearman) / 2 between each group's mean absolute values by feature and those of all rows; ties share their mean rank.
+
+    0 is the same order of features, 1 the opposite; a group or a whole without variation gives 0.
+    """
+    size = F.avg(F.abs("value"))
+    own, every = df.groupBy(*dims, "feature").agg(size.alias("v")), df.groupBy("feature").agg(size.alias("g"))
+    joined = own.join(every, "feature")  # groups times features
+
+    def place(column: str):
+        part = Window.partitionBy(*dims)
+        return F.rank().over(part.orderBy(column)) + (F.count("*").over(Window.partitionBy(*dims, column)) - 1) / 2.0
+
+    ranked = joined.withColumns({"__a": place("v"), "__b": place("g")})
+    return ranked.groupBy(*dims).agg(F.coalesce((1 - F.corr("__a", "__b")) / 2, F.lit(0.0)).alias("divergence"))
+
+
 def score_summary(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
     return df.groupBy(roles.item).agg(F.min(roles.score).alias("min"), F.max(roles.score).alias("max"), F.avg(roles.score).alias("mean"), (F.max(roles.label) == 1).alias("has_positive"))
 

@@ -24,18 +24,18 @@ def popularity_counts(labels: DataFrame, snapshots: Iterable[str], months: int,
     """
     daily = labels.groupBy(roles.item, F.to_date(roles.time).alias("day")).agg(F.sum(roles.label).alias("n"))
     windows = _windows(labels, snapshots, months)
-    inside = windows.join(daily, (F.col("day") >= F.col("start")) & (F.col("day") < F.col("snapshot")))
+    inside = daily.join(F.broadcast(windows), (F.col("day") >= F.col("start")) & (F.col("day") < F.col("snapshot")))  # the caller's list
     found = inside.groupBy("snapshot", roles.item).agg(F.sum("n").alias("count")).withColumn("fallback", F.lit(False))
     total = daily.groupBy(roles.item).agg(F.sum("n").alias("count"))
     empty = windows.select("snapshot").join(found.select("snapshot").distinct(), "snapshot", "left_anti")
-    whole = empty.crossJoin(total).select("snapshot", roles.item, "count", F.lit(True).alias("fallback"))  # the missing snapshots, the items
+    whole = total.crossJoin(F.broadcast(empty)).select("snapshot", roles.item, "count", F.lit(True).alias("fallback"))  # the missing snapshots, the items
     return found.unionByName(whole)
 
 
 def monthly_popularity(labels: DataFrame, snapshots: Iterable[str], months: int, roles: Roles = ROLES) -> DataFrame:
     """As popularity_counts, by ``month`` (yyyy-MM), without a fallback."""
     daily = labels.groupBy(roles.item, F.to_date(roles.time).alias("day")).agg(F.sum(roles.label).alias("n"))
-    inside = _windows(labels, snapshots, months).join(daily, (F.col("day") >= F.col("start")) & (F.col("day") < F.col("snapshot")))
+    inside = daily.join(F.broadcast(_windows(labels, snapshots, months)), (F.col("day") >= F.col("start")) & (F.col("day") < F.col("snapshot")))
     return inside.groupBy("snapshot", roles.item, F.date_format("day", "yyyy-MM").alias("month")).agg(F.sum("n").alias("count"))
 
 

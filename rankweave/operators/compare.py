@@ -41,9 +41,12 @@ def common_universe(a: DataFrame, b: DataFrame, columns: Iterable[str]) -> DataF
 
 
 def restrict_to_common(a: DataFrame, b: DataFrame, labels: DataFrame, roles: Roles = ROLES) -> tuple[DataFrame, DataFrame]:
-    """Both sides on shared entities and items, labelled and ranked anew; stays a join of sets, whatever their size."""
+    """Both sides on shared entities and items, labelled and ranked anew; stays a join of sets, whatever their size. Fails if nothing is shared."""
     entities = common_universe(a, b, roles.entity)
     items = common_universe(a, b, [roles.item])
+    for name, shared in (("entities", entities), ("items", items)):
+        if shared.isEmpty():
+            raise ValueError(f"the two sides share no {name}")
 
     def cut(df: DataFrame) -> DataFrame:
         kept = df.join(entities, list(roles.entity), "left_semi").join(items, roles.item, "left_semi")

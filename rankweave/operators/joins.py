@@ -43,6 +43,18 @@ def override_join(df: DataFrame, keys: Iterable[str], overrides: dict[str, float
     return joined.withColumn(name, F.coalesce(name, F.lit(float(default)))).drop("__key")
 
 
+def code_weights(overrides: dict[str, float], keys: list[str], vocabularies: dict[str, list[str]]) -> dict[str, float]:
+    """Overrides keyed by values, keyed by codes instead for the ``keys`` that are encoded; a key with an unknown value goes."""
+    code = {k: {v: i for i, v in enumerate(values)} for k, values in vocabularies.items()}
+    out = {}
+    for composite, weight in overrides.items():
+        parts = composite.split("|")
+        coded = [str(code[k].get(p, "")) if k in code else p for k, p in zip(keys, parts, strict=True)]
+        if all(coded):
+            out["|".join(coded)] = weight
+    return out
+
+
 def unmatched_keys(df: DataFrame, keys: Iterable[str], configured: Iterable[str]) -> DataFrame:
     """``key``: configured composite keys that no row has."""
     spark = df.sparkSession

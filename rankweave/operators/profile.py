@@ -79,8 +79,16 @@ def ratio_surface(profile: DataFrame, mult: float) -> DataFrame:
     return profile.withColumn("ratio", ratio).withColumns({"kept_neg": kept, "new_rate": F.try_divide(F.col("n_pos"), F.col("n_pos") + kept)})
 
 
-def weight_surface(surface: DataFrame, target: float, alpha: float) -> DataFrame:
-    """Adds ``floor, mass, attention, w_pos, w_neg``: the negatives' weight that gives a positive rate ``target``, and attention shared by mass."""
+def weight_surface(surface: DataFrame, target: float, alpha: float, base: str = "coupled", phi: float = 1.0) -> DataFrame:
+    """Adds ``floor, mass, attention, w_pos, w_neg``: the negatives' weight that gives a positive rate ``target``, and attention shared by mass.
+
+    The base of negatives is what the ratio surface keeps ("coupled"), or the share
+    ``phi`` of all of them whatever the ratios ("decoupled").
+    """
+    if base not in ("coupled", "decoupled"):
+        raise ValueError(f"unknown base {base}")
+    if base == "decoupled":
+        surface = surface.withColumn("kept_neg", F.col("n_neg") * F.lit(float(phi)))
     floor = F.try_divide(F.col("n_pos") * (1 - target), target * F.col("kept_neg"))
     own = surface.withColumn("floor", F.coalesce(floor, F.lit(1.0))).withColumn("mass", F.col("n_pos") + F.col("floor") * F.col("kept_neg"))
     least = F.min(F.when(F.col("mass") > 0, F.col("mass"))).over(Window.partitionBy())  # a row a stratum

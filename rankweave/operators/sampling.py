@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import SCALE, stable_bucket, threshold
 from ..roles import ROLES, Roles
+from .filters import key_columns
 from .joins import override_join
 
 RESERVED = ("stratum", "inclusion_weight")
@@ -26,9 +27,28 @@ def stratified_sample(df: DataFrame, strata: list[str], ratio: float, overrides:
 
 
 def entity_split(df: DataFrame, dev_ratio: float, site: str = "dev", seed: int = 0, hash: str = "crc32", roles: Roles = ROLES) -> tuple[DataFrame, DataFrame]:
-    """Disjoint (train, dev) by entity."""
+    """Disjoint (train, dev) by entity. Fails if a ratio above 0 leaves no dev rows."""
     dev = stable_bucket(df, list(roles.entity), SCALE, site, seed, hash) < threshold(dev_ratio, "round")
-    return df.where(~dev), df.where(dev)
+    train, held = df.where(~dev), df.where(dev)
+    if dev_ratio > 0 and held.isEmpty():
+        raise ValueError(f"a dev ratio of {dev_ratio} leaves no rows")
+    return train, held
+
+
+def tune_holdout_split(df: DataFrame, tune_ratio: float, site: str = "tune", seed: int = 0, hash: str = "crc32", roles: Roles = ROLES) -> tuple[DataFrame, DataFrame]:
+    """Disjoint (tune, holdout) by entity; fails unless both have rows and positives."""
+    if not 0 < tune_ratio < 1:
+        raise ValueError("the tune ratio must be between 0 and 1")
+    own = df.withColumn("__tune", stable_bucket(df, list(roles.entity), SCALE, site, seed, hash) < threshold(tune_ratio, "round"))
+    found = {r["__tune"]: r.n for r in own.groupBy("__tune").agg(F.sum(roles.label).alias("n")).collect()}
+    if any(not found.get(side) for side in (True, False)):
+        raise ValueError("a side has no rows, or no positives")
+    return own.where("__tune").drop("__tune"), own.where("not __tune").drop("__tune")
+
+
+def sampling_keys(df: DataFrame, strata: Iterable[str], carry: Iterable[str] = (), roles: Roles = ROLES) -> DataFrame:
+    """Distinct rows of what a draw has to see, which it and the override join go over in place of the wide frame."""
+    return df.select(*key_columns(strata, carry, roles)).distinct()
 
 
 def entity_sample(df: DataFrame, ratio: float, site: str = "val", seed: int = 0, hash: str = "crc32", roles: Roles = ROLES) -> DataFrame:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..roles import ROLES, Roles
 from .joins import override_join
 from .metrics import enrich, macro_average, per_item_ap
+from .sampling import tune_holdout_split
 
 
 def config_offset(df: DataFrame, context: str, ratios: dict[str, float], weights: dict[str, float], roles: Roles = ROLES) -> DataFrame:
@@ -50,8 +51,8 @@ def _variants(rows: DataFrame, k: int, roles: Roles) -> DataFrame:
     own = enrich(rows, [k], wide).where(F.col(roles.label) == 1)
     per = own.groupBy("variant", roles.item).agg(F.avg(f"ap@{k}").alias("ap"))
     macro = per.groupBy("variant").agg(F.avg("ap").alias("macro_ap"))
-    base = F.broadcast(macro.where("variant = 'base'").select(F.col("macro_ap").alias("b")))
-    return macro.crossJoin(base).select("variant", "macro_ap", (F.col("macro_ap") - F.col("b")).alias("delta"))
+    base = F.max(F.when(F.col("variant") == "base", F.col("macro_ap"))).over(Window.partitionBy())  # a row a variant
+    return macro.select("variant", "macro_ap", (F.col("macro_ap") - base).alias("delta"))
 
 
 def score_shift_grid(df: DataFrame, shifts: Iterable[tuple[str, float]], k: int, roles: Roles = ROLES) -> DataFrame:
@@ -64,18 +65,39 @@ def score_shift_grid(df: DataFrame, shifts: Iterable[tuple[str, float]], k: int,
 
 
 def optimize_shifts(df: DataFrame, items: Iterable[str], steps: Iterable[float], k: int, rounds: int = 1, roles: Roles = ROLES) -> dict[str, float]:
-    """Coordinate descent: each item in turn takes the step that gains most; only the grids' results reach the driver."""
+    """Coordinate descent: each item in turn takes the step that gains most; only the grids' results reach the driver.
+
+    The narrow frame is kept while the grids run.
+    """
+    narrow = df.select(*roles.identity, roles.label, roles.score).persist()
     best = {i: 0.0 for i in items}
     for _ in range(rounds):
         for item in best:
-            now = df.withColumn(roles.score, F.col(roles.score) + sum((F.when(F.col(roles.item) == i, s).otherwise(0.0) for i, s in best.items()), F.lit(0.0)))
+            now = apply_shifts(narrow, best, roles)
             found = {r.variant: r.delta for r in score_shift_grid(now, [(item, s) for s in steps], k, roles).collect()}
             name, gain = max(found.items(), key=lambda p: (p[1], p[0]))
             if gain > 1e-12 and name != "base":
                 best[item] += float(name.rsplit(" ", 1)[1])
+    narrow.unpersist()
     return best
 
 
+def apply_shifts(df: DataFrame, shifts: dict[str, float], roles: Roles = ROLES) -> DataFrame:
+    """The frame with each item's shift added to its score."""
+    return df.withColumn(roles.score, F.col(roles.score) + sum((F.when(F.col(roles.item) == i, s).otherwise(0.0) for i, s in shifts.items()), F.lit(0.0)))
+
+
+def shift_search(df: DataFrame, items: Iterable[str], steps: Iterable[float], k: int, tune_ratio: float = 0.5, rounds: int = 1, roles: Roles = ROLES) -> DataFrame:
+    """``side, base, shifted, delta``: macro AP before and after shifts that were searched on the tune entities alone; the holdout row tells whether they hold."""
+    tune, holdout = tune_holdout_split(df, tune_ratio, roles=roles)
+    shifts = optimize_shifts(tune, items, steps, k, rounds, roles)
+    rows = []
+    for name, side in (("tune", tune), ("holdout", holdout)):
+        both = [macro_item_ap(x, k, roles).select(F.col("macro_ap").alias(c)) for c, x in (("base", side), ("shifted", apply_shifts(side, shifts, roles)))]
+        rows.append(both[0].crossJoin(F.broadcast(both[1])).select(F.lit(name).alias("side"), "base", "shifted", (F.col("shifted") - F.col("base")).alias("delta")))
+    return rows[0].unionByName(rows[1])
+
+
 def exposure_share(df: DataFrame, k: int, roles: Roles = ROLES) -> DataFrame:
     """``item, exposure, positive_share, penalty``: share of the first k places against share of positives."""
     order = Window.partitionBy(*roles.query).orderBy(F.col(roles.score).desc(), roles.item)
@@ -85,12 +107,59 @@ def exposure_share(df: DataFrame, k: int, roles: Roles = ROLES) -> DataFrame:
     return out.select(roles.item, "exposure", "positive_share", F.pow(F.col("exposure") - F.col("positive_share"), F.lit(2.0)).alias("penalty"))
 
 
+#: Parts that a group's values are cut into, by approximate quantiles, before running sums go over one of them.
+CUTS = 64
+
+
+def weighted_quantiles(df: DataFrame, by: list[str], value: str, weight: Column, reach: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """``by`` and, for each name in ``reach``, the smallest value at which the running weight gets to ``reach(total weight)``.
+
+    Values are summed first and cut into parts by approximate quantiles; running
+    sums over the parts' totals tell which part has the value, and only that part's
+    rows are looked at one by one. No task holds all values of a group, and the result is exact.
+    """
+    own = df.groupBy(F.struct(*by).alias("__g"), F.col(value).alias("__v")).agg(F.sum(weight).alias("__w"))
+    cuts = own.groupBy("__g").agg(F.percentile_approx("__v", [i / CUTS for i in range(1, CUTS)], 1000).alias("__cuts"))
+    parted = own.join(cuts, "__g").select("__g", "__v", "__w", F.size(F.filter("__cuts", lambda c: c < F.col("__v"))).alias("__part"))
+    sums = parted.groupBy("__g", "__part").agg(F.sum("__w").alias("__w"))
+    over = Window.partitionBy("__g").orderBy("__part")  # CUTS rows a group at most
+    run = sums.select("__g", "__part", F.coalesce(F.sum("__w").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"), F.sum("__w").over(over).alias("__upto"), F.sum("__w").over(Window.partitionBy("__g")).alias("__all"))
+    names = F.explode(F.array(*(F.struct(F.lit(n).alias("n"), f(F.col("__all")).alias("need")) for n, f in reach.items()))).alias("x")
+    at = run.select("*", names).select("__g", "__part", "__before", "__upto", "x.*").where("__before < need AND __upto >= need")
+    inside = parted.join(at.select("__g", "__part", "__before", "n", "need"), ["__g", "__part"])
+    here = F.col("__before") + F.sum("__w").over(Window.partitionBy("__g", "n").orderBy("__v"))
+    found = inside.withColumn("__here", here).where(F.col("__here") >= F.col("need"))
+    out = found.groupBy("__g").agg(*(F.min(F.when(F.col("n") == n, F.col("__v"))).alias(n) for n in reach))
+    return out.select(*(F.col("__g")[c].alias(c) for c in by), *reach)
+
+
 def weighted_quantile(df: DataFrame, by: list[str], value: str, weight: str, q: float) -> DataFrame:
-    """Smallest value at which the running weight reaches the share q; values are summed first."""
-    own = df.groupBy(*by, value).agg(F.sum(weight).alias("__w"))
-    part = Window.partitionBy(*by)
-    run = own.withColumns({"__run": F.sum("__w").over(part.orderBy(value)), "__all": F.sum("__w").over(part)})
-    return run.where(F.col("__run") >= q * F.col("__all")).groupBy(*by).agg(F.min(value).alias("quantile"))
+    """Smallest value at which the running weight reaches the share q."""
+    return weighted_quantiles(df, by, value, F.col(weight), {"quantile": lambda total: q * total})
+
+
+def exact_median(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """``by, median``: the mean of the two middle values."""
+    both = weighted_quantiles(df, by, value, F.lit(1), {"lo": lambda n: n / 2, "hi": lambda n: F.floor(n / 2) + 1})
+    return both.select(*by, ((F.col("lo") + F.col("hi")) / 2).alias("median"))
+
+
+def offset_spread(offsets: DataFrame, context: str, roles: Roles = ROLES) -> DataFrame:
+    """``context, offset_spread``: greatest less smallest offset of a context's items; what the configuration says."""
+    return offsets.groupBy(context).agg((F.max("offset") - F.min("offset")).alias("offset_spread"))
+
+
+def query_offset_spread(df: DataFrame, offsets: DataFrame, context: str, at: Iterable[float] = (0.5, 0.9, 1.0), roles: Roles = ROLES) -> DataFrame:
+    """One row of quantiles of the spread of offsets within a query, and ``varies``: whether a query has several contexts.
+
+    This is what reaches the ranking: a context that varies within a query shifts
+    places even where each context's own spread is nothing.
+    """
+    joined = df.join(offsets.select(context, roles.item, "offset"), [context, roles.item], "left").withColumn("offset", F.coalesce("offset", F.lit(0.0)))
+    per = joined.groupBy(*roles.query).agg((F.max("offset") - F.min("offset")).alias("spread"), (F.min(context) != F.max(context)).alias("varies"))
+    own = per.groupBy("spread").agg(F.count("*").alias("n"), F.max("varies").alias("varies"))  # spreads are as few as pairs of offsets
+    whole = own.agg(*(F.percentile("spread", q, F.col("n")).alias(f"p{round(q * 100)}") for q in at), F.max("varies").alias("varies"))
+    return whole
 
 
 def macro_item_ap(df: DataFrame, k: int, roles: Roles = ROLES) -> DataFrame:

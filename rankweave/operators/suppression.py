@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..roles import ROLES, Roles
 from .metrics import query_total_rel, rank_within_query
+from .shift import exact_median
 
 
 def suppression_pairs(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
@@ -35,7 +36,9 @@ def suppression_pairs(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
 
 def by_pair(pairs: DataFrame) -> DataFrame:
     """``target, suppressor, gap, rows, mean_margin, share`` of the total gap."""
-    own = pairs.groupBy("target", "suppressor").agg(F.sum("gap").alias("gap"), F.count("*").alias("rows"), F.avg("margin").alias("mean_margin"), F.percentile("margin", 0.5).alias("median_margin"))
+    key = ["target", "suppressor"]
+    own = pairs.groupBy(*key).agg(F.sum("gap").alias("gap"), F.count("*").alias("rows"), F.avg("margin").alias("mean_margin"))
+    own = own.join(exact_median(pairs, key, "margin").withColumnRenamed("median", "median_margin"), key)
     return own.withColumn("share", F.try_divide(F.col("gap"), F.sum("gap").over(Window.partitionBy())))
 
 
@@ -57,12 +60,13 @@ def examples(pairs: DataFrame, n: int, roles: Roles = ROLES) -> DataFrame:
 
 
 def cross_purchase(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
-    """``item, other, n_item, n_other, n_joint, p_other_given_item, lift`` over queries; an equi-join of a query's positives."""
-    own = df.where(F.col(roles.label) == 1).select(*roles.query, roles.item).distinct()
-    base = own.groupBy(roles.item).agg(F.count("*").alias("n"))
-    queries = F.broadcast(df.agg(F.countDistinct(F.struct(*roles.query)).alias("n_queries")))
-    joint = own.withColumnRenamed(roles.item, "item").join(own.withColumnRenamed(roles.item, "other"), roles.query).where("item <> other")
-    joint = joint.groupBy("item", "other").agg(F.count("*").alias("n_joint"))
-    out = joint.join(base.select(F.col(roles.item).alias("item"), F.col("n").alias("n_item")), "item").join(base.select(F.col(roles.item).alias("other"), F.col("n").alias("n_other")), "other")
+    """``item, other, n_item, n_other, n_joint, p_other_given_item, lift`` over queries; pairs come from a query's set of positives, which the items bound."""
+    sets = df.groupBy(*roles.query).agg(F.collect_set(F.when(F.col(roles.label) == 1, F.col(roles.item))).alias("own"))
+    pairs = sets.select(F.explode("own").alias("item"), "own").select("item", F.explode("own").alias("other"))
+    counts = pairs.groupBy("item", "other").agg(F.count("*").alias("n_joint"))
+    queries = F.broadcast(sets.agg(F.count("*").alias("n_queries")))
+    base = counts.where("item = other").select("item", F.col("n_joint").alias("n"))  # an item with itself: its own count
+    joint = counts.where("item <> other")
+    out = joint.join(base.withColumnRenamed("n", "n_item"), "item").join(base.select(F.col("item").alias("other"), F.col("n").alias("n_other")), "other")
     p = F.col("n_joint") / F.col("n_item")
     return out.crossJoin(queries).select("item", "other", "n_item", "n_other", "n_joint", p.alias("p_other_given_item"), (p * F.col("n_queries") / F.col("n_other")).alias("lift"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import encode, filters, joins
 from ..roles import ROLES, Roles
+from .partitions import require_unique
 
 
 @dataclass(frozen=True)
@@ -59,8 +60,12 @@ def apply_preprocessor(features: DataFrame, fitted: Preprocessor, months: Iterab
 
 
 def build_model_input(keys: DataFrame, labels: DataFrame, features: DataFrame, feature_names: Iterable[str], carry: Iterable[str] = (), roles: Roles = ROLES) -> DataFrame:
-    """Keys with labels (a miss is 0) and features (a miss is null), floats narrowed; as many rows as keys."""
+    """Keys with labels (a miss is 0) and features (a miss is null), floats narrowed.
+
+    As many rows as keys: fails if labels or features repeat a key of theirs.
+    """
     require_columns(keys, [*roles.identity, *carry])
+    labels, features = require_unique(labels, roles.identity), require_unique(features, roles.query)
     names = [f for f in feature_names if f not in roles.identity]
     joined = joins.join_features(joins.join_labels(keys.select(*roles.identity, *carry), labels, roles), features, roles)
     return filters.cast_float_features(joined.select(*filters.model_input_columns(names, carry, roles)), names, roles)

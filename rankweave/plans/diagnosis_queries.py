@@ -40,40 +40,42 @@ def baseline_bundle(spark, sf):
     return rounded(m.overall_metrics(m.per_query_metrics(m.enrich(scored, [3]), [3]), [3]))
 
 
-def _sides(spark, sf):
+def _sides(frame):
     """Two sources that share some customers and items."""
-    frame = fr.pred(spark, sf)
     a = frame.where("cust_id % 3 <> 0 AND prod_name <> 'PROMO'")
     b = frame.where("cust_id % 4 <> 0 AND prod_name <> 'SMALL'").select(*KEYS, (1 - F.col("score")).alias("score"))
     return a.select(*KEYS, "score", "label"), b
 
 
 def _long(df, k):
-    per = m.per_query_metrics(m.enrich(df, [k]), [k])
+    own = m.enrich(df, [k]).persist()
+    per = m.per_query_metrics(own, [k])
     over = m.overall_metrics(per, [k]).select(F.lit("overall").alias("level"), F.lit("all").alias("key"), F.explode(F.array(
         F.struct(F.lit("map").alias("metric"), F.col(f"map@{k}").alias("value")), F.struct(F.lit("ndcg").alias("metric"), F.col(f"ndcg@{k}").alias("value")))).alias("x")).select("level", "key", "x.*")
-    item = m.item_metrics(m.enrich(df, [k]), ["prod_name"], [k]).select(F.lit("item").alias("level"), F.col("prod_name").alias("key"), F.lit("map_attr").alias("metric"), F.col(f"map_attr@{k}").alias("value"))
+    item = m.item_metrics(own, ["prod_name"], [k]).select(F.lit("item").alias("level"), F.col("prod_name").alias("key"), F.lit("map_attr").alias("metric"), F.col(f"map_attr@{k}").alias("value"))
     return over.unionByName(item)
 
 
 def common_universe(spark, sf):
-    a, b = _sides(spark, sf)
+    a, b = _sides(fr.pred(spark, sf))
     return compare.common_universe(a, b, ["prod_name"])
 
 
 def restrict_to_common(spark, sf):
-    a, b = compare.restrict_to_common(*_sides(spark, sf), fr.pred(spark, sf).where("label = 1"))
+    frame = fr.pred(spark, sf).persist()
+    a, b = compare.restrict_to_common(*_sides(frame), frame.where("label = 1"))
     cols = [*KEYS, "label", "rank", "side"]
     return a.withColumn("side", F.lit("a")).select(*cols).unionByName(b.withColumn("side", F.lit("b")).select(*cols))
 
 
 def comparison_delta(spark, sf):
-    a, b = compare.restrict_to_common(*_sides(spark, sf), fr.pred(spark, sf).where("label = 1"))
+    frame = fr.pred(spark, sf).persist()  # both sides and the labels come from it; the caller's clearCache() frees it
+    a, b = compare.restrict_to_common(*_sides(frame), frame.where("label = 1"))
     return rounded(compare.comparison_delta(_long(a, 3), _long(b, 3), ["level", "key", "metric"]))
 
 
 def comparison_coverage(spark, sf):
-    return compare.comparison_coverage(*_sides(spark, sf))
+    return compare.comparison_coverage(*_sides(fr.pred(spark, sf)))
 
 
 def external_predictions(spark, sf):
@@ -165,7 +167,7 @@ def config_offset(spark, sf):
 
 
 def config_shift(spark, sf):
-    frame = with_segment(spark, sf)
+    frame = with_segment(spark, sf).persist()
     return rounded(shift.config_shift(frame, shift.config_offset(frame, "segment", RATIOS, WEIGHTS), "segment", 3))
 
 
@@ -258,7 +260,7 @@ ORACLE_SQL = {
     "weighted_auc": f"{_P}, g AS (SELECT prod_name, score, sum(CASE WHEN label = 1 THEN 1 + cust_id % 3 ELSE 0 END)::DOUBLE AS p, sum(CASE WHEN label = 1 THEN 0 ELSE 1 + cust_id % 3 END)::DOUBLE AS n FROM pred GROUP BY ALL), b AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY prod_name ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g) SELECT prod_name, round(sum(p * (below + 0.5 * n)) / (sum(p) * sum(n)), 6) AS auc, round(sum(p), 6) AS n_pos_weight, round(sum(n), 6) AS n_neg_weight FROM b GROUP BY 1",
     "item_ability": f"{_RANKED}, c AS (SELECT *, score - avg(score) OVER (PARTITION BY snap_date, cust_id) AS z FROM r) SELECT prod_name, round(avg(z) FILTER (label = 1), 6) AS mean_positive, round(avg(z) FILTER (label = 0), 6) AS mean_negative, round(avg(z) FILTER (label = 1) - avg(z) FILTER (label = 0), 6) AS gap, " + ", ".join(f"round(quantile_cont(rk::DOUBLE, {p / 100}), 6) AS rank_p{p}" for p in (10, 50, 90)) + " FROM c GROUP BY 1",
     "candidates_per_query": f"{_P}, n AS (SELECT count(*) AS n FROM pred WHERE score > 0 GROUP BY snap_date, cust_id) SELECT min(n) AS min, quantile_cont(n::DOUBLE, 0.5) AS median, max(n) AS max FROM n",
-    "suppression_rows": f"{_PAIRS} SELECT snap_date, cust_id, target, suppressor, round(gap, 6) AS gap, round(raw, 6) AS raw, round(margin, 6) AS margin FROM pairs WHERE cust_id % 10 = 3",
+    "suppression_rows": f"{_PAIRS} SELECT snap_date, cust_id, target, suppressor, round(gap, 6) AS gap, round(raw, 6) AS raw, round(margin, 6) AS margin FROM pairs",
     "suppression_pairs": f"{_PAIRS} SELECT target, suppressor, round(sum(gap), 6) AS gap, count(*) AS rows, round(avg(margin), 6) AS mean_margin, round(median(margin), 6) AS median_margin, round(sum(gap) / sum(sum(gap)) OVER (), 6) AS share FROM pairs GROUP BY ALL",
     "suppression_by_target": f"{_PAIRS}, t AS (SELECT target, suppressor, sum(gap) AS gap, count(*) AS n FROM pairs GROUP BY ALL), k AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY gap DESC, suppressor) AS r FROM t) SELECT target, round(sum(gap), 6) AS gap, sum(n)::BIGINT AS pairs, string_agg(suppressor, ',' ORDER BY r) FILTER (r <= 3) AS top_suppressors FROM k GROUP BY 1",
     "suppression_by_suppressor": f"{_PAIRS} SELECT suppressor, round(sum(gap), 6) AS gap, count(*) AS pairs, count(DISTINCT (snap_date, cust_id)) AS queries, round(avg(margin), 6) AS mean_margin FROM pairs GROUP BY 1",

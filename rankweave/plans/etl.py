@@ -26,6 +26,22 @@ def card_features(orders: DataFrame, d: str, days: int = 30) -> DataFrame:
         F.when(total > 0, done / total).alias("done_ratio"), F.countDistinct(day).alias("days")).select(_date(d).alias("snap_date"), "*")
 
 
+def card_limits(lines: DataFrame, orders: DataFrame, suppliers: DataFrame, d: str, days: int = 30) -> DataFrame:
+    """Lines of orders of ``(d - days, d]`` against a dimension of the same customer's suppliers: spend, limit, ratio to the limit, distinct cards.
+
+    A supplier stands for a card, and its balance for the card's limit. The
+    dimension's own condition is in the join, so that lines without a valid card stay.
+    """
+    day = F.to_date("o_orderdate")
+    facts = orders.where((day > F.date_sub(_date(d), days)) & (day <= _date(d))).join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    joined = facts.join(suppliers, (F.col("l_suppkey") == F.col("s_suppkey")) & (F.col("s_acctbal") > 0), "left")
+    spend, limit = F.coalesce(F.sum("l_extendedprice"), F.lit(0.0)), F.max("s_acctbal")
+    return joined.groupBy(F.col("o_custkey").alias("cust_id")).agg(
+        F.count("l_orderkey").alias("n_lines"), spend.alias("spend"), F.max(F.coalesce((F.col("s_acctbal") > 5000).cast("int"), F.lit(0))).alias("high_limit"),
+        limit.alias("card_limit"), F.when(limit > 0, spend / limit).otherwise(0.0).alias("utilisation"), F.countDistinct("s_suppkey").alias("cards"),
+    ).select(_date(d).alias("snap_date"), "*")
+
+
 def savings_flows(events: DataFrame, d: str) -> DataFrame:
     """Events of ``[a month before d, d)``: value in by purchases, out by all others. The target date is the partition."""
     day = F.to_date("ts")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,6 +24,21 @@ def populated_buckets(df: DataFrame, by: str, bucket: str = "entity_bucket") ->
     return df.groupBy(by).agg(F.array_sort(F.collect_set(bucket)).alias("buckets"))
 
 
+def work_grid(dates: DataFrame, buckets: DataFrame, items: DataFrame) -> DataFrame:
+    """``place, ...``: every date, bucket and item, numbered in that order, so that runs take the same pieces of work in the same order."""
+    grid = dates.distinct().crossJoin(F.broadcast(buckets.distinct())).crossJoin(F.broadcast(items.distinct()))  # a plan's own lists
+    place = F.row_number().over(Window.partitionBy().orderBy(*grid.columns))
+    return grid.select(place.alias("place"), *grid.columns)
+
+
+def require_unique(df: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """The frame itself; raises if rows share their keys, as a join on them would then make more rows."""
+    twice = df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"repeated keys: {[tuple(r)[:-1] for r in twice]}")
+    return df
+
+
 def require_single_partition(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """The frame itself; raises unless all its rows belong to one partition."""
     columns = list(columns)

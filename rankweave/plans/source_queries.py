@@ -287,7 +287,7 @@ ORACLE_SQL = {
     "scored_checks": f"{_P}, u AS (SELECT * FROM pred UNION ALL SELECT * FROM pred WHERE cust_id < 5) SELECT 'nulls' AS \"check\", 0::BIGINT AS failures UNION ALL SELECT 'unknown_items', sum((prod_name = 'STANDARD')::INT)::BIGINT FROM u UNION ALL SELECT 'row_difference', count(*) - 1000 FROM u UNION ALL SELECT 'repeated', count(*) FROM (SELECT 1 FROM u GROUP BY snap_date, cust_id, prod_name HAVING count(*) > 1)",
     "rank_order_violations": f"{_RK}, v AS (SELECT snap_date, cust_id, prod_name, rank, CASE WHEN cust_id % 50 = 0 AND prod_name = 'PROMO' THEN 2.0 ELSE score END AS s FROM r) SELECT snap_date, cust_id, prod_name, rank FROM v QUALIFY s > lag(s) OVER (PARTITION BY snap_date, cust_id ORDER BY rank)",
     "plan_partitions": "WITH o AS (SELECT DISTINCT date_trunc('year', o_orderdate)::DATE AS snap_date, o_orderstatus FROM orders), w AS (SELECT *, 1 AS w FROM o WHERE o_orderstatus <> 'P' OR snap_date < DATE '1999-01-01'), e AS (SELECT *, 1 AS e FROM o WHERE snap_date > DATE '1996-01-01' AND o_orderstatus <> 'O') SELECT snap_date, o_orderstatus, CASE WHEN w IS NULL THEN 'surplus' WHEN e IS NULL THEN 'process' WHEN snap_date = DATE '1997-01-01' THEN 'rebuild' ELSE 'skip' END AS status FROM w FULL JOIN e USING (snap_date, o_orderstatus)",
-    "populated_buckets": f"{_P} SELECT snap_date, string_agg(DISTINCT b, ',' ORDER BY b) AS buckets FROM (SELECT snap_date, (('0x' || substr(md5(cust_id || '|bucket|0'), 1, 8))::BIGINT % 6)::VARCHAR AS b FROM pred WHERE cust_id < 40) GROUP BY 1",
+    "populated_buckets": f"{_P} SELECT snap_date, string_agg(DISTINCT b, ',' ORDER BY b) AS buckets FROM (SELECT snap_date, (('0x' || substr(md5(cust_id || '|bucket|0'), 1, 8))::BIGINT % 6)::VARCHAR AS b FROM pred) GROUP BY 1",
     "write_versioned_roundtrip": f"WITH {_FEAT} SELECT snap_date, cust_id, n_orders, round(total_price, 2) AS total_price FROM ({_VER})",
     "evolve_schema_roundtrip": f"WITH {_FEAT} SELECT snap_date, cust_id, n_orders, priority, NULL::DOUBLE AS half FROM feat WHERE snap_date = DATE '1996-01-01' UNION ALL SELECT snap_date, cust_id, n_orders, NULL, n_orders / 2 FROM feat WHERE snap_date = DATE '1997-01-01'",
     "partition_report": f"WITH {_FEAT} SELECT DISTINCT snap_date::VARCHAR AS snap_date FROM feat WHERE snap_date IN (DATE '1997-01-01', DATE '1998-01-01')",
@@ -299,7 +299,7 @@ ORACLE_SQL = {
     "feature_statistics": " UNION ALL ".join([_stat("l_quantity", "l_quantity"), _stat("l_tax", "(CASE WHEN l_tax > 0.05 THEN l_tax END)"), _stat("l_discount", "l_discount")]),
     "entity_statistics": f"{_P}, e AS (SELECT prod_name, cust_id, max(label) AS a, sum(label) AS n FROM pred GROUP BY ALL) SELECT prod_name, sum(a)::BIGINT AS positive_entities, (count(*) - sum(a))::BIGINT AS negative_entities, count(*) AS entities, round(sum(a) / count(*), 6) AS positive_rate, round(sum(n) / nullif(sum(a), 0), 6) AS positives_per_entity FROM e GROUP BY 1",
     "segment_entity_statistics": f"{_PSEG}, e AS (SELECT segment, cust_id, max(label) AS a FROM ps GROUP BY ALL) SELECT segment, count(*) AS entities, sum(a)::BIGINT AS positive_entities, round(avg(a), 6) AS positive_rate FROM e GROUP BY 1",
-    "linear_attributions": f"{_ATT} SELECT snap_date, cust_id, prod_name, feature, round(value, 5) AS value FROM att WHERE cust_id % 10 = 1",
+    "linear_attributions": f"{_ATT} SELECT snap_date, cust_id, prod_name, feature, round(value, 5) AS value FROM att",
     "signed_profile": f"{_ATT} SELECT prod_name, feature, round(mean_abs, 5) AS mean_abs, round(mean_signed, 5) AS mean_signed, place::INT AS place FROM sp WHERE place <= 2",
     "profile_divergence": f"{_ATT} SELECT dv.snap_date, (CASE WHEN dv.feature = gl.feature THEN 1.0 ELSE 0.0 END)::DOUBLE AS jaccard, CASE WHEN dv.feature = gl.feature THEN '' ELSE dv.feature END AS idiosyncratic FROM dv, gl WHERE dv.place = 1 AND gl.place = 1",
     "margin_decomposition": f"{_ATT} SELECT a.feature, round(avg(a.value - b.value), 5) AS mean_difference, count(*) AS queries FROM att a JOIN att b ON a.snap_date = b.snap_date AND a.cust_id = b.cust_id AND a.feature = b.feature AND a.prod_name = 'PROMO' AND b.prod_name = 'SMALL' GROUP BY 1",

@@ -9,7 +9,6 @@ from collections.abc import Iterable
 from datetime import datetime
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +17,11 @@ AUDIT_SCHEMA = "run_id string, table_name string, target_date string, status str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it; one is set only where none is (tests)."""
+    """The folder that driver and executors share, as the session names it; a local session without one (tests) gets its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="rankweave-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -94,18 +95,25 @@ def write_versioned(df: DataFrame, path: str, fixed: dict[str, object], partitio
 
 
 def list_partitions(spark: SparkSession, path: str, columns: list[str], where: dict[str, object] | None = None) -> DataFrame:
-    """Existing partition values as strings, from file names alone; no rows if the table isn't there."""
+    """Existing partition values as strings, from folder names alone; no rows if the table isn't there.
+
+    Folders are listed level by level, and ``where`` prunes on the way: as many
+    names as there are partitions come to the driver, whatever the number of files.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = set()
-    if exists(spark, path):
-        try:
-            files = spark.read.parquet(path).inputFiles()
-        except AnalysisException:
-            files = []
-        for f in files:
-            named = {k: unquote(unquote(v)) for k, v in re.findall(r"/([^/=]+)=([^/]*)", f)}
-            if all(c in named for c in columns) and all(str(v) == named.get(k) for k, v in (where or {}).items()):
-                rows.add(tuple(None if named[c] == "__HIVE_DEFAULT_PARTITION__" else named[c] for c in columns))
+    wanted, rows = {k: str(v) for k, v in (where or {}).items()}, set()
+    todo = [(path, {})] if exists(spark, path) else []
+    system = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    while todo:
+        folder, named = todo.pop()
+        if all(c in named for c in [*columns, *wanted]):
+            rows.add(tuple(None if named[c] == "__HIVE_DEFAULT_PARTITION__" else named[c] for c in columns))
+            continue
+        for status in system.listStatus(spark._jvm.org.apache.hadoop.fs.Path(folder)):
+            name, _, value = status.getPath().getName().partition("=")
+            value = unquote(value)
+            if status.isDirectory() and value and wanted.get(name, value) == value:
+                todo.append((status.getPath().toString(), {**named, name: value}))
     return spark.createDataFrame(sorted(rows, key=str), schema)
 
 

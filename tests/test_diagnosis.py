@@ -41,20 +41,73 @@ def test_auc_with_ties(spark):
 
 
 def test_popularity_window_and_fallback(spark):
-    rows = [("2024-06-30", "A", 2), ("2024-06-30", "B", 1), ("2024-12-31", "A", 1)]
+    rows = [("2019-03-10", "tea", 4), ("2019-03-11", "jam", 2), ("2019-09-01", "tea", 3), ("2019-10-05", "oil", 5)]
     labels = spark.createDataFrame(rows, "snap_date string, prod_name string, label int")
-    year = {r.prod_name: (r["count"], r.fallback) for r in baseline.popularity_counts(labels, ["2025-01-31"], 12).collect()}
-    assert year == {"A": (3, False), "B": (1, False)}
-    assert {r.prod_name: r["count"] for r in baseline.popularity_counts(labels, ["2025-01-31"], 3).collect()} == {"A": 1}
-    assert {r.fallback for r in baseline.popularity_counts(labels, ["2000-01-31"], 3).collect()} == {True}
+    year = {r.prod_name: (r["count"], r.fallback) for r in baseline.popularity_counts(labels, ["2019-10-05"], 12).collect()}
+    assert year == {"tea": (7, False), "jam": (2, False)}  # the snapshot's own day is outside
+    assert {r.prod_name: r["count"] for r in baseline.popularity_counts(labels, ["2019-10-05"], 2).collect()} == {"tea": 3}
+    assert {r.fallback for r in baseline.popularity_counts(labels, ["2010-01-01"], 2).collect()} == {True}
 
 
 def test_config_offset(spark):
-    df = spark.createDataFrame([(s, p) for s in ("mass", "affluent") for p in ("A", "B")], "seg string, prod_name string")
-    got = {(r.seg, r.prod_name): r.offset for r in shift.config_offset(df, "seg", {"mass|A|0": 0.5}, {}).collect()}
-    assert got["mass", "A"] == pytest.approx(math.log(2)) and got["affluent", "B"] == 0
+    df = spark.createDataFrame([(s, p) for s in ("north", "south", "west") for p in ("tea", "jam", "oil")], "area string, prod_name string")
+    offsets = shift.config_offset(df, "area", {"north|tea|0": 0.2, "north|jam|1": 0.4}, {"south|oil|1": 3.0})
+    got = {(r.area, r.prod_name): r.offset for r in offsets.collect()}
+    assert got["north", "tea"] == pytest.approx(math.log(5)) and got["north", "jam"] == pytest.approx(math.log(0.4))
+    assert got["south", "oil"] == pytest.approx(math.log(3)) and got["west", "oil"] == 0
+    spread = {r.area: r.offset_spread for r in shift.offset_spread(offsets, "area").collect()}
+    assert spread == {"north": pytest.approx(math.log(12.5)), "south": pytest.approx(math.log(3)), "west": 0}
     with pytest.raises(ValueError):
-        shift.config_offset(df, "seg", {"mass|A|0": 0.0}, {})
+        shift.config_offset(df, "area", {"north|tea|0": 0.0}, {})
+
+
+def test_a_context_that_varies_within_a_query_shows_in_the_query_spread_alone(spark):
+    rows = [("d", f"c{i}", p, tier) for i in range(3) for p, tier in (("tea", "hi"), ("jam", "hi"), ("oil", "lo"))]
+    df = spark.createDataFrame(rows, "snap_date string, cust_id string, prod_name string, tier string")
+    offsets = shift.config_offset(df, "tier", {"lo|oil|0": 0.5}, {})
+    assert {r.offset_spread for r in shift.offset_spread(offsets, "tier").collect()} == {0.0}
+    own = shift.query_offset_spread(df, offsets, "tier").first()
+    assert own.p50 == pytest.approx(math.log(2)) and own.varies
+
+
+def test_quantiles_by_parts_equal_sorting(spark):
+    import random
+    import statistics
+
+    rng = random.Random(3)
+    rows = [(g, v, w) for g in ("a", "b", None) for v, w in ((rng.choice([rng.random(), 0.25, 7.0]), rng.randint(1, 3)) for _ in range(rng.choice([1, 400])))]
+    df = spark.createDataFrame(rows, "g string, v double, w int")
+    got = {r.g: r.quantile for r in shift.weighted_quantile(df, ["g"], "v", "w", 0.7).collect()}
+    medians = {r.g: r.median for r in shift.exact_median(df, ["g"], "v").collect()}
+    for g in ("a", "b", None):
+        own = sorted((v, w) for k, v, w in rows if k == g)
+        total, run = sum(w for _, w in own), 0
+        for v, w in own:
+            run += w
+            if run >= 0.7 * total:
+                break
+        assert got[g] == v and medians[g] == pytest.approx(statistics.median(v for v, _ in own))
+
+
+def test_auc_gap_is_what_the_customers_level_adds(spark):
+    # buyers of tea score high on everything: raw AUC is 1, within the query tea never stands out
+    rows = [("d", f"c{i}", p, (0.8 if i < 5 else 0.2), int(i < 5 and p == "tea")) for i in range(10) for p in ("tea", "jam")]
+    got = {r.prod_name: r for r in ability.item_auc(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert (got["tea"].raw_auc, got["tea"].centered_auc, got["tea"].auc_gap) == (1.0, 0.5, 0.5)
+    assert got["jam"].raw_auc is None and got["jam"].auc_gap is None
+
+
+def test_shifts_are_judged_on_the_holdout(spark):
+    rows = [("d", f"c{i}", p, s, int(p == "tea")) for i in range(60) for p, s in (("tea", 0.4), ("jam", 0.6))]
+    got = {r.side: r for r in shift.shift_search(spark.createDataFrame(rows, SCHEMA), ["tea"], [0.3, -0.3], 2).collect()}
+    assert got["tune"].delta > 0 and got["holdout"].delta == got["tune"].delta == 0.5
+
+
+def test_rank_divergence(spark):
+    rows = [("d", "c", p, f, v) for p, vs in (("same", (1.0, 2.0, 3.0)), ("turned", (9.0, 5.0, 1.0)), ("flat", (2.0, 2.0, 2.0))) for f, v in zip("xyz", vs, strict=True)]
+    df = spark.createDataFrame(rows, "snap_date string, cust_id string, prod_name string, feature string, value double")
+    got = {r.prod_name: r.divergence for r in attribution.rank_divergence(df, ["prod_name"]).collect()}
+    assert got == {"same": pytest.approx(1.0), "turned": pytest.approx(0.0), "flat": 0.0}  # the whole's order is x, y, z downwards
 
 
 def test_bootstrap(spark):
