@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 from itertools import pairwise
@@ -12,15 +12,19 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import settings, stage, table, unstage
 
 BLANK = "▁"
-#: At most so many of the most frequent units have their codes in every task; codes of all other units come by a join.
-FREQUENT = 250_000
+#: At most so many frequent units, of a sample of so many texts, have their codes in every task; codes of all other units
+#: come by a join. Which units these are bears on speed alone.
+FREQUENT, SAMPLE = 250_000, 50_000
+#: Bits of an edge's fields within its long: rank of the score, end, size, id. Their order is the order of the merges.
+RANK, END, SIZE, ID = 18, 22, 5, 18
+NO_PIECE = (1 << ID) - 1
 #: Distinct words or units that a task holds before it begins anew.
 HELD = 300_000
 
@@ -109,55 +113,75 @@ def normalize(text: str | None) -> str:
 
 
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word, n, edges``: of distinct ``words(word, n)``, the substrings that are pieces, as ``struct<rank, e, size, id>``.
+    """``word, edges``: of distinct ``words(word)``, the substrings that are pieces, each a long of rank, end, size and id.
 
     Substrings up to the longest piece's length are exploded and joined to the
     piece table by equality; ``rank`` orders pieces by falling score. Single
-    characters stay even if they are no pieces, with a null id. The words are dealt
+    characters stay even if they are no pieces, as NO_PIECE. The words are dealt
     out once, by word; the join's other side is the vocabulary, whose size the model
     fixes, so that grouping the edges by word needs no second exchange.
     """
+    if pieces.longest >= 1 << SIZE or len(pieces.text) >= NO_PIECE:
+        raise ValueError("too long pieces, or too many")
     spark = words.sparkSession
     ranks = {s: i for i, s in enumerate(sorted({s for _, _, s in pieces.normal}, reverse=True))}
-    rows = [(p, i, ranks[s], s) for p, i, s in pieces.normal]
-    vocab = F.broadcast(spark.createDataFrame(rows, "piece string, id int, rank int, score double"))
+    vocab = F.broadcast(spark.createDataFrame([(p, (ranks[s] << END + SIZE + ID) + i) for p, i, s in pieces.normal], "piece string, coded long"))
     n = F.length("word")
     count = max(words.count() // 20_000, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = words.select("word", "n").repartition(count, "word")
-    starts = dealt.select("word", "n", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
-    spans = starts.select("word", "n", "s", F.explode(F.sequence(F.col("s") + 1, F.least(n, F.col("s") + pieces.longest))).alias("e"))
-    cut = F.substr("word", F.col("s") + 1, F.col("e") - F.col("s"))
-    edges = spans.withColumn("piece", cut).join(vocab, "piece", "left").where("id IS NOT NULL OR e = s + 1")
-    edge = F.struct("rank", "e", (F.col("e") - F.col("s")).alias("size"), "id", *([] if pieces.merges else ["score"]))
-    return edges.groupBy("word", "n").agg(F.collect_list(edge).alias("edges"))
+    dealt = words.select("word").repartition(count, "word")
+    starts = dealt.select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
+    spans = starts.select("word", "s", F.explode(F.sequence(F.col("s") + 1, F.least(n, F.col("s") + pieces.longest))).alias("e"))
+    size = F.col("e") - F.col("s")
+    edges = spans.withColumn("piece", F.substr("word", F.col("s") + 1, size)).join(vocab, "piece", "left").where("coded IS NOT NULL OR e = s + 1")
+    place = F.shiftleft(F.col("e").cast("long"), SIZE + ID) + F.shiftleft(size.cast("long"), ID)
+    edge = F.coalesce("coded", F.lit((((1 << RANK) - 1) << END + SIZE + ID) + NO_PIECE)) + place
+    return edges.groupBy("word").agg(F.collect_list(edge).alias("edges"))
 
 
-def fold_viterbi(edges: DataFrame, penalty: float = -1e6) -> DataFrame:
-    """``word, n, path``: the best sum of scores over paths through ``lattice``'s edges, as parts ``struct<s, e, id>``.
+def _field(edge: Column, below: int, bits: int) -> Column:
+    return F.shiftright(edge, below).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+
+
+def _end(edge: Column) -> Column:
+    return _field(edge, SIZE + ID, END)
+
+
+def _size(edge: Column) -> Column:
+    return _field(edge, ID, SIZE)
+
+
+def _id(edge: Column) -> Column:
+    return _field(edge, 0, ID)
+
+
+def fold_viterbi(edges: DataFrame, pieces: Pieces, penalty: float = -1e6) -> DataFrame:
+    """``word, path``: the best sum of scores over paths through ``lattice``'s edges, as parts ``struct<e, size, id>``.
 
     A higher-order aggregate goes over the edges in order of their ends and keeps
     the best score, and the path, to each place: the segmentation of unigram models.
     A character that is no piece costs ``penalty``.
     """
-    at0 = F.struct(F.lit(0.0).alias("v"), F.array().cast("array<struct<s:int,e:int,id:int>>").alias("p"))
-    ordered = F.array_sort(F.transform("edges", lambda x: F.struct(x["e"].alias("e"), (x["e"] - x["size"]).alias("s"), x["id"].alias("id"), F.coalesce(x["score"], F.lit(penalty)).alias("score"))))
+    at0 = F.struct(F.lit(0.0).alias("v"), F.array().cast("array<struct<e:int,size:int,id:int>>").alias("p"))
+    by_rank = F.array(*(F.lit(float(s)) for s in sorted({s for _, _, s in pieces.normal}, reverse=True)))
+    rank = lambda x: F.shiftright(x, END + SIZE + ID).cast("int")
+    score = lambda x: F.when(_id(x) == NO_PIECE, penalty).otherwise(F.element_at(by_rank, F.least(rank(x), F.size(by_rank) - 1) + 1))
+    ordered = F.array_sort(F.transform("edges", lambda x: F.struct(_end(x).alias("e"), _size(x).alias("size"), _id(x).alias("id"), score(x).alias("score"))))
 
     def step(best, x):
         # best holds the places so far; each end's first edge appends, later ones replace
-        come = F.element_at(best, x["s"] + 1)
-        part = F.struct(x["s"].alias("s"), x["e"].alias("e"), x["id"].alias("id"))
+        come = F.element_at(best, x["e"] - x["size"] + 1)
+        part = F.struct(x["e"].alias("e"), x["size"].alias("size"), x["id"].alias("id"))
         new = F.struct((come["v"] + x["score"]).alias("v"), F.concat(come["p"], F.array(part)).alias("p"))
         old = F.element_at(best, -1)
         better = F.when(new["v"] > old["v"], new).otherwise(old)
         fresh = F.size(best) == x["e"]
         return F.when(fresh, F.concat(best, F.array(new))).otherwise(F.concat(F.slice(best, 1, F.size(best) - 1), F.array(better)))
 
-    path = F.aggregate(ordered, F.array(at0), step, lambda best: F.element_at(best, -1)["p"])
-    return edges.select("word", "n", path.alias("path"))
+    return edges.select("word", F.aggregate(ordered, F.array(at0), step, lambda best: F.element_at(best, -1)["p"]).alias("path"))
 
 
 def fold_merges(edges: DataFrame) -> DataFrame:
-    """``word, n, path`` of BPE models, as parts ``struct<s, e, id>``: a higher-order aggregate over the edges, best score first, of equals the one that ends first.
+    """``word, path`` of BPE models, as parts ``struct<e, size, id>``: a higher-order aggregate over the edges, best score first, of equals the one that ends first.
 
     The state has a mark for each place between characters that is still a boundary.
     An edge whose ends are boundaries, with a single one between them, is the union
@@ -167,36 +191,35 @@ def fold_merges(edges: DataFrame) -> DataFrame:
     """
 
     def between(marks, x):
-        return F.substring(marks, x["e"] - x["size"] + 1, x["size"] + 1).cast("string")
+        return F.substring(marks, _end(x) - _size(x) + 1, _size(x) + 1).cast("string")
 
     def step(marks, x):
-        merged = F.rpad(F.lit("1"), x["size"], F.lit("0")).cast("binary")
-        return F.when(between(marks, x).rlike("^10*10*1$"), F.overlay(marks, merged, x["e"] - x["size"] + 1)).otherwise(marks)
+        merged = F.rpad(F.lit("1"), _size(x), F.lit("0")).cast("binary")
+        return F.when(between(marks, x).rlike("^10*10*1$"), F.overlay(marks, merged, _end(x) - _size(x) + 1)).otherwise(marks)
 
     def parts(marks):
-        part = lambda x: F.struct((x["e"] - x["size"]).alias("s"), x["e"].alias("e"), x["id"].alias("id"))
+        part = lambda x: F.struct(_end(x).alias("e"), _size(x).alias("size"), _id(x).alias("id"))
         return F.array_sort(F.transform(F.filter("edges", lambda x: between(marks, x).rlike("^10*1$")), part))
 
-    longer = F.array_sort(F.filter("edges", lambda x: x["size"] > 1))
+    longer = F.array_sort(F.filter("edges", lambda x: _size(x) > 1))
     all_marked = F.repeat(F.lit("1"), F.length("word") + 1).cast("binary")
-    path = F.aggregate(longer, all_marked, step, parts)
-    return edges.select("word", "n", path.alias("path"))
+    return edges.select("word", F.aggregate(longer, all_marked, step, parts).alias("path"))
 
 
 def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word, n, ids`` of distinct ``words(word, n)`` of normalised text; characters without a piece become the pieces of their UTF-8 bytes."""
+    """``word, ids`` of distinct ``words(word)`` of normalised text; characters without a piece become the pieces of their UTF-8 bytes."""
     edges = lattice(words, pieces)
-    path = fold_merges(edges) if pieces.merges else fold_viterbi(edges)
+    path = fold_merges(edges) if pieces.merges else fold_viterbi(edges, pieces)
     fallback = F.array(*(F.lit(b) for b in pieces.bytes))
 
     def utf8(part):
-        hexed = F.hex(F.encode(F.substr(F.col("word"), part["s"] + 1, F.lit(1)), "UTF-8"))
+        hexed = F.hex(F.encode(F.substr(F.col("word"), part["e"], F.lit(1)), "UTF-8"))
         at = F.sequence(F.lit(1), F.length(hexed), F.lit(2))
         return F.transform(at, lambda i: F.element_at(fallback, F.conv(F.substr(hexed, i, F.lit(2)), 16, 10).cast("int") + 1))
 
-    spelt = F.flatten(F.transform("path", lambda p: F.when(p["id"].isNull(), utf8(p)).otherwise(F.array(p["id"]))))
-    ids = F.when(F.exists("path", lambda p: p["id"].isNull()), spelt).otherwise(F.transform("path", lambda p: p["id"]))
-    return path.select("word", "n", ids.alias("ids"))
+    spelt = F.flatten(F.transform("path", lambda p: F.when(p["id"] == NO_PIECE, utf8(p)).otherwise(F.array(p["id"]))))
+    ids = F.when(F.exists("path", lambda p: p["id"] == NO_PIECE), spelt).otherwise(F.transform("path", lambda p: p["id"]))
+    return path.select("word", ids.alias("ids"))
 
 
 class Cutter:
@@ -258,17 +281,17 @@ def vocabulary_of(docs: DataFrame, pieces: Pieces) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _most_frequent(codes: DataFrame, most: int) -> DataFrame:
+def _most_frequent(words: DataFrame, most: int) -> DataFrame:
     """Units of the highest counts, ``most`` at most: the counts are binned, so that what is collected has a fixed size."""
     level = F.floor(F.log2("n") * 32).cast("int")
-    own = sorted(codes.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"])
+    own = sorted(words.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"])
     total, least = 0, None
     for r in own:
         total += r["count"]
         if total > most:
             break
         least = r["level"]
-    return codes.where(level >= least) if least is not None else codes.limit(0)
+    return words.where(level >= least).select("word") if least is not None else words.select("word").limit(0)
 
 
 def _slices(flat: pa.Array, offsets: pa.Array) -> list[bytes]:
@@ -285,18 +308,30 @@ def encode(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFra
     """``docs`` with ``ids`` (array of int) for ``text``; an ``ids`` column of its own is replaced.
 
     Null and empty texts have no ids. Every distinct unit is encoded once, through
-    the lattice. The most frequent units, ``frequent`` at most, go to every task;
-    the others are joined to their codes by unit, come together as one row per
-    distinct text, and meet the texts in a plain join that adaptive execution can
-    split where copies of one text are many. Rows may share a doc_id or lack one.
+    the lattice. Frequent units, ``frequent`` at most, go to every task; the others
+    are joined to their codes by unit, come together as one row per distinct text,
+    and meet the texts in a plain join that adaptive execution can split where
+    copies of one text are many. Rows may share a doc_id or lack one.
     """
+
+    def emit(texts: list[str | None], codes: list[bytes]) -> list[pa.Array]:
+        offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in codes])]).astype(np.int32)
+        return [pa.array(texts, pa.string()), pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(codes), np.int32)))]
+
+    made = _assemble(docs, pieces, frequent, "text string, ids array<int>", emit)
+    return made.select(*(c for c in docs.columns if c != "ids"), "ids")
+
+
+def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit) -> DataFrame:
+    """The columns of ``docs`` but text and ids, and ``fields`` that ``emit`` makes of some texts and their ids as bytes."""
     spark = docs.sparkSession
-    words = stage(vocabulary_of(docs, pieces), "words")
     # a word's edges come one after the other: they are gathered in memory, without a sort
-    with settings(spark, spark__sql__objectHashAggregate__sortBased__fallbackThreshold="100000"):
-        codes = stage(encode_words(words, pieces), "codes")
+    together = {"spark__sql__objectHashAggregate__sortBased__fallbackThreshold": "100000"}
+    some = docs.select("text").sample(min(1.0, SAMPLE / max(1, docs.count())), seed=1)
+    words = stage(vocabulary_of(some, pieces), "words")
+    with settings(spark, **together):
+        top = pa.Table.combine_chunks(encode_words(_most_frequent(words, frequent), pieces).toArrow())
     unstage(words)
-    top = pa.Table.combine_chunks(_most_frequent(codes, frequent).select("word", "ids").toArrow())
     hot = spark.sparkContext.broadcast({k: v for b in top.to_batches() for k, v in _codes(b.column(0), b.column(1)).items()})
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +351,8 @@ def encode(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFra
                         units = held.get(w)
                         if units is None:
                             units = held[w] = tuple(u for u in cut.units(w) if u not in known)
-                        own.update(units)
+                        if units:
+                            own.update(units)
                     keys.extend([key] * len(own))
                     found.extend(own)
                     if len(held) > HELD:
@@ -327,9 +363,12 @@ def encode(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFra
 
     keep = [c for c in docs.columns if c not in ("ids", "text")]
     keyed = docs.select(*keep, "text", F.xxhash64("text").alias("__key"))
-    tail = keyed.select("__key", "text").mapInArrow(rare, "__key long, word string").join(codes.select("word", "ids"), "word")
-    by_text = stage(tail.groupBy("__key").agg(F.collect_set(F.struct("word", "ids")).alias("__tail")), "tails")
-    unstage(codes)
+    wanted = stage(keyed.select("__key", "text").mapInArrow(rare, "__key long, word string"), "wanted")
+    with settings(spark, **together):
+        codes = stage(encode_words(stage(wanted.select("word").distinct(), "words"), pieces), "codes")
+    tail = wanted.join(codes, "word").groupBy("__key").agg(F.collect_set(F.struct("word", "ids")).alias("__tail"))
+    by_text = stage(tail, "tails")
+    unstage(wanted, codes)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
@@ -338,6 +377,8 @@ def encode(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFra
             packed = [zlib.compress(t.as_py().encode("utf-8", "surrogatepass"), 1) if t.is_valid else None for t in batch.column(len(keep))]
             yield pa.record_batch([*batch.columns[: len(keep)], pa.array(packed, pa.binary()), batch.column(len(keep) + 1)], names=[*keep, "__packed", "__key"])
 
+    names = [*keep, *T.StructType.fromDDL(fields).names]
+
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
@@ -365,22 +406,19 @@ def encode(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFra
                     out.append(b"".join(code))
                     if len(held) > HELD:
                         held.clear()
-                offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in out])]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(out), np.int32)))
-                yield pa.record_batch([*part.columns[: len(keep)], pa.array(texts, pa.string()), ids], names=[*keep, "text", "ids"])
+                yield pa.record_batch([*part.columns[: len(keep)], *emit(texts, out)], names=names)
 
     own = docs.select(*keep).schema.fields
     packed = keyed.mapInArrow(pack, T.StructType([*own, T.StructField("__packed", T.BinaryType()), T.StructField("__key", T.LongType())]))
     joined = packed.join(by_text, "__key", "left").select(*keep, "__tail", "__packed")
-    coded = joined.mapInArrow(join, T.StructType([*own, T.StructField("text", T.StringType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]))
-    return coded.select(*(c for c in docs.columns if c != "ids"), "ids")
+    return joined.mapInArrow(join, T.StructType([*own, *T.StructType.fromDDL(fields).fields]))
 
 
-def _decoder(pieces: Pieces):
-    """Function of a list of ids to its text: pieces joined, byte pieces as UTF-8, without the leading blank."""
+def _decoder(pieces: Pieces) -> Callable[[list[int]], bytes]:
+    """Function of a list of ids to its text's bytes: pieces joined, byte pieces as they are, without the leading blank."""
     byte_of = {i: b for b, i in enumerate(pieces.bytes)}
     raw = [bytes([byte_of[i]]) if i in byte_of else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces.text)]
-    return lambda ids: b"".join(map(raw.__getitem__, ids or ())).decode("utf-8", "replace")[1:]
+    return lambda ids: b"".join(map(raw.__getitem__, ids))[1:]
 
 
 def decode(coded: DataFrame, pieces: Pieces) -> DataFrame:
@@ -390,28 +428,24 @@ def decode(coded: DataFrame, pieces: Pieces) -> DataFrame:
         text_of = _decoder(pieces)
         for batch in batches:
             where = batch.schema.get_field_index("ids")
-            out = [text_of(ids.as_py()) for ids in batch.column(where)]
+            out = [text_of(np.asarray(ids.values).tolist() if ids.is_valid else []).decode("utf-8", "replace") for ids in batch.column(where)]
             yield pa.record_batch([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "decoded"])
 
     rest = coded.drop("decoded")
     return rest.mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
-def digest(coded: DataFrame, pieces: Pieces) -> DataFrame:
-    """``doc_id, n_ids, ids_sha256, round_trip``: the SHA-256 of the ids as little-endian 32-bit integers, and whether decoding gives the text back."""
+def digest(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFrame:
+    """``docs`` without text, and ``n_ids, ids_sha256, round_trip``: the SHA-256 of the ids as little-endian 32-bit integers, and whether decoding gives the text back."""
+    text_of = None
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text_of = _decoder(pieces)
-        for batch in batches:
-            sizes, sums, same = [], [], []
-            for text, ids in zip(batch.column(1), batch.column(2), strict=True):
-                values = ids.as_py()
-                sizes.append(len(values))
-                sums.append(hashlib.sha256(np.asarray(ids.values, "<i4").tobytes()).hexdigest())
-                same.append(text_of(values) == (text.as_py() or ""))
-            yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums), pa.array(same, pa.bool_())], names=["doc_id", "n_ids", "ids_sha256", "round_trip"])
+    def emit(texts: list[str | None], codes: list[bytes]) -> list[pa.Array]:
+        nonlocal text_of
+        text_of = text_of or _decoder(pieces)
+        same = [text_of(np.frombuffer(c, np.int32).tolist()) == (t or "").encode("utf-8", "surrogatepass") for t, c in zip(texts, codes, strict=True)]
+        return [pa.array([len(c) // 4 for c in codes], pa.int64()), pa.array([hashlib.sha256(c).hexdigest() for c in codes], pa.string()), pa.array(same, pa.bool_())]
 
-    return coded.select("doc_id", "text", "ids").mapInArrow(run, "doc_id long, n_ids long, ids_sha256 string, round_trip boolean")
+    return _assemble(docs, pieces, frequent, "n_ids long, ids_sha256 string, round_trip boolean", emit)
 
 
 def model_path() -> str:
@@ -423,7 +457,7 @@ def model_path() -> str:
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = read_model(model_path())
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
-    return digest(encode(docs, pieces), pieces)
+    return digest(docs, pieces)
 
 
 QUERIES = {"op10_sentencepiece": op10_sentencepiece}

@@ -62,7 +62,7 @@ def test_models_whose_parts_do_not_go_first_are_refused():
 
 
 def test_the_registered_query_folds_in_spark(spark, pieces):
-    words = spark.createDataFrame([("▁the", 1)], "word string, n long")
+    words = spark.createDataFrame([("▁the",)], "word string")
     plan = sl.encode_words(words, pieces)._jdf.queryExecution().executedPlan().toString()
     assert "aggregate(" in plan and "BroadcastHashJoin" in plan and "collect_list" in plan
     assert "Arrow" not in plan and "CartesianProduct" not in plan
@@ -72,7 +72,7 @@ def test_viterbi_fold_equals_all_paths(spark, pieces):
     model = sl.Pieces((("▁a", 0, -1.0), ("a", 1, -1.5), ("ab", 2, -2.0), ("b", 3, -1.2), ("▁ab", 4, -4.0), ("ba", 5, -0.9), ("▁", 6, -0.7)), tuple(range(100, 356)), (), False)
     rng = random.Random(1)
     words = {"▁" + "".join(rng.choice("abc") for _ in range(rng.randint(0, 6))) for _ in range(40)}
-    edges = sl.lattice(spark.createDataFrame([(w, 1) for w in words], "word string, n long"), model)
+    edges = sl.lattice(spark.createDataFrame([(w,) for w in words], "word string"), model)
     score = {p: (s, i) for p, i, s in model.normal}
 
     def best(w):
@@ -86,10 +86,10 @@ def test_viterbi_fold_equals_all_paths(spark, pieces):
         return found[0]
 
     names = {i: s for _, i, s in model.normal}
-    for r in sl.fold_viterbi(edges).collect():
+    for r in sl.fold_viterbi(edges, model).collect():
         assert sum(names.get(x.id, -1e6) for x in r.path) == pytest.approx(best(r.word))
-        assert "".join(r.word[x.s : x.e] for x in r.path) == r.word
-    coded = {r.word: r.ids for r in sl.encode_words(spark.createDataFrame([(w, 1) for w in words], "word string, n long"), model).collect()}
+        assert "".join(r.word[x.e - x.size : x.e] for x in r.path) == r.word
+    coded = {r.word: r.ids for r in sl.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), model).collect()}
     assert coded.keys() == words
     assert all((100 + ord("c")) in coded[w] for w in words if "c" in w)
 
