@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,8 +15,9 @@ from pyspark.sql import types as T
 from .common import table
 
 SYMBOLS = "#*$%&|<>"
-#: Labelled documents of each class that the CRF is fitted on, those of lowest hash.
-FIT_DOCUMENTS = 1000
+#: Labelled documents of each class that the CRF is fitted on, those of lowest hash; and lines of each at most, a block of
+#: them from a place that depends on the text.
+FIT_DOCUMENTS, FIT_LINES = 1000, 400
 #: A document is kept if content lines hold at least this share of its words' characters.
 CONTENT_SHARE = 0.5
 WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
@@ -47,6 +49,20 @@ def line_features(lines: list[str]) -> np.ndarray:
     return out
 
 
+def line_labels(features: np.ndarray, good: bool) -> np.ndarray:
+    """Weak labels of a document's lines: those with many marks, shouts or capitals, or that came before, are boilerplate, others content.
+
+    The document's own label is the prior: where none of a bad document's lines
+    stands out, all are boilerplate.
+    """
+    name = {n: i for i, n in enumerate(FEATURES)}
+    x = features
+    stands_out = (x[:, name["symbols"]] > 0.3) | (x[:, name["bars"]] > 0.2) | (x[:, name["shouts"]] > 0.3) | (x[:, name["capitals"]] > 0.5) | (x[:, name["repeated"]] > 0)
+    if not good and not stands_out.any():
+        return np.full(len(x), BOILERPLATE, np.int8)
+    return stands_out.astype(np.int8)
+
+
 def repeated_words(ids: np.ndarray, window: int = WINDOW) -> int:
     """Words inside windows of consecutive words that occur twice or more, the first occurrence included; exact."""
     if len(ids) < window:
@@ -116,8 +132,8 @@ def neutral_crf() -> LineCrf:
     return LineCrf(np.zeros((len(FEATURES), 2)), np.zeros((2, 2)), np.array([1.0, 0.0]))
 
 
-def fit_crf(sequences: list[tuple[np.ndarray, int]], epochs: int = 12, rate: float = 0.2, decay: float = 1e-3, seed: int = 1) -> LineCrf:
-    """Maximum likelihood by stochastic gradients; a sequence's lines all carry its document's label.
+def fit_crf(sequences: list[tuple[np.ndarray, np.ndarray]], epochs: int = 12, rate: float = 0.2, decay: float = 1e-3, seed: int = 1) -> LineCrf:
+    """Maximum likelihood by stochastic gradients, from the features and the labels of each sequence's lines.
 
     Returns the average of the weights over the steps.
     """
@@ -130,9 +146,9 @@ def fit_crf(sequences: list[tuple[np.ndarray, int]], epochs: int = 12, rate: flo
             emit, move, start = theta[: 2 * k].reshape(k, 2), theta[2 * k : 2 * k + 4].reshape(2, 2), theta[2 * k + 4 :]
             node, edge = _marginals(x @ emit, move, start)
             gold = np.zeros_like(node)
-            gold[:, y] = 1
-            down = np.concatenate([(x.T @ (gold - node)).ravel(), -edge.ravel(), gold[0] - node[0]])
-            down[2 * k + 3 * y] += len(x) - 1
+            gold[np.arange(len(y)), y] = 1
+            moves = np.bincount(2 * y[:-1].astype(np.int64) + y[1:], minlength=4)
+            down = np.concatenate([(x.T @ (gold - node)).ravel(), moves - edge.ravel(), gold[0] - node[0]])
             theta = theta + rate / (1 + epoch) * (down / len(x) - decay * theta)
             mean += theta
             steps += 1
@@ -160,16 +176,24 @@ def _marginals(scores: np.ndarray, move: np.ndarray, start: np.ndarray) -> tuple
     return node, (edge / total).sum(axis=0) if n > 1 else np.zeros((2, 2))
 
 
+def some_lines(lines: list[str], text: str) -> list[str]:
+    """FIT_LINES lines at most, from a place that the text's checksum names."""
+    at = zlib.crc32(text.encode("utf-8", "surrogatepass")) % max(1, len(lines) - FIT_LINES + 1)
+    return lines[at : at + FIT_LINES]
+
+
 def _lines(text: str | None) -> list[str]:
     return [line for line in (text or "").split("\n") if line.encode().split()]
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = FIT_DOCUMENTS) -> LineCrf:
-    """A CRF from ``labels(doc_id, quality)``: the lines of good documents are weak examples of content, of bad ones of boilerplate.
+    """A CRF from ``labels(doc_id, quality)``: a document's label and each line's looks make weak labels of its lines (``line_labels``).
 
     At most ``per_class`` labelled documents of each class count, those whose id
-    hashes lowest; those that the base rule fails say nothing of their lines. Their lines' features are made by the executors; the driver gets
-    eight small numbers a line. Without both classes the CRF is neutral.
+    hashes lowest, with FIT_LINES lines each; those that the base rule fails say
+    nothing of their lines. Their lines' features are made by the executors; the
+    driver gets eight small numbers a line. Rows that share a picked id all count.
+    Without both classes the CRF is neutral.
     """
     picked = None
     for quality in (0, 1):
@@ -181,12 +205,12 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = FIT_DOCUMENTS) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [(y, line_features(lines)) for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if (lines := _lines(t)) and not base_fails(*text_counts(t))]
+            kept = [(y, line_features(some_lines(lines, t))) for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if (lines := _lines(t)) and not base_fails(*text_counts(t))]
             yield pa.record_batch([pa.array([y for y, _ in kept], pa.int32()), pa.array([x.astype(np.float32).tobytes() for _, x in kept], pa.binary())], names=["y", "x"])
 
     found = sorted((r.y, bytes(r.x)) for r in rows.mapInArrow(run, "y int, x binary").collect())
-    pairs = [(np.frombuffer(x, np.float32).reshape(-1, len(FEATURES)).astype(float), y) for y, x in found]
-    return fit_crf(pairs) if {y for _, y in pairs} == {0, 1} else neutral_crf()
+    rows_of = [(y, np.frombuffer(x, np.float32).reshape(-1, len(FEATURES)).astype(float)) for y, x in found]
+    return fit_crf([(x, line_labels(x, y == CONTENT)) for y, x in rows_of]) if {y for y, _ in rows_of} == {0, 1} else neutral_crf()
 
 
 def assess(docs: DataFrame, crf: LineCrf, carry: list[str] | None = None) -> DataFrame:

@@ -59,6 +59,24 @@ def test_gradient_is_the_likelihoods():
     assert np.allclose(edge, edges / total)
 
 
+def test_lines_of_one_document_get_different_labels():
+    plain = [f"This is a plain line of words, number {i} of them all." for i in range(4)]
+    loud = ["BUY!! NOW!! ALL!! OF!! IT!!", "GO!! ON!! AND!! BUY!! MORE!!", "HURRY!! UP!! IT!! ENDS!! SOON!!"]
+    assert q.line_labels(q.line_features([*plain, *loud]), good=False).tolist() == [0, 0, 0, 0, 1, 1, 1]
+    assert q.line_labels(q.line_features(plain), good=False).tolist() == [1, 1, 1, 1]
+    assert q.line_labels(q.line_features([*plain, plain[0]]), good=True).tolist() == [0, 0, 0, 0, 1]
+    made = [(x := q.line_features(lines), q.line_labels(x, good)) for lines, good in [(plain, True), ([*plain[:2], *loud], False), ([*loud, *plain], False)] * 20]
+    crf = q.fit_crf(made)
+    assert crf.decode(q.line_features([*plain, *loud, *plain])).tolist() == [0] * 4 + [1] * 3 + [0] * 4
+
+
+def test_lines_drawn_for_fitting_are_bounded():
+    lines = [f"line {i}" for i in range(5000)]
+    some = q.some_lines(lines, "\n".join(lines))
+    assert len(some) == q.FIT_LINES and some == lines[(at := lines.index(some[0])) : at + q.FIT_LINES]
+    assert q.some_lines(lines[:7], "x") == lines[:7] and q.some_lines([], "") == []
+
+
 def test_edge_cases_and_labels(spark):
     good = "The plain words of a good text go on and on for a while here and there, so that it has enough.\n" + "More of it, then the end of this text comes near."
     bad = "\n".join("x### | y*** | z$$$ | w%%% | v&&& | u*** | t###" + str(i) for i in range(6))
@@ -84,4 +102,14 @@ def test_whole_table(spark):
         assert r.n_repeat_words == plain_repeat(words)
         assert r.n_dup_lines == len(lines) - len(set(lines))
         assert r.base_failed == (len(words) < 20 or 100 * r.n_repeat_words > 30 * len(words))
+        assert r.word_chars == len("".join(w.decode() for w in words))
+        assert r.n_symbols == sum(c in q.SYMBOLS for c in texts[r.doc_id])
         assert not (r.kept and r.base_failed)
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    crf = q.train(docs, labels)
+    for r in rows:
+        lines = q._lines(texts[r.doc_id])
+        marks = crf.decode(q.line_features(lines)) if lines else []
+        size = [len(b"".join(x.encode().split())) for x in lines]
+        share = sum(n for n, m in zip(size, marks, strict=True) if m == q.CONTENT) / max(1, sum(size))
+        assert abs(r.content_share - share) < 1e-12 and r.kept == (share >= q.CONTENT_SHARE and not r.base_failed)
