@@ -26,7 +26,7 @@ FREQUENT, SAMPLE = 250_000, 50_000
 RANK, END, SIZE, ID = 18, 22, 5, 18
 NO_PIECE = (1 << ID) - 1
 #: Distinct words or units that a task holds before it begins anew.
-HELD = 300_000
+HELD = 200_000
 
 
 @dataclass(frozen=True)
@@ -367,21 +367,23 @@ def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit)
     with settings(spark, **together):
         codes = stage(encode_words(stage(wanted.select("word").distinct(), "words"), pieces), "codes")
     tail = wanted.join(codes, "word").groupBy("__key").agg(F.collect_set(F.struct("word", "ids")).alias("__tail"))
-    by_text = stage(tail, "tails")
+    by_text = stage(tail, "tails", compression="zstd")
     unstage(wanted, codes)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
+        import zstandard
 
+        pack_one = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            packed = [zlib.compress(t.as_py().encode("utf-8", "surrogatepass"), 1) if t.is_valid else None for t in batch.column(len(keep))]
+            packed = [pack_one(t.as_py().encode("utf-8", "surrogatepass")) if t.is_valid else None for t in batch.column(len(keep))]
             yield pa.record_batch([*batch.columns[: len(keep)], pa.array(packed, pa.binary()), batch.column(len(keep) + 1)], names=[*keep, "__packed", "__key"])
 
     names = [*keep, *T.StructType.fromDDL(fields).names]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
+        import zstandard
 
+        unpack = zstandard.ZstdDecompressor().decompress
         known, cut = hot.value, Cutter(pieces)
         held: dict[str, bytes] = {}  # words of frequent units
         for batch in batches:
@@ -390,7 +392,7 @@ def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit)
                 out, texts = [], []
                 for packed, tail_ in zip(part.column(len(keep) + 1), part.column(len(keep)), strict=True):
                     own = _codes(tail_.values.field(0), tail_.values.field(1)) if tail_.is_valid else {}
-                    text = zlib.decompress(packed.as_py()).decode("utf-8", "surrogatepass") if packed.is_valid else None
+                    text = unpack(packed.as_py()).decode("utf-8", "surrogatepass") if packed.is_valid else None
                     texts.append(text)
                     code: list[bytes] = []
                     for w in cut.words(text):
