@@ -21,7 +21,7 @@ from .common import settings, stage, table, unstage
 BLANK = "▁"
 #: At most so many frequent units, of a sample of so many texts, have their codes in every task; codes of all other units
 #: come by a join. Which units these are bears on speed alone.
-FREQUENT, SAMPLE = 250_000, 50_000
+FREQUENT, SAMPLE = 250_000, 20_000
 #: Bits of an edge's fields within its long: rank of the score, end, size, id. Their order is the order of the merges.
 RANK, END, SIZE, ID = 18, 22, 5, 18
 NO_PIECE = (1 << ID) - 1
@@ -183,27 +183,43 @@ def fold_viterbi(edges: DataFrame, pieces: Pieces, penalty: float = -1e6) -> Dat
 def fold_merges(edges: DataFrame) -> DataFrame:
     """``word, path`` of BPE models, as parts ``struct<e, size, id>``: a higher-order aggregate over the edges, best score first, of equals the one that ends first.
 
-    The state has a mark for each place between characters that is still a boundary.
-    An edge whose ends are boundaries, with a single one between them, is the union
-    of two neighbouring parts: that one goes. A piece's parts score better than it
-    does (``check_order``), so that one pass makes the same merges as choosing the
-    best union again and again, for words of any length.
+    The state has a mark for each place between characters that is still a boundary:
+    the bits of a long, or the bytes of a binary for words of more than 60
+    characters. An edge whose ends are boundaries, with a single one between them,
+    is the union of two neighbouring parts: that one goes. A piece's parts score
+    better than it does (``check_order``), so that one pass makes the same merges as
+    choosing the best union again and again, for words of any length.
     """
+    one = F.lit(1).cast("long")
+    left, right = (lambda v, n, f=f: F.call_function(f, v, n) for f in ("shiftleft", "shiftright"))
+    begin = lambda x: _end(x) - _size(x)
 
-    def between(marks, x):
-        return F.substring(marks, _end(x) - _size(x) + 1, _size(x) + 1).cast("string")
+    def holds(marks, x, inside: int):
+        """Whether the edge's ends are marked, and so many places between them."""
+        ends = (right(marks, begin(x)).bitwiseAND(one) == 1) & (right(marks, _end(x)).bitwiseAND(one) == 1)
+        return ends & (F.bit_count(right(marks, begin(x)).bitwiseAND(left(one, _size(x)) - 1)) == inside + 1)
 
     def step(marks, x):
+        between = left(left(one, _size(x)) - 2, begin(x))
+        return F.when(holds(marks, x, 1), marks.bitwiseAND(F.bitwise_not(between))).otherwise(marks)
+
+    def holds_long(marks, x, inside: int):
+        part = F.substring(marks, begin(x) + 1, _size(x) + 1).cast("string")
+        return part.rlike("^10*10*1$" if inside else "^10*1$")
+
+    def step_long(marks, x):
         merged = F.rpad(F.lit("1"), _size(x), F.lit("0")).cast("binary")
-        return F.when(between(marks, x).rlike("^10*10*1$"), F.overlay(marks, merged, _end(x) - _size(x) + 1)).otherwise(marks)
+        return F.when(holds_long(marks, x, 1), F.overlay(marks, merged, begin(x) + 1)).otherwise(marks)
 
-    def parts(marks):
-        part = lambda x: F.struct(_end(x).alias("e"), _size(x).alias("size"), _id(x).alias("id"))
-        return F.array_sort(F.transform(F.filter("edges", lambda x: between(marks, x).rlike("^10*1$")), part))
+    def parts(marks, check):
+        by_end = F.transform(F.filter("edges", lambda x: check(marks, x, 0)), lambda x: x.bitwiseAND(F.lit((1 << END + SIZE + ID) - 1)))
+        return F.transform(F.sort_array(by_end), lambda x: F.struct(_end(x).alias("e"), _size(x).alias("size"), _id(x).alias("id")))
 
-    longer = F.array_sort(F.filter("edges", lambda x: _size(x) > 1))
-    all_marked = F.repeat(F.lit("1"), F.length("word") + 1).cast("binary")
-    return edges.select("word", F.aggregate(longer, all_marked, step, parts).alias("path"))
+    n = F.length("word")
+    ordered = edges.select("word", F.sort_array("edges").alias("edges"))
+    short = F.aggregate("edges", left(one, n + 1) - 1, step, lambda marks: parts(marks, holds))
+    long = F.aggregate("edges", F.repeat(F.lit("1"), n + 1).cast("binary"), step_long, lambda marks: parts(marks, holds_long))
+    return ordered.select("word", F.when(n <= 60, short).otherwise(long).alias("path"))
 
 
 def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
@@ -222,8 +238,17 @@ def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     return path.select("word", ids.alias("ids"))
 
 
+#: A text's units that aren't in every task: the units, the number of ids of each, the ids one after the other.
+_TAIL = ("__words", "__sizes", "__ids")
+
+
 class Cutter:
-    """Texts to words, and words to units that no piece goes beyond. A word stands without the blank that begins it."""
+    """Texts to words, and words to units that no piece goes beyond.
+
+    A word stands without the blank that begins it; one that begins with a zero
+    character stands for a line end and what follows it without a blank. Texts with
+    runs of blanks, or with these two characters, give words with all their blanks.
+    """
 
     def __init__(self, pieces: Pieces) -> None:
         self.pattern = regex.compile(pieces.unit, regex.DOTALL).findall
@@ -231,22 +256,30 @@ class Cutter:
         beside = {c for p, _, _ in pieces.normal for a, b in pairwise(p) if a.isalpha() != b.isalpha() for c in (a, b)}
         #: Marks that no piece has beside a letter.
         self.marks = "".join(c for c in ".,;:!?$%&#*()\"'" if c not in beside)
+        #: Whether no piece has a line end beside another character.
+        self.lines = not any("\n" in p and len(p) > 1 for p, _, _ in pieces.normal)
 
     def words(self, text: str | None) -> list[str]:
         if not text:
             return []
-        if text[0] == " " or text[-1] == " " or "  " in text or BLANK in text:
-            return [w[1:] for w in self.blanks(normalize(text))]
-        return text.split(" ")
+        if text[0] == " " or text[-1] == " " or "  " in text or BLANK in text or "\0" in text:
+            return self.blanks(normalize(text))
+        return (text.replace("\n", " \0") if self.lines else text).split(" ")
 
     def units(self, word: str) -> list[str]:
         """A word of letters is one unit, and so are the marks after it; others go by the pattern."""
+        first = word[:1]
+        if first == "\0":
+            return ["\n", *self._cut("", word[1:])]
+        return self.pattern(word) if first == BLANK else self._cut(BLANK, word)
+
+    def _cut(self, lead: str, word: str) -> list[str]:
         if word.isalpha():
-            return [BLANK + word]
+            return [lead + word]
         letters = word.rstrip(self.marks)
         if letters.isalpha():
-            return [BLANK + letters, word[len(letters) :]]
-        return self.pattern(BLANK + word)
+            return [lead + letters, word[len(letters) :]]
+        return self.pattern(lead + word)
 
 
 def vocabulary_of(docs: DataFrame, pieces: Pieces) -> DataFrame:
@@ -366,8 +399,9 @@ def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit)
     wanted = stage(keyed.select("__key", "text").mapInArrow(rare, "__key long, word string"), "wanted")
     with settings(spark, **together):
         codes = stage(encode_words(stage(wanted.select("word").distinct(), "words"), pieces), "codes")
-    tail = wanted.join(codes, "word").groupBy("__key").agg(F.collect_set(F.struct("word", "ids")).alias("__tail"))
-    by_text = stage(tail, "tails", compression="zstd")
+    tail = wanted.join(codes, "word").groupBy("__key").agg(F.collect_set(F.struct("word", "ids")).alias("t"))
+    columns = (F.transform("t", lambda x: x["word"]), F.transform("t", lambda x: F.size(x["ids"])), F.flatten(F.transform("t", lambda x: x["ids"])))
+    by_text = stage(tail.select("__key", *(c.alias(n) for c, n in zip(columns, _TAIL, strict=True))), "tails", compression="zstd")
     unstage(wanted, codes)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,8 +424,11 @@ def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit)
             for begin in range(0, batch.num_rows, 500):
                 part = batch.slice(begin, 500)
                 out, texts = [], []
-                for packed, tail_ in zip(part.column(len(keep) + 1), part.column(len(keep)), strict=True):
-                    own = _codes(tail_.values.field(0), tail_.values.field(1)) if tail_.is_valid else {}
+                for own_words, sizes, ids, packed in zip(*part.columns[len(keep) :], strict=True):
+                    own = {}
+                    if own_words.is_valid:
+                        raw, ends = np.asarray(ids.values, np.int32).tobytes(), (4 * np.cumsum(np.asarray(sizes.values))).tolist()
+                        own = {w: raw[a:b] for w, a, b in zip(own_words.values.to_pylist(), [0, *ends], ends, strict=False)}
                     text = unpack(packed.as_py()).decode("utf-8", "surrogatepass") if packed.is_valid else None
                     texts.append(text)
                     code: list[bytes] = []
@@ -412,7 +449,7 @@ def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit)
 
     own = docs.select(*keep).schema.fields
     packed = keyed.mapInArrow(pack, T.StructType([*own, T.StructField("__packed", T.BinaryType()), T.StructField("__key", T.LongType())]))
-    joined = packed.join(by_text, "__key", "left").select(*keep, "__tail", "__packed")
+    joined = packed.join(by_text, "__key", "left").select(*keep, *_TAIL, "__packed")
     return joined.mapInArrow(join, T.StructType([*own, *T.StructType.fromDDL(fields).fields]))
 
 

@@ -19,6 +19,7 @@ def made():
     rng = random.Random(4)
     bits = ["the", "ing", "é", "日本", "😀", " ", "  ", "   ", "\n", "\t", "▁", "\r", "x" * 70, "12.5", "<s>", ", ", "thating", "a"]
     texts = [None, "", " ", "\n", "a b", " lead and trail ", "▁", "z" * 500, "ab" * 200, "the " * 3000]
+    texts += ["a\nb", "a \nb", "a\n b", "\na b\n", "a\n\n\nb c.\nD", "a \0b", "\0\nx y"]
     return texts + ["".join(rng.choice(bits) for _ in range(rng.randint(1, 12))) for _ in range(300)]
 
 
@@ -37,7 +38,7 @@ def test_ids_equal_the_librarys_and_decode(spark, pieces):
 def test_units_are_the_text_and_no_piece_goes_beyond_one(pieces):
     cut = sl.Cutter(pieces)
     normal = {p for p, _, _ in pieces.normal}
-    for text in [*made(), "a\nb", "a \nb", "a\n b", "\na", "a\n", "a\n\nb ", "a\0b c", "x\ty", "b "]:
+    for text in [*made(), "a\nb", "a \nb", "a\n b", "\na", "a\n", "a\n\nb ", "a\0b c", "a \0b c", "\0", "\0\nx", "a\n\nb c", "\n", "a \n b", "x\ty", "b "]:
         units = [u for w in cut.words(text) for u in cut.units(w)]
         whole = sl.normalize(text)
         assert "".join(units) == whole, repr(text)
