@@ -141,7 +141,9 @@ def repeated(docs: DataFrame, tree: int = TREE) -> DataFrame:
     if heavy is not None:
         place = F.struct("doc_id", "pos")
         whole = heavy.select("doc_id", "pos", F.sha2("suffix", 256).alias("h"))
-        first = whole.groupBy("h").agg(F.min(place).alias("first"))
+        # a row for each node too large for a task; as a table, so that Spark can broadcast it or split the other side
+        first = stage(whole.groupBy("h").agg(F.min(place).alias("first")), "nodes")
+        kept.append(first)
         again = whole.join(first, "h").where(place != F.col("first"))
         marks = marks.unionByName(again.select("doc_id", F.col("pos").alias("st"), (F.col("pos") + 1).alias("en")))
     out = stage(marks, "marks")
