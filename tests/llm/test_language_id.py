@@ -1,6 +1,52 @@
+import math
+
+import numpy as np
+import regex
+
 from rankweave.llm import language_id as li
 
 
+def plain_predict(model, text):
+    """The mean of the rows of a text's subwords, one subword after the other, and a softmax over it."""
+    if text is None or not regex.search(r"\p{L}", text):
+        return "und", 0.0
+    flat = "_" + regex.sub(r"[^\p{L}\p{M}]+", "_", text.lower()) + "_"
+    total, count = [0.0] * len(model.languages), 0
+    for i in range(len(flat)):
+        for n in range(1, 5):
+            if i + n <= len(flat):
+                h = 0
+                for c in flat[i : i + n]:
+                    h = (h * 0x9E3779B1 + ord(c)) % 2**32
+                h = ((h ^ (h >> 15)) * 0x85EBCA6B + n - 1) % 2**32
+                row = model.table[(h >> 16) % li.BUCKETS]
+                total = [a + float(b) for a, b in zip(total, row, strict=True)]
+                count += 1
+    z = [(t / count + float(b)) / model.temperature for t, b in zip(total, model.bias, strict=True)]
+    e = [math.exp(x - max(z)) for x in z]
+    best = max(range(len(e)), key=e.__getitem__)
+    return model.languages[best], e[best] / sum(e)
+
+
+def test_predictions_equal_a_plain_loop():
+    rng = np.random.default_rng(3)
+    samples = [(lang, li.subwords(" ".join(rng.choice(words, 12)))) for _ in range(30) for lang, words in (("en", ["the", "and", "this"]), ("de", ["der", "und", "für"]))]
+    model = li.fit(samples)
+    for text in ["the and", "und für die", "", "12", None, "é", "The  AND, this! " * 40, "ein Wort"]:
+        lang, score, _ = model.predict(text)
+        want = plain_predict(model, text)
+        assert lang == want[0] and abs(score - want[1]) < 1e-6
+
+
+def test_copies_and_many_languages_stay_bounded(spark, monkeypatch):
+    monkeypatch.setattr(li, "FIT_DOCUMENTS", 60)
+    seen = []
+    monkeypatch.setattr(li, "fit", lambda samples, seed=5: seen.extend(samples))
+    rows = [(1, "the same old text", "en")] * 500 + [(i, f"text number {i} of some words", f"l{i % 40}") for i in range(400)]
+    li.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=10)
+    assert len([x for x in seen if x[0] == "en"]) <= 1 and 20 <= len(seen) <= 120
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     truth = {r.doc_id: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
