@@ -270,7 +270,10 @@ def _stat(c: str, e: str) -> str:
 
 
 _MASK = f"list_reduce(list_prepend('', list_transform(range(1, len(g) + 1), lambda i: g[i] || coalesce(repeat('*', length(f[i]) - {{keep}}), ''))), lambda a, b: a || b)"
+_HAVE = "WITH have AS (SELECT column_name AS c, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS t FROM (DESCRIBE orders))"
 ORACLE_SQL = {
+    "schema_drift": f"{_HAVE}, want(c, t) AS (VALUES ('o_orderkey', 'bigint'), ('o_custkey', 'int'), ('o_gone', 'string'), ('o_orderdate', 'timestamp_ntz')) SELECT c AS \"column\", CASE WHEN have.t IS NULL THEN 'missing' ELSE have.t || ' is not ' || want.t END AS problem FROM want LEFT JOIN have USING (c) WHERE have.t IS DISTINCT FROM want.t UNION ALL SELECT c, 'new' FROM have WHERE c NOT IN (SELECT c FROM want)",
+    "schema_checks": f"{_HAVE}, cat(c) AS (VALUES ('o_totalprice'), ('o_orderstatus')), feat(c) AS (VALUES ('o_totalprice'), ('o_orderpriority'), ('o_custkey')) SELECT c AS \"column\", 'categorical of type ' || t AS problem FROM cat JOIN have USING (c) WHERE t = 'double' UNION ALL SELECT c, 'feature of type ' || t FROM feat JOIN have USING (c) WHERE c NOT IN (SELECT c FROM cat) AND t NOT IN ('double', 'bigint', 'int') UNION ALL SELECT c, 'carried and a feature' FROM feat WHERE c IN ('o_custkey', 'o_orderkey')",
     "feature_balances": _BAL,
     "feature_card": f"WITH c AS ({_CARD}) SELECT snap_date, cust_id, round(spend, 4) AS spend, round(spend_done, 4) AS spend_done, urgent, round(done_ratio, 4) AS done_ratio, days FROM c",
     "feature_savings": f"WITH s AS ({_SAV}) SELECT snap_date, cust_id, round(amount_in, 4) AS amount_in, round(amount_out, 4) AS amount_out, n_in FROM s",
