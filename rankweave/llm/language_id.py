@@ -18,7 +18,7 @@ from .common import table
 FIT_PER_LANGUAGE = 600
 #: Subwords of one fitted document that count, drawn from its whole text.
 FIT_SUBWORDS = 1500
-#: Documents drawn in all, whatever the number of languages (expected; copies of a text count once).
+#: Documents drawn in all, whatever the number of languages (expected; repeated rows count once).
 FIT_DOCUMENTS = 20_000
 BUCKETS, WIDTH, EPOCHS, RATE, BATCH = 1 << 16, 16, 6, 2.0, 16
 #: Few samples are gone through more often, for so many steps in all.
@@ -119,7 +119,7 @@ def train(docs: DataFrame, per_language: int = FIT_PER_LANGUAGE) -> LanguageMode
 
     Of each language about ``per_language`` documents are drawn by the hash of id
     and text, at a rate that follows from its count, and about FIT_DOCUMENTS in all;
-    of copies one is drawn. Executors turn each into at most FIT_SUBWORDS buckets,
+    rows that repeat count once. Executors turn each into at most FIT_SUBWORDS buckets,
     drawn from its whole text; only those reach the driver.
     """
     known = docs.where("lang is not null and text is not null")
@@ -130,7 +130,7 @@ def train(docs: DataFrame, per_language: int = FIT_PER_LANGUAGE) -> LanguageMode
     share = min(1.0, FIT_DOCUMENTS / max(1, languages * per_language))
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     picked = known.select("doc_id", "lang", "text").join(rates, "lang").where(draw < F.col("rate") * share)
-    picked = picked.select("lang", "text").distinct()
+    picked = picked.select("doc_id", "lang", "text").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,7 +144,7 @@ def train(docs: DataFrame, per_language: int = FIT_PER_LANGUAGE) -> LanguageMode
                     ids.append(own.astype(np.uint32).tobytes())
             yield pa.record_batch([pa.array(langs, pa.string()), pa.array(ids, pa.binary())], names=["lang", "ids"])
 
-    rows = picked.select(F.xxhash64("text").alias("k"), "lang", "text").mapInArrow(run, "lang string, ids binary").collect()
+    rows = picked.select(F.xxhash64("doc_id").alias("k"), "lang", "text").mapInArrow(run, "lang string, ids binary").collect()
     return fit([(lang, np.frombuffer(ids, np.uint32)) for lang, ids in sorted((r.lang, bytes(r.ids)) for r in rows)])
 
 
