@@ -49,7 +49,8 @@ def rank_divergence(df: DataFrame, dims: list[str]) -> DataFrame:
         return F.rank().over(part.orderBy(column)) + (F.count("*").over(Window.partitionBy(*dims, column)) - 1) / 2.0
 
     ranked = joined.withColumns({"__a": place("v"), "__b": place("g")})
-    return ranked.groupBy(*dims).agg(F.coalesce((1 - F.corr("__a", "__b")) / 2, F.lit(0.0)).alias("divergence"))
+    rho = F.try_divide(F.covar_pop("__a", "__b"), F.stddev_pop("__a") * F.stddev_pop("__b"))
+    return ranked.groupBy(*dims).agg(F.coalesce((1 - rho) / 2, F.lit(0.0)).alias("divergence"))
 
 
 def score_summary(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
