@@ -70,6 +70,18 @@ def words(text):
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES, -1), lambda w: w != "")
 
 
+def most_frequent(counted: DataFrame, most: int) -> DataFrame:
+    """Rows of ``counted(n, ...)`` of the highest counts, ``most`` at most: counts are binned, so that what is collected has a fixed size and no task sorts them all."""
+    level = F.floor(F.log2("n") * 32).cast("int")
+    total, least = 0, None
+    for r in sorted(counted.groupBy(level.alias("level")).agg(F.count("*").alias("rows")).collect(), key=lambda r: -r.level):
+        total += r.rows
+        if total > most:
+            break
+        least = r.level
+    return counted.where(level >= least) if least is not None else counted.limit(0)
+
+
 def text_key(text="text"):
     """Column: equal texts have equal keys; all blank ones have 0."""
     value = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

@@ -10,12 +10,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, stage, text_key, unstage
+from .common import connected_components, most_frequent, stage, text_key, unstage
 
 #: Distinct texts whose shingles are counted to put common ones last. The order bounds the work; no order loses a pair.
-ORDER_TEXTS = 20_000
-#: So many of the most common shingles have a place of their own in the order.
-ORDER_SHINGLES = 500_000
+ORDER_TEXTS = 8_000
+#: So many of the most common shingles, at most, have a place of their own in the order.
+ORDER_SHINGLES = 200_000
 #: Keys that are sent to all tasks; more are joined by a shuffle.
 BROADCAST_KEYS = 1_000_000
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -76,8 +76,9 @@ def _common(keyed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                     yield pa.record_batch([pa.array(tokens.view(np.int64)), pa.array(n)], names=["token", "n"])
 
     parts = some.select("key", "text").mapInArrow(count, "token long, n long")
-    seen = parts.groupBy("token").agg(F.sum("n").alias("n")).where("n > 2")
-    rows = seen.orderBy(F.col("n").desc(), "token").limit(ORDER_SHINGLES).toArrow()
+    seen = stage(parts.groupBy("token").agg(F.sum("n").alias("n")).where("n > 2"), "shingles")
+    rows = most_frequent(seen, ORDER_SHINGLES).toArrow()
+    unstage(seen)
     tokens, counts = rows.column("token").to_numpy().view(np.uint64), rows.column("n").to_numpy()
     by = np.argsort(tokens)
     return tokens[by], counts[by]

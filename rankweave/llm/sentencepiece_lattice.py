@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import settings, stage, table, unstage
+from .common import most_frequent, settings, stage, table, unstage
 
 BLANK = "▁"
 #: At most so many frequent units, of a sample of so many texts, have their codes in every task; codes of all other units
@@ -314,19 +314,6 @@ def vocabulary_of(docs: DataFrame, pieces: Pieces) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _most_frequent(words: DataFrame, most: int) -> DataFrame:
-    """Units of the highest counts, ``most`` at most: the counts are binned, so that what is collected has a fixed size."""
-    level = F.floor(F.log2("n") * 32).cast("int")
-    own = sorted(words.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"])
-    total, least = 0, None
-    for r in own:
-        total += r["count"]
-        if total > most:
-            break
-        least = r["level"]
-    return words.where(level >= least).select("word") if least is not None else words.select("word").limit(0)
-
-
 def _slices(flat: pa.Array, offsets: pa.Array) -> list[bytes]:
     """The lists of an integer column as bytes."""
     raw, at = np.asarray(flat, np.int32).tobytes(), (4 * (np.asarray(offsets) - offsets[0].as_py())).tolist()
@@ -363,7 +350,7 @@ def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit)
     some = docs.select("text").sample(min(1.0, SAMPLE / max(1, docs.count())), seed=1)
     words = stage(vocabulary_of(some, pieces), "words")
     with settings(spark, **together):
-        top = pa.Table.combine_chunks(encode_words(_most_frequent(words, frequent), pieces).toArrow())
+        top = pa.Table.combine_chunks(encode_words(most_frequent(words, frequent), pieces).toArrow())
     unstage(words)
     hot = spark.sparkContext.broadcast({k: v for b in top.to_batches() for k, v in _codes(b.column(0), b.column(1)).items()})
 
