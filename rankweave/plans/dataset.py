@@ -62,7 +62,7 @@ def apply_preprocessor(features: DataFrame, fitted: Preprocessor, months: Iterab
 def build_model_input(keys: DataFrame, labels: DataFrame, features: DataFrame, feature_names: Iterable[str], carry: Iterable[str] = (), roles: Roles = ROLES) -> DataFrame:
     """Keys with labels (a miss is 0) and features (a miss is null), floats narrowed.
 
-    As many rows as keys: fails if labels or features repeat a key of theirs.
+    As many rows as keys: the job fails if labels or features repeat a key of theirs.
     """
     require_columns(keys, [*roles.identity, *carry])
     labels, features = require_unique(labels, roles.identity), require_unique(features, roles.query)

@@ -35,8 +35,9 @@ def test_empty_sides_fail(frame):
 def test_joins_that_would_make_rows_fail(frame):
     keys, features = frame.select("snap_date", "cust_id", "prod_name"), frame.select("snap_date", "cust_id", F.lit(1.0).alias("x")).distinct()
     assert dataset.build_model_input(keys, frame, features, ["x"]).count() == keys.count()
-    with pytest.raises(ValueError, match="repeated"):
-        dataset.build_model_input(keys, frame, features.union(features), ["x"])
+    for twice in ((frame, features.union(features)), (frame.union(frame), features)):
+        with pytest.raises(Exception, match="repeated key"):
+            dataset.build_model_input(keys, *twice, ["x"]).collect()
 
 
 def test_weights_keyed_by_codes():
