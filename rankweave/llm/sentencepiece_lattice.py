@@ -21,12 +21,12 @@ from .common import most_frequent, settings, stage, table, unstage
 BLANK = "▁"
 #: At most so many frequent units, of a sample of so many texts, have their codes in every task; codes of all other units
 #: come by a join. Which units these are bears on speed alone.
-FREQUENT, SAMPLE = 250_000, 20_000
+FREQUENT, SAMPLE = 150_000, 20_000
 #: Bits of an edge's fields within its long: rank of the score, end, size, id. Their order is the order of the merges.
 RANK, END, SIZE, ID = 18, 22, 5, 18
 NO_PIECE = (1 << ID) - 1
 #: Distinct words or units that a task holds before it begins anew.
-HELD = 200_000
+HELD = 60_000
 
 
 @dataclass(frozen=True)
