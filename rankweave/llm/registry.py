@@ -4,6 +4,7 @@ import corpus_pipeline
 
 from . import (
     decontaminate,
+    fill_in_middle,
     language_id,
     pii,
     quality,
@@ -15,6 +16,7 @@ from . import (
     url_filter,
 )
 
-_ALL = (pii, decontaminate, simhash, suffix_array, language_id, suffix_trees, token_files, url_filter, quality, sentencepiece_lattice)
+_ALL = (pii, decontaminate, simhash, suffix_array, language_id, suffix_trees, token_files, url_filter, quality, sentencepiece_lattice,
+        fill_in_middle)
 QUERIES = {name: query for module in _ALL for name, query in module.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 ORACLE_SQL = {name: sql for module in _ALL for name, sql in module.ORACLE_SQL.items()}
