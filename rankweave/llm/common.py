@@ -43,15 +43,15 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
+def stage(df: DataFrame, name: str, rows: int = 2000, **options: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back: the lineage is cut, and a lost executor costs nothing.
 
-    Spark deletes the shuffle files of the write when it is over, and hands Python few
-    rows at a time, as texts can be long.
+    Spark deletes the shuffle files of the write when it is over, and hands Python
+    ``rows`` at a time, few, as texts can be long.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true", spark__sql__execution__arrow__maxRecordsPerBatch="2000"):
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true", spark__sql__execution__arrow__maxRecordsPerBatch=str(rows)):
         df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
