@@ -21,33 +21,29 @@ from pyspark.sql import functions as F
 
 from .common import stage, table, unstage
 
-#: Occurrences in a row of the relation, bytes of text that it may stand for, and bytes of a piece beyond which it is split in parts; they bound a task's memory and not a result.
-BLOCK, TEXT, CHUNK = 1 << 21, 64 << 20, 4 << 20
+#: Occurrences in a row of the relation, bytes of text that it may stand for, bytes of a piece beyond which it is split
+#: in parts, and merged pairs that are counted in a task at a time; they bound a task's memory and not a result.
+BLOCK, TEXT, CHUNK, PAIRS = 1 << 20, 64 << 20, 4 << 20, 1 << 21
 #: A-Z to a-z, and each byte that ends a piece to a line end, the only one left.
 _FOLDED = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r", bytes(range(97, 123)) + b"\n" * 9)
 #: Salts over which a group's candidates are ranked before its first ones are ranked together.
 SALTS = 64
 RELATION = "block long, own int, codes array<int>, ids array<long>"
-COUNTS = "block long, key long, a long, b long, n long"
-
-
-class _Numbers(dict):
-    """Numbers keys in the order of their first look-up."""
-
-    def __missing__(self, key) -> int:
-        self[key] = number = len(self)
-        return number
+COUNTS = "bucket int, block long, a array<long>, b array<long>, n array<int>"
+GROUPS = "block long, a array<long>, b array<long>, id array<long>, f array<long>"
 
 
 class _Own(dict):
-    """Numbers of one group's words."""
+    """Numbers of one group's words in a block, in the order of their first look-up."""
 
-    def __init__(self, group: str, entries: _Numbers):
+    def __init__(self, group: str, block: _Block):
         super().__init__()
-        self.group, self.entries = group, entries
+        self.group, self.block = group, block
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = number = self.entries[self.group, word]
+        self[word] = number = len(self.block.words)
+        self.block.words.append(word)
+        self.block.of.append(self.group)
         return number
 
 
@@ -56,25 +52,25 @@ class _Block:
 
     def __init__(self):
         self.codes, self.own, self.size, self.groups = array("i"), 0, 0, {}
-        self.entries = _Numbers()
+        self.words, self.of = [], []
 
     def add(self, group: str, words: list[bytes]) -> None:
         numbers = self.groups.get(group)
         if numbers is None:
-            numbers = self.groups[group] = _Own(group, self.entries)
+            numbers = self.groups[group] = _Own(group, self)
         self.codes.extend([numbers[w] for w in words])
         self.size += sum(map(len, words)) + len(words)
 
     def row(self, block: int) -> pa.RecordBatch:
         codes = np.array(self.codes, np.int32)
-        counts = np.bincount(codes[: self.own][codes[: self.own] >= 0], minlength=len(self.entries))
-        groups, words = zip(*self.entries, strict=True) if self.entries else ((), ())
-        column = pa.StructArray.from_arrays([pa.array(groups, pa.string()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], names=["group", "word", "n"])
-        ends = [pa.array([0, len(x)], pa.int32()) for x in (codes, column)]
-        return pa.record_batch(
-            [pa.array([block], pa.int64()), pa.array([self.own], pa.int32()), pa.ListArray.from_arrays(ends[0], pa.array(codes)), pa.ListArray.from_arrays(ends[1], column)],
-            names=["block", "own", "codes", "words"],
-        )
+        counts = np.bincount(codes[: self.own][codes[: self.own] >= 0], minlength=len(self.words))
+        column = pa.StructArray.from_arrays([pa.array(self.of, pa.string()), pa.array(self.words, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], names=["group", "word", "n"])
+        return pa.record_batch([pa.array([block], pa.int64()), pa.array([self.own], pa.int32()), _one(codes), _one(column)], names=["block", "own", "codes", "words"])
+
+
+def _one(values: np.ndarray | pa.Array) -> pa.ListArray:
+    """A column of one list."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values) if isinstance(values, np.ndarray) else values)
 
 
 def _chunks(piece: bytes, follow: int) -> Iterator[tuple[list[bytes], list[bytes]]]:
@@ -131,8 +127,8 @@ def _merged(codes: np.ndarray, size: int) -> np.ndarray:
     return np.append(np.where((a >= 0) & (b >= 0), a * size + b, -1), -1)
 
 
-def counted(relation: DataFrame) -> DataFrame:
-    """Phrases one word longer than those of ``relation``, counted within each block: ``block, key, a, b, n``, a and b the ids of the two merged phrases.
+def counted(relation: DataFrame, buckets: int) -> DataFrame:
+    """Phrases one word longer than those of ``relation``, counted within each block and dealt over ``buckets`` by a hash of the ids ``a, b`` of the two merged phrases.
 
     Phrases that only begin after the block's own positions are named with a count of 0, as
     the next length needs them.
@@ -147,32 +143,84 @@ def counted(relation: DataFrame) -> DataFrame:
                 after = np.setdiff1d(keys[own:], np.append(keys[:own], -1))
                 keys, n = np.unique(keys[:own][keys[:own] >= 0], return_counts=True)
                 keys, n = np.concatenate([keys, after]), np.concatenate([n, np.zeros(len(after), n.dtype)])
-                for at in range(0, len(keys), 100_000):
-                    k, m = keys[at : at + 100_000], n[at : at + 100_000]
-                    yield pa.record_batch([pa.array(np.full(len(k), row.column(0)[0].as_py())), pa.array(k), pa.array(ids[k // len(ids)]), pa.array(ids[k % len(ids)]), pa.array(m)], names=["block", "key", "a", "b", "n"])
+                if not len(keys):
+                    continue
+                a, b = ids[keys // len(ids)], ids[keys % len(ids)]
+                mixed = (a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+                bucket = (((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(33)).astype(np.int64) % buckets
+                order = np.argsort(bucket, kind="stable")
+                edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                for own_bucket in np.flatnonzero(np.diff(edges)):
+                    at = order[edges[own_bucket] : edges[own_bucket + 1]]
+                    yield pa.record_batch([pa.array([own_bucket], pa.int32()), row.column(0), _one(a[at]), _one(b[at]), _one(n[at].astype(np.int32))], names=["bucket", "block", "a", "b", "n"])
 
     return relation.mapInArrow(run, COUNTS)
 
 
-def kept(relation: DataFrame, frequent: DataFrame, words: bool) -> DataFrame:
-    """The relation of frequent phrases: semi-join of ``relation``'s occurrences with ``frequent(block, key, id)``.
+def grouped(counts: DataFrame, least: int, again: bool) -> DataFrame:
+    """Groups of ``counts`` that occur ``least`` times, with new ids, as lists a bucket (block -1), and with ``again`` also those of each block that has them.
 
-    With ``words`` a key is a code of the relation itself, else that of two merged
-    phrases. Both sides meet by block, which is bounded.
+    A bucket has a row's part for each block, and a phrase occurs once in each, so a
+    bucket's size doesn't depend on how often phrases occur.
     """
 
+    def run(part: pa.Table) -> pa.Table:
+        part = part.combine_chunks()
+        blocks, sizes = np.asarray(part["block"]), np.asarray(part["a"].combine_chunks().value_lengths())
+        a, b, n = _flat(part["a"]), _flat(part["b"]), _flat(part["n"])
+        order = np.lexsort((b, a))
+        new = np.append(True, (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0))
+        first = np.flatnonzero(new)
+        f = np.add.reduceat(n[order].astype(np.int64), first)
+        often = f >= least
+        number = np.where(often, np.cumsum(often) - 1, -1)
+        base = np.int64(part["bucket"][0].as_py()) << 32
+        tables = [(-1, a[order][first[often]], b[order][first[often]], base + np.arange(often.sum()), f[often])]
+        if again:
+            own = np.empty(len(a), np.int64)
+            own[order] = number[np.cumsum(new) - 1]
+            cuts = np.concatenate([[0], np.cumsum(sizes)])
+            for block, x, y in zip(blocks.tolist(), cuts[:-1], cuts[1:], strict=True):
+                at = x + np.flatnonzero(own[x:y] >= 0)
+                if len(at):
+                    tables.append((block, a[at], b[at], base + own[at], np.empty(0, np.int64)))
+        rows = [pa.record_batch([pa.array([block], pa.int64()), *map(_one, lists)], names=["block", "a", "b", "id", "f"]) for block, *lists in tables]
+        return pa.Table.from_batches(rows)
+
+    return counts.groupBy("bucket").applyInArrow(run, GROUPS)
+
+
+def _recoded(left: pa.Table, keys: np.ndarray, ids: np.ndarray, at: np.ndarray) -> pa.Table:
+    """A block's row with the codes of ``at`` among ``keys``, whose ids become the block's, ascending; -1 for others."""
+    order = np.argsort(ids)
+    code = np.empty(len(ids), np.int32)
+    code[order] = np.arange(len(ids), dtype=np.int32)
+    by = np.argsort(keys)
+    keys, code = keys[by], code[by]
+    place = np.minimum(np.searchsorted(keys, at), max(0, len(keys) - 1))
+    found = np.where(keys[place] == at, code[place], -1) if len(keys) else np.full(len(at), -1)
+    return pa.table([left["block"], left["own"], _one(found.astype(np.int32)), _one(ids[order])], names=["block", "own", "codes", "ids"])
+
+
+def kept_words(base: DataFrame, frequent: DataFrame) -> DataFrame:
+    """The relation of frequent words: semi-join of the occurrences with ``frequent(block, key, id)``, whose key is a word's code. Both sides meet by block, which is bounded."""
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        codes = _flat(left["codes"])
-        at = codes.astype(np.int64) if words else _merged(codes, len(_flat(left["ids"])))
-        keys, ids = np.asarray(right["key"]), np.asarray(right["id"])
-        order = np.argsort(keys)
-        keys, ids = keys[order], ids[order]
-        place = np.minimum(np.searchsorted(keys, at), max(0, len(keys) - 1))
-        found = np.where(keys[place] == at, place, -1) if len(keys) else np.full(len(at), -1)
-        lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for x in (found.astype(np.int32), ids.astype(np.int64))]
-        return pa.table([left["block"], left["own"], *lists], names=["block", "own", "codes", "ids"])
+        return _recoded(left, np.asarray(right["key"]), np.asarray(right["id"]), _flat(left["codes"]).astype(np.int64))
 
     named = frequent.select(F.col("block").alias("home"), "key", "id")
+    return base.select("block", "own", "codes").groupBy("block").cogroup(named.groupBy("home")).applyInArrow(run, RELATION)
+
+
+def kept_phrases(relation: DataFrame, frequent: DataFrame) -> DataFrame:
+    """The relation of the next length: adjacent positions merged, semi-joined with the frequent groups ``block, a, b, id`` (lists) of the block."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        codes, ids = _flat(left["codes"]), _flat(left["ids"])
+        a, b = (np.searchsorted(ids, _flat(right[c])) for c in ("a", "b"))
+        return _recoded(left, a * max(1, len(ids)) + b, _flat(right["id"]), _merged(codes, len(ids)))
+
+    named = frequent.select(F.col("block").alias("home"), "a", "b", "id")
     return relation.groupBy("block").cogroup(named.groupBy("home")).applyInArrow(run, RELATION)
 
 
@@ -194,23 +242,23 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, least: int = 10, by: str
         "group", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", f.alias("heads"), f.alias("tails"))
     tables = [stage(one, "phrases")]
     own = entries.join(tables[0].select("group", F.col("phrase").alias("word"), "id"), ["group", "word"]).select("block", "key", "id")
-    relation = stage(kept(base.select("block", "own", "codes"), own, True), "relation", rows=1)
+    relation = stage(kept_words(base, own), "relation")
     unstage(base)
     for length in range(2, longest + 1):
-        groups = stage(counted(relation), "groups", rows=1)
-        often = groups.groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+        positions = relation.agg(F.sum(F.size(F.filter("codes", lambda c: c >= 0)))).first()[0] or 0
+        found = stage(grouped(counted(relation, 1 + positions // PAIRS), least, length < longest), "groups", rows=1)
+        zipped = F.explode(F.arrays_zip("a", "b", "id", "f")).alias("x")
+        often = found.where("block = -1").select(zipped).select("x.*")
         head = tables[-1].select(F.col("id").alias("a"), "group", "phrase", F.col("heads").alias("h"))
         tail = tables[-1].select(F.col("id").alias("b"), "last", F.col("tails").alias("t"))
         made = often.join(head, "a").join(tail, "b").select(
-            F.monotonically_increasing_id().alias("id"), "a", "b", "group", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "f",
-            F.concat("h", f).alias("heads"), F.concat("t", f).alias("tails"))
+            "id", "a", "b", "group", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "f", F.concat("h", f).alias("heads"), F.concat("t", f).alias("tails"))
         tables.append(stage(made, "phrases"))
         if length < longest:
-            own = groups.join(tables[-1].select("a", "b", "id"), ["a", "b"]).select("block", "key", "id")
-            after = stage(kept(relation, own, False), "relation")
+            after = stage(kept_phrases(relation, found.where("block >= 0")), "relation")
             unstage(relation)
             relation = after
-        unstage(groups)
+        unstage(found)
     unstage(relation)
     return tables, totals
 
