@@ -64,21 +64,116 @@ def score_shift_grid(df: DataFrame, shifts: Iterable[tuple[str, float]], k: int,
     return _variants(shifted, k, roles)
 
 
-def optimize_shifts(df: DataFrame, items: Iterable[str], steps: Iterable[float], k: int, rounds: int = 1, roles: Roles = ROLES) -> dict[str, float]:
-    """Coordinate descent: each item in turn takes the step that gains most; only the grids' results reach the driver.
+#: Parts that a group's values are cut into, by approximate quantiles, before running sums go over one of them.
+CUTS = 64
+#: Decimals to which crossing points are told apart, below which two scores' differences differ by the order of subtraction alone.
+PLACES = 12
+#: Macro AP of intervals within this of the greatest counts as equal to it: sums of doubles depend on their order.
+SAME = 1e-9
+
+
+def crossings(df: DataFrame, k: int, items: Iterable[str] | None = None, roles: Roles = ROLES) -> DataFrame:
+    """``item, at, passed, other, gain_own, gain_other``: shifts of ``item`` at which it passes another item of a query, and what the AP of both rows gains.
+
+    Where an item rises past its neighbour, only these two rows of the query change
+    places, so that only their own terms change. Each query is one sorted array;
+    pairs of negatives, and those below the first ``k`` places, have nothing to gain and
+    are not made. ``passed`` tells that the item is above the other without a shift, and
+    ``items`` restricts which items move.
+    """
+    order = F.array_sort(F.collect_list(F.struct((-F.col(roles.score)).alias("s"), F.col(roles.item).alias("i"), F.col(roles.label).cast("int").alias("l"))))
+    queries = df.groupBy(*roles.query).agg(order.alias("rows"), F.max(roles.label).alias("__any")).where("__any > 0").select("rows")
+    before = F.aggregate("rows", F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("c")), lambda s, x: F.struct((s["n"] + x["l"]).alias("n"), F.concat(s["c"], F.array(s["n"])).alias("c")))
+    ranked = queries.withColumn("before", before["c"]).select(F.col("rows"), F.transform("rows", lambda x, p: F.struct(x["i"].alias("i"), x["s"].alias("s"), x["l"].alias("l"), (p + 1).alias("p"), F.col("before")[p].alias("c"))).alias("x"))
+    movers = F.filter("x", lambda y: y["i"].isin(list(items))) if items is not None else F.col("x")
+
+    def term(place, hits):
+        return F.when(place <= k, hits / place).otherwise(0.0)
+
+    def pair(mover, other):
+        passed = mover["p"] < other["p"]
+        place = other["p"] - passed.cast("int")  # of the other, the mover left out
+        hits = other["c"] - F.when(passed, mover["l"]).otherwise(0)
+        own = F.when(mover["l"] == 1, term(place, hits + 1) - term(place + 1, hits + other["l"] + 1)).otherwise(0.0)
+        its = F.when(other["l"] == 1, term(place + 1, hits + mover["l"] + 1) - term(place, hits + 1)).otherwise(0.0)
+        return F.struct(mover["i"].alias("item"), F.round(mover["s"] - other["s"], PLACES).alias("at"), passed.alias("passed"), other["i"].alias("other"), own.alias("gain_own"), its.alias("gain_other"))
+
+    def useful(mover, other):
+        return (mover["i"] != other["i"]) & (mover["l"] + other["l"] > 0) & (other["p"] - (mover["p"] < other["p"]).cast("int") <= k)
+
+    pairs = F.flatten(F.transform(movers, lambda j: F.transform(F.filter("x", lambda i: useful(j, i)), lambda i: pair(j, i))))
+    return ranked.select(F.explode(pairs).alias("e")).select("e.*")
+
+
+def shift_steps(df: DataFrame, k: int, items: Iterable[str] | None = None, roles: Roles = ROLES) -> DataFrame:
+    """``item, lo, hi, macro_ap, base``: macro AP as an exact step function of one item's shift, all other scores as they are.
+
+    Between two neighbouring crossing points (``lo`` and ``hi``; null beyond the first and the last)
+    no query changes, so that all shifts inside an interval give the same value. Crossings are
+    summed per item and point; running sums then go within ranges of points, cut by
+    approximate quantiles, and over the ranges' totals, so that no task holds all points of an item. Items without a
+    crossing have one interval. Fewer than two rows an item and query are assumed, as everywhere.
+    """
+    own = enrich(df.select(*roles.identity, roles.label, roles.score), [k], roles).where(F.col(roles.label) == 1)
+    per = own.groupBy(F.col(roles.item).alias("item")).agg(F.sum(f"ap@{k}").alias("s"), F.count("*").alias("n"))
+    spark = df.sparkSession
+    known = per.collect()  # one row an item
+    n = {r.item: r.n for r in known}
+    base = sum(r.s / r.n for r in known) / len(known) if known else None
+    share = spark.createDataFrame([(i, 1.0 / (c * len(n))) for i, c in n.items()], f"other {df.schema[roles.item].dataType.simpleString()}, w double")
+    found = crossings(df, k, items, roles)
+    weight = F.broadcast(share)  # one row an item
+    gains = found.join(weight, "other", "left").join(F.broadcast(share.select(F.col("other").alias("item"), F.col("w").alias("w_own"))), "item", "left")
+    gain = F.coalesce(F.col("gain_own") * F.col("w_own"), F.lit(0.0)) + F.coalesce(F.col("gain_other") * F.col("w"), F.lit(0.0))
+    points = gains.groupBy("item", "at").agg(F.sum(gain).alias("gain"), F.sum(F.when(F.col("passed"), gain).otherwise(0.0)).alias("passed"))
+    cuts = points.groupBy("item").agg(F.percentile_approx("at", [i / CUTS for i in range(1, CUTS)], 1000).alias("cuts")).collect()  # one row an item
+    ranges = F.broadcast(spark.createDataFrame([(r["item"], list(r.cuts)) for r in cuts], f"item {df.schema[roles.item].dataType.simpleString()}, cuts array<double>"))
+    ranged = points.join(ranges, "item").select("item", "at", "gain", "passed", F.size(F.filter("cuts", lambda c: c < F.col("at"))).alias("part"))
+    within = Window.partitionBy("item", "part").orderBy("at")
+    run = ranged.select("item", "part", "at", "passed", F.sum("gain").over(within.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"), F.lead("at").over(within).alias("next"))
+    sums = run.groupBy("item", "part").agg(F.max_by("upto", "at").alias("total"), F.min("at").alias("first"), F.sum("passed").alias("passed"))
+    over = Window.partitionBy("item").orderBy("part")  # as many rows as ranges
+    starts = sums.select("item", "part", F.coalesce(F.sum("total").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("before"),
+                         F.lead("first").over(over).alias("after"), F.sum("passed").over(Window.partitionBy("item")).alias("lost"))
+    placed = run.join(starts, ["item", "part"])
+    steps = placed.select("item", F.col("at").alias("lo"), F.coalesce("next", "after").alias("hi"), (F.lit(base) - F.col("lost") + F.col("before") + F.col("upto")).alias("macro_ap"))
+    lowest = sums.groupBy("item").agg(F.min("first").alias("hi"), F.sum("passed").alias("passed"))
+    every = df.select(F.col(roles.item).alias("item")).distinct()
+    every = every.where(F.col("item").isin(list(items))) if items is not None else every
+    first = every.join(lowest, "item", "left").select("item", F.lit(None).cast("double").alias("lo"), "hi", (F.lit(base) - F.coalesce("passed", F.lit(0.0))).alias("macro_ap"))
+    return steps.unionByName(first).withColumn("base", F.lit(base)).withColumnRenamed("item", roles.item)
+
+
+def best_shifts(steps: DataFrame, roles: Roles = ROLES) -> DataFrame:
+    """``item, shift, macro_ap, base, gain``: for each item the shift of greatest macro AP, one row an item.
+
+    It is the middle of its interval, one beyond the outermost points; of intervals of equal
+    value the one nearest to no shift is taken, the lower of two. No shift is taken
+    where none gains.
+    """
+    middle = F.when(F.col("lo").isNull() & F.col("hi").isNull(), 0.0).when(F.col("lo").isNull(), F.col("hi") - 1).when(F.col("hi").isNull(), F.col("lo") + 1).otherwise((F.col("lo") + F.col("hi")) / 2)
+    own = steps.withColumn("shift", middle)
+    most = own.groupBy(roles.item).agg(F.max("macro_ap").alias("__most"))
+    near = own.join(most, roles.item).where(F.col("macro_ap") >= F.col("__most") - SAME)
+    one = near.groupBy(roles.item).agg(F.min(F.struct(F.abs("shift").alias("far"), "shift", "macro_ap", "base")).alias("x")).select(roles.item, "x.*")
+    gains = F.col("macro_ap") > F.col("base") + SAME
+    out = one.select(roles.item, F.when(gains, F.col("shift")).otherwise(0.0).alias("shift"), F.when(gains, F.col("macro_ap")).otherwise(F.col("base")).alias("macro_ap"), "base")
+    return out.withColumn("gain", F.col("macro_ap") - F.col("base"))
 
-    The narrow frame is kept while the grids run.
+
+def optimize_shifts(df: DataFrame, items: Iterable[str], k: int, moves: int = 1, roles: Roles = ROLES) -> dict[str, float]:
+    """Steepest ascent: all items' best shifts are found at once, the one that gains most is taken, ``moves`` times or until none gains; one row an item reaches the driver each time.
+
+    Ties go to the item that sorts first.
     """
-    narrow = df.select(*roles.identity, roles.label, roles.score).persist()
     best = {i: 0.0 for i in items}
-    for _ in range(rounds):
-        for item in best:
-            now = apply_shifts(narrow, best, roles)
-            found = {r.variant: r.delta for r in score_shift_grid(now, [(item, s) for s in steps], k, roles).collect()}
-            name, gain = max(found.items(), key=lambda p: (p[1], p[0]))
-            if gain > 1e-12 and name != "base":
-                best[item] += float(name.rsplit(" ", 1)[1])
-    narrow.unpersist()
+    for _ in range(moves):
+        found = [r for r in best_shifts(shift_steps(apply_shifts(df, best, roles), k, best, roles), roles).collect() if r.gain > SAME]
+        if not found:
+            break
+        most = max(r.gain for r in found)
+        first = min((r for r in found if r.gain >= most - SAME), key=lambda r: r[roles.item])
+        best[first[roles.item]] += first["shift"]
     return best
 
 
@@ -87,15 +182,20 @@ def apply_shifts(df: DataFrame, shifts: dict[str, float], roles: Roles = ROLES)
     return df.withColumn(roles.score, F.col(roles.score) + sum((F.when(F.col(roles.item) == i, s).otherwise(0.0) for i, s in shifts.items()), F.lit(0.0)))
 
 
-def shift_search(df: DataFrame, items: Iterable[str], steps: Iterable[float], k: int, tune_ratio: float = 0.5, rounds: int = 1, roles: Roles = ROLES) -> DataFrame:
-    """``side, base, shifted, delta``: macro AP before and after shifts that were searched on the tune entities alone; the holdout row tells whether they hold."""
-    tune, holdout = tune_holdout_split(df, tune_ratio, roles=roles)
-    shifts = optimize_shifts(tune, items, steps, k, rounds, roles)
-    rows = []
-    for name, side in (("tune", tune), ("holdout", holdout)):
-        both = [macro_item_ap(x, k, roles).select(F.col("macro_ap").alias(c)) for c, x in (("base", side), ("shifted", apply_shifts(side, shifts, roles)))]
-        rows.append(both[0].crossJoin(F.broadcast(both[1])).select(F.lit(name).alias("side"), "base", "shifted", (F.col("shifted") - F.col("base")).alias("delta")))
-    return rows[0].unionByName(rows[1])
+def shift_search(df: DataFrame, items: Iterable[str], k: int, tune_ratio: float = 0.5, moves: int = 1, hash: str = "crc32", roles: Roles = ROLES) -> DataFrame:
+    """``side, base, shifted, delta``: macro AP before and after shifts that were searched on the tune entities alone; the holdout row tells whether they hold.
+
+    Both scores of a side are ranked in one pass, as two variants of its rows.
+    """
+    tune, holdout = tune_holdout_split(df.select(*roles.identity, roles.label, roles.score), tune_ratio, hash=hash, roles=roles)
+    shifts = optimize_shifts(tune, items, k, moves, roles)
+    both = tune.withColumn("side", F.lit("tune")).unionByName(holdout.withColumn("side", F.lit("holdout")))
+    moved = apply_shifts(both, shifts, roles).select(*roles.identity, roles.label, roles.score, "side", F.lit("shifted").alias("variant"))
+    rows = both.withColumn("variant", F.lit("base")).unionByName(moved)
+    wide = Roles(roles.time, (*roles.entity, "variant"), roles.item, roles.label, roles.score, roles.rank)
+    per = enrich(rows, [k], wide).where(F.col(roles.label) == 1).groupBy("side", "variant", roles.item).agg(F.avg(f"ap@{k}").alias("ap"))
+    out = per.groupBy("side").agg(*(F.avg(F.when(F.col("variant") == v, F.col("ap"))).alias(v) for v in ("base", "shifted")))
+    return out.withColumn("delta", F.col("shifted") - F.col("base"))
 
 
 def exposure_share(df: DataFrame, k: int, roles: Roles = ROLES) -> DataFrame:
@@ -107,10 +207,6 @@ def exposure_share(df: DataFrame, k: int, roles: Roles = ROLES) -> DataFrame:
     return out.select(roles.item, "exposure", "positive_share", F.pow(F.col("exposure") - F.col("positive_share"), F.lit(2.0)).alias("penalty"))
 
 
-#: Parts that a group's values are cut into, by approximate quantiles, before running sums go over one of them.
-CUTS = 64
-
-
 def weighted_quantiles(df: DataFrame, by: list[str], value: str, weight: Column, reach: dict[str, Callable[[Column], Column]]) -> DataFrame:
     """``by`` and, for each name in ``reach``, the smallest value at which the running weight gets to ``reach(total weight)``.
 

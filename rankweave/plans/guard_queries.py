@@ -44,7 +44,15 @@ def tune_holdout_split(spark, sf):
 
 def shift_search(spark, sf):
     """Shifts of two items searched on one half of the customers, judged on the other."""
-    return rounded(shift.shift_search(fr.pred(spark, sf), ["PROMO", "SMALL"], [0.25, -0.25], 3))
+    return rounded(shift.shift_search(fr.pred(spark, sf), ["PROMO", "SMALL"], 3, hash="md5"))
+
+
+def shift_steps(spark, sf):
+    return rounded(shift.shift_steps(fr.pred(spark, sf), 3))
+
+
+def best_shifts(spark, sf):
+    return rounded(shift.best_shifts(shift.shift_steps(fr.pred(spark, sf), 3)))
 
 
 def weight_surface_decoupled(spark, sf):
@@ -156,7 +164,7 @@ def audit_log(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    item_auc, offset_spread, query_offset_spread, card_limits, tune_holdout_split, shift_search, weight_surface_decoupled, rank_divergence, signed_profile_by_quadrant,
+    item_auc, offset_spread, query_offset_spread, card_limits, tune_holdout_split, shift_search, shift_steps, best_shifts, weight_surface_decoupled, rank_divergence, signed_profile_by_quadrant,
     signed_profile_of_positives, coded_row_weights, sampling_keys, work_grid, keep_entities, own_predictions, selected_features, single_partition, covered_population,
     fixed_versions, table_lifecycle, declared_table, audit_log)}
 
@@ -168,7 +176,46 @@ _PROFILE = "SELECT {cols}, feature, round(mean_abs, 5) AS mean_abs, round(mean_s
 _QUAD = "qd AS (SELECT *, row_number() OVER (PARTITION BY snap_date, cust_id ORDER BY score DESC, prod_name) AS pos FROM pred), quad AS (SELECT snap_date, cust_id, prod_name, CASE WHEN pos <= 3 AND label = 1 THEN 'TP' WHEN pos <= 3 THEN 'FP' WHEN label = 1 THEN 'FN' ELSE 'TN' END AS quadrant FROM qd)"
 _RANKS = "rank() OVER (PARTITION BY prod_name ORDER BY {c}) + (count(*) OVER (PARTITION BY prod_name, {c}) - 1) / 2.0"
 _COUNTS = "SELECT snap_date, cust_id, n_orders"
+
+
+def _term(place: str, hits: str) -> str:
+    return f"CASE WHEN {place} <= 3 THEN ({hits}) / ({place})::DOUBLE ELSE 0 END"
+
+
+def _steps(source: str, where: str = "true") -> str:
+    """CTEs ``steps(item, lo, hi, macro_ap, base)`` of ``source`` from its pairs of rows, for the items that move."""
+    own = f"lj * ({_term('place', 'hits + 1')} - {_term('place + 1', 'hits + li + 1')}) / a.n"
+    its = f"li * ({_term('place + 1', 'hits + lj + 1')} - {_term('place', 'hits + 1')}) / b.n"
+    return f"""
+sr AS (SELECT *, row_number() OVER (PARTITION BY snap_date, cust_id ORDER BY score DESC, prod_name) AS pos, max(label) OVER (PARTITION BY snap_date, cust_id) AS any_ FROM {source}),
+sc AS (SELECT *, sum(label) OVER (PARTITION BY snap_date, cust_id ORDER BY pos ROWS UNBOUNDED PRECEDING) - label AS cb FROM sr WHERE any_ > 0),
+sn AS (SELECT prod_name, count(*) AS n, sum({_term('pos', 'cb + 1')}) AS s FROM sc WHERE label = 1 GROUP BY 1),
+sb AS (SELECT avg(s / n) AS base, count(*) AS t FROM sn),
+se AS (SELECT j.prod_name AS item, i.prod_name AS other, round(i.score - j.score, 12) AS edge, j.pos < i.pos AS passed, j.label AS lj, i.label AS li,
+    i.pos - (j.pos < i.pos)::INT AS place, i.cb - CASE WHEN j.pos < i.pos THEN j.label ELSE 0 END AS hits
+  FROM sc j JOIN sc i USING (snap_date, cust_id) WHERE j.prod_name <> i.prod_name AND j.label + i.label > 0 AND {where}),
+sg AS (SELECT item, edge, passed, (coalesce({own}, 0) + coalesce({its}, 0)) / t AS gain FROM se LEFT JOIN sn a ON a.prod_name = item LEFT JOIN sn b ON b.prod_name = other, sb WHERE place <= 3),
+sp AS (SELECT item, edge, sum(gain) AS gain FROM sg GROUP BY ALL),
+sl AS (SELECT item, sum(CASE WHEN passed THEN gain ELSE 0 END) AS lost FROM sg GROUP BY 1),
+steps AS (SELECT item, edge AS lo, lead(edge) OVER (PARTITION BY item ORDER BY edge) AS hi, base - lost + sum(gain) OVER (PARTITION BY item ORDER BY edge ROWS UNBOUNDED PRECEDING) AS macro_ap, base FROM sp JOIN sl USING (item), sb
+  UNION ALL SELECT j.prod_name, NULL, (SELECT min(edge) FROM sp WHERE item = j.prod_name), base - coalesce((SELECT lost FROM sl WHERE item = j.prod_name), 0), base FROM (SELECT DISTINCT prod_name FROM {source}) j, sb WHERE {where}),
+mid AS (SELECT *, CASE WHEN lo IS NULL AND hi IS NULL THEN 0 WHEN lo IS NULL THEN hi - 1 WHEN hi IS NULL THEN lo + 1 ELSE (lo + hi) / 2 END AS shift FROM steps),
+near AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY abs(shift), shift) AS r FROM mid JOIN (SELECT item, max(macro_ap) AS most FROM mid GROUP BY 1) USING (item) WHERE macro_ap >= most - 1e-9),
+best AS (SELECT item, CASE WHEN macro_ap > base + 1e-9 THEN shift ELSE 0 END AS shift, CASE WHEN macro_ap > base + 1e-9 THEN macro_ap ELSE base END AS macro_ap, base FROM near WHERE r = 1)"""
+
+
 ORACLE_SQL = {
+    "shift_steps": f"{_P}, {_steps('pred')} SELECT item AS prod_name, round(lo, 6) + 0.0 AS lo, round(hi, 6) + 0.0 AS hi, round(macro_ap, 6) AS macro_ap, round(base, 6) AS base FROM steps",
+    "best_shifts": f"{_P}, {_steps('pred')} SELECT item AS prod_name, round(shift, 6) + 0.0 AS shift, round(macro_ap, 6) AS macro_ap, round(base, 6) AS base, round(macro_ap - base, 6) + 0.0 AS gain FROM best",
+    "shift_search": f"""{_P}, sides AS (SELECT *, CASE WHEN {md5_bucket(['cust_id::VARCHAR'], site='tune')} < 50000 THEN 'tune' ELSE 'holdout' END AS side FROM pred),
+tune AS (SELECT * FROM sides WHERE side = 'tune'), {_steps('tune', "j.prod_name IN ('PROMO', 'SMALL')")},
+move AS (SELECT item, shift FROM best WHERE macro_ap - base > 1e-9 AND macro_ap - base >= (SELECT max(macro_ap - base) FROM best) - 1e-9 ORDER BY item LIMIT 1),
+vr AS (SELECT side, v, snap_date, cust_id, prod_name, label, row_number() OVER (PARTITION BY v, snap_date, cust_id
+    ORDER BY score + CASE WHEN v = 'shifted' AND prod_name = (SELECT item FROM move) THEN (SELECT shift FROM move) ELSE 0 END DESC, prod_name) AS pos FROM sides, (VALUES ('base'), ('shifted')) x(v)),
+vc AS (SELECT *, sum(label) OVER (PARTITION BY v, snap_date, cust_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS cum FROM vr),
+vi AS (SELECT side, v, prod_name, avg({_term('pos', 'cum')}) AS ap FROM vc WHERE label = 1 GROUP BY ALL),
+vm AS (SELECT side, avg(ap) FILTER (v = 'base') AS base, avg(ap) FILTER (v = 'shifted') AS shifted FROM (SELECT side, v, prod_name, ap FROM vi) GROUP BY 1)
+SELECT side, round(base, 6) AS base, round(shifted, 6) AS shifted, round(shifted - base, 6) + 0.0 AS delta FROM vm""",
     "item_auc": f"{_P}, z AS (SELECT *, score - avg(score) OVER (PARTITION BY snap_date, cust_id) AS centered FROM pred), {_AUC.format(n=1, c='score')}, {_AUC.format(n=2, c='round(centered, 12)')} SELECT prod_name, round(a1.auc, 6) AS raw_auc, round(a2.auc, 6) AS centered_auc, round(a1.auc - a2.auc, 6) AS auc_gap FROM a1 JOIN a2 USING (prod_name)",
     "offset_spread": f"{_OFF} SELECT segment, round(max(o) - min(o), 6) AS offset_spread FROM off GROUP BY 1",
     "query_offset_spread": f"{_SPREAD} SELECT round(quantile_cont(spread, 0.5), 6) AS p50, round(quantile_cont(spread, 0.9), 6) AS p90, round(quantile_cont(spread, 1.0), 6) AS p100, bool_or(varies) AS varies FROM qs",

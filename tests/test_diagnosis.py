@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,10 +100,61 @@ def test_auc_gap_is_what_the_customers_level_adds(spark):
 
 def test_shifts_are_judged_on_the_holdout(spark):
     rows = [("d", f"c{i}", p, s, int(p == "tea")) for i in range(60) for p, s in (("tea", 0.4), ("jam", 0.6))]
-    got = {r.side: r for r in shift.shift_search(spark.createDataFrame(rows, SCHEMA), ["tea"], [0.3, -0.3], 2).collect()}
+    got = {r.side: r for r in shift.shift_search(spark.createDataFrame(rows, SCHEMA), ["tea"], 2).collect()}
     assert got["tune"].delta > 0 and got["holdout"].delta == got["tune"].delta == 0.5
 
 
+def macro_ap(rows, k):
+    """Macro AP in plain Python: the mean over items of the mean over their positives."""
+    queries, terms = {}, {}
+    for d, c, p, s, label in rows:
+        queries.setdefault((d, c), []).append((-s, p, label))
+    for own in queries.values():
+        hits = 0
+        for place, (_, p, label) in enumerate(sorted(own), 1):
+            hits += label
+            if label:
+                terms.setdefault(p, []).append(hits / place if place <= k else 0.0)
+    return sum(sum(t) / len(t) for t in terms.values()) / len(terms)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_shift_steps_equal_macro_ap_at_every_midpoint(spark, seed):
+    rng = random.Random(seed)
+    items = ["tea", "jam", "oil", "rye", "ale"]
+    rows = [("d", f"c{i}", p, rng.randrange(8) / 8, int(rng.random() < 0.3)) for i in range(25) for p in items if rng.random() < 0.9]  # many ties
+    df = spark.createDataFrame(rows, SCHEMA)
+    steps = shift.shift_steps(df, 3).collect()
+    base = macro_ap(rows, 3)
+    best = {r.prod_name: r for r in shift.best_shifts(shift.shift_steps(df, 3)).collect()}
+    for item in items:
+        own = sorted((r for r in steps if r.prod_name == item), key=lambda r: (r.lo is not None, r.lo))
+        assert own[0].lo is None and own[-1].hi is None and all(a.hi == b.lo for a, b in zip(own, own[1:], strict=False))
+        found = {}
+        for r in own:
+            shifts = [x for x in (r.lo, r.hi) if x is not None]
+            middle = sum(shifts) / 2 if len(shifts) == 2 else r.hi - 1 if r.lo is None else r.lo + 1
+            found[middle] = macro_ap([(d, c, p, s + (middle if p == item else 0), x) for d, c, p, s, x in rows], 3)
+            assert r.macro_ap == pytest.approx(found[middle], abs=1e-12) and r.base == pytest.approx(base, abs=1e-12)
+        most = max(found.values())
+        want = min((abs(m), m) for m, v in found.items() if v >= most - 1e-9)[1] if most > base + 1e-9 else 0.0
+        assert (best[item]["shift"], best[item].macro_ap) == (pytest.approx(want), pytest.approx(max(most, base)))
+    some = shift.shift_steps(df, 3, ["jam"]).collect()
+    assert sorted(map(str, some)) == sorted(str(r) for r in steps if r.prod_name == "jam")
+    moves = shift.optimize_shifts(df, items, 3, moves=4)
+    after = macro_ap([(d, c, p, s + moves[p], x) for d, c, p, s, x in rows], 3)
+    assert after >= max(r.macro_ap for r in best.values()) - 1e-12
+
+
+def test_shift_steps_make_no_row_for_each_shift(spark):
+    df = spark.createDataFrame([("d", f"c{i}", p, s, int(p == "tea")) for i in range(30) for p, s in (("tea", 0.4), ("jam", 0.6))], SCHEMA)
+    steps = shift.shift_steps(df, 2)
+    assert steps.where("prod_name = 'tea'").count() == 2  # all queries cross at one point
+    alone = spark.createDataFrame([("d", "c", "tea", 0.4, 1)], SCHEMA)
+    assert [tuple(r) for r in shift.shift_steps(alone, 2).collect()] == [("tea", None, None, 1.0, 1.0)]
+    assert shift.shift_steps(alone.limit(0), 2).count() == 0
+
+
 def test_rank_divergence(spark):
     rows = [("d", "c", p, f, v) for p, vs in (("same", (1.0, 2.0, 3.0)), ("turned", (9.0, 5.0, 1.0)), ("flat", (2.0, 2.0, 2.0))) for f, v in zip("xyz", vs, strict=True)]
     df = spark.createDataFrame(rows, "snap_date string, cust_id string, prod_name string, feature string, value double")
