@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stage, table, unstage
+from .common import settings, stage, table, unstage
 
 #: Vectors of a shard, links of a node above the ground level (twice as many on it), width of the beam when a node is
 #: inserted and when a query is searched, and queries that meet a shard at a time. All are parameters of :func:`build_index` and :func:`search`.
@@ -192,6 +192,17 @@ def proper(df: DataFrame, vector: str = "embedding") -> DataFrame:
     return typed.where(F.col("vec_id").isNotNull() & fine).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
+def _apart(df: DataFrame):
+    """While it holds, small partitions stay apart: shards have few bytes for their work."""
+    return settings(df.sparkSession, spark__sql__adaptive__coalescePartitions__enabled="false")
+
+
+def first_copies(vectors: DataFrame, k: int) -> DataFrame:
+    """The ``k + 1`` smallest ids of each vector; Spark cuts copies in each task before the exchange."""
+    first = Window.partitionBy("embedding").orderBy("vec_id")
+    return vectors.withColumn("at", F.row_number().over(first)).where(F.col("at") <= k + 1)
+
+
 def build_index(vectors: DataFrame, k: int = 20, shard: int = SHARD, links: int = LINKS, width: int = BUILD) -> DataFrame:
     """The index of ``vectors(vec_id, embedding)``, a row a shard: ``dim, shard, n_shards, ids, ends, vectors, sizes, links``.
 
@@ -200,9 +211,7 @@ def build_index(vectors: DataFrame, k: int = 20, shard: int = SHARD, links: int
     shard has about ``shard`` of them; vectors of other lengths have shards of their own.
     Every vector is indexed, none is sampled.
     """
-    first = Window.partitionBy("embedding").orderBy("vec_id")
-    few = vectors.withColumn("at", F.row_number().over(first)).where(F.col("at") <= k + 1)  # cut in each task before the exchange
-    nodes = few.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    nodes = first_copies(vectors, k).groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
     nodes = stage(nodes.select(F.size("embedding").alias("dim"), "ids", "embedding"), "nodes")
     totals = nodes.groupBy("dim").agg(F.ceil(F.count("*") / shard).cast("int").alias("n_shards"))
     placed = nodes.join(totals, "dim").withColumn("shard", F.pmod(F.xxhash64(F.col("ids")[0]), F.col("n_shards")).cast("int"))
@@ -222,7 +231,8 @@ def build_index(vectors: DataFrame, k: int = 20, shard: int = SHARD, links: int
         return pa.table([*(part[c][:1] for c in ("dim", "shard", "n_shards")), *rows], names=["dim", "shard", "n_shards", "ids", "ends", "vectors", "sizes", "links"])
 
     schema = f"dim int, shard int, n_shards int, ids array<long>, ends array<int>, vectors {kind}, sizes array<int>, links array<int>"
-    index = stage(placed.groupBy("dim", "shard").applyInArrow(run, schema), "index")
+    with _apart(vectors):
+        index = stage(placed.groupBy("dim", "shard").applyInArrow(run, schema), "index")
     unstage(nodes)
     return index
 
@@ -279,7 +289,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, width: int = BEAM,
                 own = np.asarray(asked.field("embedding").flatten()).reshape(len(asked), -1)
                 yield pa.record_batch([pa.array(x) for x in _search_shard(row, np.asarray(asked.field("vec_id")), own, k, width, links)], names=["query_id", "vec_id", "score"])
 
-    found = stage(pairs.mapInArrow(run, FOUND), "found", rows=1)
+    with _apart(index):
+        found = stage(pairs.mapInArrow(run, FOUND), "found", rows=1)
     unstage(blocks)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -90,9 +90,10 @@ def test_index_has_every_vector_once(spark):
     assert index.count() == index.first().n_shards == 5
 
 
-def test_copies_are_cut_before_the_exchange(spark):
+def test_copies_are_cut_before_the_exchange(spark, tmp_path):
     df = spark.range(1000).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.lit(2.0)).alias("embedding"))
-    first = hnsw.Window.partitionBy("embedding").orderBy("vec_id")
-    plan = df.withColumn("at", F.row_number().over(first)).where("at <= 21")._jdf.queryExecution().executedPlan().toString()
+    df.write.parquet(str(tmp_path / "copies"))
+    df = spark.read.parquet(str(tmp_path / "copies"))
+    plan = hnsw.first_copies(df, 20)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
-    assert len(got(hnsw.nearest_neighbours(df))) == 50
+    assert got(hnsw.nearest_neighbours(df)) == plainly([(r.vec_id, r.embedding) for r in df.collect()], 20, 20)
