@@ -239,8 +239,47 @@ def _pivot(where: str) -> str:
     return f"{_RANKED} SELECT prod_name, {cols} FROM r GROUP BY 1"
 
 
+_WORD = "('0x' || substr(md5({key}), 1, 15))::BIGINT"
+
+
+def _draws(units: str) -> str:
+    """CTEs ``u(stratum, unit, i)`` and ``times(stratum, b, i, times)`` of the distinct ``units(stratum, unit)``: counts are halved down a tree by recursion, a toss of all draws left in each step."""
+    heads = f"""coalesce(list_sum(list_transform(range(0, (c + 59) // 60), lambda w: bit_count({_WORD.format(key="concat_ws('|', 0, stratum, d, j, b, t, w)")} & ((1::BIGINT << least(60, c - 60 * w)::INT) - 1)))), 0)::BIGINT"""
+    return f"""
+u AS (SELECT stratum, unit, row_number() OVER (PARTITION BY stratum ORDER BY md5(unit), unit) - 1 AS i FROM {units}),
+st AS (SELECT *, len(list_filter(range(0, 41), lambda x: 32 * (1::BIGINT << x::INT) < n))::INT AS depth FROM (SELECT stratum, count(*) AS n FROM {units} GROUP BY 1)),
+walk(stratum, n, depth, b, d, j, c0, c, a, x, t) AS (
+  SELECT stratum, n, depth, b, 0, 0::BIGINT, n, n, n // 2, 0::BIGINT, 0 FROM st, range({{replicates}}) r(b)
+  UNION ALL SELECT stratum, n, depth, b, CASE WHEN done THEN d + 1 ELSE d END, CASE WHEN done THEN 2 * j + side ELSE j END,
+    CASE WHEN NOT done THEN c0 WHEN side = 0 THEN x ELSE c0 - x END, CASE WHEN NOT done THEN CASE WHEN up THEN c - h ELSE h END WHEN side = 0 THEN x ELSE c0 - x END,
+    CASE WHEN done THEN n * (4 * j + 2 * side + 1) // (1::BIGINT << (d + 2)) - n * (2 * j + side) // (1::BIGINT << (d + 1)) WHEN up THEN 2 * a - size ELSE 2 * a END,
+    CASE WHEN done THEN 0 WHEN up THEN x + h ELSE x END, CASE WHEN done THEN 0 ELSE t + 1 END
+  FROM (SELECT *, 2 * a >= size AS up, CASE WHEN done THEN 0 ELSE {heads} END AS h FROM
+      (SELECT *, c = 0 OR a = 0 OR t > 61 AS done, n * (j + 1) // (1::BIGINT << d) - n * j // (1::BIGINT << d) AS size FROM walk WHERE d < depth)), (VALUES (0), (1)) s(side)
+  WHERE side = 0 OR done),
+leaf AS (SELECT stratum, j, b, n * j // (1::BIGINT << depth) AS lo, n * (j + 1) // (1::BIGINT << depth) - n * j // (1::BIGINT << depth) AS size, unnest(range(1, c0 + 1)) AS t FROM walk WHERE d = depth),
+times AS (SELECT stratum, b, lo + {_WORD.format(key="concat_ws('|', 0, stratum, 'leaf', j, b, t)")} % size AS i, count(*) AS times FROM leaf GROUP BY ALL)"""
+
+
+_R = "WITH RECURSIVE " + fr.PRED
+_CI = "round(quantile_cont({v}, 0.025), 6) + 0.0 AS lo, round(quantile_cont({v}, 0.975), 6) + 0.0 AS hi, round(avg({v}), 6) + 0.0 AS mean"
 _DLONG = "SELECT 'overall' AS level, 'all' AS key, 'map' AS metric, avg(\"map@3\") AS value FROM {p}pq UNION ALL SELECT 'overall', 'all', 'ndcg', avg(\"ndcg@3\") FROM {p}pq UNION ALL SELECT 'item', prod_name, 'map_attr', avg(ap3) FROM {p}enr WHERE label = 1 GROUP BY prod_name"
 ORACLE_SQL = {
+    "bootstrap_item_ci": f"""{_R}, {fr.enriched_sql()}, units AS (SELECT DISTINCT 'all' AS stratum, cust_id::VARCHAR AS unit FROM enr WHERE label = 1), {_draws('units').format(replicates=50)},
+own AS (SELECT cust_id::VARCHAR AS unit, prod_name, sum(ap3) AS s, count(*) AS n FROM enr WHERE label = 1 GROUP BY ALL),
+per AS (SELECT b, prod_name, sum(s * times) / sum(n * times) AS ap FROM own JOIN u USING (unit) JOIN times USING (stratum, i) GROUP BY ALL),
+every AS (FROM per UNION ALL SELECT b, 'macro', avg(ap) FROM per GROUP BY b)
+SELECT prod_name, {_CI.format(v='ap')} FROM every GROUP BY 1""",
+    "paired_bootstrap_delta": f"""{_R}, ps AS (SELECT pred.*, segment AS stratum FROM pred LEFT JOIN seg USING (cust_id)), pm AS (SELECT * REPLACE (score + CASE WHEN prod_name = 'PROMO' THEN 0.25 ELSE 0 END AS score) FROM ps),
+{fr.enriched_sql('ps', 'a_')}, {fr.enriched_sql('pm', 'b_')}, units AS (SELECT DISTINCT stratum, cust_id::VARCHAR AS unit FROM a_enr WHERE label = 1), {_draws('units').format(replicates=50)},
+own AS (SELECT a.stratum, a.cust_id::VARCHAR AS unit, a.prod_name, sum(a.ap3) AS s, sum(b.ap3) AS m, count(*) AS n FROM a_enr a JOIN b_enr b USING (snap_date, cust_id, prod_name) WHERE a.label = 1 GROUP BY ALL),
+per AS (SELECT b, prod_name, sum(m * times) / sum(n * times) - sum(s * times) / sum(n * times) AS d FROM own JOIN u USING (stratum, unit) JOIN times USING (stratum, i) GROUP BY ALL),
+every AS (SELECT b, avg(d) AS delta FROM per GROUP BY b) SELECT {_CI.format(v='delta')} FROM every""",
+    "auc_ci": f"""{_R}, units AS (SELECT DISTINCT 'all' AS stratum, cust_id::VARCHAR AS unit FROM pred), {_draws('units').format(replicates=10)},
+g AS (SELECT b, prod_name, score, sum(times * label) AS p, sum(times * (1 - label)) AS n FROM (SELECT *, cust_id::VARCHAR AS unit FROM pred) JOIN u USING (unit) JOIN times USING (stratum, i) GROUP BY ALL),
+r AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY b, prod_name ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g),
+per AS (SELECT b, prod_name, sum(p * (below + n / 2)) / (sum(p) * sum(n)) AS auc FROM r GROUP BY ALL HAVING sum(p) * sum(n) > 0)
+SELECT prod_name, {_CI.format(v='auc')} FROM per GROUP BY 1""",
     "popularity_counts": f"WITH {_POP} SELECT snapshot, prod_name, count, false AS fallback FROM found UNION ALL SELECT snapshot, prod_name, sum(n)::BIGINT, true FROM win, daily WHERE snapshot NOT IN (SELECT snapshot FROM found) GROUP BY ALL",
     "monthly_popularity": f"WITH {_DAILY.format(n=3)} SELECT snapshot, prod_name, strftime(day, '%Y-%m') AS month, sum(n)::BIGINT AS count FROM win JOIN daily ON day >= start AND day < snapshot GROUP BY ALL",
     "baseline_bundle": f"WITH {fr.PRED}, {_POP}, bf AS (SELECT snap_date, cust_id, p.prod_name, label, coalesce(count, 0)::DOUBLE AS score FROM pred p LEFT JOIN found f ON f.prod_name = p.prod_name AND f.snapshot = p.snap_date WHERE snap_date = DATE '1998-01-01'), {fr.enriched_sql('bf')} SELECT " + ", ".join(f'round(avg("{n}"), 6) AS "{n}"' for n in m.metric_names([3])) + ", count(*) AS n_queries FROM pq",

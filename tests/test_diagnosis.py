@@ -1,5 +1,6 @@
 import math
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,7 +74,6 @@ def test_a_context_that_varies_within_a_query_shows_in_the_query_spread_alone(sp
 
 def test_quantiles_by_parts_equal_sorting(spark):
     import random
-    import statistics
 
     rng = random.Random(3)
     rows = [(g, v, w) for g in ("a", "b", None) for v, w in ((rng.choice([rng.random(), 0.25, 7.0]), rng.randint(1, 3)) for _ in range(rng.choice([1, 400])))]
@@ -162,15 +162,55 @@ def test_rank_divergence(spark):
     assert got == {"same": pytest.approx(1.0), "turned": pytest.approx(0.0), "flat": 0.0}  # the whole's order is x, y, z downwards
 
 
+@pytest.mark.parametrize("sizes", [(1, 32, 33), (100, 700)])
+def test_every_replicate_draws_as_many_units_as_a_stratum_has(spark, sizes):
+    units = [(f"s{s}", f"u{i}") for s, n in enumerate(sizes) for i in range(n)]
+    got = bootstrap.multiplicities(spark.createDataFrame(units * 2, "stratum string, u string"), ["u"], "stratum", 40).collect()
+    assert sorted((r.stratum, r.unit) for r in got) == sorted(units)
+    for s, n in enumerate(sizes):
+        own = [r.times for r in got if r.stratum == f"s{s}"]
+        assert all(len(t) == 40 for t in own) and {sum(t[b] for t in own) for b in range(40)} == {n}
+    if sizes[-1] == 700:  # in law: mean 1, variance (n - 1) / n, none with probability (1 - 1 / n) ** n
+        draws = [x for r in got for x in r.times]
+        assert statistics.pvariance(draws) == pytest.approx(1, abs=0.05) and draws.count(0) / len(draws) == pytest.approx(math.exp(-1), abs=0.01)
+
+
+def test_binomial_draws_in_law(spark):
+    for n, a, size in ((1, 1, 3), (10, 1, 2), (200, 5, 7), (50, 0, 9), (0, 1, 2), (70, 9, 9)):
+        own = spark.range(4000).select(bootstrap._binomial(F.lit(n).cast("long"), F.lit(a), F.lit(size), F.lit("x"), F.col("id")).alias("x"))
+        mean, var, low, high = own.agg(F.avg("x"), F.var_pop("x"), F.min("x"), F.max("x")).first()
+        p = a / size
+        assert 0 <= low and high <= n and mean == pytest.approx(n * p, abs=4 * math.sqrt(n * p * (1 - p) / 4000) + 1e-9)
+        assert var == pytest.approx(n * p * (1 - p), rel=0.15, abs=1e-9)
+
+
+def test_intervals_equal_plain_resampling_and_explode_nothing(spark):
+    rng = random.Random(5)
+    rows = [("d", f"c{i}", p, rng.randrange(6) / 6, int(rng.random() < 0.4)) for i in range(90) for p in "ABC"]
+    df = spark.createDataFrame(rows, SCHEMA)
+    times = {r.unit: r.times for r in bootstrap.multiplicities(df, ["cust_id"], None, 12).collect()}
+    want = []
+    for b in range(12):
+        own = [(s, x) for _, c, p, s, x in rows if p == "B" for _ in range(times[c][b])]
+        pos, neg = [s for s, x in own if x], [s for s, x in own if not x]
+        want.append(sum((s > t) + (s == t) / 2 for s in pos for t in neg) / len(pos) / len(neg))
+    got = {r.prod_name: r for r in bootstrap.auc_ci(df, 12).collect()}["B"]
+    assert got["mean"] == pytest.approx(statistics.mean(want)) and min(want) <= got.lo <= got.hi <= max(want)
+    plan = bootstrap.auc_ci(df, 12)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [prod_name") == 1
+    spread = bootstrap.bootstrap_item_ci(df, 3, 12)._jdf.queryExecution().executedPlan().toString()
+    assert "replicate" not in spread.split("sum(")[-1]  # below the sums there is no row for each replicate
+    never = df.withColumn("label", F.when(F.col("prod_name") == "A", 0).otherwise(F.col("label")))
+    assert {r.prod_name for r in bootstrap.auc_ci(never, 5).collect()} == {"B", "C"}
+    poor = df.withColumn("score", F.when(F.col("prod_name") == "C", -1.0).otherwise(F.col("score")))
+    assert {r.prod_name: r.hi for r in bootstrap.bootstrap_item_ci(poor, 1, 5).collect()}["C"] >= 0
+
+
 def test_bootstrap(spark):
     rows = [("d", f"c{i}", p, ((i * 7 + j * 3) % 11) / 11, int((i + j) % 3 == 0)) for i in range(40) for j, p in enumerate("ABC")]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("stratum", F.when(F.col("cust_id") < "c2", "x").otherwise("y"))
     zero = bootstrap.paired_bootstrap_delta(df, "score", 3, 20, "stratum").first()
     assert (zero.lo, zero.hi, zero.mean) == (0, 0, 0)
-    times = bootstrap.multiplicities(df, "cust_id", "stratum", 5)
-    per = {(r.replicate, r.stratum): r.n for r in times.groupBy("replicate", "stratum").agg(F.sum("times").alias("n")).collect()}
-    sizes = {r.stratum: r.n for r in df.groupBy("stratum").agg(F.countDistinct("cust_id").alias("n")).collect()}
-    assert all(n == sizes[s] for (_, s), n in per.items()) and len(per) == 10
     ci = {r.prod_name: r for r in bootstrap.bootstrap_item_ci(df, 3, 30).collect()}
     assert all(r.lo <= r.mean <= r.hi for r in ci.values()) and "macro" in ci
 
