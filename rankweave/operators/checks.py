@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..roles import ROLES, Roles
@@ -81,6 +81,32 @@ def scored_checks(df: DataFrame, declared: Iterable[str], expected_rows: int, ro
     return both.select(F.explode(F.array(*(F.struct(F.lit(c).alias("check"), F.coalesce(c, F.lit(0)).alias("failures")) for c in both.columns))).alias("x")).select("x.*")
 
 
+def observed(ranked: DataFrame, declared: Iterable[str], roles: Roles = ROLES) -> tuple[DataFrame, Observation]:
+    """The ranked rows, and what the job that writes them will have seen: ``rows, nulls, unknown_items, queries, incomplete, constant, repeated, rank_order``.
+
+    Nothing is read for the checks: a query's figures come from windows over the
+    partitioning that its ranks already have, and are counted at its first row.
+    """
+    declared = list(declared)
+    query, by_rank = Window.partitionBy(*roles.query), Window.partitionBy(*roles.query).orderBy(roles.rank)
+    seen = ranked.withColumns({
+        "__n": F.count("*").over(query), "__items": F.size(F.collect_set(roles.item).over(query)), "__low": F.min(roles.score).over(query),
+        "__high": F.max(roles.score).over(query), "__before": F.lag(roles.score).over(by_rank), "__at": F.row_number().over(by_rank)})
+    null = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in [*roles.identity, roles.score]))
+    first = F.col("__at") == 1
+
+    def rows(condition):
+        return F.coalesce(F.sum(condition.cast("long")), F.lit(0))
+
+    metrics = {
+        "rows": F.count(F.lit(1)), "nulls": rows(null), "unknown_items": rows(~F.col(roles.item).isin(declared)), "queries": rows(first),
+        "incomplete": rows(first & (F.col("__n") != len(declared))), "constant": rows(first & (F.col("__low") == F.col("__high")) & (F.col("__n") > 1)),
+        "repeated": F.coalesce(F.sum(F.when(first, F.col("__n") - F.col("__items"))), F.lit(0)), "rank_order": rows(F.col(roles.score) > F.col("__before")),
+    }
+    observation = Observation()
+    return seen.observe(observation, *(m.alias(n) for n, m in metrics.items())).select(*ranked.columns), observation
+
+
 def rank_order_violations(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
     """Rows whose score exceeds that of the rank before."""
     before = F.lag(roles.score).over(Window.partitionBy(*roles.query).orderBy(roles.rank))

@@ -34,13 +34,13 @@ def work_grid(dates: DataFrame, buckets: DataFrame, items: DataFrame) -> DataFra
 def require_unique(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """The frame's rows; the job that reads them fails if rows share their keys, as a join on them would then make more rows.
 
-    The check is a count by the keys within the plan: a join on them needs the same
-    exchange, so that it costs no pass of its own.
+    Rows are numbered within their key, by the exchange and sort that a join on the keys
+    needs too; no other column is looked at, however wide the frame is.
     """
     keys = list(keys)
-    own = df.groupBy(*keys).agg(F.count("*").alias("__n"), *(F.first(c).alias(c) for c in df.columns if c not in keys))
     message = F.concat(F.lit("repeated key: "), F.concat_ws("|", *(F.col(k).cast("string") for k in keys)))
-    return own.where(F.when(F.col("__n") > 1, F.raise_error(message).cast("boolean")).otherwise(True)).select(*df.columns)
+    own = df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)))
+    return own.where(F.when(F.col("__n") > 1, F.raise_error(message).cast("boolean")).otherwise(True)).drop("__n")
 
 
 def require_single_partition(df: DataFrame, columns: Iterable[str]) -> DataFrame:

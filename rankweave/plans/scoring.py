@@ -32,17 +32,19 @@ def score_all_items(population: DataFrame, items: DataFrame, fitted: Preprocesso
 
 
 def publish(spark: SparkSession, scored: DataFrame, staging: str, production: str, declared: list[str], expected_rows: int, version: str, roles: Roles = ROLES) -> DataFrame:
-    """Rank into staging, check, then write production once; failing checks raise and leave production untouched."""
-    ranked = rank_within_query(scored, roles, roles.rank)
+    """Rank into staging, then write production once; failing checks raise and leave production untouched.
+
+    The checks are observed while staging is written: the scores are read once, and
+    what landed is read for production alone. A score that is the same over a whole
+    query is no failure.
+    """
+    ranked, observation = checks.observed(rank_within_query(scored, roles, roles.rank), declared, roles)
     tables.write_versioned(ranked, staging, {"version": version}, [roles.time])
-    landed = tables.read_versioned(spark, staging, {"version": version})
-    failed = {r.check: r.failures for r in checks.scored_checks(landed, declared, expected_rows, roles).where("failures <> 0").collect()}
-    groups = checks.prediction_checks(landed, len(declared), roles).first()
-    if groups.incomplete:
-        failed["incomplete groups"] = groups.incomplete
-    if out_of_order := checks.rank_order_violations(landed, roles).count():
-        failed["rank order"] = out_of_order
+    seen = observation.get
+    failed = {c: seen[c] for c in ("nulls", "unknown_items", "incomplete", "repeated", "rank_order") if seen[c]}
+    if seen["rows"] != expected_rows:
+        failed["row_difference"] = seen["rows"] - expected_rows
     if failed:
         raise ValueError(f"not published: {failed}")
-    tables.write_versioned(landed, production, {"version": version}, [roles.time])
+    tables.write_versioned(tables.read_versioned(spark, staging, {"version": version}), production, {"version": version}, [roles.time])
     return tables.read_versioned(spark, production, {"version": version})

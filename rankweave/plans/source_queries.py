@@ -96,6 +96,16 @@ def scored_checks(spark, sf):
     return checks.scored_checks(frame.unionByName(frame.where("cust_id < 5")), ["LARGE", "MEDIUM", "SMALL", "ECONOMY", "PROMO"], 1000)
 
 
+def observed_checks(spark, sf):
+    """What the job that writes ranked predictions saw of them: some rows are missing, some come twice, some items are not declared."""
+    frame = fr.pred(spark, sf).where("NOT (cust_id = 7 AND prod_name = 'PROMO')")
+    ranked = m.rank_within_query(frame.unionByName(frame.where("cust_id < 5")), pos="rank")
+    seen, observation = checks.observed(ranked, ["LARGE", "MEDIUM", "SMALL", "ECONOMY", "PROMO", "OTHER"])
+    tables.write_versioned(seen.withColumn("snap_date", F.col("snap_date").cast("string")), tables.fresh_path(spark, "observed"), {"version": "v1"}, ["snap_date"])
+    found = observation.get
+    return spark.createDataFrame([tuple(found.values())], ", ".join(f"{c} long" for c in found))
+
+
 def rank_order_violations(spark, sf):
     """Ranks of the raw score, against a score that a few customers' rows changed."""
     ranked = m.rank_within_query(fr.pred(spark, sf), pos="rank")
@@ -136,7 +146,7 @@ def evolve_schema_roundtrip(spark, sf):
     tables.write_versioned(frame.where("snap_date = '1996-01-01'"), path, {"version": "v1"}, ["snap_date"])
     later = frame.where("snap_date = '1997-01-01'").drop("priority").withColumn("half", F.col("n_orders") / 2)
     tables.write_versioned(later, path, {"version": "v1"}, ["snap_date"])
-    back = spark.read.option("mergeSchema", "true").parquet(path)
+    back = tables.read_versioned(spark, path, {"version": "v1"})
     return back.select(F.to_date("snap_date").alias("snap_date"), "cust_id", "n_orders", "priority", "half")
 
 
@@ -230,7 +240,7 @@ def residual_scan(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     feature_balances, feature_card, feature_savings, feature_info, feature_concat, label_family, label_table, sample_pool, inference_population, partition_quality,
-    source_freshness, schema_drift, schema_checks, item_coverage, prediction_checks, scored_checks, rank_order_violations, plan_partitions, populated_buckets,
+    source_freshness, schema_drift, schema_checks, item_coverage, prediction_checks, scored_checks, observed_checks, rank_order_violations, plan_partitions, populated_buckets,
     write_versioned_roundtrip, evolve_schema_roundtrip, partition_report, template_query, stratum_profile, ratio_surface, weight_surface, row_weights, column_profile,
     feature_statistics, entity_statistics, segment_entity_statistics, linear_attributions, signed_profile, profile_divergence, margin_decomposition, score_summary,
     mask_identifiers, residual_scan)}
@@ -288,6 +298,10 @@ ORACLE_SQL = {
     "item_coverage": "SELECT 'EXTRA' AS item, 'declared, not in pool' AS problem UNION ALL SELECT 'PROMO', 'declared, not in pool' UNION ALL SELECT DISTINCT p_type, 'in pool, not declared' FROM part WHERE p_type = 'STANDARD' UNION ALL SELECT DISTINCT p_type, 'in labels, not declared' FROM part WHERE p_type = 'STANDARD'",
     "prediction_checks": f"{_RK}, q AS (SELECT count(*) AS n, min(score) AS lo, max(score) AS hi, min(rank) AS r0, max(rank) AS r1 FROM r WHERE NOT (cust_id = 7 AND prod_name = 'PROMO') GROUP BY snap_date, cust_id) SELECT count(*) AS queries, sum((n <> 6)::INT)::BIGINT AS incomplete, sum((lo = hi AND n > 1)::INT)::BIGINT AS constant, min(r0) AS min_rank, max(r1) AS max_rank FROM q",
     "scored_checks": f"{_P}, u AS (SELECT * FROM pred UNION ALL SELECT * FROM pred WHERE cust_id < 5) SELECT 'nulls' AS \"check\", 0::BIGINT AS failures UNION ALL SELECT 'unknown_items', sum((prod_name = 'STANDARD')::INT)::BIGINT FROM u UNION ALL SELECT 'row_difference', count(*) - 1000 FROM u UNION ALL SELECT 'repeated', count(*) FROM (SELECT 1 FROM u GROUP BY snap_date, cust_id, prod_name HAVING count(*) > 1)",
+    "observed_checks": f"""{_P}, f AS (SELECT * FROM pred WHERE NOT (cust_id = 7 AND prod_name = 'PROMO')), u AS (SELECT * FROM f UNION ALL SELECT * FROM f WHERE cust_id < 5),
+q AS (SELECT count(*) AS n, count(DISTINCT prod_name) AS items, min(score) AS lo, max(score) AS hi FROM u GROUP BY snap_date, cust_id)
+SELECT (SELECT count(*) FROM u) AS rows, 0::BIGINT AS nulls, (SELECT count(*) FROM u WHERE prod_name = 'STANDARD') AS unknown_items, count(*) AS queries, sum((n <> 6)::INT)::BIGINT AS incomplete,
+  sum((lo = hi AND n > 1)::INT)::BIGINT AS constant, sum(n - items)::BIGINT AS repeated, 0::BIGINT AS rank_order FROM q""",
     "rank_order_violations": f"{_RK}, v AS (SELECT snap_date, cust_id, prod_name, rank, CASE WHEN cust_id % 50 = 0 AND prod_name = 'PROMO' THEN 2.0 ELSE score END AS s FROM r) SELECT snap_date, cust_id, prod_name, rank FROM v QUALIFY s > lag(s) OVER (PARTITION BY snap_date, cust_id ORDER BY rank)",
     "plan_partitions": "WITH o AS (SELECT DISTINCT date_trunc('year', o_orderdate)::DATE AS snap_date, o_orderstatus FROM orders), w AS (SELECT *, 1 AS w FROM o WHERE o_orderstatus <> 'P' OR snap_date < DATE '1999-01-01'), e AS (SELECT *, 1 AS e FROM o WHERE snap_date > DATE '1996-01-01' AND o_orderstatus <> 'O') SELECT snap_date, o_orderstatus, CASE WHEN w IS NULL THEN 'surplus' WHEN e IS NULL THEN 'process' WHEN snap_date = DATE '1997-01-01' THEN 'rebuild' ELSE 'skip' END AS status FROM w FULL JOIN e USING (snap_date, o_orderstatus)",
     "populated_buckets": f"{_P} SELECT snap_date, string_agg(DISTINCT b, ',' ORDER BY b) AS buckets FROM (SELECT snap_date, (('0x' || substr(md5(cust_id || '|bucket|0'), 1, 8))::BIGINT % 6)::VARCHAR AS b FROM pred) GROUP BY 1",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import tempfile
 import uuid
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Readers skip names that begin with a line.
+SCHEMA_FILE = "_columns.json"
 AUDIT_SCHEMA = "run_id string, table_name string, target_date string, status string, rows long, started timestamp, finished timestamp, message string"
 
 
@@ -43,9 +46,41 @@ def read_source(spark: SparkSession, source: str, where: str | None = None, frac
     return df.sample(fraction=fraction, seed=seed) if fraction is not None else df
 
 
+def table_schema(spark: SparkSession, path: str, partitions: Iterable[str] = ()) -> T.StructType:
+    """The columns of all partitions of a table, without those it is partitioned by.
+
+    :func:`write_versioned` keeps them in a file of the table's folder, so that no footer is read;
+    for a table that another writer made, footers are merged.
+    """
+    name = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{SCHEMA_FILE}")
+    system = name.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(name):
+        stream = system.open(name)
+        try:
+            return T.StructType.fromJson(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+        finally:
+            stream.close()
+    return T.StructType([f for f in spark.read.option("mergeSchema", "true").parquet(path).schema if f.name not in set(partitions)])
+
+
+def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Written beside and renamed, before the data: columns that no file has yet are read as nulls."""
+    kept = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{SCHEMA_FILE}")
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{SCHEMA_FILE}.{uuid.uuid4().hex}")
+    system = kept.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = system.create(beside, True)
+    stream.write(bytearray(schema.json(), "utf-8"))
+    stream.close()
+    system.delete(kept, False)
+    system.rename(beside, kept)
+
+
 def read_versioned(spark: SparkSession, path: str, fixed: dict[str, object]) -> DataFrame:
-    """The partitions of constant values, without the constant columns; the filter prunes directories."""
-    df = spark.read.parquet(path)
+    """The partitions of constant values, without the constant columns; the filter prunes directories.
+
+    All columns that any partition was written with are there, null where a partition lacks them.
+    """
+    df = spark.read.schema(table_schema(spark, path)).parquet(path)
     for name, value in fixed.items():
         df = df.where(F.col(name) == F.lit(value))
     return df.drop(*fixed)
@@ -86,11 +121,12 @@ def write_versioned(df: DataFrame, path: str, fixed: dict[str, object], partitio
     """Replace only the partitions that the frame holds (or append), under the constant columns."""
     out = inject_versions(df, fixed)
     spark = df.sparkSession
+    keys = [*fixed, *partitions]
     if exists(spark, path):
-        order = T.StructType([f for f in spark.read.option("mergeSchema", "true").parquet(path).schema if f.name not in {*fixed, *partitions}])
-        keys = [*fixed, *partitions]
+        order = table_schema(spark, path, keys)
         kinds = {f.name: f.dataType for f in out.schema}
         out = evolve_schema(out, T.StructType([*order.fields, *(T.StructField(k, kinds[k]) for k in keys)]))
+    _keep_schema(spark, path, T.StructType([T.StructField(f.name, f.dataType) for f in out.schema if f.name not in keys]))
     out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*fixed, *partitions).parquet(path)
 
 

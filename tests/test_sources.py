@@ -39,6 +39,20 @@ def test_schema_evolution(spark, path):
         tables.evolve_schema(wide, frame(spark, "d1").schema, allow_removed=False)
 
 
+def test_reader_has_the_columns_of_all_partitions(spark, path):
+    tables.write_versioned(frame(spark, "d1"), path, {"v": "x"}, ["snap_date"])
+    tables.write_versioned(frame(spark, "d2").withColumn("more", F.lit(1)), path, {"v": "x"}, ["snap_date"])
+    tables.write_versioned(frame(spark, "d3").drop("value"), path, {"v": "y"}, ["snap_date"])
+    back = tables.read_versioned(spark, path, {"v": "x"})
+    assert back.columns == ["cust_id", "value", "more", "snap_date"]
+    assert sorted((r.snap_date, r.more) for r in back.collect()) == [("d1", None)] * 2 + [("d2", 1)] * 2
+    assert tables.read_versioned(spark, path, {"v": "y"}).where("value IS NULL AND more IS NULL").count() == 2
+    frame(spark, "d4").withColumn("other", F.lit(2.5)).drop("snap_date").write.parquet(f"{path}-plain/v=x/snap_date=d4")  # by another writer
+    frame(spark, "d5").drop("snap_date").write.parquet(f"{path}-plain/v=x/snap_date=d5")
+    assert tables.table_schema(spark, f"{path}-plain", ["v", "snap_date"]).fieldNames() == ["cust_id", "value", "other"]
+    assert set(tables.read_versioned(spark, f"{path}-plain", {"v": "x"}).columns) == {"cust_id", "value", "other", "snap_date"}
+
+
 def test_version_columns(spark):
     df = spark.createDataFrame([("v1", 1)], "version string, x int")
     assert tables.inject_versions(df, {"version": "v1", "y": 2}).first().y == 2
