@@ -213,8 +213,9 @@ def build_index(vectors: DataFrame, k: int = 20, shard: int = SHARD, links: int
     """
     nodes = first_copies(vectors, k).groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
     nodes = stage(nodes.select(F.size("embedding").alias("dim"), "ids", "embedding"), "nodes")
+    # a row a length of vectors, so broadcast; a join by length would send all vectors of one length to one task
     totals = nodes.groupBy("dim").agg(F.ceil(F.count("*") / shard).cast("int").alias("n_shards"))
-    placed = nodes.join(totals, "dim").withColumn("shard", F.pmod(F.xxhash64(F.col("ids")[0]), F.col("n_shards")).cast("int"))
+    placed = nodes.join(F.broadcast(totals), "dim").withColumn("shard", F.pmod(F.xxhash64(F.col("ids")[0]), F.col("n_shards")).cast("int"))
     kind = nodes.schema["embedding"].dataType.simpleString()
 
     def run(part: pa.Table) -> pa.Table:
@@ -275,10 +276,10 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, width: int = BEAM,
     named = queries.select(F.size("embedding").alias("dim"), F.struct("vec_id", "embedding").alias("q"))
     totals = named.groupBy("dim").agg(F.ceil(F.count("*") / at_once).cast("int").alias("n_blocks"))
     block = F.pmod(F.xxhash64("q.vec_id"), F.col("n_blocks")).cast("int").alias("block")
-    blocks = stage(named.join(totals, "dim").select("dim", block, "n_blocks", "q").groupBy("dim", "block").agg(F.collect_list("q").alias("asked")), "queries")
+    blocks = stage(named.join(F.broadcast(totals), "dim").select("dim", block, "n_blocks", "q").groupBy("dim", "block").agg(F.collect_list("q").alias("asked")), "queries")
     counts = index.groupBy("dim").agg(F.max("n_shards").alias("n_shards"))
-    to_shards = blocks.join(counts, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("n_shards") - 1))).drop("n_shards")
-    to_blocks = index.join(totals, "dim").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).drop("n_blocks", "n_shards")
+    to_shards = blocks.join(F.broadcast(counts), "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("n_shards") - 1))).drop("n_shards")
+    to_blocks = index.join(F.broadcast(totals), "dim").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).drop("n_blocks", "n_shards")
     pairs = to_blocks.join(to_shards, ["dim", "shard", "block"]).select("dim", "ids", "ends", "vectors", "sizes", "links", "asked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
