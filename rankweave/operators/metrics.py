@@ -135,28 +135,3 @@ def per_item_ap(enriched: DataFrame, k: int, weight: str | None = None, roles: R
     w = F.col(weight) if weight else F.lit(1.0)
     positive = enriched.where(F.col(roles.label) == 1)
     return positive.groupBy(roles.item).agg((F.sum(w * F.col(f"ap@{k}")) / F.sum(w)).alias("ap"), F.count("*").alias("n_pos"))
-
-
-def metric_bundle(df: DataFrame, ks: Iterable[int], segment: str | None = None, categories: DataFrame | None = None, roles: Roles = ROLES) -> DataFrame:
-    """Everything in long form, ``grain, level, key, metric, value``, at item and category grain, with query counts.
-
-    The contributions of each grain are computed once and kept while their aggregates run.
-    """
-    ks, parts = list(ks), []
-    carry = [segment] if segment else []
-    grains = {"item": df}
-    if categories is not None:
-        grains["category"] = collapse_to_categories(df, categories, roles, carry)
-    for grain, frame in grains.items():
-        own = enrich(frame, ks, roles).persist()
-        queries = per_query_metrics(own, ks, roles, carry).persist()
-        tables = [("overall", F.lit("all"), overall_metrics(queries, ks)), ("item", F.col(roles.item), item_metrics(own, [roles.item], ks, roles))]
-        if segment:
-            tables.append(("segment", F.col(segment).cast("string"), segment_metrics(queries, segment, ks)))
-        excluded = frame.groupBy(*roles.query).agg(F.max(roles.label).alias("any")).agg(F.sum((F.col("any") == 0).cast("int")).alias("n_excluded_queries"))
-        tables.append(("overall", F.lit("all"), excluded))
-        for level, key, table in tables:
-            names = [c for c in table.columns if c not in (roles.item, segment)]
-            rows = F.explode(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").cast("double").alias("value")) for c in names)))
-            parts.append(table.select(F.lit(grain).alias("grain"), F.lit(level).alias("level"), key.alias("key"), rows.alias("m")).select("grain", "level", "key", "m.*"))
-    return reduce(DataFrame.unionByName, parts)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import frames as fr
-from ..operators import ability, baseline, bootstrap, compare, diagnostics, shift, suppression
+from ..operators import ability, baseline, bootstrap, compare, diagnostics, query_arrays, shift, suppression
 from ..operators import metrics as m
+from ..sources import tables
 from .metric_queries import rounded, with_segment
 
 KEYS = ["snap_date", "cust_id", "prod_name"]
@@ -47,15 +48,6 @@ def _sides(frame):
     return a.select(*KEYS, "score", "label"), b
 
 
-def _long(df, k):
-    own = m.enrich(df, [k]).persist()
-    per = m.per_query_metrics(own, [k])
-    over = m.overall_metrics(per, [k]).select(F.lit("overall").alias("level"), F.lit("all").alias("key"), F.explode(F.array(
-        F.struct(F.lit("map").alias("metric"), F.col(f"map@{k}").alias("value")), F.struct(F.lit("ndcg").alias("metric"), F.col(f"ndcg@{k}").alias("value")))).alias("x")).select("level", "key", "x.*")
-    item = m.item_metrics(own, ["prod_name"], [k]).select(F.lit("item").alias("level"), F.col("prod_name").alias("key"), F.lit("map_attr").alias("metric"), F.col(f"map_attr@{k}").alias("value"))
-    return over.unionByName(item)
-
-
 def common_universe(spark, sf):
     a, b = _sides(fr.pred(spark, sf))
     return compare.common_universe(a, b, ["prod_name"])
@@ -69,9 +61,9 @@ def restrict_to_common(spark, sf):
 
 
 def comparison_delta(spark, sf):
-    frame = fr.pred(spark, sf).persist()  # both sides and the labels come from it; the caller's clearCache() frees it
-    a, b = compare.restrict_to_common(*_sides(frame), frame.where("label = 1"))
-    return rounded(compare.comparison_delta(_long(a, 3), _long(b, 3), ["level", "key", "metric"]))
+    frame = tables.staged(fr.pred(spark, sf), "compared")  # both sides and the labels come from it
+    found = query_arrays.comparison(*_sides(frame), frame, [3])
+    return rounded(found.where("level = 'overall' AND metric IN ('map@3', 'ndcg@3') OR metric = 'map_attr@3'").withColumn("metric", F.regexp_replace("metric", "@3", "")))
 
 
 def comparison_coverage(spark, sf):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import frames as fr
 from ..operators import metrics as m
+from ..operators import query_arrays
 from ..roles import ROLES
 
 KS = (3, 5)
@@ -98,7 +99,7 @@ def dataset_overview(spark, sf):
 
 
 def metric_bundle(spark, sf):
-    out = m.metric_bundle(with_segment(spark, sf), [3], "segment", fr.categories(spark, sf))
+    out = query_arrays.metric_bundle(with_segment(spark, sf), [3], "segment", fr.categories(spark, sf))
     return rounded(out)
 
 
@@ -114,13 +115,12 @@ def per_item_ap(spark, sf):
 
 def calibrated_comparison(spark, sf):
     """Metrics of both score columns, and whether any row was calibrated."""
-    frame = fr.pred(spark, sf)
-    raw = frame.withColumn(ROLES.score, F.col("score_uncalibrated"))
-    parts = []
-    for name, one in (("calibrated", frame), ("uncalibrated", raw)):
-        parts.append(m.overall_metrics(m.per_query_metrics(m.enrich(one, [3]), [3]), [3]).withColumn("variant", F.lit(name)))
-    flag = frame.agg(F.max((F.col("score") != F.col("score_uncalibrated")).cast("int")).alias("is_calibrated"))
-    return rounded(parts[0].unionByName(parts[1]).crossJoin(F.broadcast(flag)))
+    long = query_arrays.compared_scores(fr.pred(spark, sf), [3], {"score": "calibrated", "score_uncalibrated": "uncalibrated"})
+    names = m.metric_names([3])
+    wide = long.where("level = 'overall'").groupBy("grain").agg(*(F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in [*names, "n_queries", "n_differing_rows"]))
+    flag = wide.where("grain = 'all'").select((F.col("n_differing_rows") > 0).cast("int").alias("is_calibrated"))
+    variants = wide.where("grain <> 'all'").select(*names, F.col("n_queries").cast("long").alias("n_queries"), F.col("grain").alias("variant"))
+    return rounded(variants.crossJoin(F.broadcast(flag)))  # one row
 
 
 _W = f"WITH {fr.PRED}, {fr.enriched_sql()}"

@@ -34,13 +34,14 @@ def work_grid(dates: DataFrame, buckets: DataFrame, items: DataFrame) -> DataFra
 def require_unique(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """The frame's rows; the job that reads them fails if rows share their keys, as a join on them would then make more rows.
 
-    Rows are numbered within their key, by the exchange and sort that a join on the keys
-    needs too; no other column is looked at, however wide the frame is.
+    The keys alone are counted, in a subquery of the job that prunes all other columns from
+    its scan; the rows themselves are neither grouped nor moved.
     """
     keys = list(keys)
     message = F.concat(F.lit("repeated key: "), F.concat_ws("|", *(F.col(k).cast("string") for k in keys)))
-    own = df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)))
-    return own.where(F.when(F.col("__n") > 1, F.raise_error(message).cast("boolean")).otherwise(True)).drop("__n")
+    counted = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+    twice = counted.where(F.when(F.col("__n") > 1, F.raise_error(message).cast("boolean")).otherwise(False)).agg(F.count("*").alias("__n"))
+    return df.where(twice.scalar() == 0)
 
 
 def require_single_partition(df: DataFrame, columns: Iterable[str]) -> DataFrame:
