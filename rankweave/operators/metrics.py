@@ -8,7 +8,6 @@ by the query, so that one exchange serves them.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,19 +116,6 @@ def collapse_to_categories(df: DataFrame, categories: DataFrame, roles: Roles =
     )
 
 
-def dataset_overview(df: DataFrame, dims: Iterable[str], roles: Roles = ROLES) -> DataFrame:
-    """Rows, positives, entities and queries in total and by each of ``dims``, as ``level, value, ...``, in one pass of grouping sets."""
-    dims = list(dims)
-    view = df.withColumn("__entity", F.struct(*roles.entity)).withColumn("__query", F.struct(*roles.query))
-    which = reduce(lambda acc, d: F.when(F.grouping(d) == 0, d) if acc is None else acc.when(F.grouping(d) == 0, d), dims, None)
-    out = view.groupingSets([[], *([d] for d in dims)], *dims).agg(
-        which.otherwise("total").alias("level"), F.count("*").alias("rows"), F.sum(roles.label).alias("positives"),
-        F.countDistinct("__entity").alias("entities"), F.countDistinct("__query").alias("queries"),
-    )
-    value = F.coalesce(*(F.col(d).cast("string") for d in dims), F.lit("all"))
-    return out.select("level", value.alias("value"), "rows", "positives", (F.col("positives") / F.col("rows")).alias("positive_rate"), "entities", "queries")
-
-
 def per_item_ap(enriched: DataFrame, k: int, weight: str | None = None, roles: Roles = ROLES) -> DataFrame:
     """``item, ap, n_pos``: weighted mean of the positives' precision at their position, within the first k."""
     w = F.col(weight) if weight else F.lit(1.0)

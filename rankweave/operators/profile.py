@@ -51,23 +51,6 @@ def feature_statistics(df: DataFrame, columns: Iterable[str], high_null: float =
     return _unpivot(one, columns, stats)
 
 
-def item_entity_statistics(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
-    """Per item: positive, negative and all entities, positive rate, positives per positive entity."""
-    own = df.groupBy(roles.item, *roles.entity).agg(F.max(roles.label).alias("any"), F.sum(roles.label).alias("n"))
-    positive = F.sum("any")
-    return own.groupBy(roles.item).agg(
-        positive.alias("positive_entities"), (F.count("*") - positive).alias("negative_entities"), F.count("*").alias("entities"),
-        (positive / F.count("*")).alias("positive_rate"), F.try_divide(F.sum("n"), positive).alias("positives_per_entity"))
-
-
-def segment_entity_statistics(df: DataFrame, segment: str, roles: Roles = ROLES) -> DataFrame:
-    """As above by segment; no rows if the column isn't there."""
-    if segment not in df.columns:
-        return df.sparkSession.createDataFrame([], f"{segment} string, entities long, positive_entities long, positive_rate double")
-    own = df.groupBy(segment, *roles.entity).agg(F.max(roles.label).alias("any"))
-    return own.groupBy(segment).agg(F.count("*").alias("entities"), F.sum("any").cast("long").alias("positive_entities"), F.avg("any").alias("positive_rate"))
-
-
 def stratum_profile(df: DataFrame, strata: list[str], roles: Roles = ROLES) -> DataFrame:
     return df.groupBy(*strata).agg(F.sum(roles.label).alias("n_pos"), F.sum(1 - F.col(roles.label)).alias("n_neg"))
 

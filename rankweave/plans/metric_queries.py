@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import frames as fr
 from ..operators import metrics as m
-from ..operators import query_arrays
+from ..operators import presence, query_arrays
 from ..roles import ROLES
 
 KS = (3, 5)
@@ -95,7 +95,7 @@ def category_map(spark, sf):
 
 
 def dataset_overview(spark, sf):
-    return rounded(m.dataset_overview(with_segment(spark, sf), ["snap_date", "prod_name", "segment"]))
+    return rounded(presence.dataset_overview(with_segment(spark, sf), ["snap_date", "prod_name", "segment"]))
 
 
 def metric_bundle(spark, sf):

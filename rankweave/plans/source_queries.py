@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import frames as fr
 from ..functions import text_mask
-from ..operators import attribution, checks, joins, profile
+from ..operators import attribution, checks, joins, presence, profile
 from ..operators import metrics as m
 from ..sources import tables
 from . import etl, partitions
@@ -192,11 +192,11 @@ def feature_statistics(spark, sf):
 
 
 def entity_statistics(spark, sf):
-    return rounded(profile.item_entity_statistics(fr.pred(spark, sf)))
+    return rounded(presence.item_entity_statistics(fr.pred(spark, sf)))
 
 
 def segment_entity_statistics(spark, sf):
-    return rounded(profile.segment_entity_statistics(with_segment(spark, sf), "segment"))
+    return rounded(presence.segment_entity_statistics(with_segment(spark, sf), "segment"))
 
 
 def _attributions(spark, sf):
