@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from .. import frames as fr
 from ..functions import text_mask
-from ..operators import attribution, checks, joins, presence, profile
+from ..operators import attribution, checks, joins, presence, profile, sketches
 from ..operators import metrics as m
 from ..sources import tables
-from . import etl, partitions
+from . import etl, partitions, profiles
 from .dataset_queries import features
 from .metric_queries import rounded, with_segment
 
@@ -186,6 +186,30 @@ def column_profile(spark, sf):
     return profile.column_profile(fr.table(spark, sf, "orders"))
 
 
+SKETCHED = ["l_quantity", "l_extendedprice", "l_tax", "l_shipmode", "l_partkey"]
+
+
+def merged_profile(spark, sf):
+    """Line items' columns from sketches a ship year, stored in two updates of which the second reads new years alone, and whether they are as near to the data as stated."""
+    lines = fr.table(spark, sf, "lineitem").withColumn("l_tax", F.when(F.col("l_tax") > 0.01, F.col("l_tax"))).withColumn("l_shipmode", F.concat("l_returnflag", "l_linestatus"))
+    dated = lines.withColumn("yr", F.year("l_shipdate"))
+    path = tables.fresh_path(spark, "sketches")
+    profiles.update_sketches(spark, path, dated.where("yr < 1996"), "yr", SKETCHED)
+    profiles.update_sketches(spark, path, dated, "yr", SKETCHED)
+    found = profiles.read_profile(spark, path)
+    near = sketches.within(found, lines)
+    return rounded(found.join(near, "column").select("column", "kind", "rows", "null_rate", "mean", "std", "low", "high", "distinct_within", "ranks_within"), 4)
+
+
+def merged_box_stats(spark, sf):
+    """Scores by item and label from sketches a date: counts and ranges."""
+    path = tables.fresh_path(spark, "boxes")
+    profiles.update_sketches(spark, path, fr.pred(spark, sf).withColumn("snap_date", F.col("snap_date").cast("string")), "snap_date", ["score"], ["prod_name", "label"])
+    found = profiles.read_profile(spark, path, keep=["prod_name", "label"])
+    inside = F.col("p25").between(F.col("low"), F.col("p50")) & F.col("p75").between(F.col("p50"), F.col("high"))
+    return rounded(found.select("prod_name", "label", "rows", "mean", "std", "low", "high", inside.alias("ordered")))
+
+
 def feature_statistics(spark, sf):
     own = fr.table(spark, sf, "lineitem").select("l_quantity", F.when(F.col("l_tax") > 0.05, F.col("l_tax")).alias("l_tax"), "l_discount")
     return rounded(profile.feature_statistics(own, ["l_quantity", "l_tax", "l_discount"]), 4)
@@ -241,7 +265,7 @@ def residual_scan(spark, sf):
 QUERIES = {f.__name__: f for f in (
     feature_balances, feature_card, feature_savings, feature_info, feature_concat, label_family, label_table, sample_pool, inference_population, partition_quality,
     source_freshness, schema_drift, schema_checks, item_coverage, prediction_checks, scored_checks, observed_checks, rank_order_violations, plan_partitions, populated_buckets,
-    write_versioned_roundtrip, evolve_schema_roundtrip, partition_report, template_query, stratum_profile, ratio_surface, weight_surface, row_weights, column_profile,
+    write_versioned_roundtrip, evolve_schema_roundtrip, partition_report, template_query, stratum_profile, ratio_surface, weight_surface, row_weights, column_profile, merged_profile, merged_box_stats,
     feature_statistics, entity_statistics, segment_entity_statistics, linear_attributions, signed_profile, profile_divergence, margin_decomposition, score_summary,
     mask_identifiers, residual_scan)}
 
@@ -312,6 +336,13 @@ SELECT (SELECT count(*) FROM u) AS rows, 0::BIGINT AS nulls, (SELECT count(*) FR
     "stratum_profile": f"{_STR} SELECT * FROM st",
     "ratio_surface": f"{_RAT} SELECT segment, prod_name, n_pos, n_neg, round(ratio, 6) AS ratio, round(kept_neg, 6) AS kept_neg, round(new_rate, 6) AS new_rate FROM rs",
     "weight_surface": f"{_RAT}, w AS (SELECT *, coalesce(n_pos * 0.7::DOUBLE / nullif(0.3::DOUBLE * kept_neg, 0), 1.0) AS fl FROM rs), ms AS (SELECT *, n_pos + fl * kept_neg AS mass FROM w), a AS (SELECT *, CASE WHEN mass > 0 THEN pow(min(CASE WHEN mass > 0 THEN mass END) OVER () / mass, 0.5) ELSE 1.0 END AS att FROM ms) SELECT segment, prod_name, n_pos, n_neg, round(ratio, 6) AS ratio, round(kept_neg, 6) AS kept_neg, round(new_rate, 6) AS new_rate, round(fl, 6) AS floor, round(mass, 6) AS mass, round(att, 6) AS attention, round(att, 6) AS w_pos, round(att * fl, 6) AS w_neg FROM a",
+    "merged_profile": "WITH l AS (SELECT l_quantity, l_extendedprice, CASE WHEN l_tax > 0.01 THEN l_tax END AS l_tax, l_returnflag || l_linestatus AS l_shipmode, l_partkey FROM lineitem) "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{k}' AS kind, count(*) AS rows, round(1 - count({c}) / count(*), 4) + 0.0 AS null_rate, {x('avg')} AS mean, {x('stddev_samp')} AS std, {x('min')} AS low, {x('max')} AS high, true AS distinct_within, true AS ranks_within FROM l"
+        for c, k in (("l_quantity", "double"), ("l_extendedprice", "double"), ("l_tax", "double"), ("l_shipmode", "string"), ("l_partkey", "bigint"))
+        for x in [lambda f, c=c, k=k: "NULL::DOUBLE" if k == "string" else f"round({f}({c})::DOUBLE, 4)"]
+    ),
+    "merged_box_stats": f"{_P} SELECT prod_name, label, count(*) AS rows, round(avg(score), 6) AS mean, round(stddev_samp(score), 6) AS std, round(min(score), 6) + 0.0 AS low, round(max(score), 6) + 0.0 AS high, true AS ordered FROM pred GROUP BY ALL",
     "row_weights": f"{_PSEG} SELECT snap_date, cust_id, prod_name, (CASE segment || '|' || prod_name WHEN 'BUILDING|PROMO' THEN 2.0 WHEN 'MACHINERY|SMALL' THEN 0.5 ELSE 1.0 END)::DOUBLE AS weight FROM ps",
     "feature_statistics": " UNION ALL ".join([_stat("l_quantity", "l_quantity"), _stat("l_tax", "(CASE WHEN l_tax > 0.05 THEN l_tax END)"), _stat("l_discount", "l_discount")]),
     "entity_statistics": f"{_P}, e AS (SELECT prod_name, cust_id, max(label) AS a, sum(label) AS n FROM pred GROUP BY ALL) SELECT prod_name, sum(a)::BIGINT AS positive_entities, (count(*) - sum(a))::BIGINT AS negative_entities, count(*) AS entities, round(sum(a) / count(*), 6) AS positive_rate, round(sum(n) / nullif(sum(a), 0), 6) AS positives_per_entity FROM e GROUP BY 1",
