@@ -8,7 +8,7 @@ from .. import frames as fr
 from ..operators import ability, attribution, compare, encode, joins, profile, sampling, shift
 from ..operators import filters as fl
 from ..sources import tables
-from . import dataset, etl, partitions
+from . import dataset, etl, partitions, refresh
 from .dataset_queries import features, md5_bucket
 from .diagnosis_queries import _OFF, RATIOS, WEIGHTS
 from .metric_queries import rounded, with_segment
@@ -152,6 +152,32 @@ def declared_table(spark, sf):
     return spark.table(name)
 
 
+def resumed_refresh(spark, sf):
+    """Yearly features of which some years are there, one is rebuilt, and the run breaks off before the last but one and is taken up again."""
+    path, audit = tables.fresh_path(spark, "refreshed"), tables.fresh_path(spark, "refreshed-audit")
+    frame = features(spark, sf).select("cust_id", "n_orders", F.col("snap_date").cast("string").alias("snap_date"))
+    stale = frame.where("snap_date < '1996-01-01'").withColumn("n_orders", F.lit(0).cast("long"))
+    tables.write_versioned(stale, path, {"version": "v1"}, ["snap_date"])
+    years = spark.createDataFrame([(f"{y}-01-01",) for y in range(1994, 1999)], "snap_date string")
+    attempts = []
+
+    def build(values):
+        attempts.append(values["snap_date"])
+        if attempts.count("1997-01-01") == 1 and values["snap_date"] == "1997-01-01":
+            raise ConnectionError("the source is away")
+        return frame.where(F.col("snap_date") == values["snap_date"])
+
+    def run():
+        return refresh.refresh(spark, "features", path, ["snap_date"], years, build, audit, "run", {"version": "v1"}, years.where("snap_date = '1995-01-01'"))
+
+    try:
+        run()
+    except ConnectionError:
+        run()
+    back = tables.read_versioned(spark, path, {"version": "v1"})
+    return back.select(F.to_date("snap_date").alias("snap_date"), "cust_id", "n_orders")
+
+
 def audit_log(spark, sf):
     """Records of one run a year of orders, buffered, appended as one file and read back."""
     path = tables.fresh_path(spark, "audit")
@@ -166,7 +192,7 @@ def audit_log(spark, sf):
 QUERIES = {f.__name__: f for f in (
     item_auc, offset_spread, query_offset_spread, card_limits, tune_holdout_split, shift_search, shift_steps, best_shifts, weight_surface_decoupled, rank_divergence, signed_profile_by_quadrant,
     signed_profile_of_positives, coded_row_weights, sampling_keys, work_grid, keep_entities, own_predictions, selected_features, single_partition, covered_population,
-    fixed_versions, table_lifecycle, declared_table, audit_log)}
+    fixed_versions, table_lifecycle, declared_table, resumed_refresh, audit_log)}
 
 _P = f"WITH {fr.PRED}"
 _PSEG = f"{_P}, ps AS (SELECT pred.*, segment FROM pred LEFT JOIN seg USING (cust_id))"
@@ -236,5 +262,6 @@ SELECT side, round(base, 6) AS base, round(shifted, 6) AS shifted, round(shifted
     "fixed_versions": f"WITH {_FEAT} SELECT snap_date, 'v7' AS version, count(*) AS rows, 'cust_id bigint,n_orders bigint,total_price double,priority string' AS columns FROM feat GROUP BY 1",
     "table_lifecycle": f"WITH {_FEAT} {_COUNTS}, NULL::BIGINT AS twice FROM feat WHERE snap_date = DATE '1996-01-01' UNION ALL {_COUNTS}, n_orders * 2 FROM feat WHERE snap_date = DATE '1997-01-01' AND cust_id % 2 = 0",
     "declared_table": f"WITH {_FEAT} SELECT cust_id, n_orders, snap_date FROM feat WHERE snap_date IN (DATE '1995-01-01', DATE '1998-01-01')",
+    "resumed_refresh": f"WITH {_FEAT} SELECT snap_date, cust_id, CASE WHEN snap_date < DATE '1995-01-01' THEN 0 ELSE n_orders END AS n_orders FROM feat WHERE snap_date <= DATE '1998-01-01'",
     "audit_log": f"WITH {_FEAT} SELECT 'features' AS table_name, snap_date::VARCHAR AS target_date, 'done' AS status, count(*) AS rows FROM feat GROUP BY snap_date",
 }

@@ -8,12 +8,14 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 from datetime import datetime
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Characters that Spark leaves as they are in folder names.
+PLAIN = " !$&()+,-.;@_~"
 #: Readers skip names that begin with a line.
 SCHEMA_FILE = "_columns.json"
 AUDIT_SCHEMA = "run_id string, table_name string, target_date string, status string, rows long, started timestamp, finished timestamp, message string"
@@ -160,6 +162,33 @@ def list_partitions(spark: SparkSession, path: str, columns: list[str], where: d
     return spark.createDataFrame(sorted(rows, key=str), schema)
 
 
+def partition_path(values: dict[str, object]) -> str:
+    """The folder of partition values below a table, as Spark names it."""
+    return "/".join(f"{quote(k, safe=PLAIN)}={quote(str(v), safe=PLAIN)}" for k, v in values.items())
+
+
+def commit_partition(spark: SparkSession, staging: str, production: str, values: dict[str, object]) -> None:
+    """Move one written partition from ``staging`` into ``production``, in place of the one that is there.
+
+    The old folder is put aside under a hidden name, the new one renamed, then the old one
+    deleted: a run that breaks off leaves the partition as it was, or missing and so to be
+    built again, never half written. Columns of both tables stay known.
+    """
+    kept = list(table_schema(spark, production, values)) if exists(spark, production) else []
+    names = {f.name for f in kept}
+    _keep_schema(spark, production, T.StructType([*kept, *(f for f in table_schema(spark, staging, values) if f.name not in names)]))
+    path = lambda name: spark._jvm.org.apache.hadoop.fs.Path(name)
+    system = path(production).getFileSystem(spark._jsc.hadoopConfiguration())
+    folder = partition_path(values)
+    new, old, aside = path(f"{staging}/{folder}"), path(f"{production}/{folder}"), path(f"{production}/_replaced-{uuid.uuid4().hex}")
+    system.mkdirs(old.getParent())
+    if system.exists(old) and not system.rename(old, aside):
+        raise OSError(f"{old} can't be put aside")
+    if not system.rename(new, old):
+        raise OSError(f"{new} can't be moved to {old}")
+    system.delete(aside, True)
+
+
 def partition_report(before: DataFrame, after: DataFrame) -> DataFrame:
     """Partitions that are in the second listing only: what a write added."""
     return after.exceptAll(before)
