@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import encode, filters, joins
 from ..roles import ROLES, Roles
+from ..sources import layout, tables
 from .partitions import require_unique
 
 
@@ -69,3 +70,16 @@ def build_model_input(keys: DataFrame, labels: DataFrame, features: DataFrame, f
     names = [f for f in feature_names if f not in roles.identity]
     joined = joins.join_features(joins.join_labels(keys.select(*roles.identity, *carry), labels, roles), features, roles)
     return filters.cast_float_features(joined.select(*filters.model_input_columns(names, carry, roles)), names, roles)
+
+
+def write_model_input(spark: SparkSession, keys: str, labels: str, features: str, feature_names: Iterable[str], path: str, fixed: dict[str, object], carry: Iterable[str] = (), months: Iterable[str] = (), roles: Roles = ROLES) -> DataFrame:
+    """Model input from three catalog tables that :func:`layout.write_bucketed` made, written by month in files of even size and read back.
+
+    Labels and features are joined bucket by bucket, without an exchange of either; the
+    finished rows are dealt out once, for the write.
+    """
+    with layout.co_located(spark):
+        own = filters.restrict_to_months_or_all(spark.table(keys), list(months), roles)
+        built = build_model_input(own, spark.table(labels), spark.table(features), feature_names, carry, roles)
+        tables.write_versioned(filters.time_as_partition_string(built, roles), path, fixed, [roles.time], balance=True)
+    return tables.read_versioned(spark, path, fixed)

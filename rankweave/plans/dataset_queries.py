@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import frames as fr
 from ..operators import encode, filters, joins, sampling
+from ..sources import layout, tables
 from . import dataset
 from .metric_queries import rounded, with_segment
 
@@ -55,6 +56,17 @@ def model_input(spark, sf):
     return out.withColumn("total_price", F.col("total_price").cast("double"))
 
 
+def bucketed_model_input(spark, sf):
+    """The same model input by way of tables bucketed by customer."""
+    fitted = dataset.fit_preprocessor(features(spark, sf), TRAIN, ["prod_name", "priority"], DECLARED)
+    ready = dataset.apply_preprocessor(features(spark, sf), fitted, TRAIN)
+    names = {n: f"{n}_" + tables.fresh_path(spark, "t").rsplit("-", 1)[1] for n in ("keys", "labels", "features")}
+    for name, df in (("keys", with_segment(spark, sf).select(*KEYS, "segment")), ("labels", labels(spark, sf)), ("features", ready)):
+        layout.write_bucketed(df, names[name], 8)
+    out = dataset.write_model_input(spark, *names.values(), fitted.features, tables.fresh_path(spark, "bucketed"), {"version": "v1"}, ["segment"], TRAIN)
+    return out.withColumns({"total_price": F.col("total_price").cast("double"), "snap_date": F.to_date("snap_date")})
+
+
 def drop_groups_without_positives(spark, sf):
     return sampling.drop_groups_without_positives(fr.pred(spark, sf)).select(*KEYS, "label")
 
@@ -146,7 +158,7 @@ def unmatched_keys(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    months_in_as_date, label_join, feature_join, population_join, coverage_by_month, model_input, drop_groups_without_positives, vocabulary, encode_categoricals,
+    months_in_as_date, label_join, feature_join, population_join, coverage_by_month, model_input, bucketed_model_input, drop_groups_without_positives, vocabulary, encode_categoricals,
     unknown_encoding_counts, cast_float_features, score_to_logit, stratified_sample, stratified_sample_crc32, calibration_sample, effective_ratio, entity_split,
     entity_sample, entity_bucket, cap_queries, diagnosis_sample, quadrants, item_stratified_top_n, extreme_cases, required_months, unmatched_keys)}
 
@@ -167,13 +179,15 @@ _DATE = "strftime(snap_date, '%Y-%m-%d %H:%M:%S')"
 _ID = [_DATE, "cust_id::VARCHAR", "prod_name"]
 _Q = f"{_P}, qd AS (SELECT *, row_number() OVER (PARTITION BY snap_date, cust_id ORDER BY score DESC, prod_name) AS pos FROM pred), quad AS (SELECT *, CASE WHEN pos <= 3 AND label = 1 THEN 'TP' WHEN pos <= 3 THEN 'FP' WHEN label = 1 THEN 'FN' ELSE 'TN' END AS quadrant FROM qd)"
 _PSEG = f"{_P}, ps AS (SELECT pred.*, segment FROM pred LEFT JOIN seg USING (cust_id))"
+_MODEL_INPUT = f"{_PSEG}, {_FEAT} SELECT snap_date, cust_id, prod_name, label, n_orders, total_price::FLOAT::DOUBLE AS total_price, CASE WHEN n_orders IS NOT NULL THEN {_CODE.format(c='priority')} END AS priority, segment FROM ps LEFT JOIN feat USING (snap_date, cust_id) WHERE snap_date IN {_TRAIN}"
 ORACLE_SQL = {
     "months_in_as_date": f"SELECT o_orderkey, date_trunc('year', o_orderdate)::DATE::VARCHAR AS snap_date FROM orders WHERE date_trunc('year', o_orderdate)::DATE IN {_TRAIN}",
     "label_join": f"{_P} SELECT snap_date, cust_id, prod_name, label FROM pred",
     "feature_join": f"{_P}, {_FEAT} SELECT snap_date, cust_id, prod_name, n_orders, total_price, priority FROM pred LEFT JOIN feat USING (snap_date, cust_id)",
     "population_join": f"WITH {_FEAT} SELECT DATE '1996-01-01' AS snap_date, c_custkey AS cust_id, n_orders, total_price, priority FROM customer LEFT JOIN feat ON cust_id = c_custkey AND snap_date = DATE '1996-01-01'",
     "coverage_by_month": f"WITH {_FEAT}, d AS (SELECT unnest([DATE '1996-01-01', DATE '1997-01-01', DATE '1998-01-01']) AS snap_date) SELECT d.snap_date, count(*) AS members, sum((n_orders IS NULL)::INT)::BIGINT AS without_features FROM customer CROSS JOIN d LEFT JOIN feat ON cust_id = c_custkey AND feat.snap_date = d.snap_date GROUP BY 1",
-    "model_input": f"{_PSEG}, {_FEAT} SELECT snap_date, cust_id, prod_name, label, n_orders, total_price::FLOAT::DOUBLE AS total_price, CASE WHEN n_orders IS NOT NULL THEN {_CODE.format(c='priority')} END AS priority, segment FROM ps LEFT JOIN feat USING (snap_date, cust_id) WHERE snap_date IN {_TRAIN}",
+    "model_input": _MODEL_INPUT,
+    "bucketed_model_input": _MODEL_INPUT,
     "drop_groups_without_positives": f"{_P} SELECT snap_date, cust_id, prod_name, label FROM pred QUALIFY sum(label) OVER (PARTITION BY snap_date, cust_id) > 0",
     "vocabulary": "SELECT \"column\", value, (row_number() OVER (PARTITION BY \"column\" ORDER BY value) - 1)::INT AS code FROM (SELECT DISTINCT 'o_orderpriority' AS \"column\", o_orderpriority AS value FROM orders UNION ALL SELECT DISTINCT 'o_orderstatus', o_orderstatus FROM orders) WHERE value IS NOT NULL",
     "encode_categoricals": f"SELECT o_orderkey, {_CODE.format(c='o_orderpriority')} AS priority, coalesce(code, -1) AS o_orderstatus FROM orders LEFT JOIN {_STATUS} ON s = o_orderstatus",

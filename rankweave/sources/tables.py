@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .layout import balanced
+
 #: Characters that Spark leaves as they are in folder names.
 PLAIN = " !$&()+,-.;@_~"
 #: Readers skip names that begin with a line.
@@ -126,8 +128,11 @@ def evolve_schema(df: DataFrame, target: T.StructType, allow_removed: bool = Tru
     return df.select(*old, *(c for c in df.columns if c not in target.fieldNames()))
 
 
-def write_versioned(df: DataFrame, path: str, fixed: dict[str, object], partitions: list[str], mode: str = "overwrite") -> None:
-    """Replace only the partitions that the frame holds (or append), under the constant columns."""
+def write_versioned(df: DataFrame, path: str, fixed: dict[str, object], partitions: list[str], mode: str = "overwrite", balance: bool = False) -> None:
+    """Replace only the partitions that the frame holds (or append), under the constant columns.
+
+    With ``balance`` rows are dealt out by partition first, for files of even size.
+    """
     out = inject_versions(df, fixed)
     spark = df.sparkSession
     keys = [*fixed, *partitions]
@@ -136,6 +141,7 @@ def write_versioned(df: DataFrame, path: str, fixed: dict[str, object], partitio
         kinds = {f.name: f.dataType for f in out.schema}
         out = evolve_schema(out, T.StructType([*order.fields, *(T.StructField(k, kinds[k]) for k in keys)]))
     _keep_schema(spark, path, T.StructType([T.StructField(f.name, f.dataType) for f in out.schema if f.name not in keys]))
+    out = balanced(out, partitions) if balance else out
     out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*fixed, *partitions).parquet(path)
 
 

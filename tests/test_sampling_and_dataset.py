@@ -36,13 +36,13 @@ def test_stratified_sample_uses_overrides(keys):
 
 
 def test_diagnosis_sample(spark):
-    rows = [("d", f"H{i}", p, int(p == "hot")) for i in range(1, 41) for p in ("hot", "cold")]
-    rows += [("d", "C1", p, int(p == "cold")) for p in ("hot", "cold")] + [("d", "N1", p, 0) for p in ("hot", "cold")]
-    df = spark.createDataFrame(rows, SCHEMA)
-    out = sampling.diagnosis_sample(df, floor=2, budget=10)
+    """Rye has 30 positives; malt has 2, fewer than the floor, so that their two queries are all taken; seven queries have none."""
+    bought = {f"rye buyer {i}": "rye" for i in range(30)} | {"first malt buyer": "malt", "second malt buyer": "malt"} | {f"idle {i}": None for i in range(7)}
+    df = spark.createDataFrame([("d", c, p, int(p == own)) for c, own in bought.items() for p in ("rye", "oats", "malt")], SCHEMA)
+    out = sampling.diagnosis_sample(df, floor=3, budget=6)
     per = {r.cust_id: (r.stratum, r.inclusion_weight) for r in out.collect()}
-    assert "N1" not in per and per["C1"] == ("take_all", 1.0)
-    assert {v for k, v in per.items() if k != "C1"} == {("hash_ratio", 4.0)}
+    assert {c: v for c, v in per.items() if "malt" in c} == {c: ("take_all", 1.0) for c in ("first malt buyer", "second malt buyer")}
+    assert {v for c, v in per.items() if "rye" in c} == {("hash_ratio", 5.0)} and not [c for c in per if "idle" in c]
     with pytest.raises(ValueError, match="reserved"):
         sampling.diagnosis_sample(df.withColumn("stratum", F.lit(1)), 2, 10)
 
