@@ -25,6 +25,8 @@ FREQUENT, SAMPLE = 150_000, 20_000
 #: Bits of an edge's fields within its long: rank of the score, end, size, id. Their order is the order of the merges.
 RANK, END, SIZE, ID = 18, 22, 5, 18
 NO_PIECE = (1 << ID) - 1
+#: Characters from which on a unit is cut where no piece goes on; shorter ones aren't worth the look.
+LONG = 60
 #: Distinct words or units that a task holds before it begins anew.
 HELD = 60_000
 
@@ -238,8 +240,10 @@ def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     return path.select("word", ids.alias("ids"))
 
 
-#: A text's units that aren't in every task: the units, the number of ids of each, the ids one after the other.
-_TAIL = ("__words", "__sizes", "__ids")
+#: A text's units that aren't in every task, in the order in which they first occur: the number of ids of each, the ids one after the other.
+_TAIL = ("__sizes", "__ids")
+#: Texts are told apart by these two hashes, 96 bits.
+_KEY = ("__key", "__crc")
 
 
 class Cutter:
@@ -256,6 +260,8 @@ class Cutter:
         beside = {c for p, _, _ in pieces.normal for a, b in pairwise(p) if a.isalpha() != b.isalpha() for c in (a, b)}
         #: Marks that no piece has beside a letter.
         self.marks = "".join(c for c in ".,;:!?$%&#*()\"'" if c not in beside)
+        #: Characters that some piece has side by side; a unit may be cut between any others.
+        self.pairs = {a + b for p, _, _ in pieces.normal for a, b in pairwise(p)}
         #: Whether no piece has a line end beside another character.
         self.lines = not any("\n" in p and len(p) > 1 for p, _, _ in pieces.normal)
 
@@ -267,7 +273,18 @@ class Cutter:
         return (text.replace("\n", " \0") if self.lines else text).split(" ")
 
     def units(self, word: str) -> list[str]:
-        """A word of letters is one unit, and so are the marks after it; others go by the pattern."""
+        """A word of letters is one unit, and so are the marks after it; others go by the pattern. Long units are cut where no piece goes on."""
+        own = self._units(word)
+        return own if len(word) < LONG else [part for u in own for part in self._parts(u)]
+
+    def _parts(self, unit: str) -> list[str]:
+        cuts = [0, *(i for i, (a, b) in enumerate(pairwise(unit), 1) if a + b not in self.pairs), len(unit)] if len(unit) >= LONG else [0, len(unit)]
+        parts = [unit[a:b] for a, b in pairwise(cuts)]
+        if any(len(p) >= 1 << END for p in parts):
+            raise ValueError(f"more than {(1 << END) - 1} characters that pieces join without a break")
+        return parts
+
+    def _units(self, word: str) -> list[str]:
         first = word[:1]
         if first == "\0":
             return ["\n", *self._cut("", word[1:])]
@@ -356,40 +373,45 @@ def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit)
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, cut = hot.value, Cutter(pieces)
-        seen: set[int] = set()  # copies of one text that meet in a task
+        seen: set[tuple[int, int]] = set()  # copies of one text that meet in a task
         held: dict[str, tuple[str, ...]] = {}
         for batch in batches:
             for begin in range(0, batch.num_rows, 1000):
                 part = batch.slice(begin, 1000)
-                keys, found = [], []
-                for key, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                    if key in seen:
+                keys, crcs, places, found = [], [], [], []
+                for *key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
+                    if (key := tuple(key)) in seen:
                         continue
                     seen.add(key)
-                    own: set[str] = set()
-                    for w in set(cut.words(text.as_py())):
+                    own: dict[str, None] = {}
+                    for w in dict.fromkeys(cut.words(text.as_py())):
                         units = held.get(w)
                         if units is None:
                             units = held[w] = tuple(u for u in cut.units(w) if u not in known)
-                        if units:
-                            own.update(units)
-                    keys.extend([key] * len(own))
+                        for u in units:
+                            own[u] = None
+                    keys.extend([key[0]] * len(own))
+                    crcs.extend([key[1]] * len(own))
+                    places.extend(range(len(own)))
                     found.extend(own)
                     if len(held) > HELD:
                         held.clear()
                 if len(seen) > HELD:
                     seen.clear()
-                yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(found, pa.string())], names=["__key", "word"])
+                yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(crcs, pa.int32()), pa.array(places, pa.int32()), pa.array(found, pa.string())], names=[*_KEY, "at", "word"])
 
     keep = [c for c in docs.columns if c not in ("ids", "text")]
-    keyed = docs.select(*keep, "text", F.xxhash64("text").alias("__key"))
-    wanted = stage(keyed.select("__key", "text").mapInArrow(rare, "__key long, word string"), "wanted")
+    keyed = docs.select(*keep, "text", F.xxhash64("text").alias("__key"), (F.crc32(F.col("text").cast("binary")) - (1 << 31)).cast("int").alias("__crc"))
+    wanted = stage(keyed.select(*_KEY, "text").mapInArrow(rare, "__key long, __crc int, at int, word string"), "wanted", compression="zstd")
     with settings(spark, **together):
         codes = stage(encode_words(stage(wanted.select("word").distinct(), "words"), pieces), "codes")
-    tail = wanted.join(codes, "word").groupBy("__key").agg(F.collect_set(F.struct("word", "ids")).alias("t"))
-    columns = (F.transform("t", lambda x: x["word"]), F.transform("t", lambda x: F.size(x["ids"])), F.flatten(F.transform("t", lambda x: x["ids"])))
-    by_text = stage(tail.select("__key", *(c.alias(n) for c, n in zip(columns, _TAIL, strict=True))), "tails", compression="zstd")
+    # joined and gathered in two steps, so that the shuffle files of one are gone when the other makes its own
+    coded = stage(wanted.join(codes, "word").select(*_KEY, "at", "ids"), "coded", compression="zstd")
     unstage(wanted, codes)
+    tail = coded.groupBy(*_KEY).agg(F.sort_array(F.collect_set(F.struct("at", "ids"))).alias("t"))
+    columns = (F.transform("t", lambda x: F.size(x["ids"])), F.flatten(F.transform("t", lambda x: x["ids"])))
+    by_text = stage(tail.select(*_KEY, *(c.alias(n) for c, n in zip(columns, _TAIL, strict=True))), "tails", compression="zstd")
+    unstage(coded)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -397,7 +419,7 @@ def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit)
         pack_one = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             packed = [pack_one(t.as_py().encode("utf-8", "surrogatepass")) if t.is_valid else None for t in batch.column(len(keep))]
-            yield pa.record_batch([*batch.columns[: len(keep)], pa.array(packed, pa.binary()), batch.column(len(keep) + 1)], names=[*keep, "__packed", "__key"])
+            yield pa.record_batch([*batch.columns[: len(keep)], pa.array(packed, pa.binary()), *batch.columns[len(keep) + 1 :]], names=[*keep, "__packed", *_KEY])
 
     names = [*keep, *T.StructType.fromDDL(fields).names]
 
@@ -411,11 +433,11 @@ def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit)
             for begin in range(0, batch.num_rows, 500):
                 part = batch.slice(begin, 500)
                 out, texts = [], []
-                for own_words, sizes, ids, packed in zip(*part.columns[len(keep) :], strict=True):
-                    own = {}
-                    if own_words.is_valid:
+                for sizes, ids, packed in zip(*part.columns[len(keep) :], strict=True):
+                    own, rest = {}, iter(())  # codes of rare units, found so far and to come
+                    if sizes.is_valid:
                         raw, ends = np.asarray(ids.values, np.int32).tobytes(), (4 * np.cumsum(np.asarray(sizes.values))).tolist()
-                        own = {w: raw[a:b] for w, a, b in zip(own_words.values.to_pylist(), [0, *ends], ends, strict=False)}
+                        rest = iter([raw[a:b] for a, b in zip([0, *ends], ends, strict=False)])
                     text = unpack(packed.as_py()).decode("utf-8", "surrogatepass") if packed.is_valid else None
                     texts.append(text)
                     code: list[bytes] = []
@@ -425,18 +447,23 @@ def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit)
                             units = cut.units(w)
                             ids = [known.get(u) for u in units]
                             if None in ids:
+                                for u, x in zip(units, ids, strict=True):
+                                    if x is None and u not in own:
+                                        own[u] = next(rest)
                                 found = b"".join([own[u] if x is None else x for u, x in zip(units, ids, strict=True)])
                             else:
                                 found = held[w] = b"".join(ids)
                         code.append(found)
+                    if next(rest, None) is not None:
+                        raise ValueError("two texts share their hashes")
                     out.append(b"".join(code))
                     if len(held) > HELD:
                         held.clear()
                 yield pa.record_batch([*part.columns[: len(keep)], *emit(texts, out)], names=names)
 
     own = docs.select(*keep).schema.fields
-    packed = keyed.mapInArrow(pack, T.StructType([*own, T.StructField("__packed", T.BinaryType()), T.StructField("__key", T.LongType())]))
-    joined = packed.join(by_text, "__key", "left").select(*keep, *_TAIL, "__packed")
+    packed = keyed.mapInArrow(pack, T.StructType([*own, T.StructField("__packed", T.BinaryType()), T.StructField("__key", T.LongType()), T.StructField("__crc", T.IntegerType())]))
+    joined = packed.join(by_text, list(_KEY), "left").select(*keep, *_TAIL, "__packed")
     return joined.mapInArrow(join, T.StructType([*own, *T.StructType.fromDDL(fields).fields]))
 
 

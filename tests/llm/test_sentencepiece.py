@@ -51,11 +51,24 @@ def test_long_units_and_runs_of_blanks_take_the_same_fold(spark, pieces):
     sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
     rng = random.Random(8)
     texts = [" " * k + "the" * (k % 3) for k in range(1, 70)] + ["a" * 20_000, "".join(rng.choice("etaoinshr") for _ in range(20_000)), "é" * 3000, "日本" * 3000]
+    texts += ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzéß,.") for _ in range(n)) for n in (59, 60, 61, 400, 20_000)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for r in sl.encode(docs, pieces).collect():
         assert r.ids == sp.encode(r.text), repr(r.text[:80])
 
 
+def test_long_units_are_cut_where_no_piece_goes_on(pieces, monkeypatch):
+    cut = sl.Cutter(pieces)
+    rng = random.Random(3)
+    word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5000))
+    parts = cut.units(word)
+    assert "".join(parts) == sl.BLANK + word and len(parts) > 10
+    assert all(a[-1] + b[0] not in cut.pairs for a, b in itertools.pairwise(parts))
+    monkeypatch.setattr(sl, "END", 8)
+    with pytest.raises(ValueError, match="more than 255 characters"):
+        cut.units("a" * 300)
+
+
 def test_models_whose_parts_do_not_go_first_are_refused():
     sl.check_order((("ab", 0, -1.0), ("abc", 1, -2.0)))
     with pytest.raises(ValueError, match="go before"):
