@@ -18,7 +18,7 @@ from .common import settings, stage, table, unstage
 
 #: Vectors of a shard, links of a node above the ground level (twice as many on it), width of the beam when a node is
 #: inserted and when a query is searched, and queries that meet a shard at a time. All are parameters of :func:`build_index` and :func:`search`.
-SHARD, LINKS, BUILD, BEAM, AT_ONCE = 8192, 16, 64, 96, 1024
+SHARD, LINKS, BUILD, BEAM, AT_ONCE = 8192, 16, 96, 160, 1024
 #: Open nodes that a beam expands at once, and nodes that are inserted at once.
 STEP, WAVE = 4, 512
 FOUND = "query_id long, vec_id long, score double"
