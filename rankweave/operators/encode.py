@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterable
 from functools import reduce
 from itertools import chain
@@ -32,12 +33,19 @@ def declared_vocabulary(df: DataFrame, declared: dict[str, list[str]]) -> DataFr
 
 
 def encode_categoricals(df: DataFrame, columns: Iterable[str], vocab: DataFrame) -> DataFrame:
-    """Each column's values as their codes; unknown values and nulls as -1."""
+    """Each column's values as their codes; unknown values and nulls as -1.
+
+    The vocabularies are looked at once, by their first codes: a job, and a bounded number
+    of rows a column, whatever their sizes.
+    """
+    columns, first = list(columns), defaultdict(list)
+    if columns:
+        for r in vocab.where(F.col("column").isin(columns) & (F.col("code") <= LITERAL_VALUES)).collect():
+            first[r.column].append(r)
     for c in columns:
-        own = vocab.where(F.col("column") == c).select("value", "code")
-        few = own.limit(LITERAL_VALUES + 1).collect()
+        few = first[c]
         if len(few) > LITERAL_VALUES:
-            value = own.select(F.col("value").alias("__value"), F.col("code").alias("__code"))
+            value = vocab.where(F.col("column") == c).select(F.col("value").alias("__value"), F.col("code").alias("__code"))
             df = df.join(value, F.col(c).cast("string") == F.col("__value"), "left")
             df = df.withColumn(c, F.coalesce("__code", F.lit(UNKNOWN_CODE)).cast("int")).drop("__value", "__code")
         elif few:

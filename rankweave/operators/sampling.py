@@ -12,6 +12,8 @@ from ..roles import ROLES, Roles
 from .filters import key_columns
 from .joins import override_join
 
+#: Bins of hash buckets that are counted to find a quantile.
+BINS = 4096
 RESERVED = ("stratum", "inclusion_weight")
 
 
@@ -61,9 +63,22 @@ def entity_bucket(df: DataFrame, n: int, salt: str = "bucket", hash: str = "crc3
 
 
 def cap_queries(df: DataFrame, n: int, site: str = "cap", seed: int = 0, hash: str = "crc32", roles: Roles = ROLES) -> DataFrame:
-    """All rows of n queries, those of lowest bucket."""
+    """All rows of n queries, those of lowest bucket.
+
+    Buckets are counted by their first BINS, so that only the queries of the bin in which
+    the n-th lies are put in order; those below are taken by their bucket alone.
+    """
     keys = df.select(*roles.query).distinct()
-    some = keys.orderBy(stable_bucket(keys, roles.query, 1 << 31, site, seed, hash), *roles.query).limit(n)
+    keys = keys.withColumn("__bucket", stable_bucket(keys, roles.query, 1 << 31, site, seed, hash)).withColumn("__bin", F.expr(f"__bucket div {(1 << 31) // BINS}"))
+    left, edge = n, BINS
+    for r in sorted(keys.groupBy("__bin").count().collect()):  # BINS rows at most
+        if r["count"] >= left:
+            edge = r["__bin"]
+            break
+        left -= r["count"]
+    place = F.row_number().over(Window.partitionBy("__bin").orderBy("__bucket", *roles.query))
+    last = keys.where(F.col("__bin") == edge).withColumn("__place", place).where(F.col("__place") <= left)
+    some = keys.where(F.col("__bin") < edge).select(*roles.query).unionByName(last.select(*roles.query))
     return df.join(some, roles.query, "left_semi")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..roles import ROLES, Roles
 from .joins import override_join
 from .metrics import enrich, macro_average, per_item_ap
+from .query_arrays import gather, ranked
 from .sampling import tune_holdout_split
 
 
@@ -33,17 +34,34 @@ def config_offset(df: DataFrame, context: str, ratios: dict[str, float], weights
 def config_shift(df: DataFrame, offsets: DataFrame, context: str, k: int, roles: Roles = ROLES) -> DataFrame:
     """``variant, macro_ap, delta``: macro AP of the score, of the score less all offsets, and of one item's offset at a time.
 
-    Variants are an exploded column: one plan, one shuffle, and each row as often as there are items.
+    A query is ranked anew only for the items whose offset moves them in it, within its
+    own array: what the positives gain against the score as it is leaves the query, and the gains
+    of all queries are summed by variant and item.
     """
-    items = offsets.select(roles.item).distinct()
-    variants = items.select(F.concat(F.lit("only "), roles.item).alias("variant"), F.col(roles.item).alias("__only"))
-    spark = df.sparkSession
-    two = spark.createDataFrame([("base", None), ("all", None)], "variant string, __only string")
     joined = df.join(offsets.select(context, roles.item, "offset"), [context, roles.item], "left")
-    rows = joined.crossJoin(F.broadcast(two.unionByName(variants)))  # as many as items
-    use = (F.col("variant") == "all") | (F.col("__only") == F.col(roles.item))
-    shifted = rows.withColumn(roles.score, F.col(roles.score) - F.when(use, F.coalesce("offset", F.lit(0.0))).otherwise(0.0))
-    return _variants(shifted, k, roles)
+    queries = gather(joined, {"s": F.col(roles.score).cast("double"), "o": F.coalesce("offset", F.lit(0.0))}, roles=roles)
+
+    def terms(variant: Column, rows: Column, sign: float = 1.0) -> Column:
+        hits = F.filter(ranked(rows), lambda x: x["l"] == 1)
+        return F.transform(hits, lambda x: F.struct(variant.alias("variant"), x["i"].alias("item"), (F.when(x["p"] <= k, x["c"] / x["p"]).otherwise(0.0) * sign).alias("ap")))
+
+    def moved(which) -> Column:
+        return F.transform("rows", lambda r: F.struct(r["i"].alias("i"), r["l"].alias("l"), F.when(which(r), r["s"] - r["o"]).otherwise(r["s"]).alias("s")))
+
+    own = queries.select("rows", terms(F.lit("base"), F.col("rows")).alias("base"), F.filter("rows", lambda r: r["o"] != 0).alias("movers")).where("size(base) > 0")
+    less = lambda name: F.transform("base", lambda x: F.struct(name.alias("variant"), x["item"].alias("item"), (-x["ap"]).alias("ap")))
+    only = F.flatten(F.transform("movers", lambda j: F.concat(terms(F.concat(F.lit("only "), j["i"]), moved(lambda r: r["i"] == j["i"])), less(F.concat(F.lit("only "), j["i"])))))
+    every = F.when(F.size("movers") > 0, F.concat("base", terms(F.lit("all"), moved(lambda r: F.lit(True))), less(F.lit("all")), only)).otherwise(F.col("base"))
+    sums = own.select(F.explode(every).alias("x")).groupBy("x.variant", "x.item").agg(F.sum("x.ap").alias("ap"), F.count("*").alias("n"))
+    # from here on a row a variant and item
+    of_item, is_base = Window.partitionBy("item"), F.col("variant") == "base"
+    shared = sums.select("variant", F.col("ap").alias("gain"), F.max(F.when(is_base, F.col("ap"))).over(of_item).alias("own"), F.max(F.when(is_base, F.col("n"))).over(of_item).alias("n"))
+    gains = shared.groupBy("variant").agg(F.sum(F.col("gain") / F.col("n")).alias("gain"), F.avg(F.col("own") / F.col("n")).alias("mean"), F.count("*").alias("items"))
+    every = Window.partitionBy()
+    base, items = (F.max(F.when(is_base, F.col(c))).over(every) for c in ("mean", "items"))
+    names = df.sparkSession.createDataFrame([("base",), ("all",)], "variant string").unionByName(offsets.select(F.concat(F.lit("only "), roles.item).alias("variant")).distinct())
+    found = names.join(gains, "variant", "left").withColumns({"base": base, "delta": F.when(is_base | F.col("gain").isNull(), 0.0).otherwise(F.col("gain") / items)})
+    return found.select("variant", (F.col("base") + F.col("delta")).alias("macro_ap"), "delta")
 
 
 def _variants(rows: DataFrame, k: int, roles: Roles) -> DataFrame:

@@ -54,7 +54,7 @@ def common_universe(spark, sf):
 
 
 def restrict_to_common(spark, sf):
-    frame = fr.pred(spark, sf).persist()
+    frame = tables.staged(fr.pred(spark, sf), "restricted")
     a, b = compare.restrict_to_common(*_sides(frame), frame.where("label = 1"))
     cols = [*KEYS, "label", "rank", "side"]
     return a.withColumn("side", F.lit("a")).select(*cols).unionByName(b.withColumn("side", F.lit("b")).select(*cols))
@@ -159,8 +159,9 @@ def config_offset(spark, sf):
 
 
 def config_shift(spark, sf):
-    frame = with_segment(spark, sf).persist()
-    return rounded(shift.config_shift(frame, shift.config_offset(frame, "segment", RATIOS, WEIGHTS), "segment", 3))
+    frame = tables.staged(with_segment(spark, sf), "configured")
+    offsets = tables.staged(shift.config_offset(frame, "segment", RATIOS, WEIGHTS), "offsets")  # a row a segment and item
+    return rounded(shift.config_shift(frame, offsets, "segment", 3))
 
 
 def exposure_share(spark, sf):

@@ -47,6 +47,13 @@ def test_diagnosis_sample(spark):
         sampling.diagnosis_sample(df.withColumn("stratum", F.lit(1)), 2, 10)
 
 
+def test_capped_queries_are_those_of_lowest_bucket(keys):
+    order = [tuple(r)[:2] for r in keys.select("snap_date", "cust_id").distinct().withColumn("b", stable_bucket(keys, ["snap_date", "cust_id"], 1 << 31, "cap", 0)).orderBy("b", "snap_date", "cust_id").collect()]
+    for n in (0, 1, 37, 399, 400, 900):
+        out = sampling.cap_queries(keys, n)
+        assert {(r.snap_date, r.cust_id) for r in out.collect()} == set(order[:n]) and out.count() == 2 * min(n, 400)
+
+
 def test_months(keys):
     assert filters.restrict_to_months(keys, []).count() == 0
     assert filters.restrict_to_months_or_all(keys, []).count() == keys.count()
