@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections.abc import Iterable
 
+from pyspark import SparkContext
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import Evaluator
@@ -19,25 +20,34 @@ from .metrics import enrich, macro_average, overall_metrics, per_item_ap, per_qu
 
 #: Estimators by name; more can be registered.
 ESTIMATORS = {"logistic": LogisticRegression, "gbt": GBTClassifier}
+#: What a null counts as: nothing for linear models, less than any value for trees, which can split it off.
+MISSING = {"logistic": 0.0, "gbt": -1e30}
 
 
-def feature_matrix(df: DataFrame, features: Iterable[str], out: str = "features") -> DataFrame:
-    """Numeric and encoded features as a vector; nulls become NaN."""
+def feature_matrix(df: DataFrame, features: Iterable[str], out: str = "features", missing: float = float("nan")) -> DataFrame:
+    """Numeric and encoded features as a vector of doubles, with ``missing`` for nulls and NaN."""
     features = list(features)
-    filled = df.withColumns({f"__f {f}": F.coalesce(F.col(f).cast("double"), F.lit(float("nan"))) for f in features})
+    filled = df.withColumns({f"__f {f}": F.coalesce(F.nanvl(F.col(f).cast("double"), F.lit(None)), F.lit(missing)) for f in features})
     made = VectorAssembler(inputCols=[f"__f {f}" for f in features], outputCol=out, handleInvalid="keep").transform(filled)
     return made.drop(*(f"__f {f}" for f in features))
 
 
+def portable(model: Model) -> Model:
+    """A fitted model without its training summary: that holds the training frame, and with it the session, which can't travel to tasks once queries are observed in it."""
+    own = getattr(model, "_java_obj", None)
+    if own is not None and getattr(model, "hasSummary", False):
+        own.setSummary(SparkContext._active_spark_context._jvm.scala.Option.apply(None))
+    return model
+
+
 def fit_pointwise(train: DataFrame, features: Iterable[str], kind: str = "logistic", weight: str | None = None, dev: DataFrame | None = None,
                   roles: Roles = ROLES, **params: object) -> Model:
-    """A model of the label; ``dev`` rows stop boosting early. Nulls count as 0 for linear models."""
+    """A model of the label; ``dev`` rows stop boosting early. Nulls count as MISSING says."""
     features = list(features)
-    fill = {f: 0.0 for f in features} if kind == "logistic" else {}
     own = train.withColumn("__dev", F.lit(False))
     if dev is not None:
         own = own.unionByName(dev.withColumn("__dev", F.lit(True)))
-    own = feature_matrix(own.na.fill(fill), features).withColumn(roles.label, F.col(roles.label).cast("double"))
+    own = feature_matrix(own, features, missing=MISSING[kind]).withColumn(roles.label, F.col(roles.label).cast("double"))
     estimator = ESTIMATORS[kind](featuresCol="features", labelCol=roles.label, **params)
     if weight:
         estimator.setWeightCol(weight)
@@ -45,7 +55,7 @@ def fit_pointwise(train: DataFrame, features: Iterable[str], kind: str = "logist
         estimator.setValidationIndicatorCol("__dev")
     elif dev is not None:
         own = own.where("not __dev")
-    return estimator.fit(own)
+    return portable(estimator.fit(own))
 
 
 def refit(train: DataFrame, dev: DataFrame, features: Iterable[str], kind: str, roles: Roles = ROLES, **params: object) -> Model:
@@ -55,7 +65,7 @@ def refit(train: DataFrame, dev: DataFrame, features: Iterable[str], kind: str,
 
 def score(df: DataFrame, model: Model, features: Iterable[str], out: str = "score") -> DataFrame:
     features = list(features)
-    own = feature_matrix(df.na.fill({f: 0.0 for f in features}) if "Logistic" in type(model).__name__ else df, features)
+    own = feature_matrix(df, features, missing=MISSING["logistic" if "Logistic" in type(model).__name__ else "gbt"])
     return model.transform(own).withColumn(out, vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
 
 
@@ -115,7 +125,7 @@ def calibrate(held: DataFrame, df: DataFrame, method: str = "isotonic", roles: R
     if method == "isotonic":
         done = IsotonicRegression(featuresCol="__s", labelCol="__y").fit(fit).transform(out)
         return done.withColumn(raw, F.least(F.greatest("prediction", F.lit(0.0)), F.lit(1.0))).drop("__s", "prediction")
-    model = LogisticRegression(featuresCol="__v", labelCol="__y").fit(VectorAssembler(inputCols=["__s"], outputCol="__v").transform(fit))
+    model = portable(LogisticRegression(featuresCol="__v", labelCol="__y").fit(VectorAssembler(inputCols=["__s"], outputCol="__v").transform(fit)))
     done = model.transform(VectorAssembler(inputCols=["__s"], outputCol="__v").transform(out))
     return done.withColumn(raw, vector_to_array("probability")[1]).drop("__s", "__v", "rawPrediction", "probability", "prediction")
 

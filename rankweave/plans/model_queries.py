@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import frames as fr
@@ -32,6 +33,17 @@ def fit_calibrated_scores(spark, sf):
     return rounded(ml.calibrate(scored[0], scored[1], "isotonic").select("snap_date", "cust_id", "prod_name", "label", "score", "score_uncalibrated"))
 
 
+def scored_test_set(spark, sf):
+    """A fitted, calibrated model's scores of the test years, written by year: how many rows and queries came back, and whether ranks follow scores."""
+    train, val, test = _split(spark, sf)
+    model = ml.fit_pointwise(train, NAMES, "logistic", maxIter=10)
+    back, seen = scoring.score_test_set(spark, test, model, NAMES, tables.fresh_path(spark, "test-scores"), {"version": "v1"}, val)
+    before = F.lag("score").over(Window.partitionBy("snap_date", "cust_id").orderBy("rank"))
+    checked = back.withColumn("fine", F.col("score").between(0, 1) & F.col("score_uncalibrated").between(0, 1) & (F.coalesce(before, F.lit(1.0)) >= F.col("score")))
+    out = checked.groupBy(F.to_date("snap_date").alias("snap_date")).agg(F.count("*").alias("rows"), F.countDistinct("cust_id").alias("queries"), F.sum("label").alias("positives"), F.max("rank").alias("last_rank"), F.min("fine").alias("fine"))
+    return out.withColumn("observed_rows", F.lit(seen["rows"]).cast("long"))
+
+
 def feature_importance(spark, sf):
     train, val, _ = _split(spark, sf)
     model = ml.fit_pointwise(train, NAMES, "gbt", dev=val, maxIter=5, maxDepth=3)
@@ -72,8 +84,10 @@ def publish_ranked(spark, sf):
     return rounded(out.select(F.to_date("snap_date").alias("snap_date"), "cust_id", "prod_name", "score", "rank"))
 
 
-QUERIES = {f.__name__: f for f in (fit_calibrated_scores, feature_importance, search_best_params, refit_balance, isotonic_calibration, publish_ranked)}
+QUERIES = {f.__name__: f for f in (fit_calibrated_scores, scored_test_set, feature_importance, search_best_params, refit_balance, isotonic_calibration, publish_ranked)}
 ORACLE_SQL = {
+    "scored_test_set": f"""WITH {fr.PRED}, t AS (SELECT * FROM pred WHERE snap_date >= DATE '2000-01-01')
+SELECT snap_date, count(*) AS rows, count(DISTINCT cust_id) AS queries, sum(label)::BIGINT AS positives, 6 AS last_rank, true AS fine, (SELECT count(*) FROM t) AS observed_rows FROM t GROUP BY snap_date""",
     "refit_balance": f"WITH {fr.PRED} SELECT count(*) AS rows, sum(label)::BIGINT AS positives, true AS balanced FROM pred WHERE snap_date <= DATE '1999-01-01'",
     # the isotonic value at i is the greatest over a <= i of the least mean over a to b >= i
     "isotonic_calibration": f"""WITH {fr.PRED}, held AS (SELECT snap_date, cust_id, prod_name, label, score FROM pred WHERE snap_date = DATE '1997-01-01'),

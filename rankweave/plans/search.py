@@ -32,8 +32,7 @@ def rungs(trials: int, full: int, least: int, factor: int) -> list[tuple[int, in
 def staged_matrix(df: DataFrame, features: Iterable[str], name: str, kind: str, roles: Roles = ROLES) -> DataFrame:
     """Identity, label as a double and the feature vector, as a table: the frame is read once, whatever number of fits follows."""
     features = list(features)
-    filled = df.na.fill({f: 0.0 for f in features}) if kind == "logistic" else df
-    matrix = ml.feature_matrix(filled, features).select(*roles.identity, F.col(roles.label).cast("double").alias(roles.label), "features")
+    matrix = ml.feature_matrix(df, features, missing=ml.MISSING[kind]).select(*roles.identity, F.col(roles.label).cast("double").alias(roles.label), "features")
     return tables.staged(matrix, name)
 
 
@@ -53,7 +52,7 @@ def halving_search(train: DataFrame, val: DataFrame, features: Iterable[str], tr
     def fit(job: tuple[int, int]) -> float:
         trial, budget = job
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{trial}")
-        model = ml.ESTIMATORS[kind](featuresCol="features", labelCol=roles.label, **{**trials[trial], resource: budget}).fit(matrix)
+        model = ml.portable(ml.ESTIMATORS[kind](featuresCol="features", labelCol=roles.label, **{**trials[trial], resource: budget}).fit(matrix))
         scored = model.transform(held).select(*roles.identity, F.col(roles.label).cast("int").alias(roles.label), vector_to_array("probability")[1].alias(roles.score))
         return evaluator.evaluate(scored)
 

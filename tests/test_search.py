@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from rankweave.operators import ml
@@ -52,6 +53,11 @@ def test_training_rows_are_read_once(spark, tmp_path):
     assert reads.value == 120
 
 
+def test_nulls_of_any_type_have_their_value(spark):
+    df = spark.createDataFrame([(1, 0.5), (None, float("nan")), (3, None)], "a int, b double")
+    assert [r.v.toArray().tolist() for r in ml.feature_matrix(df, ["a", "b"], "v", ml.MISSING["gbt"]).collect()] == [[1.0, 0.5], [-1e30, -1e30], [3.0, -1e30]]
+
+
 def test_refit_takes_the_best_trial(spark):
     train, val = frame(spark, 1), frame(spark, 2)
     trials = [{"regParam": 5.0}, {"regParam": 0.01}]
@@ -59,3 +65,31 @@ def test_refit_takes_the_best_trial(spark):
     model = search.refit_best(train, val, ["x", "y"], found, trials)
     assert model.getRegParam() == trials[found.where("best").first().trial]["regParam"] and model.getMaxIter() == 6
     assert ml.score(val, model, ["x", "y"]).where(F.col("score").between(0, 1)).count() == val.count()
+
+
+def test_scored_months_are_replaced_and_bad_rows_fail(spark, tmp_path):
+    from rankweave.plans import scoring
+
+    train, test = frame(spark, 1, 60), frame(spark, 3, 20)
+    model = ml.fit_pointwise(train, ["x", "y"], "logistic", maxIter=5)
+    later = test.withColumn("snap_date", F.lit("2024-02-29"))
+    both = test.withColumn("snap_date", F.lit("2024-01-31")).unionByName(later)
+    back, seen = scoring.score_test_set(spark, both, model, ["x", "y"], f"{tmp_path}/s", {"v": "x"}, train)
+    assert seen["rows"] == back.count() == 120 and seen["queries"] == 40
+    assert {tuple(sorted(r.ranks)) for r in back.groupBy("snap_date", "cust_id").agg(F.collect_list("rank").alias("ranks")).collect()} == {(1, 2, 3)}
+    again, _ = scoring.score_test_set(spark, later.limit(30), model, ["x", "y"], f"{tmp_path}/s", {"v": "x"}, train)
+    assert {str(r.snap_date): r["count"] for r in again.groupBy("snap_date").count().collect()} == {"2024-01-31": 60, "2024-02-29": 30}
+    with pytest.raises(ValueError, match="repeated"):
+        scoring.score_test_set(spark, later.unionByName(later), model, ["x", "y"], f"{tmp_path}/t", {"v": "x"})
+
+
+def test_models_travel_in_a_session_that_has_observed(spark):
+    from pyspark.sql import Observation
+
+    spark.range(3).observe(Observation(), F.count(F.lit(1)).alias("n")).collect()
+    train, test = frame(spark, 1, 40), frame(spark, 2, 10)
+    for kind, params in (("logistic", {"maxIter": 3}), ("gbt", {"maxIter": 2, "maxDepth": 2})):
+        model = ml.fit_pointwise(train, ["x", "y"], kind, **params)
+        for method in ("isotonic", "sigmoid"):
+            assert ml.calibrate(ml.score(train, model, ["x", "y"]), ml.score(test, model, ["x", "y"]), method).where("score between 0 and 1").count() == 30
+    assert search.halving_search(train, test, ["x", "y"], [{"regParam": 0.1}], full=2, least=2).count() == 1
