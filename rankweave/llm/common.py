@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +67,17 @@ def unstage(*staged: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def lay_out(codes: list[bytes], order: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The 32-bit integers of ``codes[order[0]]``, ``codes[order[1]]`` and so on, one after the other; and where in them the entries at ``ends`` of the order begin."""
+    sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+    flat = np.frombuffer(b"".join(codes), "<u4")
+    own = sizes[order]
+    after = np.cumsum(own)
+    places = np.repeat((np.cumsum(sizes) - sizes)[order] - (after - own), own)
+    places += np.arange(len(places))
+    return flat[places], np.append(0, after)[ends]
+
+
 def words(text):
     """Column: the words of a text, in order; null and empty texts give an empty array."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES, -1), lambda w: w != "")

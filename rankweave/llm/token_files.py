@@ -7,19 +7,21 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stage, table
+from .common import lay_out, stage, table
 
 END = 2
-#: Parts whose ids a process keeps; older ones go when as many new ones have come, so that its memory is bounded.
-CACHE = 200_000
+#: Parts whose ids a process keeps; they go when it has so many, so that its memory is bounded.
+CACHE = 400_000
 #: Writer settings: small row groups and pages with column indexes let a reader fetch a few documents' ids; ids are
 #: delta-encoded (format v2 without a dictionary), lang and source dictionary-encoded.
 LAYOUT = {
@@ -37,33 +39,41 @@ LAYOUT = {
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Characters on whose classes all Unicode versions agree; texts with others go whole to the tokenizer.
 _OTHER = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f]")
+#: Begins a part that has no blank before it; no text that is cut into parts holds it.
+NO_BLANK = "\x01"
+#: Where texts are cut besides blanks: between a letter and marks, and after a single line end.
+CUTS = ((r"(\pL)([.,;:!?]+)", rf"\1 {NO_BLANK}\2"), (r"([^\t\n\r ])\n(\pL)", f"\\1\n {NO_BLANK}\\2"))
 
 
 class _Memo(dict):
-    """Values of ``make``, kept for the last ``CACHE`` to twice as many keys."""
+    """Values of ``make``, of ``CACHE`` keys at most and those of the last call."""
 
     def __init__(self, make):
         super().__init__()
-        self.make, self.old = make, {}
-
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= CACHE:
-            self.old = dict(self)
+        self.make = make
+
+    def all(self, keys: list[str]) -> list[bytes]:
+        """The values of distinct ``keys``."""
+        found = list(map(self.get, keys))
+        new = [i for i, x in enumerate(found) if x is None]
+        for i in new:
+            found[i] = self.make(keys[i])
+        if len(self) + len(new) > CACHE:
             self.clear()
-        self[key] = value
-        return value
+            self.update(zip(keys, found, strict=True))
+        else:
+            self.update((keys[i], found[i]) for i in new)
+        return found
 
 
 class PieceEncoder:
     """Encodes whole texts with the tokenizers library; parts that came before in the process aren't encoded again.
 
-    The vocabulary's splitting never lets a merge cross a piece, and a blank between
-    two other characters always begins a piece, so the ids of a text are those of
-    its blank-separated parts. Texts that hold an added token's string, runs of
-    blanks, or characters outside the common ones, go whole to the library.
+    The vocabulary's splitting never lets a merge cross a piece. A blank between two
+    other characters always begins a piece, and so do a mark after a letter and a
+    letter after a single line end, so the ids of a text are those of its parts cut
+    at these places. Texts that hold an added token's string, runs of blanks, or
+    characters outside the common ones, go whole to the library.
     """
 
     def __init__(self, path: str):
@@ -82,35 +92,56 @@ class PieceEncoder:
         rest = iter(range(256, 512))
         self.alphabet = {b: chr(b) if b in shown else chr(next(rest)) for b in range(256)}
         self.bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
-        self.tokenize = self.tokenizer.model.tokenize
-        self.pieces, self.parts = _Memo(self._piece), _Memo(self._part)
+        model = self.tokenizer.model
+        if hasattr(model, "_resize_cache"):
+            model._resize_cache(0)  # parts come once each: the library's own cache would only be filled
+        self.tokenize = model.tokenize
+        self.parts = _Memo(self._part)
 
     def _known(self, shown: str) -> bytes:
         return b"".join([self.bytes[t.id] for t in self.tokenize(shown)])
 
-    def _piece(self, piece: str) -> bytes:
-        return self._known(piece.encode().decode("latin-1").translate(self.alphabet))
+    def _shown(self, piece: str) -> str:
+        return piece.encode().decode("latin-1").translate(self.alphabet)
+
+    def _pieces(self, text: str) -> bytes:
+        return b"".join([self._known(self._shown(p)) for p in SPLIT.findall(text)])
 
     def _part(self, part: str) -> bytes:
-        """Ids of a part with the blank before it; a word is one piece, and so is a run of marks after it."""
+        """Ids of a part with the blank before it, or without one after NO_BLANK; most are a word, which is one piece."""
         if part.isalpha():
-            return self._known("\u0120" + part) if part.isascii() else self._piece(" " + part)
-        word = part.rstrip(".,;:!?$%&#*")
-        if word.isalpha():
-            return self.parts[word] + self.pieces[part[len(word) :]]
-        first, *rest = SPLIT.findall(" " + part)
-        return self._piece(first) + b"".join(map(self.pieces.__getitem__, rest))
-
-    def _ids(self, text: str) -> bytes:
-        if not self.splits or "  " in text or text[-1:] == " " or any(a in text for a in self.added) or _OTHER.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        parts = iter(text.split(" "))
-        first = b"".join(map(self.pieces.__getitem__, SPLIT.findall(next(parts))))
-        return first + b"".join(map(self.parts.__getitem__, parts))
+            return self._known("\u0120" + (part if part.isascii() else self._shown(part)))
+        return self._pieces(part[1:] if part[:1] == NO_BLANK else " " + part)
+
+    def _whole(self, text: str) -> bool:
+        return not self.splits or "  " in text or text[-1:] == " " or any(a in text for a in self.added) or _OTHER.search(text) is not None
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, END after each, and the offsets of the texts in them.
+
+        Parts are told apart by Arrow for all texts at once, so that each distinct one
+        is looked up once; numpy lays out their ids in the order of the texts.
+        """
+        whole = {i: t for i, t in enumerate(texts) if self._whole(t)}
+        marked = pa.array([NO_BLANK if i in whole else NO_BLANK + t for i, t in enumerate(texts)], pa.string())
+        for pattern, cut in CUTS:
+            marked = pc.replace_substring_regex(marked, pattern, cut)
+        lists = pc.split_pattern(marked, " ")
+        at = np.asarray(lists.offsets)
+        coded = lists.values.dictionary_encode()
+        known = self.parts.all(coded.dictionary.to_pylist())
+        order = np.full(at[-1] + len(texts), len(known), np.int64)
+        known.append(np.array([END], "<u4").tobytes())
+        number = np.arange(len(texts))
+        order[np.arange(at[-1]) + np.repeat(number, np.diff(at))] = coded.indices.to_numpy()
+        for i, text in whole.items():
+            order[at[i] + i] = len(known)
+            known.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+        return lay_out(known, order, np.append(at[:-1] + number, len(order)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        end = np.array([END], "<u4").tobytes()
-        return [np.frombuffer(self._ids(t) + end, "<u4") for t in texts]
+        flat, offsets = self.encode_flat(texts)
+        return [flat[a:b] for a, b in pairwise(offsets.tolist())]
 
 
 @functools.lru_cache(maxsize=1)
@@ -131,14 +162,13 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             begin = 0
             while begin < len(texts):  # a few megabytes of text at a time, whatever the rows' lengths
                 end, size = begin, 0
-                while end < len(texts) and (end == begin or size + len(texts[end]) < 4_000_000):
+                while end < len(texts) and (end == begin or size + len(texts[end]) < 8_000_000):
                     size += len(texts[end])
                     end += 1
-                ids = coder.encode(texts[begin:end])
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                flat = pa.array(np.concatenate(ids).astype(np.int32))
+                flat, offsets = coder.encode_flat(texts[begin:end])
+                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view(np.int32)))
                 part = batch.slice(begin, end - begin)
-                yield pa.record_batch([*part.columns[: len(keep)], pa.ListArray.from_arrays(offsets, flat)], names=[*keep, "ids"])
+                yield pa.record_batch([*part.columns[: len(keep)], ids], names=[*keep, "ids"])
                 begin = end
 
     return docs.select(*keep, "text").mapInArrow(run, schema)

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -18,6 +19,26 @@ def test_pieces_give_the_librarys_ids():
         assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, tf.END], text
 
 
+def test_parts_cut_at_marks_and_line_ends_give_the_librarys_ids():
+    plain, encoder, rng = Tokenizer.from_file(PATH), tf.PieceEncoder(PATH), random.Random(1)
+    bits = ["a", "B", "é", " ", " ", "\n", "\n", ".", ",", "!?", "'s", "'", "12", "x1", "\t", "-", "ª", "²", "<|endoftext|>", "the", "\r", tf.NO_BLANK]
+    texts = ["".join(rng.choice(bits[: rng.choice([12, 20, 22])]) for _ in range(rng.randint(0, 14))) for _ in range(4000)]
+    for ids, text in zip(encoder.encode(texts), texts, strict=True):
+        assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, tf.END], repr(text)
+
+
+def test_a_word_is_encoded_once_whatever_marks_follow_it(monkeypatch):
+    encoder, calls = tf.PieceEncoder(PATH), []
+    plain = encoder.tokenize
+    encoder.tokenize = lambda piece: calls.append(piece) or plain(piece)
+    encoder.encode(["one two, one. Two!\nOne one", "one, two:\ntwo"])
+    words = [c for c in calls if c[-1].isalpha() and len(c) > 1]
+    assert len(words) == len(set(words)) == 6
+    monkeypatch.setattr(tf, "CACHE", 3)
+    encoder.encode(["three four five six"])
+    assert len(encoder.parts) == 4  # those of the last call
+
+
 def test_files_give_back_every_document(spark):
     folder = "/root/testdata/sf0.001"
     plain = Tokenizer.from_file(PATH)
