@@ -11,12 +11,13 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import most_frequent, settings, stage, table, unstage
+from .common import lay_out, most_frequent, settings, stage, table, unstage
 
 BLANK = "▁"
 #: At most so many frequent units, of a sample of so many texts, have their codes in every task; codes of all other units
@@ -27,8 +28,10 @@ RANK, END, SIZE, ID = 18, 22, 5, 18
 NO_PIECE = (1 << ID) - 1
 #: Characters from which on a unit is cut where no piece goes on; shorter ones aren't worth the look.
 LONG = 60
-#: Distinct words or units that a task holds before it begins anew.
+#: Distinct units, or keys of texts, that a task holds before it begins anew.
 HELD = 60_000
+#: Bytes of texts, or of packed ones, that a task cuts at a time, whatever the rows' lengths.
+BLOCK, PACKED_BLOCK = 8_000_000, 3_000_000
 
 
 @dataclass(frozen=True)
@@ -265,12 +268,26 @@ class Cutter:
         #: Whether no piece has a line end beside another character.
         self.lines = not any("\n" in p and len(p) > 1 for p, _, _ in pieces.normal)
 
-    def words(self, text: str | None) -> list[str]:
+    def _line(self, text: str | None) -> str | None:
+        """The text's words, a blank between two; none for a text without words."""
         if not text:
-            return []
+            return None
         if text[0] == " " or text[-1] == " " or "  " in text or BLANK in text or "\0" in text:
-            return self.blanks(normalize(text))
-        return (text.replace("\n", " \0") if self.lines else text).split(" ")
+            return " ".join(self.blanks(normalize(text)))
+        return text.replace("\n", " \0") if self.lines else text
+
+    def words(self, text: str | None) -> list[str]:
+        line = self._line(text)
+        return [] if line is None else line.split(" ")
+
+    def split(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct words of the texts; the number of the word at each place, text after text; where each text begins, and the last ends.
+
+        Arrow tells the words apart, so that Python looks at each distinct one only.
+        """
+        lists = pc.split_pattern(pa.array(list(map(self._line, texts)), pa.string()), " ")
+        coded = lists.values.dictionary_encode()
+        return coded.dictionary.to_pylist(), np.asarray(coded.indices).astype(np.int64), np.asarray(lists.offsets).astype(np.int64)
 
     def units(self, word: str) -> list[str]:
         """A word of letters is one unit, and so are the marks after it; others go by the pattern. Long units are cut where no piece goes on."""
@@ -304,23 +321,15 @@ def vocabulary_of(docs: DataFrame, pieces: Pieces) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Cutter(pieces)
-        words: Counter[str] = Counter()
         units: Counter[str] = Counter()
-
-        def empty() -> None:
-            for w, n in words.items():
-                for u in cut.units(w):
-                    units[u] += n
-            words.clear()
-
         for batch in batches:
-            for text in batch.column(0):
-                words.update(cut.words(text.as_py()))
-                if len(words) > HELD:
-                    empty()
+            for part in _blocks(batch, 0, BLOCK):
+                words, places, _ = cut.split(part.column(0).to_pylist())
+                for w, n in zip(words, np.bincount(places, minlength=len(words)).tolist(), strict=True):
+                    for u in cut.units(w):
+                        units[u] += n
                 if len(units) > HELD:
                     yield _counts(units)
-        empty()
         yield _counts(units)
 
     def _counts(units: Counter[str]) -> pa.RecordBatch:
@@ -331,6 +340,39 @@ def vocabulary_of(docs: DataFrame, pieces: Pieces) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _blocks(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of whole rows, whose texts in ``column`` have about ``most`` bytes or are a single one."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)), dtype=np.int64)
+    begin = 0
+    while begin < batch.num_rows:
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+def _rare(units: list[list[str]], places: np.ndarray, at: np.ndarray, known: dict[str, bytes]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Of ``Cutter.split``'s texts, the units that aren't ``known``; and each text with each such unit of it, by text and first occurrence, as two columns of numbers.
+
+    ``units`` are those of the distinct words.
+    """
+    names: dict[str, int] = {}
+    flat, sizes = [], []
+    for own in units:
+        before = len(flat)
+        for u in own:
+            if u not in known:
+                flat.append(names.setdefault(u, len(names)))
+        sizes.append(len(flat) - before)
+    size = np.array(sizes, np.int64)
+    where = np.flatnonzero(size[places]) if len(places) else places
+    word, n = places[where], size[places[where]] if len(places) else places
+    spans = np.repeat((np.cumsum(size) - size)[word] - (np.cumsum(n) - n), n) + np.arange(n.sum()) if len(word) else word
+    unit, text = np.array(flat, np.int64)[spans], np.repeat(np.searchsorted(at, where, "right") - 1, n)
+    first = np.sort(np.unique(text * len(names) + unit, return_index=True)[1])
+    return list(names), text[first], unit[first]
+
+
 def _slices(flat: pa.Array, offsets: pa.Array) -> list[bytes]:
     """The lists of an integer column as bytes."""
     raw, at = np.asarray(flat, np.int32).tobytes(), (4 * (np.asarray(offsets) - offsets[0].as_py())).tolist()
@@ -351,16 +393,15 @@ def encode(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFra
     copies of one text are many. Rows may share a doc_id or lack one.
     """
 
-    def emit(texts: list[str | None], codes: list[bytes]) -> list[pa.Array]:
-        offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in codes])]).astype(np.int32)
-        return [pa.array(texts, pa.string()), pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(codes), np.int32)))]
+    def emit(texts: list[str | None], flat: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+        return [pa.array(texts, pa.string()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))]
 
     made = _assemble(docs, pieces, frequent, "text string, ids array<int>", emit)
     return made.select(*(c for c in docs.columns if c != "ids"), "ids")
 
 
 def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit) -> DataFrame:
-    """The columns of ``docs`` but text and ids, and ``fields`` that ``emit`` makes of some texts and their ids as bytes."""
+    """The columns of ``docs`` but text and ids, and ``fields`` that ``emit`` makes of some texts, all their ids one after the other, and where each text's begin."""
     spark = docs.sparkSession
     # a word's edges come one after the other: they are gathered in memory, without a sort
     together = {"spark__sql__objectHashAggregate__sortBased__fallbackThreshold": "100000"}
@@ -374,31 +415,22 @@ def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit)
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, cut = hot.value, Cutter(pieces)
         seen: set[tuple[int, int]] = set()  # copies of one text that meet in a task
-        held: dict[str, tuple[str, ...]] = {}
         for batch in batches:
-            for begin in range(0, batch.num_rows, 1000):
-                part = batch.slice(begin, 1000)
-                keys, crcs, places, found = [], [], [], []
-                for *key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
-                    if (key := tuple(key)) in seen:
-                        continue
-                    seen.add(key)
-                    own: dict[str, None] = {}
-                    for w in dict.fromkeys(cut.words(text.as_py())):
-                        units = held.get(w)
-                        if units is None:
-                            units = held[w] = tuple(u for u in cut.units(w) if u not in known)
-                        for u in units:
-                            own[u] = None
-                    keys.extend([key[0]] * len(own))
-                    crcs.extend([key[1]] * len(own))
-                    places.extend(range(len(own)))
-                    found.extend(own)
-                    if len(held) > HELD:
-                        held.clear()
+            for part in _blocks(batch, 2, BLOCK):
+                own = {}
+                for row, key in enumerate(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)):
+                    if key not in seen:
+                        seen.add(key)
+                        own[row] = key
+                part = part.take(pa.array(list(own), pa.int64()))
+                words, places, at = cut.split(part.column(2).to_pylist())
+                names, text, unit = _rare([cut.units(w) for w in words], places, at, known)
+                columns = [part.column(0).take(pa.array(text)), part.column(1).take(pa.array(text))]
+                columns.append(pa.array((np.arange(len(text)) - np.searchsorted(text, text)).astype(np.int32)))
+                columns.append(pa.array(names, pa.string()).take(pa.array(unit)))
+                yield pa.record_batch(columns, names=[*_KEY, "at", "word"])
                 if len(seen) > HELD:
                     seen.clear()
-                yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(crcs, pa.int32()), pa.array(places, pa.int32()), pa.array(found, pa.string())], names=[*_KEY, "at", "word"])
 
     keep = [c for c in docs.columns if c not in ("ids", "text")]
     keyed = docs.select(*keep, "text", F.xxhash64("text").alias("__key"), (F.crc32(F.col("text").cast("binary")) - (1 << 31)).cast("int").alias("__crc"))
@@ -421,45 +453,31 @@ def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit)
             packed = [pack_one(t.as_py().encode("utf-8", "surrogatepass")) if t.is_valid else None for t in batch.column(len(keep))]
             yield pa.record_batch([*batch.columns[: len(keep)], pa.array(packed, pa.binary()), *batch.columns[len(keep) + 1 :]], names=[*keep, "__packed", *_KEY])
 
-    names = [*keep, *T.StructType.fromDDL(fields).names]
+    names_out = [*keep, *T.StructType.fromDDL(fields).names]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
         known, cut = hot.value, Cutter(pieces)
-        held: dict[str, bytes] = {}  # words of frequent units
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                part = batch.slice(begin, 500)
-                out, texts = [], []
-                for sizes, ids, packed in zip(*part.columns[len(keep) :], strict=True):
-                    own, rest = {}, iter(())  # codes of rare units, found so far and to come
-                    if sizes.is_valid:
-                        raw, ends = np.asarray(ids.values, np.int32).tobytes(), (4 * np.cumsum(np.asarray(sizes.values))).tolist()
-                        rest = iter([raw[a:b] for a, b in zip([0, *ends], ends, strict=False)])
-                    text = unpack(packed.as_py()).decode("utf-8", "surrogatepass") if packed.is_valid else None
-                    texts.append(text)
-                    code: list[bytes] = []
-                    for w in cut.words(text):
-                        found = held.get(w)
-                        if found is None:
-                            units = cut.units(w)
-                            ids = [known.get(u) for u in units]
-                            if None in ids:
-                                for u, x in zip(units, ids, strict=True):
-                                    if x is None and u not in own:
-                                        own[u] = next(rest)
-                                found = b"".join([own[u] if x is None else x for u, x in zip(units, ids, strict=True)])
-                            else:
-                                found = held[w] = b"".join(ids)
-                        code.append(found)
-                    if next(rest, None) is not None:
-                        raise ValueError("two texts share their hashes")
-                    out.append(b"".join(code))
-                    if len(held) > HELD:
-                        held.clear()
-                yield pa.record_batch([*part.columns[: len(keep)], *emit(texts, out)], names=names)
+            for part in _blocks(batch, len(keep) + 2, PACKED_BLOCK):
+                sizes, ids, packed = part.columns[len(keep) :]
+                texts = [unpack(p.as_py()).decode("utf-8", "surrogatepass") if p.is_valid else None for p in packed]
+                words, places, at = cut.split(texts)
+                units = [cut.units(w) for w in words]
+                names, text, unit = _rare(units, places, at, known)
+                # a text's rare units and its codes are in the same order; a unit's code is that of any text that has it
+                n = np.asarray(pc.fill_null(pc.list_value_length(sizes), 0))
+                if not np.array_equal(np.bincount(text, minlength=len(texts)), n):
+                    raise ValueError("two texts share their hashes")
+                raw, ends = np.asarray(ids.flatten(), np.int32).tobytes(), 4 * np.cumsum(np.asarray(sizes.flatten(), np.int64))
+                where = np.unique(unit, return_index=True)[1]
+                spans = zip(np.append(0, ends)[where].tolist(), ends[where].tolist(), strict=True)
+                own = dict(zip(names, (raw[a:b] for a, b in spans), strict=True))
+                codes = [b"".join([known[u] if u in known else own[u] for u in us]) for us in units]
+                flat, offsets = lay_out(codes, places, at)
+                yield pa.record_batch([*part.columns[: len(keep)], *emit(texts, flat.view(np.int32), offsets)], names=names_out)
 
     own = docs.select(*keep).schema.fields
     packed = keyed.mapInArrow(pack, T.StructType([*own, T.StructField("__packed", T.BinaryType()), T.StructField("__key", T.LongType()), T.StructField("__crc", T.IntegerType())]))
@@ -467,10 +485,15 @@ def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit)
     return joined.mapInArrow(join, T.StructType([*own, *T.StructType.fromDDL(fields).fields]))
 
 
-def _decoder(pieces: Pieces) -> Callable[[list[int]], bytes]:
-    """Function of a list of ids to its text's bytes: pieces joined, byte pieces as they are, without the leading blank."""
+def _spelt(pieces: Pieces) -> list[bytes]:
+    """The bytes that each id stands for: pieces with blanks, byte pieces as they are."""
     byte_of = {i: b for b, i in enumerate(pieces.bytes)}
-    raw = [bytes([byte_of[i]]) if i in byte_of else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces.text)]
+    return [bytes([byte_of[i]]) if i in byte_of else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces.text)]
+
+
+def _decoder(pieces: Pieces) -> Callable[[list[int]], bytes]:
+    """Function of a list of ids to its text's bytes, without the leading blank."""
+    raw = _spelt(pieces)
     return lambda ids: b"".join(map(raw.__getitem__, ids))[1:]
 
 
@@ -490,13 +513,17 @@ def decode(coded: DataFrame, pieces: Pieces) -> DataFrame:
 
 def digest(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFrame:
     """``docs`` without text, and ``n_ids, ids_sha256, round_trip``: the SHA-256 of the ids as little-endian 32-bit integers, and whether decoding gives the text back."""
-    text_of = None
-
-    def emit(texts: list[str | None], codes: list[bytes]) -> list[pa.Array]:
-        nonlocal text_of
-        text_of = text_of or _decoder(pieces)
-        same = [text_of(np.frombuffer(c, np.int32).tolist()) == (t or "").encode("utf-8", "surrogatepass") for t, c in zip(texts, codes, strict=True)]
-        return [pa.array([len(c) // 4 for c in codes], pa.int64()), pa.array([hashlib.sha256(c).hexdigest() for c in codes], pa.string()), pa.array(same, pa.bool_())]
+    spelt = None
+
+    def emit(texts: list[str | None], flat: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+        nonlocal spelt
+        spelt = spelt or pa.array(_spelt(pieces), pa.binary())
+        ids, raw = memoryview(flat.tobytes()), spelt.take(pa.array(flat))
+        spans = list(pairwise(np.append(0, np.cumsum(np.asarray(pc.binary_length(raw)), dtype=np.int64))[offsets].tolist()))
+        whole = raw.buffers()[2].to_pybytes() if len(raw) else b""
+        same = [whole[a:b][1:] == (t or "").encode("utf-8", "surrogatepass") for t, (a, b) in zip(texts, spans, strict=True)]
+        digests = [hashlib.sha256(ids[4 * a : 4 * b]).hexdigest() for a, b in pairwise(offsets.tolist())]
+        return [pa.array(np.diff(offsets)), pa.array(digests, pa.string()), pa.array(same, pa.bool_())]
 
     return _assemble(docs, pieces, frequent, "n_ids long, ids_sha256 string, round_trip boolean", emit)
 

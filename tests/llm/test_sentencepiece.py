@@ -47,6 +47,17 @@ def test_units_are_the_text_and_no_piece_goes_beyond_one(pieces):
             assert not any(whole[a:b] in normal for a in range(max(0, at - 16), at) for b in range(at + 1, min(len(whole), a + 16) + 1))
 
 
+def test_words_of_many_texts_are_told_apart_at_once(pieces):
+    cut, texts = sl.Cutter(pieces), [*made(), "", None, "the cat, the cat"]
+    words, places, at = cut.split(texts)
+    assert len(words) == len(set(words))
+    assert [[words[i] for i in places[a:b]] for a, b in itertools.pairwise(at)] == [cut.words(t) for t in texts]
+    names, text, unit = sl._rare([cut.units(w) for w in words], places, at, {"▁the": b""})
+    found = [[names[u] for u in unit[text == i]] for i in range(len(texts))]
+    assert found == [list(dict.fromkeys(u for w in cut.words(t) for u in cut.units(w) if u != "▁the")) for t in texts]
+    assert [x.tolist() for x in sl._rare([], *cut.split([None])[1:], {})[1:]] == [[], []]
+
+
 def test_long_units_and_runs_of_blanks_take_the_same_fold(spark, pieces):
     sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
     rng = random.Random(8)
