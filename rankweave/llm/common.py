@@ -44,6 +44,13 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def few_rows(spark: SparkSession, rows: int = 2000) -> None:
+    """From now on the session hands Python so many rows at a time at most: whole texts travel with them, to a worker and back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def stage(df: DataFrame, name: str, rows: int = 2000, **options: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back: the lineage is cut, and a lost executor costs nothing.
 

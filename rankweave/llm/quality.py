@@ -223,7 +223,8 @@ def assess(docs: DataFrame, crf: LineCrf, carry: list[str] | None = None) -> Dat
     """
     send = (crf.emit, crf.move, crf.start)
     own = [c for c in carry or ["doc_id"] if c not in OUT[1:]]
-    rows = docs.select(*own, F.col("text").alias("__text"))
+    text_at = own.index("text") if "text" in own else len(own)  # a text that is passed on anyway isn't sent twice
+    rows = docs.select(*own) if "text" in own else docs.select(*own, F.col("text").alias("__text"))
     if carry is None:
         rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
@@ -231,7 +232,7 @@ def assess(docs: DataFrame, crf: LineCrf, carry: list[str] | None = None) -> Dat
         model = LineCrf(*send)
         for batch in batches:
             counts, share = [], []
-            for value in batch.column(len(own)):
+            for value in batch.column(text_at):
                 text = value.as_py()
                 counts.append(text_counts(text))
                 lines = _lines(text)

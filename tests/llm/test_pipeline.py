@@ -95,3 +95,13 @@ def test_decontamination_takes_texts_and_not_ids(spark, tmp_path):
     docs = spark.createDataFrame([(5, "Well. " + item), (5, "a clean text"), (None, item), (None, "another clean text")], "doc_id long, text string")
     out = cp.benchmark_decontamination(spark, docs, str(tmp_path))
     assert sorted(r.text for r in out.collect()) == ["a clean text", "another clean text"]
+
+
+def test_texts_go_to_python_once_and_few_at_a_time(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.unset(name)
+    docs = spark.range(6000).selectExpr("id AS doc_id", "'a b' AS text")
+    kept = cp.quality_rules(spark, docs, "/root/testdata/sf0.001")
+    assert 0 < int(spark.conf.get(name)) <= 2000
+    assert "__text" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert kept.count() == 0
