@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from rankweave.llm import decontaminate, pii, quality, sentencepiece_lattice, simhash
 from rankweave.llm.common import few_rows, stage, table, text_key, unstage
 
+#: Texts that a Python worker cuts and encodes at a time in the last stage: it comes when the executors' heaps have grown full.
+CODED_ROWS = 500
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; columns that are named like a verdict's keep their values."""
@@ -68,9 +71,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as ``doc_id, lang, source, n_ids, ids``."""
-    few_rows(spark)
+    few_rows(spark, CODED_ROWS)
     pieces = sentencepiece_lattice.read_model(sentencepiece_lattice.model_path())
-    coded = sentencepiece_lattice.encode(docs, pieces)
+    coded = sentencepiece_lattice.encode(docs.select("doc_id", "lang", "source", "text"), pieces, text=False, rows=CODED_ROWS)
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_ids"), "ids")
 
 

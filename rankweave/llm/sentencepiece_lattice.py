@@ -130,7 +130,9 @@ def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
         raise ValueError("too long pieces, or too many")
     spark = words.sparkSession
     ranks = {s: i for i, s in enumerate(sorted({s for _, _, s in pieces.normal}, reverse=True))}
-    vocab = F.broadcast(spark.createDataFrame([(p, (ranks[s] << END + SIZE + ID) + i) for p, i, s in pieces.normal], "piece string, coded long"))
+    coded = [(ranks[s] << END + SIZE + ID) + i for _, i, s in pieces.normal]
+    # from Arrow, as a list of rows would start Python workers of another kind beside those of the other steps
+    vocab = F.broadcast(spark.createDataFrame(pa.table({"piece": pa.array([p for p, _, _ in pieces.normal], pa.string()), "coded": pa.array(coded, pa.int64())})))
     n = F.length("word")
     count = max(words.count() // 20_000, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = words.select("word").repartition(count, "word")
@@ -383,30 +385,32 @@ def _codes(words: pa.Array, ids: pa.ListArray) -> dict[str, bytes]:
     return dict(zip(words.to_pylist(), _slices(ids.flatten(), ids.offsets), strict=True))
 
 
-def encode(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFrame:
-    """``docs`` with ``ids`` (array of int) for ``text``; an ``ids`` column of its own is replaced.
+def encode(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT, text: bool = True, rows: int = 2000) -> DataFrame:
+    """``docs`` with ``ids`` (array of int) for ``text``, or in place of it; an ``ids`` column of its own is replaced.
 
     Null and empty texts have no ids. Every distinct unit is encoded once, through
     the lattice. Frequent units, ``frequent`` at most, go to every task; the others
     are joined to their codes by unit, come together as one row per distinct text,
     and meet the texts in a plain join that adaptive execution can split where
-    copies of one text are many. Rows may share a doc_id or lack one.
+    copies of one text are many. Rows may share a doc_id or lack one. The staged
+    steps hand Python ``rows`` texts at a time; the last one goes by the session.
     """
 
     def emit(texts: list[str | None], flat: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
-        return [pa.array(texts, pa.string()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))]
+        ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+        return [pa.array(texts, pa.string()), ids] if text else [ids]
 
-    made = _assemble(docs, pieces, frequent, "text string, ids array<int>", emit)
-    return made.select(*(c for c in docs.columns if c != "ids"), "ids")
+    made = _assemble(docs, pieces, frequent, "text string, ids array<int>" if text else "ids array<int>", emit, rows)
+    return made.select(*(c for c in docs.columns if c != "ids" and (text or c != "text")), "ids")
 
 
-def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit) -> DataFrame:
+def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit, rows: int = 2000) -> DataFrame:
     """The columns of ``docs`` but text and ids, and ``fields`` that ``emit`` makes of some texts, all their ids one after the other, and where each text's begin."""
     spark = docs.sparkSession
     # a word's edges come one after the other: they are gathered in memory, without a sort
     together = {"spark__sql__objectHashAggregate__sortBased__fallbackThreshold": "100000"}
     some = docs.select("text").sample(min(1.0, SAMPLE / max(1, docs.count())), seed=1)
-    words = stage(vocabulary_of(some, pieces), "words")
+    words = stage(vocabulary_of(some, pieces), "words", rows)
     with settings(spark, **together):
         top = pa.Table.combine_chunks(encode_words(most_frequent(words, frequent), pieces).toArrow())
     unstage(words)
@@ -434,7 +438,7 @@ def _assemble(docs: DataFrame, pieces: Pieces, frequent: int, fields: str, emit)
 
     keep = [c for c in docs.columns if c not in ("ids", "text")]
     keyed = docs.select(*keep, "text", F.xxhash64("text").alias("__key"), (F.crc32(F.col("text").cast("binary")) - (1 << 31)).cast("int").alias("__crc"))
-    wanted = stage(keyed.select(*_KEY, "text").mapInArrow(rare, "__key long, __crc int, at int, word string"), "wanted", compression="zstd")
+    wanted = stage(keyed.select(*_KEY, "text").mapInArrow(rare, "__key long, __crc int, at int, word string"), "wanted", rows, compression="zstd")
     with settings(spark, **together):
         codes = stage(encode_words(stage(wanted.select("word").distinct(), "words"), pieces), "codes")
     # joined and gathered in two steps, so that the shuffle files of one are gone when the other makes its own

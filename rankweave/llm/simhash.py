@@ -137,9 +137,8 @@ def near_links(fps: DataFrame, budget: int = 2, leaf: int = LEAF) -> DataFrame:
     tasks of at most ``2 * leaf`` fingerprints; each returns a spanning forest of
     its links.
     """
-    spark = fps.sparkSession
     done, depth = [], 0
-    pairs = spark.createDataFrame([(0, 0, 0)], "a long, b long, dist int")
+    pairs = fps.sparkSession.range(0, 1, 1, 1).select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0).alias("dist"))  # made without Python workers
     while depth < 64:
         nodes = fps.groupBy(_prefix(depth).alias("p")).agg(F.count("*").alias("n"))
         sized = pairs.join(nodes.select(F.col("p").alias("a"), F.col("n").alias("na")), "a").join(

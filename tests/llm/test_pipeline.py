@@ -105,3 +105,15 @@ def test_texts_go_to_python_once_and_few_at_a_time(spark):
     assert 0 < int(spark.conf.get(name)) <= 2000
     assert "__text" not in kept._jdf.queryExecution().optimizedPlan().toString()
     assert kept.count() == 0
+
+
+def test_coding_sends_few_texts_and_none_back(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.unset(name)
+    docs = spark.createDataFrame([(i, "a fine day", "en", "s", 10) for i in range(5)], "doc_id long, text string, lang string, source string, n_chars int")
+    coded = cp.sentencepiece_ids(spark, docs, "")
+    assert 0 < int(spark.conf.get(name)) <= 500
+    (last,) = [x for x in coded._jdf.queryExecution().optimizedPlan().toString().split("\n") if "MapInArrow join(" in x]
+    assert "text" not in last.rpartition("[")[2] and "n_chars" not in last, last
+    sp = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_lattice.model_path())
+    assert sorted((r.doc_id, r.n_ids, r.ids) for r in coded.collect()) == [(i, len(ids := sp.encode("a fine day")), ids) for i in range(5)]

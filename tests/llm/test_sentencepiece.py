@@ -93,6 +93,11 @@ def test_the_registered_query_folds_in_spark(spark, pieces):
     assert "Arrow" not in plan and "CartesianProduct" not in plan
 
 
+def test_the_vocabulary_starts_no_python_workers(spark, pieces):
+    words = spark.range(1).selectExpr("'▁the' AS word")
+    assert "ExistingRDD" not in sl.lattice(words, pieces)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_viterbi_fold_equals_all_paths(spark, pieces):
     model = sl.Pieces((("▁a", 0, -1.0), ("a", 1, -1.5), ("ab", 2, -2.0), ("b", 3, -1.2), ("▁ab", 4, -4.0), ("ba", 5, -0.9), ("▁", 6, -0.7)), tuple(range(100, 356)), (), False)
     rng = random.Random(1)
