@@ -19,7 +19,10 @@ ORDER_SHINGLES = 200_000
 #: Keys that are sent to all tasks; more are joined by a shuffle.
 BROADCAST_KEYS = 1_000_000
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_POSTING = "token long, key long, n int, pos int"
+#: Orders in which each token's texts are paired with their neighbours, beside the one by size.
+ORDERS = 8
+_COLUMNS = ("token", "key", "n", "pos", "prev", "prev2")
+_POSTING = "token long, key long, n int, pos int, prev long, prev2 long"
 _LINK = "a long, b long"
 
 
@@ -57,6 +60,40 @@ def _sets(keyed: DataFrame) -> DataFrame:
     return keyed.select("key", "text").mapInArrow(run, "key long, tokens array<long>")
 
 
+def parities(tokens: np.ndarray) -> bytes:
+    """A set as bits, four a token or more: a bit is 1 if an odd number of tokens fall on it."""
+    size = max(64, 1 << (4 * len(tokens) - 1).bit_length())
+    return np.packbits(np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
+
+
+def may_reach(a: bytes, b: bytes, na: int, nb: int) -> bool:
+    """False if sets of these ``parities`` and sizes are surely below 0.8: each bit that differs is a token that only one of them has."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if len(x) != len(y):  # the longer one is folded: its bits' numbers are the tokens' lower bits
+        few = min(len(x), len(y))
+        x, y = (np.bitwise_xor.reduce(v.reshape(-1, few), axis=0) for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum()) <= na + nb - 2 * ((4 * (na + nb) + 8) // 9)
+
+
+def _parities(keyed: DataFrame) -> DataFrame:
+    """``(key, n, bits)`` of ``keyed(key, text)``: the set's size and parities."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            keys, sizes, bits = [], [], []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if key not in seen:
+                    seen.add(key)
+                    tokens = shingles(text.as_py())
+                    keys.append(key)
+                    sizes.append(len(tokens))
+                    bits.append(parities(tokens))
+            yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary())], names=["key", "n", "bits"])
+
+    return keyed.select("key", "text").mapInArrow(run, "key long, n int, bits binary")
+
+
 def _common(keyed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most common shingles, sorted, and in how many of the texts counted they are."""
     n = keyed.agg(F.approx_count_distinct("key")).first()[0]
@@ -93,7 +130,7 @@ def prefix(tokens: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.nda
 
 
 def _postings(keyed: DataFrame) -> DataFrame:
-    """``token, key, n, pos`` of all prefixes: the set's size and the token's place in it."""
+    """``token, key, n, pos, prev, prev2`` of all prefixes: the set's size, the token's place in it and the two tokens before it."""
     common = keyed.sparkSession.sparkContext.broadcast(_common(keyed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,8 +150,8 @@ def _postings(keyed: DataFrame) -> DataFrame:
                     n = np.fromiter(map(len, first), np.int64, len(first))
                     pos = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                     cols = (np.concatenate(first).view(np.int64), np.repeat(np.array(keys, np.int64), n))
-                    cols += (np.repeat(np.array(sizes, np.int32), n), pos.astype(np.int32))
-                    yield pa.record_batch([pa.array(c) for c in cols], names=["token", "key", "n", "pos"])
+                    cols += (np.repeat(np.array(sizes, np.int32), n), pos.astype(np.int32), *(np.where(pos >= back, np.roll(cols[0], back), 0) for back in (1, 2)))
+                    yield pa.record_batch([pa.array(c) for c in cols], names=_COLUMNS)
 
     return keyed.select("key", "text").mapInArrow(run, _POSTING)
 
@@ -158,6 +195,15 @@ def _can(own: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray
     return 9 * left >= 4 * (own["n"][i].astype(np.int64) + own["n"][j])
 
 
+def _had(own: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether sets share one of the two tokens before this one."""
+    found = np.zeros(len(i), bool)
+    for x, a in (("prev", 1), ("prev2", 2)):
+        for y, b in (("prev", 1), ("prev2", 2)):
+            found |= (own[x][i] == own[y][j]) & (own["pos"][i] >= a) & (own["pos"][j] >= b)
+    return found
+
+
 def _links(own: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
     a, b = own["key"][i], own["key"][j]
     both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
@@ -166,20 +212,40 @@ def _links(own: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> pa.Recor
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for own in _groups(batches):
-        yield pa.record_batch([pa.array(own[c]) for c in ("token", "key", "n", "pos")], names=["token", "key", "n", "pos"])
+        yield pa.record_batch([pa.array(own[c]) for c in _COLUMNS], names=_COLUMNS)
+
+
+def _beside(own: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that stand side by side under one token, whose components differ and that can reach 0.8."""
+    i = np.flatnonzero((own["token"][1:] == own["token"][:-1]) & (own["root"][1:] != own["root"][:-1]))
+    i = i[_can(own, i, i + 1)]
+    return i, i + 1
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each token, the pairs of neighbours in size whose components differ: as many as there are rows at most."""
     for own in _groups(batches):
-        i = np.flatnonzero((own["token"][1:] == own["token"][:-1]) & (own["root"][1:] != own["root"][:-1]))
-        i = i[_can(own, i, i + 1)]
+        i, j = _beside(own)
         if len(i):
-            yield _links(own, i, i + 1)
+            yield _links(own, i, j)
+
+
+def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As ``_neighbours``, but by ``ORDERS`` orders at random: a text of a large family meets several others of it, and not the same two at each token."""
+    for own in _groups(batches):
+        found = []
+        for which in range(ORDERS):
+            mixed = (own["key"].view(np.uint64) ^ np.uint64(which * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xFF51AFD7ED558CCD)
+            order = np.lexsort((mixed ^ mixed >> np.uint64(33), own["token"]))
+            i, j = _beside({c: v[order] for c, v in own.items()})
+            found.append((order[i], order[j]))
+        i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+        if len(i):
+            yield _links(own, i, j)
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each token, all pairs that can reach 0.8 and whose components differ."""
+    """Of each token, all pairs that can reach 0.8 and whose components differ, but those that share one of the two tokens before it, too: that one has the pair already."""
     for own in _groups(batches):
         ends = np.flatnonzero(np.append(own["token"][1:] != own["token"][:-1], True)) + 1
         last = np.repeat(ends, np.diff(ends, prepend=0))  # the end of each row's group
@@ -189,6 +255,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             i = i[5 * own["n"][i].astype(np.int64) >= 4 * own["n"][i + step].astype(np.int64)]
             k = i[own["root"][i] != own["root"][i + step]]
             k = k[_can(own, k, k + step)]
+            k = k[~_had(own, k, k + step)]
             if len(k):
                 yield _links(own, k, k + step)
             step += 1
@@ -196,15 +263,33 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _with_root(postings: DataFrame, roots: DataFrame) -> DataFrame:
     named = postings.join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
-    return named.select("token", "key", "n", "pos", F.coalesce("root", "key").alias("root"))
+    return named.select(*_COLUMNS, F.coalesce("root", "key").alias("root"))
 
 
-def confirmed(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
-    """The pairs whose shingle sets have a Jaccard similarity of 0.8 or more, by whole sets and whole numbers."""
+def _texts_of(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
     keys = stage(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), "keys")
     few = keys.count() <= BROADCAST_KEYS
-    texts = keyed.select("key", "text").join(F.broadcast(keys) if few else keys, "key", "left_semi")
-    sets = _sets(texts).dropDuplicates(["key"])  # dealt out by key once, for both sides
+    return keyed.select("key", "text").join(F.broadcast(keys) if few else keys, "key", "left_semi")
+
+
+def possible(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
+    """The pairs that the parities of their shingle sets don't refuse: all of 0.8 or more, and few others. A set's parities have a sixteenth of its size, or an eighth."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, x, nb, y = (c.to_pylist() for c in batch.columns[2:])
+            yield batch.select(["a", "b"]).filter(pa.array(list(map(may_reach, x, y, na, nb)), pa.bool_()))
+
+    bits = _parities(_texts_of(pairs, keyed)).dropDuplicates(["key"])
+    left = bits.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x"))
+    right = bits.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y"))
+    return stage(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "x", "nb", "y").mapInArrow(run, _LINK), "possible")
+
+
+def confirmed(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
+    """The pairs whose shingle sets have a Jaccard similarity of 0.8 or more, by whole sets and whole numbers; their parities refuse most others before."""
+    pairs = possible(pairs, keyed)
+    sets = _sets(_texts_of(pairs, keyed)).dropDuplicates(["key"])  # dealt out by key once, for both sides
     left = sets.select(F.col("key").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("key").alias("b"), F.col("tokens").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -227,7 +312,7 @@ def linked_roots(docs: DataFrame, roots: DataFrame) -> DataFrame:
     links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     tried = None
     # Neighbours first, so that large groups of near copies are one component before all pairs across components are taken.
-    for step in (_neighbours, _across):
+    for step in (_neighbours, _mixed, _across):
         pairs = _by_token(_with_root(postings, roots)).mapInArrow(step, _LINK)
         pairs = pairs.distinct() if tried is None else pairs.distinct().join(tried, ["a", "b"], "left_anti")
         pairs = stage(pairs, "candidates")

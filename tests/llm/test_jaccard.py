@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline as cp
@@ -91,3 +93,47 @@ def test_order_loses_no_pair(spark, monkeypatch):
 
 def test_no_documents(spark):
     assert cp.near_dedup(spark, spark.createDataFrame([], "doc_id long, text string"), "").count() == 0
+
+
+def test_large_family_is_linked_before_all_its_pairs_are_taken(spark, monkeypatch):
+    """Near copies of one text whose pairs lie around 0.8: few of the pairs across components are left, and whole sets are joined for few of these."""
+    rng = random.Random(7)
+    base = [f"b{i}" for i in range(150)]
+    texts = {}
+    for i in range(400):
+        words = list(base)
+        for j in rng.sample(range(150), 2):
+            words[j] = f"x{rng.randrange(10_000)}"
+        texts[i] = " ".join(words)
+    seen = {"candidates": 0, "possible": 0, "confirmed": 0}
+    stage = jaccard.stage
+
+    def counted(df, name, *args, **options):
+        out = stage(df, name, *args, **options)
+        if name in seen:
+            seen[name] += out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "stage", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    assert {r.doc_id for r in cp.near_dedup(spark, docs, "").collect()} == plain_kept(texts)
+    assert seen["candidates"] < 400 * 399 / 2 / 2, seen
+    assert 0 < seen["possible"] <= 2 * seen["confirmed"], seen
+
+
+def test_a_pair_comes_once_for_a_run_of_tokens_that_both_share():
+    names = ["token", "key", "n", "pos", "prev", "prev2", "root"]
+    rows = [[(t, k, 200, t - 10, t - 1 if t > 10 else 0, t - 2 if t > 11 else 0, k) for k in (1, 2)] for t in range(10, 20)]
+    batches = [pa.record_batch([pa.array(c, pa.int64()) for c in zip(*own, strict=True)], names=names) for own in rows]
+    assert [r for b in jaccard._across(batches) for r in b.to_pylist()] == [{"a": 1, "b": 2}]
+
+
+def test_parities_refuse_no_pair_that_reaches_the_similarity():
+    rng = random.Random(8)
+    for _ in range(2000):
+        n = rng.randint(1, 400)
+        a = {rng.randrange(1 << 62) for _ in range(n)}
+        b = set(rng.sample(sorted(a), n - rng.randint(0, n // 6))) | {rng.randrange(1 << 62) for _ in range(rng.randint(0, n // 5))}
+        x, y = (np.array(sorted(s), np.uint64) for s in (a, b))
+        if 9 * len(a & b) >= 4 * (len(a) + len(b)):
+            assert jaccard.may_reach(jaccard.parities(x), jaccard.parities(y), len(a), len(b))
