@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..roles import ROLES, Roles
+from ..sources.tables import staged
 from .metrics import enrich
 
 #: Units of a leaf at most; its draws go to its units one by one.
@@ -77,7 +78,8 @@ def multiplicities(units: DataFrame, key: list[str], stratum: str | None, replic
     A stratum's n units are ordered by the MD5 of their key and drawn n times with
     replacement. Their order is cut into halves down to leaves of LEAF units; counts
     of all replicates go down together, and a leaf's draws become an array for each of its
-    places. Two shuffles: numbering, and joining places to units.
+    places. Two shuffles: numbering, and joining places to units. The places come from a few nodes,
+    whose bytes tell nothing of theirs, so that join is told to shuffle them: they are as many as the units.
     """
     s = F.col(stratum).cast("string") if stratum else F.lit("all")
     own = units.select(s.alias("stratum"), F.concat_ws("|", *key).alias("unit")).distinct().withColumn("h", F.md5("unit"))
@@ -111,7 +113,8 @@ def multiplicities(units: DataFrame, key: list[str], stratum: str | None, replic
     drawn = F.transform("counts", lambda c, b: F.when(c > 0, F.transform(F.sequence(F.lit(1).cast("long"), c), lambda t: _word(F.lit(seed), F.col("stratum"), F.lit("leaf"), F.col("j"), b, t) % F.col("size"))).otherwise(F.array().cast("array<bigint>")))
     places = F.transform(F.sequence(F.lit(0).cast("long"), F.col("size") - 1), lambda place: F.transform("drawn", lambda a: F.size(F.filter(a, lambda x: x == place))))
     leaves = nodes.withColumns({"first": first, "size": size}).withColumn("drawn", drawn).select("stratum", "first", F.posexplode(places).alias("place", "times"))
-    return own.join(leaves.select("stratum", (F.col("first") + F.col("place")).alias("i"), "times"), ["stratum", "i"]).select("stratum", "unit", "times")
+    placed = leaves.select("stratum", (F.col("first") + F.col("place")).alias("i"), "times").hint("merge")
+    return own.join(placed, ["stratum", "i"]).select("stratum", "unit", "times")
 
 
 def _total(weight: Column) -> Column:
@@ -132,7 +135,7 @@ def _interval(column: str) -> list:
 def bootstrap_item_ci(df: DataFrame, k: int, replicates: int = 200, seed: int = 0, roles: Roles = ROLES) -> DataFrame:
     """``item, lo, hi, mean`` of per-item AP over resampled entities; the macro average is the row ``macro``."""
     own = enrich(df, [k], roles).where(F.col(roles.label) == 1).withColumn("unit", F.concat_ws("|", *roles.entity))
-    own = own.groupBy("unit", roles.item).agg(F.sum(f"ap@{k}").alias("s"), F.count("*").alias("n"))
+    own = staged(own.groupBy("unit", roles.item).agg(F.sum(f"ap@{k}").alias("s"), F.count("*").alias("n")), "resampled")  # sums and numbering read it
     drawn = own.join(multiplicities(own, ["unit"], None, replicates, seed).drop("stratum"), "unit")
     sums = drawn.groupBy(roles.item).agg(_total(F.col("s")).alias("s"), _total(F.col("n")).alias("n"))
     per = _per_replicate(sums, [roles.item], F.zip_with("s", "n", lambda s, n: F.when(n > 0, s / n)), "ap")

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import statistics
 
 import pytest
@@ -178,6 +179,20 @@ def test_every_replicate_draws_as_many_units_as_a_stratum_has(spark, sizes):
         assert statistics.pvariance(draws) == pytest.approx(1, abs=0.05) and draws.count(0) / len(draws) == pytest.approx(math.exp(-1), abs=0.01)
 
 
+def broadcast_keys(df):
+    """Keys of the broadcast joins in the plan that ran."""
+    df.collect()
+    return [k for keys in re.findall(r"BroadcastHashJoin \[([^]]*)]", df._jdf.queryExecution().executedPlan().toString()) for k in re.findall(r"(\w+)#", keys)]
+
+
+def test_item_intervals_broadcast_no_draws(spark):
+    rows = [("d", f"c{i}", p, ((i * 7 + j * 3) % 11) / 11, int((i + j) % 3 == 0)) for i in range(300) for j, p in enumerate("ABC")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    # a leaf's draws are made after the shuffle, which has the few bytes of its nodes; there is a row of draws for each unit
+    assert "i" not in broadcast_keys(bootstrap.bootstrap_item_ci(df, 3, 10))
+    assert "i" not in broadcast_keys(bootstrap.multiplicities(df, ["cust_id"], None, 10))
+
+
 def test_binomial_draws_in_law(spark):
     for n, a, size in ((1, 1, 3), (10, 1, 2), (200, 5, 7), (50, 0, 9), (0, 1, 2), (70, 9, 9)):
         own = spark.range(4000).select(bootstrap._binomial(F.lit(n).cast("long"), F.lit(a), F.lit(size), F.lit("x"), F.col("id")).alias("x"))
