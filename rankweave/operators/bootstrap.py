@@ -155,7 +155,7 @@ def paired_bootstrap_delta(df: DataFrame, shifted: str, k: int, replicates: int
     wide = Roles(roles.time, (*roles.entity, "variant"), roles.item, roles.label, roles.score, roles.rank)
     both = enrich(rows, [k], wide).where(F.col(roles.label) == 1).withColumn("unit", F.concat_ws("|", *roles.entity))
     ap = {v: F.sum(F.when(F.col("variant") == v, F.col("w") * F.col(f"ap@{k}")).otherwise(0.0)).alias(v) for v in ("base", "moved")}
-    own = both.groupBy("stratum", "unit", roles.item).agg(*ap.values(), F.sum(F.when(F.col("variant") == "base", F.col("w")).otherwise(0.0)).alias("w"))
+    own = staged(both.groupBy("stratum", "unit", roles.item).agg(*ap.values(), F.sum(F.when(F.col("variant") == "base", F.col("w")).otherwise(0.0)).alias("w")), "resampled")
     drawn = own.join(multiplicities(own, ["unit"], "stratum", replicates, seed), ["stratum", "unit"])
     sums = drawn.groupBy(roles.item).agg(*(_total(F.col(c)).alias(c) for c in ("base", "moved", "w")))
     means = sums.select(roles.item, *(F.zip_with(c, "w", lambda x, y: F.when(y > 0, x / y)).alias(c) for c in ("base", "moved")))

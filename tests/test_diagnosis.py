@@ -193,6 +193,14 @@ def test_item_intervals_broadcast_no_draws(spark):
     assert "i" not in broadcast_keys(bootstrap.multiplicities(df, ["cust_id"], None, 10))
 
 
+def test_paired_intervals_broadcast_no_draws_and_read_their_rows_once(spark):
+    rows = [("d", f"c{i}", p, ((i * 7 + j * 3) % 11) / 11, int((i + j) % 3 == 0)) for i in range(300) for j, p in enumerate("ABC")]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("stratum", F.when(F.col("cust_id") < "c2", "x").otherwise("y")).withColumn("moved", 1 - F.col("score"))
+    found = bootstrap.paired_bootstrap_delta(df, "moved", 3, 10, "stratum")
+    assert not {"stratum", "i"} <= set(broadcast_keys(found))
+    assert "row_number(" not in found._jdf.queryExecution().optimizedPlan().toString().replace("row_number() windowspecdefinition(stratum", "")  # only the numbering of units; ranks are staged
+
+
 def test_binomial_draws_in_law(spark):
     for n, a, size in ((1, 1, 3), (10, 1, 2), (200, 5, 7), (50, 0, 9), (0, 1, 2), (70, 9, 9)):
         own = spark.range(4000).select(bootstrap._binomial(F.lit(n).cast("long"), F.lit(a), F.lit(size), F.lit("x"), F.col("id")).alias("x"))
