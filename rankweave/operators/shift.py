@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..roles import ROLES, Roles
+from ..sources.tables import staged
 from .joins import override_join
 from .metrics import enrich, macro_average, per_item_ap
 from .query_arrays import gather, ranked
@@ -91,61 +92,64 @@ SAME = 1e-9
 
 
 def crossings(df: DataFrame, k: int, items: Iterable[str] | None = None, roles: Roles = ROLES) -> DataFrame:
-    """``item, at, passed, other, gain_own, gain_other``: shifts of ``item`` at which it passes another item of a query, and what the AP of both rows gains.
+    """``item, at, passed, other, gain_own, gain_other, own``: shifts of ``item`` at which it passes another item of a query, and what the AP of both rows gains.
 
     Where an item rises past its neighbour, only these two rows of the query change
     places, so that only their own terms change. Each query is one sorted array;
     pairs of negatives, and those below the first ``k`` places, have nothing to gain and
     are not made. ``passed`` tells that the item is above the other without a shift, and
-    ``items`` restricts which items move.
+    ``items`` restricts which items move. Each row of ``df`` is also its own pair, for
+    which ``own`` is its label: ``gain_own`` is then its term of the AP, and the rest is null.
+    Pairs come from two explodes and plain columns, which stay in generated code.
     """
-    order = F.array_sort(F.collect_list(F.struct((-F.col(roles.score)).alias("s"), F.col(roles.item).alias("i"), F.col(roles.label).cast("int").alias("l"))))
-    queries = df.groupBy(*roles.query).agg(order.alias("rows"), F.max(roles.label).alias("__any")).where("__any > 0").select("rows")
+    score, label = F.col(roles.score), F.coalesce(F.col(roles.label).cast("int"), F.lit(0))
+    order = F.sort_array(F.collect_list(F.struct(score.isNull().alias("z"), (-score).alias("s"), F.col(roles.item).alias("i"), label.alias("l"))))
+    queries = df.groupBy(*roles.query).agg(order.alias("rows"))
     before = F.aggregate("rows", F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("c")), lambda s, x: F.struct((s["n"] + x["l"]).alias("n"), F.concat(s["c"], F.array(s["n"])).alias("c")))
-    ranked = queries.withColumn("before", before["c"]).select(F.col("rows"), F.transform("rows", lambda x, p: F.struct(x["i"].alias("i"), x["s"].alias("s"), x["l"].alias("l"), (p + 1).alias("p"), F.col("before")[p].alias("c"))).alias("x"))
-    movers = F.filter("x", lambda y: y["i"].isin(list(items))) if items is not None else F.col("x")
+    ranked = queries.select("rows", before["c"].alias("c"))
+    movers = ranked.select("rows", "c", F.posexplode("rows").alias("p", "j")).select("rows", "c", "p", "j.*").withColumn("cj", F.col("c")[F.col("p")])
+    movers = movers.select("rows", "c", (F.col("p") + 1).alias("pj"), F.col("s").alias("sj"), F.col("i").alias("item"), F.col("l").alias("lj"), "cj")
+    pairs = movers.select("*", F.posexplode("rows").alias("p", "o")).select("pj", "sj", "item", "lj", "cj", (F.col("p") + 1).alias("pi"), F.col("o.s").alias("si"), F.col("o.i").alias("other"), F.col("o.l").alias("li"), F.col("c")[F.col("p")].alias("ci"))
+    same, passed = F.col("pj") == F.col("pi"), F.col("pj") < F.col("pi")
+    place = F.col("pi") - passed.cast("int")  # of the other, the mover left out
+    useful = (F.col("item") != F.col("other")) & (F.col("lj") + F.col("li") > 0) & (place <= k)
+    pairs = pairs.where(same | (useful & F.col("item").isin(list(items)) if items is not None else useful))
+    lj, li, hits = F.col("lj"), F.col("li"), F.col("ci") - F.when(passed, F.col("lj")).otherwise(0)
 
     def term(place, hits):
         return F.when(place <= k, hits / place).otherwise(0.0)
 
-    def pair(mover, other):
-        passed = mover["p"] < other["p"]
-        place = other["p"] - passed.cast("int")  # of the other, the mover left out
-        hits = other["c"] - F.when(passed, mover["l"]).otherwise(0)
-        own = F.when(mover["l"] == 1, term(place, hits + 1) - term(place + 1, hits + other["l"] + 1)).otherwise(0.0)
-        its = F.when(other["l"] == 1, term(place + 1, hits + mover["l"] + 1) - term(place, hits + 1)).otherwise(0.0)
-        return F.struct(mover["i"].alias("item"), F.round(mover["s"] - other["s"], PLACES).alias("at"), passed.alias("passed"), other["i"].alias("other"), own.alias("gain_own"), its.alias("gain_other"))
-
-    def useful(mover, other):
-        return (mover["i"] != other["i"]) & (mover["l"] + other["l"] > 0) & (other["p"] - (mover["p"] < other["p"]).cast("int") <= k)
-
-    pairs = F.flatten(F.transform(movers, lambda j: F.transform(F.filter("x", lambda i: useful(j, i)), lambda i: pair(j, i))))
-    return ranked.select(F.explode(pairs).alias("e")).select("e.*")
+    own = F.when(lj == 1, F.when(same, term(F.col("pj"), F.col("cj") + 1)).otherwise(term(place, hits + 1) - term(place + 1, hits + li + 1))).otherwise(0.0)
+    its = F.when(li == 1, term(place + 1, hits + lj + 1) - term(place, hits + 1)).otherwise(0.0)
+    apart = lambda value: F.when(~same, value)
+    return pairs.select("item", apart(F.round(F.col("sj") - F.col("si"), PLACES)).alias("at"), apart(passed).alias("passed"), apart(F.col("other")).alias("other"), own.alias("gain_own"), apart(its).alias("gain_other"), F.when(same, lj).alias("own"))
 
 
 def shift_steps(df: DataFrame, k: int, items: Iterable[str] | None = None, roles: Roles = ROLES) -> DataFrame:
     """``item, lo, hi, macro_ap, base``: macro AP as an exact step function of one item's shift, all other scores as they are.
 
     Between two neighbouring crossing points (``lo`` and ``hi``; null beyond the first and the last)
-    no query changes, so that all shifts inside an interval give the same value. Crossings are
-    summed per item and point; running sums then go within ranges of points, cut by
+    no query changes, so that all shifts inside an interval give the same value. ``df`` is read
+    once: crossings, and the terms of the AP as it is, are summed per pair of items and point
+    into a staged table, and weights come after. Running sums then go within ranges of points, cut by
     approximate quantiles, and over the ranges' totals, so that no task holds all points of an item. Items without a
     crossing have one interval. Fewer than two rows an item and query are assumed, as everywhere.
     """
-    own = enrich(df.select(*roles.identity, roles.label, roles.score), [k], roles).where(F.col(roles.label) == 1)
-    per = own.groupBy(F.col(roles.item).alias("item")).agg(F.sum(f"ap@{k}").alias("s"), F.count("*").alias("n"))
-    spark = df.sparkSession
-    known = per.collect()  # one row an item
-    n = {r.item: r.n for r in known}
-    base = sum(r.s / r.n for r in known) / len(known) if known else None
-    share = spark.createDataFrame([(i, 1.0 / (c * len(n))) for i, c in n.items()], f"other {df.schema[roles.item].dataType.simpleString()}, w double")
-    found = crossings(df, k, items, roles)
+    spark, kind = df.sparkSession, df.schema[roles.item].dataType.simpleString()
+    gone = lambda c: F.sum(F.when(F.col("passed"), F.col(c)).otherwise(0.0))
+    summed = crossings(df, k, items, roles).groupBy("item", "other", "at", F.col("own").isNotNull().alias("__self")).agg(
+        F.sum("gain_own").alias("gain_own"), F.sum("gain_other").alias("gain_other"), gone("gain_own").alias("passed_own"), gone("gain_other").alias("passed_other"), F.sum("own").alias("n"))
+    found = staged(summed, "crossings")
+    known = found.where("__self").select("item", F.col("gain_own").alias("s"), "n").collect()  # one row an item
+    positive = [r for r in known if r.n]
+    base = sum(r.s / r.n for r in positive) / len(positive) if positive else None
+    share = spark.createDataFrame([(r["item"], 1.0 / (r.n * len(positive))) for r in positive], f"other {kind}, w double")
     weight = F.broadcast(share)  # one row an item
-    gains = found.join(weight, "other", "left").join(F.broadcast(share.select(F.col("other").alias("item"), F.col("w").alias("w_own"))), "item", "left")
-    gain = F.coalesce(F.col("gain_own") * F.col("w_own"), F.lit(0.0)) + F.coalesce(F.col("gain_other") * F.col("w"), F.lit(0.0))
-    points = gains.groupBy("item", "at").agg(F.sum(gain).alias("gain"), F.sum(F.when(F.col("passed"), gain).otherwise(0.0)).alias("passed"))
+    gains = found.where("NOT __self").join(weight, "other", "left").join(F.broadcast(share.select(F.col("other").alias("item"), F.col("w").alias("w_own"))), "item", "left")
+    weighed = lambda own, its: F.sum(F.coalesce(F.col(own) * F.col("w_own"), F.lit(0.0)) + F.coalesce(F.col(its) * F.col("w"), F.lit(0.0)))
+    points = staged(gains.groupBy("item", "at").agg(weighed("gain_own", "gain_other").alias("gain"), weighed("passed_own", "passed_other").alias("passed")), "points")
     cuts = points.groupBy("item").agg(F.percentile_approx("at", [i / CUTS for i in range(1, CUTS)], 1000).alias("cuts")).collect()  # one row an item
-    ranges = F.broadcast(spark.createDataFrame([(r["item"], list(r.cuts)) for r in cuts], f"item {df.schema[roles.item].dataType.simpleString()}, cuts array<double>"))
+    ranges = F.broadcast(spark.createDataFrame([(r["item"], list(r.cuts)) for r in cuts], f"item {kind}, cuts array<double>"))
     ranged = points.join(ranges, "item").select("item", "at", "gain", "passed", F.size(F.filter("cuts", lambda c: c < F.col("at"))).alias("part"))
     within = Window.partitionBy("item", "part").orderBy("at")
     run = ranged.select("item", "part", "at", "passed", F.sum("gain").over(within.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"), F.lead("at").over(within).alias("next"))
@@ -156,7 +160,7 @@ def shift_steps(df: DataFrame, k: int, items: Iterable[str] | None = None, roles
     placed = run.join(starts, ["item", "part"])
     steps = placed.select("item", F.col("at").alias("lo"), F.coalesce("next", "after").alias("hi"), (F.lit(base) - F.col("lost") + F.col("before") + F.col("upto")).alias("macro_ap"))
     lowest = sums.groupBy("item").agg(F.min("first").alias("hi"), F.sum("passed").alias("passed"))
-    every = df.select(F.col(roles.item).alias("item")).distinct()
+    every = found.where("__self").select("item")
     every = every.where(F.col("item").isin(list(items))) if items is not None else every
     first = every.join(lowest, "item", "left").select("item", F.lit(None).cast("double").alias("lo"), "hi", (F.lit(base) - F.coalesce("passed", F.lit(0.0))).alias("macro_ap"))
     return steps.unionByName(first).withColumn("base", F.lit(base)).withColumnRenamed("item", roles.item)

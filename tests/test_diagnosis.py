@@ -159,6 +159,14 @@ def test_shift_steps_make_no_row_for_each_shift(spark):
     assert shift.shift_steps(alone.limit(0), 2).count() == 0
 
 
+def test_shift_steps_read_their_rows_once(spark):
+    df = spark.createDataFrame([("d", f"c{i}", p, s, int(p == "tea")) for i in range(30) for p, s in (("tea", 0.4), ("jam", 0.6))] + [("d", "none", "rye", 0.1, 0)], SCHEMA)
+    steps = shift.shift_steps(df, 2)
+    plan = steps._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "row_number" not in plan  # what follows the sums reads them from a table
+    assert [(r.lo, r.hi, r.macro_ap) for r in steps.where("prod_name = 'rye'").collect()] == [(None, None, 0.5)]  # known from a query without a positive alone
+
+
 def test_rank_divergence(spark):
     rows = [("d", "c", p, f, v) for p, vs in (("same", (1.0, 2.0, 3.0)), ("turned", (9.0, 5.0, 1.0)), ("flat", (2.0, 2.0, 2.0))) for f, v in zip("xyz", vs, strict=True)]
     df = spark.createDataFrame(rows, "snap_date string, cust_id string, prod_name string, feature string, value double")
