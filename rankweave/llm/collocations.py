@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from .common import stage, table, unstage
 
 #: Occurrences in a row of the relation, bytes of text that it may stand for, bytes of a piece beyond which it is split
-#: in parts, and merged pairs that are counted in a task at a time; they bound a task's memory and not a result.
-BLOCK, TEXT, CHUNK, PAIRS = 1 << 20, 64 << 20, 4 << 20, 1 << 21
+#: in parts, merged pairs that are counted in a task at a time, and rows of the relation in a file, which are written and read
+#: at once; they bound a task's memory and not a result.
+BLOCK, TEXT, CHUNK, PAIRS, ROWS = 1 << 19, 32 << 20, 4 << 20, 1 << 20, 4
 #: A-Z to a-z, and each byte that ends a piece to a line end, the only one left.
 _FOLDED = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r", bytes(range(97, 123)) + b"\n" * 9)
 #: Salts over which a group's candidates are ranked before its first ones are ranked together.
@@ -140,8 +141,10 @@ def counted(relation: DataFrame, buckets: int) -> DataFrame:
                 row = batch.slice(i, 1)
                 codes, ids = _flat(row.column(2)), _flat(row.column(3))
                 own, keys = row.column(1)[0].as_py(), _merged(codes, len(ids))
-                after = np.setdiff1d(keys[own:], np.append(keys[:own], -1))
+                after = np.unique(keys[own:])
                 keys, n = np.unique(keys[:own][keys[:own] >= 0], return_counts=True)
+                place = np.searchsorted(keys, after)
+                after = after[(after >= 0) & (np.append(keys, -1)[place] != after)]
                 keys, n = np.concatenate([keys, after]), np.concatenate([n, np.zeros(len(after), n.dtype)])
                 if not len(keys):
                     continue
@@ -224,6 +227,11 @@ def kept_phrases(relation: DataFrame, frequent: DataFrame) -> DataFrame:
     return relation.groupBy("block").cogroup(named.groupBy("home")).applyInArrow(run, RELATION)
 
 
+def _staged(blocks: DataFrame, name: str) -> DataFrame:
+    """The relation as a table of few rows a file: a task that has many blocks neither writes nor reads them at once."""
+    return stage(blocks, name, maxRecordsPerFile=str(ROWS))
+
+
 def frequent_phrases(docs: DataFrame, longest: int = 3, least: int = 10, by: str = "lang") -> tuple[list[DataFrame], DataFrame]:
     """Tables of phrases of 1 to ``longest`` words that occur ``least`` times in their group, and ``group, n``: the words of each group.
 
@@ -232,7 +240,7 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, least: int = 10, by: str
     occur, itself included.
     """
     group = F.coalesce(F.col(f"`{by}`").cast("string"), F.lit("und")).alias("group")
-    base = stage(occurrences(docs.select(group, F.coalesce(F.col("text"), F.lit("")).alias("text")), longest), "occurrences")
+    base = _staged(occurrences(docs.select(group, F.coalesce(F.col("text"), F.lit("")).alias("text")), longest), "occurrences")
     entries = base.select("block", F.posexplode("words").alias("key", "w")).select("block", F.col("key").cast("long").alias("key"), "w.*")
     all_words = stage(entries.groupBy("group", "word").agg(F.sum("n").alias("f")), "words")
     totals = all_words.groupBy("group").agg(F.sum("f").alias("n"))
@@ -242,10 +250,10 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, least: int = 10, by: str
         "group", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", f.alias("heads"), f.alias("tails"))
     tables = [stage(one, "phrases")]
     own = entries.join(tables[0].select("group", F.col("phrase").alias("word"), "id"), ["group", "word"]).select("block", "key", "id")
-    relation = stage(kept_words(base, own), "relation")
+    relation = _staged(kept_words(base, own), "relation")
     unstage(base)
     for length in range(2, longest + 1):
-        positions = relation.agg(F.sum(F.size(F.filter("codes", lambda c: c >= 0)))).first()[0] or 0
+        positions = relation.agg(F.sum("own")).first()[0] or 0
         found = stage(grouped(counted(relation, 1 + positions // PAIRS), least, length < longest), "groups", rows=1)
         zipped = F.explode(F.arrays_zip("a", "b", "id", "f")).alias("x")
         often = found.where("block = -1").select(zipped).select("x.*")
@@ -255,7 +263,7 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, least: int = 10, by: str
             "id", "a", "b", "group", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "f", F.concat("h", f).alias("heads"), F.concat("t", f).alias("tails"))
         tables.append(stage(made, "phrases"))
         if length < longest:
-            after = stage(kept_phrases(relation, found.where("block >= 0")), "relation")
+            after = _staged(kept_phrases(relation, found.where("block >= 0")), "relation")
             unstage(relation)
             relation = after
         unstage(found)

@@ -58,6 +58,22 @@ def test_very_long_pieces_are_split_in_parts(spark, monkeypatch):
     assert sorted(map(tuple, co.collocations(docs).collect())) == plainly(rows)
 
 
+def test_files_of_the_relation_have_few_blocks(spark, monkeypatch):
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(co, "BLOCK", 20)
+    sizes = []
+
+    def unstage(*staged):
+        sizes.extend(pq.ParquetFile(f.removeprefix("file://")).metadata.num_rows for df in staged if "codes" in df.columns for f in df.inputFiles())
+
+    monkeypatch.setattr(co, "unstage", unstage)
+    rows = texts(3)
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    assert sorted(map(tuple, co.collocations(docs).collect())) == plainly(rows)
+    assert len(sizes) > 50 and max(sizes) <= 4  # a task has a hundred blocks and more
+
+
 def test_top_and_empty_tables(spark):
     rows = texts(9, 500)
     docs = spark.createDataFrame([(*r, 1, "z") for r in rows], "lang string, text string, f long, `group` string")
