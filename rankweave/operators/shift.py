@@ -174,7 +174,7 @@ def best_shifts(steps: DataFrame, roles: Roles = ROLES) -> DataFrame:
     where none gains.
     """
     middle = F.when(F.col("lo").isNull() & F.col("hi").isNull(), 0.0).when(F.col("lo").isNull(), F.col("hi") - 1).when(F.col("hi").isNull(), F.col("lo") + 1).otherwise((F.col("lo") + F.col("hi")) / 2)
-    own = steps.withColumn("shift", middle)
+    own = staged(steps.withColumn("shift", middle), "steps")  # the greatest values and the rows that have them
     most = own.groupBy(roles.item).agg(F.max("macro_ap").alias("__most"))
     near = own.join(most, roles.item).where(F.col("macro_ap") >= F.col("__most") - SAME)
     one = near.groupBy(roles.item).agg(F.min(F.struct(F.abs("shift").alias("far"), "shift", "macro_ap", "base")).alias("x")).select(roles.item, "x.*")

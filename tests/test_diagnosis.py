@@ -167,6 +167,13 @@ def test_shift_steps_read_their_rows_once(spark):
     assert [(r.lo, r.hi, r.macro_ap) for r in steps.where("prod_name = 'rye'").collect()] == [(None, None, 0.5)]  # known from a query without a positive alone
 
 
+def test_best_shifts_make_the_steps_once(spark):
+    df = spark.createDataFrame([("d", f"c{i}", p, s, int(p == "tea")) for i in range(30) for p, s in (("tea", 0.4), ("jam", 0.6))], SCHEMA)
+    best = shift.best_shifts(shift.shift_steps(df, 2))
+    assert "windowspecdefinition" not in best._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.prod_name: (r.macro_ap, r.gain) for r in best.collect()} == {"tea": (1.0, 0.5), "jam": (1.0, 0.5)}
+
+
 def test_rank_divergence(spark):
     rows = [("d", "c", p, f, v) for p, vs in (("same", (1.0, 2.0, 3.0)), ("turned", (9.0, 5.0, 1.0)), ("flat", (2.0, 2.0, 2.0))) for f, v in zip("xyz", vs, strict=True)]
     df = spark.createDataFrame(rows, "snap_date string, cust_id string, prod_name string, feature string, value double")
